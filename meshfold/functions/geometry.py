@@ -6,7 +6,7 @@ point      two DOUBLE columns ``x, y``
 rectangle  four DOUBLE columns ``xmin, xmax, ymin, ymax`` (closed on all sides)
 circle     ``cx, cy, radius``
 polygon    ``rings ARRAY<ARRAY<STRUCT<x, y>>>``, ring 0 the shell, the others holes, each ring closed;
-           exact tests read ``edges ARRAY<STRUCT<x1, y1, x2, y2>>``, made once per polygon by `edges`
+           exact tests read an array of edges ``STRUCT<x1, y1, x2, y2>``, made once per polygon by `edges`
 """
 
 from __future__ import annotations
@@ -41,6 +41,11 @@ def window_box(window: tuple[float, float, float, float]) -> Box:
     return Box(*(F.lit(v) for v in (min(x1, x2), max(x1, x2), min(y1, y2), max(y1, y2))))
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once per row, also inside lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 # ---------------------------------------------------------------- distances
 
 def point_distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
@@ -62,20 +67,6 @@ def box_far_distance(b: Box, x: Column, y: Column) -> Column:
     return F.sqrt(dx * dx + dy * dy)
 
 
-def segment_distance(e: Column, x: Column, y: Column) -> Column:
-    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-    length2 = dx * dx + dy * dy
-    along = F.when(length2 > 0, ((x - e["x1"]) * dx + (y - e["y1"]) * dy) / F.when(length2 > 0, length2)).otherwise(F.lit(0.0))
-    t = F.least(F.greatest(along, F.lit(0.0)), F.lit(1.0))
-    return point_distance(e["x1"] + t * dx, e["y1"] + t * dy, x, y)
-
-
-def polygon_distance(polygon_edges: Column, x: Column, y: Column) -> Column:
-    """0 when the polygon covers the point, else the distance to its nearest edge."""
-    nearest = F.array_min(F.transform(polygon_edges, lambda e: segment_distance(e, x, y)))
-    return F.when(polygon_covers_point(polygon_edges, x, y), F.lit(0.0)).otherwise(nearest)
-
-
 # ---------------------------------------------------------------- circle and rectangle predicates
 
 def circle_contains_point(cx: Column, cy: Column, radius: Column, x: Column, y: Column) -> Column:
@@ -112,170 +103,202 @@ def boxes_intersect(a: Box, b: Box) -> Column:
 
 
 # ---------------------------------------------------------------- polygons
+#
+# These need lambdas within lambdas. They take and pass on SQL text, so that an expression is parsed in one go instead
+# of being put together by thousands of calls. An operand is the SQL text of an array of edges, an edge or a number.
+
+Sql = str
+
 
-def edges(rings: Column) -> Column:
+def number(value: float) -> Sql:
+    return f"({float(value)!r}D)"
+
+
+def _bind(value: Sql, name: str, body: Sql) -> Sql:
+    """``body`` with ``name`` standing for ``value``, which is evaluated once per row."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def edges(rings: Sql) -> Sql:
     """All edges of all rings, in ring order."""
+    return (
+        f"flatten(transform({rings}, ring_ -> transform(slice(ring_, 1, size(ring_) - 1), (p_, i_) -> named_struct("
+        "'x1', p_.x, 'y1', p_.y, 'x2', get(ring_, i_ + 1).x, 'y2', get(ring_, i_ + 1).y))))"
+    )
 
-    def ring_edges(ring: Column) -> Column:
-        return F.transform(
-            F.slice(ring, F.lit(1), F.size(ring) - 1),
-            lambda p, i: F.struct(
-                p["x"].alias("x1"), p["y"].alias("y1"),
-                F.get(ring, i + 1)["x"].alias("x2"), F.get(ring, i + 1)["y"].alias("y2"),
-            ),
-        )
 
-    return F.flatten(F.transform(rings, ring_edges))
+def over_edges(rings: Sql, body: Sql) -> Sql:
+    """``body``, in which ``edges_`` stands for the edges of ``rings``."""
+    return _bind(edges(rings), "edges_", body)
 
 
-def closed_ring(ring: Column) -> Column:
+def closed_ring(ring: Sql) -> Sql:
     """The ring with its first vertex repeated at the end, unless it is there already."""
-    first = F.get(ring, F.lit(0))
-    last = F.get(ring, F.size(ring) - 1)
-    is_open = (first["x"] != last["x"]) | (first["y"] != last["y"])
-    return F.when(is_open, F.concat(ring, F.array(first))).otherwise(ring)
+    first, last = f"get({ring}, 0)", f"get({ring}, size({ring}) - 1)"
+    return (f"CASE WHEN {first}.x <> {last}.x OR {first}.y <> {last}.y THEN concat({ring}, array({first})) ELSE {ring} END")
 
 
-def rings_box(rings: Column) -> Box:
+def signed_area2(ring: Sql) -> Sql:
+    """Twice the area of a ring; positive when it runs counter-clockwise."""
+    terms = (f"transform(slice({ring}, 1, size({ring}) - 1), (p_, i_) -> "
+             f"p_.x * get({ring}, i_ + 1).y - get({ring}, i_ + 1).x * p_.y)")
+    return f"aggregate({terms}, 0D, (total_, v_) -> total_ + v_)"
+
+
+def rings_box(rings: Sql) -> Box:
     """Bounds of the shell."""
-    xs = F.transform(F.get(rings, F.lit(0)), lambda p: p["x"])
-    ys = F.transform(F.get(rings, F.lit(0)), lambda p: p["y"])
-    return Box(F.array_min(xs), F.array_max(xs), F.array_min(ys), F.array_max(ys))
+    return Box(*(F.expr(f"array_{pick}(transform(get({rings}, 0), p_ -> p_.{axis}))")
+                 for axis, pick in (("x", "min"), ("x", "max"), ("y", "min"), ("y", "max"))))
 
 
-def cross(e: Column, x: Column, y: Column) -> Column:
+def _cross(e: Sql, x: Sql, y: Sql) -> Sql:
     """Positive when (x, y) lies left of the directed edge, 0 when on its line."""
-    return (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
+    return f"(({e}.x2 - {e}.x1) * ({y} - {e}.y1) - ({x} - {e}.x1) * ({e}.y2 - {e}.y1))"
 
 
-def _in_edge_box(e: Column, x: Column, y: Column) -> Column:
-    return (
-        (x >= F.least(e["x1"], e["x2"])) & (x <= F.greatest(e["x1"], e["x2"]))
-        & (y >= F.least(e["y1"], e["y2"])) & (y <= F.greatest(e["y1"], e["y2"]))
-    )
+def _in_edge_box(e: Sql, x: Sql, y: Sql) -> Sql:
+    return (f"({x} >= least({e}.x1, {e}.x2) AND {x} <= greatest({e}.x1, {e}.x2)"
+            f" AND {y} >= least({e}.y1, {e}.y2) AND {y} <= greatest({e}.y1, {e}.y2))")
+
+
+def _edge_meets_bounds(e: Sql, xmin: Sql, xmax: Sql, ymin: Sql, ymax: Sql) -> Sql:
+    return (f"(least({e}.x1, {e}.x2) <= {xmax} AND greatest({e}.x1, {e}.x2) >= {xmin}"
+            f" AND least({e}.y1, {e}.y2) <= {ymax} AND greatest({e}.y1, {e}.y2) >= {ymin})")
 
 
 # Above any number of edges: marks a point found on the boundary in `_ray_count`.
-_ON_BOUNDARY = 1 << 40
+_ON_BOUNDARY = f"{1 << 40}L"
 
 
-def _ray_count(polygon_edges: Column, x: Column, y: Column) -> Column:
+def _ray_count(polygon_edges: Sql, x: Sql, y: Sql) -> Sql:
     """Edges crossed by the ray from (x, y) to the right; at least _ON_BOUNDARY when on an edge.
 
     The side test uses the sign of the cross product, so nothing is divided.
     """
-
-    def step(total: Column, e: Column) -> Column:
-        side = cross(e, x, y)
-        spans = (e["y1"] > y) != (e["y2"] > y)
-        return (
-            F.when((side == 0) & _in_edge_box(e, x, y), total + F.lit(_ON_BOUNDARY))
-            .when(spans & ((side > 0) == (e["y2"] > e["y1"])), total + F.lit(1).cast("bigint"))
-            .otherwise(total)
-        )
-
-    return F.aggregate(polygon_edges, F.lit(0).cast("bigint"), step)
-
-
-def _with(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` evaluated once per row, also inside lambdas."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    return (
+        f"aggregate({polygon_edges}, 0L, (total_, e_) -> CASE"
+        f" WHEN least(e_.y1, e_.y2) > {y} OR greatest(e_.y1, e_.y2) < {y} THEN total_"
+        f" WHEN {_cross('e_', x, y)} = 0 AND {_in_edge_box('e_', x, y)} THEN total_ + {_ON_BOUNDARY}"
+        f" WHEN (e_.y1 > {y}) <> (e_.y2 > {y}) AND ({_cross('e_', x, y)} > 0) = (e_.y2 > e_.y1) THEN total_ + 1L"
+        " ELSE total_ END)"
+    )
 
 
-def polygon_contains_point(polygon_edges: Column, x: Column, y: Column) -> Column:
+def polygon_contains_point(polygon_edges: Sql, x: Sql, y: Sql) -> Sql:
     """Strictly inside: points on the boundary are not contained."""
-    # An odd total of at least _ON_BOUNDARY lies on an edge as well.
-    return _with(_ray_count(polygon_edges, x, y), lambda n: (n < F.lit(_ON_BOUNDARY)) & (n % 2 == 1))
+    return _bind(_ray_count(polygon_edges, x, y), "n_", f"n_ < {_ON_BOUNDARY} AND n_ % 2 = 1")
 
 
-def polygon_covers_point(polygon_edges: Column, x: Column, y: Column) -> Column:
+def polygon_covers_point(polygon_edges: Sql, x: Sql, y: Sql) -> Sql:
     """Inside or on the boundary."""
-    return _with(_ray_count(polygon_edges, x, y), lambda n: (n >= F.lit(_ON_BOUNDARY)) | (n % 2 == 1))
+    return _bind(_ray_count(polygon_edges, x, y), "n_", f"n_ >= {_ON_BOUNDARY} OR n_ % 2 = 1")
 
 
-def edge_meets_box(e: Column, b: Box) -> Column:
-    """Closed test by separating axes: the bounding boxes meet and the line does not pass the box by."""
-    corners = [cross(e, x, y) for x in (b.xmin, b.xmax) for y in (b.ymin, b.ymax)]
-    one_side = (F.least(*corners) > 0) | (F.greatest(*corners) < 0)
-    return (
-        (F.least(e["x1"], e["x2"]) <= b.xmax) & (F.greatest(e["x1"], e["x2"]) >= b.xmin)
-        & (F.least(e["y1"], e["y2"]) <= b.ymax) & (F.greatest(e["y1"], e["y2"]) >= b.ymin)
-        & ~one_side
-    )
+def polygon_distance(polygon_edges: Sql, x: Sql, y: Sql) -> Sql:
+    """0 when the polygon covers the point, else the distance to its nearest edge."""
+    length2 = "((e_.x2 - e_.x1) * (e_.x2 - e_.x1) + (e_.y2 - e_.y1) * (e_.y2 - e_.y1))"
+    along = (f"CASE WHEN {length2} > 0 THEN (({x} - e_.x1) * (e_.x2 - e_.x1) + ({y} - e_.y1) * (e_.y2 - e_.y1))"
+             f" / nullif({length2}, 0D) ELSE 0D END")
+    dx, dy = (f"(e_.{a}1 + t_ * (e_.{a}2 - e_.{a}1) - {v})" for a, v in (("x", x), ("y", y)))
+    to_edge = _bind(f"least(greatest({along}, 0D), 1D)", "t_", f"sqrt({dx} * {dx} + {dy} * {dy})")
+    nearest = f"array_min(transform({polygon_edges}, e_ -> {to_edge}))"
+    return f"CASE WHEN {polygon_covers_point(polygon_edges, x, y)} THEN 0D ELSE {nearest} END"
+
 
+def polygon_intersects_box(polygon_edges: Sql, xmin: Sql, xmax: Sql, ymin: Sql, ymax: Sql) -> Sql:
+    """Closed: an edge meets the rectangle, or the whole rectangle lies inside the polygon.
 
-def polygon_intersects_box(polygon_edges: Column, b: Box) -> Column:
-    """An edge meets the rectangle, or the whole rectangle lies inside the polygon."""
-    return F.exists(polygon_edges, lambda e: edge_meets_box(e, b)) | polygon_contains_point(polygon_edges, b.xmin, b.ymin)
+    An edge meets it when the bounding boxes meet and its line does not pass the rectangle by on one side.
+    """
+    corners = ", ".join(_cross("o_", x, y) for x in (xmin, xmax) for y in (ymin, ymax))
+    meets = (f"{_edge_meets_bounds('o_', xmin, xmax, ymin, ymax)}"
+             f" AND NOT (least({corners}) > 0 OR greatest({corners}) < 0)")
+    return f"exists({polygon_edges}, o_ -> {meets}) OR {polygon_contains_point(polygon_edges, xmin, ymin)}"
 
 
-def cuts(e: Column, other: Column) -> Column:
-    """Positions in [0, 1] on edge ``e`` where edge ``other`` crosses, touches or ends on it."""
-    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-    length2 = dx * dx + dy * dy
-    s1 = cross(e, other["x1"], other["y1"])
-    s2 = cross(e, other["x2"], other["y2"])
-    r1 = cross(other, e["x1"], e["y1"])
-    r2 = cross(other, e["x2"], e["y2"])
+def _cuts(e: Sql, o: Sql) -> Sql:
+    """Positions in [0, 1] on edge ``e`` where edge ``o`` crosses, touches or ends on it."""
+    length2 = f"nullif(({e}.x2 - {e}.x1) * ({e}.x2 - {e}.x1) + ({e}.y2 - {e}.y1) * ({e}.y2 - {e}.y1), 0D)"
 
-    def along(x: Column, y: Column) -> Column:
-        return ((x - e["x1"]) * dx + (y - e["y1"]) * dy) / F.when(length2 > 0, length2)
+    def along(x: Sql, y: Sql) -> Sql:
+        return f"(({x} - {e}.x1) * ({e}.x2 - {e}.x1) + ({y} - {e}.y1) * ({e}.y2 - {e}.y1)) / {length2}"
 
-    collinear = (s1 == 0) & (s2 == 0)
-    meets = (s1 * s2 <= 0) & (r1 * r2 <= 0) & (r1 != r2)
+    s1, s2 = _cross(e, f"{o}.x1", f"{o}.y1"), _cross(e, f"{o}.x2", f"{o}.y2")
+    r1, r2 = _cross(o, f"{e}.x1", f"{e}.y1"), _cross(o, f"{e}.x2", f"{e}.y2")
     at = (
-        F.when(collinear, F.array(along(other["x1"], other["y1"]), along(other["x2"], other["y2"])))
-        .when(meets, F.array(r1 / F.when(r1 != r2, r1 - r2)))
-        .otherwise(F.array().cast("array<double>"))
+        f"CASE WHEN {s1} = 0 AND {s2} = 0 THEN array({along(f'{o}.x1', f'{o}.y1')}, {along(f'{o}.x2', f'{o}.y2')})"
+        f" WHEN signum({s1}) * signum({s2}) <= 0 AND signum({r1}) * signum({r2}) <= 0 AND {r1} <> {r2}"
+        f" THEN array({r1} / nullif({r1} - {r2}, 0D)) ELSE CAST(array() AS ARRAY<DOUBLE>) END"
     )
-    return F.filter(at, lambda t: (t >= 0) & (t <= 1))
+    return f"filter({at}, t_ -> t_ >= 0 AND t_ <= 1)"
 
 
-def pieces(e: Column, others: Column) -> Column:
+def pieces(e: Sql, others: Sql) -> Sql:
     """``e`` cut by all edges in ``others``: ARRAY<STRUCT<t0, t1>> of non-empty pieces along it."""
-    inner = F.flatten(F.transform(others, lambda o: cuts(e, o)))
-    ends = F.array(F.lit(0.0), F.lit(1.0))
-    return _with(
-        F.array_sort(F.array_distinct(F.concat(ends, inner))),
-        lambda ts: F.transform(
-            F.slice(ts, F.lit(1), F.size(ts) - 1),
-            lambda t, i: F.struct(t.alias("t0"), F.get(ts, i + 1).alias("t1")),
-        ),
+    near = (f"filter({others}, c_ -> "
+            f"{_edge_meets_bounds('c_', *(f'{f}({e}.{a}1, {e}.{a}2)' for a in 'xy' for f in ('least', 'greatest')))})")
+    inner = f"flatten(transform({near}, c_ -> {_cuts(e, 'c_')}))"
+    return _bind(
+        f"array_sort(array_distinct(concat(array(0D, 1D), {inner})))", "ts_",
+        "transform(slice(ts_, 1, size(ts_) - 1), (t_, i_) -> named_struct('t0', t_, 't1', get(ts_, i_ + 1)))",
     )
 
 
-def point_on_edge(e: Column, t: Column) -> tuple[Column, Column]:
-    return e["x1"] + t * (e["x2"] - e["x1"]), e["y1"] + t * (e["y2"] - e["y1"])
+def middle(e: Sql, piece: Sql) -> tuple[Sql, Sql]:
+    """The point halfway along a piece of ``e``."""
+    x, y = (f"({e}.{a}1 + ({piece}.t0 + {piece}.t1) / 2 * ({e}.{a}2 - {e}.{a}1))" for a in "xy")
+    return x, y
 
 
-def runs_along(e: Column, other: Column, x: Column, y: Column) -> Column:
-    """Edge ``e`` lies on the line of ``other``, and its point (x, y) within the reach of ``other``."""
-    return (
-        (cross(other, e["x1"], e["y1"]) == 0) & (cross(other, e["x2"], e["y2"]) == 0)
-        & _in_edge_box(other, x, y)
-    )
+def runs_along(e: Sql, o: Sql, x: Sql, y: Sql) -> Sql:
+    """Edge ``e`` lies on the line of ``o``, and its point (x, y) within the reach of ``o``."""
+    return (f"({_cross(o, f'{e}.x1', f'{e}.y1')} = 0 AND {_cross(o, f'{e}.x2', f'{e}.y2')} = 0"
+            f" AND {_in_edge_box(o, x, y)})")
 
 
-def polygon_contains_polygon(outer_edges: Column, inner_edges: Column) -> Column:
+# Contact of two edges, in rising order of consequence (for `_contact`).
+_APART, _TOUCHING, _CROSSING = 0, 1, 2
+
+
+def _contact(e: Sql, o: Sql) -> Sql:
+    """Whether two edges are apart, cross at inner points of both, or touch in any other way."""
+    s = f"signum({_cross(e, f'{o}.x1', f'{o}.y1')}) * signum({_cross(e, f'{o}.x2', f'{o}.y2')})"
+    r = f"signum({_cross(o, f'{e}.x1', f'{e}.y1')}) * signum({_cross(o, f'{e}.x2', f'{e}.y2')})"
+    bounds = (f"{f}({o}.{a}1, {o}.{a}2)" for a in "xy" for f in ("least", "greatest"))
+    return (f"CASE WHEN NOT {_edge_meets_bounds(e, *bounds)} OR {s} > 0 OR {r} > 0 THEN {_APART}"
+            f" WHEN {s} < 0 AND {r} < 0 THEN {_CROSSING} ELSE {_TOUCHING} END")
+
+
+def _pieces_contained(outer: Sql, inner: Sql) -> Sql:
     """No piece of the inner boundary is outside, and no piece of the outer boundary strictly inside.
 
     The second half catches holes of the outer polygon that lie within the inner one.
     """
+    px, py = middle("i_e", "piece_")
+    outside = f"NOT (exists({outer}, a_ -> {runs_along('i_e', 'a_', px, py)}) OR {polygon_covers_point(outer, px, py)})"
+    leaves = f"exists({inner}, i_e -> exists({pieces('i_e', outer)}, piece_ -> {outside}))"
+    qx, qy = middle("o_e", "piece_")
+    within = f"{polygon_contains_point(inner, qx, qy)} AND NOT exists({inner}, a_ -> {runs_along('o_e', 'a_', qx, qy)})"
+    enters = f"exists({outer}, o_e -> exists({pieces('o_e', inner)}, piece_ -> {within}))"
+    return f"NOT ({leaves} OR {enters})"
 
-    def piece_outside(e: Column, piece: Column) -> Column:
-        x, y = point_on_edge(e, (piece["t0"] + piece["t1"]) / 2)
-        return ~(
-            F.exists(outer_edges, lambda o: runs_along(e, o, x, y))
-            | polygon_covers_point(outer_edges, x, y)
-        )
 
-    def piece_inside(o: Column, piece: Column) -> Column:
-        x, y = point_on_edge(o, (piece["t0"] + piece["t1"]) / 2)
-        return polygon_contains_point(inner_edges, x, y) & ~F.exists(inner_edges, lambda e: runs_along(o, e, x, y))
+def polygon_contains_polygon(outer: Sql, inner: Sql, inner_prefix: str) -> Sql:
+    """Whether the inner polygon lies in the outer one; shared boundary is allowed.
 
-    leaves = F.exists(inner_edges, lambda e: F.exists(pieces(e, outer_edges), lambda p: piece_outside(e, p)))
-    enters = F.exists(outer_edges, lambda o: F.exists(pieces(o, inner_edges), lambda p: piece_inside(o, p)))
-    return ~(leaves | enters)
+    ``inner_prefix`` names the columns with the inner bounds. Only outer edges within those can be in contact.
+    Without contact one inner vertex decides, together with holes of the outer polygon that may lie within the
+    inner one. Crossing edges mean no. Only boundaries that touch need to be cut into pieces.
+    """
+    near = f"filter({outer}, o_e -> {_edge_meets_bounds('o_e', *(inner_prefix + n for n in BOX))})"
+    worst = (f"aggregate(near_, {_APART}, (w_, o_e) -> greatest(w_, aggregate({inner}, {_APART}, (v_, i_e) -> "
+             f"greatest(v_, {_contact('i_e', 'o_e')}))))")
+    hole_inside = f"exists(near_, o_e -> {polygon_contains_point(inner, 'o_e.x1', 'o_e.y1')})"
+    by_contact = _bind(worst, "contact_", (
+        f"CASE WHEN contact_ = {_CROSSING} THEN false WHEN contact_ = {_APART} THEN NOT {hole_inside}"
+        f" ELSE {_pieces_contained(outer, inner)} END"))
+    first = f"get({inner}, 0)"
+    return f"{polygon_covers_point(outer, f'{first}.x1', f'{first}.y1')} AND {_bind(near, 'near_', by_contact)}"
 
 
 # ---------------------------------------------------------------- projections

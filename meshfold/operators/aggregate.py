@@ -16,7 +16,7 @@ def geometry_box(df: DataFrame) -> g.Box:
     if set(g.BOX) <= names:
         return g.box()
     if "rings" in names:
-        return g.rings_box(F.col("rings"))
+        return g.rings_box("rings")
     if {"cx", "cy", "radius"} <= names:
         return g.circle_box(F.col("cx"), F.col("cy"), F.col("radius"))
     if {"x", "y"} <= names:

@@ -32,9 +32,8 @@ def _point_box(x: str, y: str) -> g.Box:
 
 
 def _polygon_side(df: DataFrame, id_column: str, id_as: str, prefix: str, on: Sequence[str], exact: bool) -> DataFrame:
-    rings = F.col("rings")
-    extra = [g.edges(rings).alias(prefix + "edges")] if exact else []
-    return _side(df, id_column, id_as, prefix, g.rings_box(rings), on, *extra)
+    extra = [F.expr(g.edges("rings")).alias(prefix + "edges")] if exact else []
+    return _side(df, id_column, id_as, prefix, g.rings_box("rings"), on, *extra)
 
 
 def _pairs(joined: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -79,7 +78,7 @@ def points_in_polygons(
     x, y = F.col("o_xmin"), F.col("o_ymin")
     test = g.box_contains_point(side_box(WINDOW), x, y)
     if mode == EXACT:
-        test = test & g.polygon_contains_point(F.col("w_edges"), x, y)
+        test = test & F.expr(g.polygon_contains_point("w_edges", "o_xmin", "o_ymin"))
     return _pairs(cell_join(objects, windows, test, on, limits=limits, per_cell=_near_edges if mode == EXACT else None), on)
 
 
@@ -105,7 +104,7 @@ def polygons_in_polygons(
     sides = _polygon_side(windows, window_id, WINDOW_ID, WINDOW, on, exact)
     a, b = side_box(OBJECT), side_box(WINDOW)
     if exact:
-        test = g.box_contains_box(b, a) & g.polygon_contains_polygon(F.col("w_edges"), F.col("o_edges"))
+        test = g.box_contains_box(b, a) & F.expr(g.polygon_contains_polygon("w_edges", "o_edges", OBJECT))
         joined = cell_join(objects, sides, test, on, limits=limits)
     else:
         joined = cell_join(objects, sides, g.boxes_intersect(a, b), on, inside=False, limits=limits)

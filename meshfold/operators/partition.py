@@ -23,8 +23,10 @@ from meshfold.operators.join import rectangles_in_rectangles
 
 METHODS = ("equalgrid", "hilbert", "rtree", "voronoi")
 HILBERT_BITS = 15
+_STEP_BITS = 3
 _SAMPLE_PER_PARTITION = 1000
 _ACCURACY = 10_000
+_CELLS_PER_SITE, _MAX_CELLS = 64, 65_536
 
 
 def sample_size(n: int, rows: int) -> int:
@@ -49,32 +51,28 @@ class Partitioning:
 
     def assign(self, df: DataFrame) -> DataFrame:
         """``df`` with an INT column ``pid`` in 0 .. n-1."""
-        x, y = g.box_center(geometry_box(df))
         if self.n == 1:
             return df.withColumn("pid", F.lit(0))
-        if self.method == "voronoi":
-            return self._nearest_site(df, x, y)
-        pid = {"equalgrid": self._grid_cell, "hilbert": self._curve_share, "rtree": self._tile}[self.method](x, y)
-        return df.withColumn("pid", pid.cast("int"))
-
-    def _grid_cell(self, x: Column, y: Column) -> Column:
-        per_axis = math.isqrt(self.n)
-        column, row = _grid_index(x, y, self.bounds, per_axis)
-        return column * per_axis + row
-
-    def _curve_share(self, x: Column, y: Column) -> Column:
-        return _rank(hilbert_key(x, y, self.bounds), _long_array(self.cuts))
-
-    def _tile(self, x: Column, y: Column) -> Column:
-        x_cuts, first, y_cuts = self.cuts
-        strip = _rank(x, _double_array(x_cuts))
-        own = F.get(F.array(*map(_double_array, y_cuts)), strip)
-        return F.get(F.array(*map(F.lit, first)), strip) + _rank(y, own)
+        x, y = g.box_center(geometry_box(df))
+        if self.method == "equalgrid":
+            per_axis = math.isqrt(self.n)
+            column, row = _grid_index(x, y, self.bounds, per_axis)
+            return df.withColumn("pid", column * per_axis + row)
+        if self.method == "hilbert":
+            keyed = df.withColumn("curve_", hilbert_key(x, y, self.bounds))
+            return _ranked(keyed, "pid", "curve_", [self.cuts]).drop("curve_")
+        if self.method == "rtree":
+            x_cuts, first, y_cuts = self.cuts
+            striped = _ranked(df.withColumn("x_", x).withColumn("y_", y), "strip_", "x_", [x_cuts])
+            tiled = _ranked(striped, "tile_", "y_", y_cuts, "strip_")
+            pid = F.get(_literal_array(first), F.col("strip_")) + F.col("tile_")
+            return tiled.withColumn("pid", pid).drop("x_", "y_", "strip_", "tile_")
+        return self._nearest_site(df, x, y)
 
     def _nearest_site(self, df: DataFrame, x: Column, y: Column) -> DataFrame:
-        """A coarse grid lists, for each cell, the sites that can be nearest to a point in it: a handful of n."""
+        """A grid lists, for each cell, the sites that can be nearest to a point in it: one for most cells."""
         sites = F.array(*(_site(i, sx, sy) for i, (sx, sy) in enumerate(self.cuts)))
-        per_axis = math.isqrt(4 * self.n) + 1
+        per_axis = math.isqrt(min(_CELLS_PER_SITE * self.n, _MAX_CELLS)) + 1
         xmin, xmax, ymin, ymax = self.bounds
         w, h = (xmax - xmin) / per_axis, (ymax - ymin) / per_axis
         cells = df.sparkSession.range(per_axis * per_axis).select(
@@ -84,10 +82,11 @@ class Partitioning:
         left, low = F.lit(xmin) + F.col("grid_x") * F.lit(w), F.lit(ymin) + F.col("grid_y") * F.lit(h)
         cell = g.Box(left, left + w, low, low + h)
         reach = F.array_min(F.transform(sites, lambda s: g.box_far_distance(cell, s["sx"], s["sy"])))
-        near = cells.withColumn("reach", reach).select(
-            "grid_x", "grid_y",
-            F.filter(sites, lambda s: g.box_distance(cell, s["sx"], s["sy"]) <= F.col("reach") * (1 + 1e-9)).alias("sites"),
-        )
+
+        def within(limit: Column) -> Column:
+            return F.filter(sites, lambda s: g.box_distance(cell, s["sx"], s["sy"]) <= limit)
+
+        near = cells.select("grid_x", "grid_y", g.bind(reach * (1 + 1e-9), within).alias("sites"))
         column, row = _grid_index(x, y, self.bounds, per_axis)
 
         def ranked(s: Column) -> Column:
@@ -95,9 +94,10 @@ class Partitioning:
             return F.struct((dx * dx + dy * dy).alias("d2"), s["site"].alias("site"))
 
         placed = df.withColumn("grid_x", column).withColumn("grid_y", row)
-        # Bounded: about 4n cells, n being the number of partitions asked for.
+        # Bounded: _MAX_CELLS rows, however many rows df has.
         found = placed.join(F.broadcast(near), ["grid_x", "grid_y"], "left")
-        pid = F.array_min(F.transform("sites", ranked))["site"]
+        only = F.get("sites", F.lit(0))["site"]
+        pid = F.when(F.size("sites") == 1, only).otherwise(F.array_min(F.transform("sites", ranked))["site"])
         return found.withColumn("pid", pid).drop("grid_x", "grid_y", "sites")
 
 
@@ -105,12 +105,10 @@ def _site(i: int, x: float, y: float) -> Column:
     return F.struct(F.lit(i).alias("site"), F.lit(float(x)).alias("sx"), F.lit(float(y)).alias("sy"))
 
 
-def _double_array(values) -> Column:
-    return F.array(*(F.lit(float(v)) for v in values)).cast("array<double>")
-
-
-def _long_array(values) -> Column:
-    return F.array(*(F.lit(int(v)) for v in values)).cast("array<bigint>")
+def _literal_array(values) -> Column:
+    """A literal array of whole numbers or of doubles, parsed in one call."""
+    texts = [f"{v!r}D" if isinstance(v, float) else f"{v}L" if abs(v) >= 2**31 else str(v) for v in values]
+    return F.expr(f"array({','.join(texts)})")
 
 
 def _grid_index(x: Column, y: Column, bounds, per_axis: int) -> tuple[Column, Column]:
@@ -126,39 +124,63 @@ def _grid_index(x: Column, y: Column, bounds, per_axis: int) -> tuple[Column, Co
     return index(x, xmin, xmax), index(y, ymin, ymax)
 
 
-def _rank(value: Column, cuts: Column) -> Column:
-    """Number of ``cuts`` (sorted array) that are <= value, by binary search."""
-    def step(found: Column, jump: Column) -> Column:
-        ahead = F.get(cuts, found + jump - 1)
-        return F.when(ahead <= value, found + jump).otherwise(found)
+def _ranked(df: DataFrame, name: str, value: str, cuts: list, group: str | None = None) -> DataFrame:
+    """Adds ``name``: the number of cuts (ascending) that are <= ``value``, by binary search.
 
-    jumps = F.array(*(F.lit(1 << bit) for bit in range(20, -1, -1)))
-    usable = F.filter(jumps, lambda j: j <= F.size(cuts))
-    return F.aggregate(usable, F.lit(0), step)
+    ``cuts`` is one list, or one per number in column ``group``. Every halving is a projection of its own, which keeps
+    the whole search in generated code.
+    """
+    depth = max(map(len, cuts)).bit_length()
+    size = 1 << depth  # one list, padded so that every search takes the same steps
+    last = max((c[-1] for c in cuts if c), default=0)
+    never = 1.7976931348623157e308 if isinstance(last, float) else 2**63 - 1
+    flat = [v for c in cuts for v in [*c, *[never] * (size - len(c))]]
+    df = df.withColumn(name, F.lit(0))
+    if not depth:
+        return df
+    table = _literal_array(flat)
+    start = F.col(group) * size if group else F.lit(0)
+    for step in (size >> i for i in range(1, depth + 1)):
+        ahead = F.get(table, start + F.col(name) + (step - 1))
+        df = df.withColumn(name, F.when(ahead <= F.col(value), F.col(name) + step).otherwise(F.col(name)))
+    return df
+
+
+def _curve_table() -> list[int]:
+    """Hilbert curve over `_STEP_BITS` bits of x and y at a time, as a table for lookups.
+
+    Entry [state, x bits, y bits] holds (position << 2 | next state). A state says how the square was entered:
+    bit 0 with x and y swapped, bit 1 with both mirrored.
+    """
+    size = 1 << _STEP_BITS
+    table = []
+    for state in range(4):
+        for x in range(size):
+            for y in range(size):
+                swapped, mirrored, position = state & 1, state >> 1, 0
+                for bit in range(_STEP_BITS - 1, -1, -1):
+                    right, upper = (x >> bit & 1) ^ mirrored, (y >> bit & 1) ^ mirrored
+                    if swapped:
+                        right, upper = upper, right
+                    # Quadrants in curve order: lower left, upper left, upper right, lower right.
+                    position = position << 2 | ((0, 3), (1, 2))[upper][right]
+                    if not upper:  # the first quadrant is entered swapped, the last swapped and mirrored
+                        swapped, mirrored = swapped ^ 1, mirrored ^ right
+                table.append(position << 2 | mirrored << 1 | swapped)
+    return table
 
 
 def hilbert_key(x: Column, y: Column, bounds: tuple[float, float, float, float]) -> Column:
-    """Position along the Hilbert curve of order 15 over ``bounds``, as BIGINT."""
-    side = 1 << HILBERT_BITS
-    column, row = _grid_index(x, y, bounds, side)
-    start = F.struct(F.lit(0).cast("bigint").alias("h"), column.alias("x"), row.alias("y"))
-
-    def step(s: Column, half: Column) -> Column:
-        right = s["x"].bitwiseAND(half) != 0
-        upper = s["y"].bitwiseAND(half) != 0
-        # Quadrants in curve order: lower left, upper left, upper right, lower right.
-        quadrant = (F.when(~right & ~upper, 0).when(~right, 1).when(upper, 2).otherwise(3)).cast("bigint")
-        # The last quadrant is entered mirrored, the first and last are turned.
-        px = F.when(right & ~upper, F.lit(side - 1) - s["x"]).otherwise(s["x"])
-        py = F.when(right & ~upper, F.lit(side - 1) - s["y"]).otherwise(s["y"])
-        return F.struct(
-            (s["h"] * 4 + quadrant).alias("h"),
-            F.when(upper, px).otherwise(py).alias("x"),
-            F.when(upper, py).otherwise(px).alias("y"),
-        )
-
-    halves = F.array(*(F.lit(1 << bit) for bit in range(HILBERT_BITS - 1, -1, -1)))
-    return F.aggregate(halves, start, step, lambda s: s["h"])
+    """Position along the Hilbert curve of order 15 over ``bounds``, as BIGINT: five table lookups, all generated code."""
+    column, row = _grid_index(x, y, bounds, 1 << HILBERT_BITS)
+    table = _literal_array(_curve_table())
+    mask = (1 << _STEP_BITS) - 1
+    key, entry = F.lit(0).cast("bigint"), F.lit(0)
+    for shift in range(HILBERT_BITS - _STEP_BITS, -1, -_STEP_BITS):
+        bits = [F.shiftright(v, shift).bitwiseAND(mask) for v in (column, row)]
+        entry = F.get(table, ((entry.bitwiseAND(3) * (mask + 1)) + bits[0]) * (mask + 1) + bits[1])
+        key = F.shiftleft(key, 2 * _STEP_BITS) + F.shiftright(entry, 2)
+    return key
 
 
 def _percentiles(df: DataFrame, value: str, shares: list[float], by: str | None = None) -> DataFrame:
@@ -207,7 +229,7 @@ def _tile_cuts(centers: DataFrame, n: int) -> tuple:
     x_cuts = []
     if strips > 1:
         x_cuts = _percentiles(centers, "x", [f / n for f in first[1:]]).first()["cuts"]
-    in_strips = centers.withColumn("strip", _rank(F.col("x"), _double_array(x_cuts)))
+    in_strips = _ranked(centers, "strip", "x", [x_cuts])
     by_count: dict[int, dict[int, list[float]]] = {}
     for count in {t for t in tiles if t > 1}:  # at most two values
         shares = [i / count for i in range(1, count)]

@@ -39,12 +39,14 @@ def range_polygons(polygons: DataFrame, window: Window, condition: str = CONTAIN
     Uses the columns ``xmin .. ymax`` if the table has them, so that stored bounds prune the scan.
     """
     _check_condition(condition)
-    rings, w = F.col("rings"), g.window_box(window)
-    bounds = g.box() if set(g.BOX) <= set(polygons.columns) else g.rings_box(rings)
+    w = g.window_box(window)
+    bounds = g.box() if set(g.BOX) <= set(polygons.columns) else g.rings_box("rings")
     if mode == "mbr":
         return polygons.where(g.boxes_intersect(bounds, w))
     if mode != "exact":
         raise ValueError(f"mode must be 'exact' or 'mbr', not {mode!r}")
     if condition == CONTAINS:  # a rectangle contains a polygon exactly when it contains its bounds
         return polygons.where(g.box_contains_box(w, bounds))
-    return polygons.where(g.boxes_intersect(bounds, w) & g.polygon_intersects_box(g.edges(rings), w))
+    x1, x2, y1, y2 = map(g.number, (*sorted(window[:2]), *sorted(window[2:])))
+    meets = g.over_edges("rings", g.polygon_intersects_box("edges_", x1, x2, y1, y2))
+    return polygons.where(g.boxes_intersect(bounds, w) & F.expr(meets))

@@ -21,25 +21,17 @@ from meshfold.session import checkpointed
 _MERGE_PARTS = 16
 
 
-def _signed_area2(ring: Column) -> Column:
-    """Twice the area; positive for a counter-clockwise ring."""
-    terms = F.transform(F.slice(ring, F.lit(1), F.size(ring) - 1),
-                        lambda p, i: p["x"] * F.get(ring, i + 1)["y"] - F.get(ring, i + 1)["x"] * p["y"])
-    return F.aggregate(terms, F.lit(0.0), lambda total, v: total + v)
-
-
-def _oriented(rings: Column) -> Column:
+def _oriented(rings: g.Sql) -> g.Sql:
     """Shell counter-clockwise, holes clockwise: the interior is always on the left."""
-    return F.transform(rings, lambda ring, i: F.when((_signed_area2(ring) > 0) == (i == 0), ring).otherwise(F.reverse(ring)))
+    return f"transform({rings}, (r_, k_) -> CASE WHEN ({g.signed_area2('r_')} > 0) = (k_ = 0) THEN r_ ELSE reverse(r_) END)"
 
 
 def _distinct_polygons(polygons: DataFrame, id_column: str) -> DataFrame:
     """(id, edges, xmin .. ymax), identical polygons once, under their smallest id."""
-    rings = F.col("rings")
     return (
-        polygons.select(F.col(id_column).alias("id"), _oriented(rings).alias("rings"))
+        polygons.select(F.col(id_column).alias("id"), F.expr(_oriented("rings")).alias("rings"))
         .groupBy("rings").agg(F.min("id").alias("id"))
-        .select("id", g.edges(rings).alias("edges"), *g.box_columns(g.rings_box(rings)))
+        .select("id", F.expr(g.edges("rings")).alias("edges"), *g.box_columns(g.rings_box("rings")))
     )
 
 
@@ -58,24 +50,17 @@ def _covered_stretches(shapes: DataFrame, limits: Limits) -> DataFrame:
     windows = shapes.select(F.col("id").alias(WINDOW_ID), F.col("edges").alias("w_edges"), *g.box_columns(g.box(), WINDOW))
     met = cell_join(objects, windows, F.col(OBJECT_ID)["id"] != F.col(WINDOW_ID), inside=False, limits=limits)
 
-    others = F.col("w_edges")
-
-    def judged(piece: Column) -> Column:
-        x, y = g.point_on_edge(e, (piece["t0"] + piece["t1"]) / 2)
-
-        def heading(o: Column) -> Column:
-            return (e["x2"] - e["x1"]) * (o["x2"] - o["x1"]) + (e["y2"] - e["y1"]) * (o["y2"] - o["y1"])
-
-        along = F.filter(others, lambda o: g.runs_along(e, o, x, y))
-        same_way = F.exists(along, lambda o: heading(o) > 0)
-        kind = (
-            F.when(F.size(along) == 0, F.when(g.polygon_contains_point(others, x, y), F.lit("inside")))
-            .when(same_way & (F.col(OBJECT_ID)["id"] < F.col(WINDOW_ID)), F.lit("kept"))
-            .otherwise(F.lit("inside"))
-        )
-        return F.struct(piece["t0"].alias("t0"), piece["t1"].alias("t1"), kind.alias("kind"))
-
-    stretches = F.filter(F.transform(g.pieces(e, others), judged), lambda s: s["kind"].isNotNull())
+    x, y = g.middle("e", "s_")
+    heading = "(e.x2 - e.x1) * (a_.x2 - a_.x1) + (e.y2 - e.y1) * (a_.y2 - a_.y1)"
+    judged = (
+        f"transform(filter(w_edges, a_ -> {g.runs_along('e', 'a_', x, y)}), a_ -> {heading})"  # headings of shared edges
+    )
+    kind = (
+        f"CASE WHEN size(h_) > 0 THEN CASE WHEN exists(h_, v_ -> v_ > 0) AND {OBJECT_ID}.id < {WINDOW_ID} THEN 'kept' ELSE 'inside' END"
+        f" WHEN {g.polygon_contains_point('w_edges', x, y)} THEN 'inside' END"
+    )
+    placed = f"named_struct('t0', s_.t0, 't1', s_.t1, 'kind', get(transform(array({judged}), h_ -> {kind}), 0))"
+    stretches = F.expr(f"filter(transform({g.pieces('e', 'w_edges')}, s_ -> {placed}), s_ -> s_.kind IS NOT NULL)")
     return (
         met.select(F.col(OBJECT_ID), F.col(WINDOW_ID).alias("other"), F.explode(stretches).alias("s"))
         .select(f"{OBJECT_ID}.id", f"{OBJECT_ID}.edge", "other", "s.t0", "s.t1", (F.col("s.kind") == "kept").alias("kept"))
@@ -111,8 +96,11 @@ def _outline(shapes: DataFrame, stretches: DataFrame) -> DataFrame:
         .where(F.col("t0") > F.col("u0"))
     )
     e = F.col("shape")
-    x1, y1 = g.point_on_edge(e, F.col("u0"))
-    x2, y2 = g.point_on_edge(e, F.col("t0"))
+
+    def at(t: str, axis: str) -> Column:
+        return e[f"{axis}1"] + F.col(t) * (e[f"{axis}2"] - e[f"{axis}1"])
+
+    x1, y1, x2, y2 = at("u0", "x"), at("u0", "y"), at("t0", "x"), at("t0", "y")
     return gaps.select(
         "id",
         F.when(F.col("u0") == 0, e["x1"]).otherwise(x1).alias("x1"), F.when(F.col("u0") == 0, e["y1"]).otherwise(y1).alias("y1"),

@@ -120,11 +120,11 @@ def _vertex(x: Column, y: Column) -> Column:
     return F.struct(x.alias("x"), y.alias("y"))
 
 
-def _complete(rings: Column) -> Column:
-    """The closed rings, or null when a coordinate is missing or a ring has fewer than three vertices."""
-    broken = F.exists(rings, lambda ring: (F.size(ring) < 3) | F.exists(ring, lambda p: p["x"].isNull() | p["y"].isNull()))
-    usable = (F.size(rings) > 0) & ~broken
-    return F.when(usable, F.transform(rings, g.closed_ring))
+def _complete(df: DataFrame) -> DataFrame:
+    """Closes the rings; null when a coordinate is missing or a ring has fewer than three vertices."""
+    broken = "exists(rings, r_ -> size(r_) < 3 OR exists(r_, v_ -> v_.x IS NULL OR v_.y IS NULL))"
+    closed = f"transform(rings, r_ -> {g.closed_ring('r_')})"
+    return df.withColumn("rings", F.expr(f"CASE WHEN size(rings) > 0 AND NOT {broken} THEN {closed} END"))
 
 
 def _paired(numbers: Column) -> Column:
@@ -155,7 +155,7 @@ def load_polygons(
         numbers = F.transform(F.slice(fields, F.lit(offset + 1), F.greatest(F.size(fields) - offset, F.lit(0))),
                               lambda n: F.trim(n).try_cast("double"))
         rings = F.when(F.size(numbers) > 1, F.array(_paired(numbers)))
-    return _checked(lines.select("id", _complete(rings).alias("rings"), "user_data"), ["rings"], malformed)
+    return _checked(_complete(lines.select("id", rings.alias("rings"), "user_data")), ["rings"], malformed)
 
 
 def _wkt_vertex(text: Column) -> Column:

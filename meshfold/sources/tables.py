@@ -90,7 +90,7 @@ def small_polygons(spark: SparkSession, folder: str) -> DataFrame:
 
 def with_box(df: DataFrame) -> DataFrame:
     """Adds ``xmin .. ymax`` to a polygon table."""
-    return df.select("*", *g.box_columns(g.rings_box(F.col("rings"))))
+    return df.select("*", *g.box_columns(g.rings_box("rings")))
 
 
 def step_cells(spark: SparkSession, folder: str) -> DataFrame:

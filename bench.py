@@ -20,7 +20,7 @@ HEADLINE = [
     "range_rects_contains", "range_rects_intersects", "knn_rects", "knn_polys",
     "join_pts_rects_count", "join_pts_rects_pairs", "join_rects_rects_contains", "join_rects_rects_intersects",
     "join_pts_polys", "join_polys_polys_contains", "distance_join_exact", "distance_join_count",
-    "hotspot_gistar_all", "hotspot_gistar_top50", "partition_rtree_check", "boundary_rects",
+    "union_area", "hotspot_gistar_all", "hotspot_gistar_top50", "partition_rtree_check", "boundary_rects",
 ]
 
 

@@ -114,7 +114,7 @@ def number(value: float) -> Sql:
     return f"({float(value)!r}D)"
 
 
-def _bind(value: Sql, name: str, body: Sql) -> Sql:
+def bind_sql(value: Sql, name: str, body: Sql) -> Sql:
     """``body`` with ``name`` standing for ``value``, which is evaluated once per row."""
     return f"get(transform(array({value}), {name} -> {body}), 0)"
 
@@ -129,7 +129,7 @@ def edges(rings: Sql) -> Sql:
 
 def over_edges(rings: Sql, body: Sql) -> Sql:
     """``body``, in which ``edges_`` stands for the edges of ``rings``."""
-    return _bind(edges(rings), "edges_", body)
+    return bind_sql(edges(rings), "edges_", body)
 
 
 def closed_ring(ring: Sql) -> Sql:
@@ -166,32 +166,39 @@ def _edge_meets_bounds(e: Sql, xmin: Sql, xmax: Sql, ymin: Sql, ymax: Sql) -> Sq
             f" AND least({e}.y1, {e}.y2) <= {ymax} AND greatest({e}.y1, {e}.y2) >= {ymin})")
 
 
-# Above any number of edges: marks a point found on the boundary in `_ray_count`.
-_ON_BOUNDARY = f"{1 << 40}L"
-
-
-def _ray_count(polygon_edges: Sql, x: Sql, y: Sql) -> Sql:
-    """Edges crossed by the ray from (x, y) to the right; at least _ON_BOUNDARY when on an edge.
+def _ray_step(e: Sql, x: Sql, y: Sql, crossed: Sql, kept: Sql, on_edge: Sql) -> Sql:
+    """The ray from (x, y) to the right meets an edge: ``crossed``; it does not: ``kept``; the edge holds the point: ``on_edge``.
 
     The side test uses the sign of the cross product, so nothing is divided.
     """
     return (
-        f"aggregate({polygon_edges}, 0L, (total_, e_) -> CASE"
-        f" WHEN least(e_.y1, e_.y2) > {y} OR greatest(e_.y1, e_.y2) < {y} THEN total_"
-        f" WHEN {_cross('e_', x, y)} = 0 AND {_in_edge_box('e_', x, y)} THEN total_ + {_ON_BOUNDARY}"
-        f" WHEN (e_.y1 > {y}) <> (e_.y2 > {y}) AND ({_cross('e_', x, y)} > 0) = (e_.y2 > e_.y1) THEN total_ + 1L"
-        " ELSE total_ END)"
+        f"CASE WHEN least({e}.y1, {e}.y2) > {y} OR greatest({e}.y1, {e}.y2) < {y} THEN {kept}"
+        f" WHEN {_cross(e, x, y)} = 0 AND {_in_edge_box(e, x, y)} THEN {on_edge}"
+        f" WHEN ({e}.y1 > {y}) <> ({e}.y2 > {y}) AND ({_cross(e, x, y)} > 0) = ({e}.y2 > {e}.y1) THEN {crossed}"
+        f" ELSE {kept} END"
     )
 
 
 def polygon_contains_point(polygon_edges: Sql, x: Sql, y: Sql) -> Sql:
-    """Strictly inside: points on the boundary are not contained."""
-    return _bind(_ray_count(polygon_edges, x, y), "n_", f"n_ < {_ON_BOUNDARY} AND n_ % 2 = 1")
+    """Strictly inside: an odd number of crossings. A point on an edge makes the count null, and is not contained."""
+    step = _ray_step("e_", x, y, "n_ + 1", "n_", "CAST(NULL AS INT)")
+    return f"coalesce(aggregate({polygon_edges}, 0, (n_, e_) -> {step}) % 2 = 1, false)"
+
+
+def few_edges_contain_point(polygon_edges: Sql, x: Sql, y: Sql, few: int = 4) -> Sql:
+    """`polygon_contains_point`, written out for up to ``few`` edges: compiled code instead of a lambda per edge."""
+    terms = []
+    for i in range(few):
+        e = f"get({polygon_edges}, {i})"
+        terms.append(f"CASE WHEN size({polygon_edges}) <= {i} THEN 0 ELSE {_ray_step(e, x, y, '1', '0', 'CAST(NULL AS INT)')} END")
+    return (f"CASE WHEN size({polygon_edges}) <= {few} THEN coalesce(({' + '.join(terms)}) % 2 = 1, false)"
+            f" ELSE {polygon_contains_point(polygon_edges, x, y)} END")
 
 
 def polygon_covers_point(polygon_edges: Sql, x: Sql, y: Sql) -> Sql:
-    """Inside or on the boundary."""
-    return _bind(_ray_count(polygon_edges, x, y), "n_", f"n_ >= {_ON_BOUNDARY} OR n_ % 2 = 1")
+    """Inside or on the boundary: here a point on an edge has a null count too, but counts as covered."""
+    step = _ray_step("e_", x, y, "n_ + 1", "n_", "CAST(NULL AS INT)")
+    return f"coalesce(aggregate({polygon_edges}, 0, (n_, e_) -> {step}) % 2 = 1, true)"
 
 
 def polygon_distance(polygon_edges: Sql, x: Sql, y: Sql) -> Sql:
@@ -200,19 +207,21 @@ def polygon_distance(polygon_edges: Sql, x: Sql, y: Sql) -> Sql:
     along = (f"CASE WHEN {length2} > 0 THEN (({x} - e_.x1) * (e_.x2 - e_.x1) + ({y} - e_.y1) * (e_.y2 - e_.y1))"
              f" / nullif({length2}, 0D) ELSE 0D END")
     dx, dy = (f"(e_.{a}1 + t_ * (e_.{a}2 - e_.{a}1) - {v})" for a, v in (("x", x), ("y", y)))
-    to_edge = _bind(f"least(greatest({along}, 0D), 1D)", "t_", f"sqrt({dx} * {dx} + {dy} * {dy})")
+    to_edge = bind_sql(f"least(greatest({along}, 0D), 1D)", "t_", f"sqrt({dx} * {dx} + {dy} * {dy})")
     nearest = f"array_min(transform({polygon_edges}, e_ -> {to_edge}))"
     return f"CASE WHEN {polygon_covers_point(polygon_edges, x, y)} THEN 0D ELSE {nearest} END"
 
 
-def polygon_intersects_box(polygon_edges: Sql, xmin: Sql, xmax: Sql, ymin: Sql, ymax: Sql) -> Sql:
-    """Closed: an edge meets the rectangle, or the whole rectangle lies inside the polygon.
+def edge_meets_box(e: Sql, xmin: Sql, xmax: Sql, ymin: Sql, ymax: Sql) -> Sql:
+    """Closed: the bounding boxes meet, and the line does not pass the rectangle by on one side."""
+    corners = ", ".join(_cross(e, x, y) for x in (xmin, xmax) for y in (ymin, ymax))
+    return (f"({_edge_meets_bounds(e, xmin, xmax, ymin, ymax)}"
+            f" AND NOT (least({corners}) > 0 OR greatest({corners}) < 0))")
 
-    An edge meets it when the bounding boxes meet and its line does not pass the rectangle by on one side.
-    """
-    corners = ", ".join(_cross("o_", x, y) for x in (xmin, xmax) for y in (ymin, ymax))
-    meets = (f"{_edge_meets_bounds('o_', xmin, xmax, ymin, ymax)}"
-             f" AND NOT (least({corners}) > 0 OR greatest({corners}) < 0)")
+
+def polygon_intersects_box(polygon_edges: Sql, xmin: Sql, xmax: Sql, ymin: Sql, ymax: Sql) -> Sql:
+    """Closed: an edge meets the rectangle, or the whole rectangle lies inside the polygon."""
+    meets = edge_meets_box("o_", xmin, xmax, ymin, ymax)
     return f"exists({polygon_edges}, o_ -> {meets}) OR {polygon_contains_point(polygon_edges, xmin, ymin)}"
 
 
@@ -238,7 +247,7 @@ def pieces(e: Sql, others: Sql) -> Sql:
     near = (f"filter({others}, c_ -> "
             f"{_edge_meets_bounds('c_', *(f'{f}({e}.{a}1, {e}.{a}2)' for a in 'xy' for f in ('least', 'greatest')))})")
     inner = f"flatten(transform({near}, c_ -> {_cuts(e, 'c_')}))"
-    return _bind(
+    return bind_sql(
         f"array_sort(array_distinct(concat(array(0D, 1D), {inner})))", "ts_",
         "transform(slice(ts_, 1, size(ts_) - 1), (t_, i_) -> named_struct('t0', t_, 't1', get(ts_, i_ + 1)))",
     )
@@ -294,11 +303,11 @@ def polygon_contains_polygon(outer: Sql, inner: Sql, inner_prefix: str) -> Sql:
     worst = (f"aggregate(near_, {_APART}, (w_, o_e) -> greatest(w_, aggregate({inner}, {_APART}, (v_, i_e) -> "
              f"greatest(v_, {_contact('i_e', 'o_e')}))))")
     hole_inside = f"exists(near_, o_e -> {polygon_contains_point(inner, 'o_e.x1', 'o_e.y1')})"
-    by_contact = _bind(worst, "contact_", (
+    by_contact = bind_sql(worst, "contact_", (
         f"CASE WHEN contact_ = {_CROSSING} THEN false WHEN contact_ = {_APART} THEN NOT {hole_inside}"
         f" ELSE {_pieces_contained(outer, inner)} END"))
     first = f"get({inner}, 0)"
-    return f"{polygon_covers_point(outer, f'{first}.x1', f'{first}.y1')} AND {_bind(near, 'near_', by_contact)}"
+    return f"{polygon_covers_point(outer, f'{first}.x1', f'{first}.y1')} AND {bind_sql(near, 'near_', by_contact)}"
 
 
 # ---------------------------------------------------------------- projections

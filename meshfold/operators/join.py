@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
-from meshfold.plans.cells import OBJECT, OBJECT_ID, WINDOW, WINDOW_ID, Limits, cell_join, side_box
+from meshfold.plans.cells import OBJECT, OBJECT_ID, WINDOW, WINDOW_ID, Limits, cell_join
+from meshfold.session import checkpointed
 
 EXACT, MBR = "exact", "mbr"
 
@@ -47,7 +48,7 @@ def points_in_rectangles(
     """Points inside or on each rectangle. ``on``: further columns that must agree, such as a time step."""
     objects = _side(points, object_id, OBJECT_ID, OBJECT, _point_box("x", "y"), on)
     windows = _side(rectangles, window_id, WINDOW_ID, WINDOW, g.box(), on)
-    test = g.box_contains_point(side_box(WINDOW), F.col("o_xmin"), F.col("o_ymin"))
+    test = g.box_contains_point(g.box(WINDOW), F.col("o_xmin"), F.col("o_ymin"))
     return _pairs(cell_join(objects, windows, test, on, limits=limits), on)
 
 
@@ -59,7 +60,7 @@ def rectangles_in_rectangles(
     _check_mode(mode)
     objects = _side(rectangles, object_id, OBJECT_ID, OBJECT, g.box(), on)
     sides = _side(windows, window_id, WINDOW_ID, WINDOW, g.box(), on)
-    a, b = side_box(OBJECT), side_box(WINDOW)
+    a, b = g.box(OBJECT), g.box(WINDOW)
     if mode == EXACT:
         joined = cell_join(objects, sides, g.box_contains_box(b, a), on, limits=limits)
     else:
@@ -76,21 +77,39 @@ def points_in_polygons(
     objects = _side(points, object_id, OBJECT_ID, OBJECT, _point_box("x", "y"), on)
     windows = _polygon_side(polygons, window_id, WINDOW_ID, WINDOW, on, mode == EXACT)
     x, y = F.col("o_xmin"), F.col("o_ymin")
-    test = g.box_contains_point(side_box(WINDOW), x, y)
-    if mode == EXACT:
-        test = test & F.expr(g.polygon_contains_point("w_edges", "o_xmin", "o_ymin"))
-    return _pairs(cell_join(objects, windows, test, on, limits=limits, per_cell=_near_edges if mode == EXACT else None), on)
+    test = g.box_contains_point(g.box(WINDOW), x, y)
+    if mode == MBR:
+        return _pairs(cell_join(objects, windows, test, on, limits=limits), on)
+    test = test & (F.col("w_whole") | F.expr(g.few_edges_contain_point("w_edges", "o_xmin", "o_ymin")))
+    joined = cell_join(objects, windows, test, on, limits=limits, halvings=_POLYGON_HALVINGS, per_cell=_polygon_in_cell())
+    return _pairs(joined, on)
+
 
+# Polygons are cut into cells of a quarter to a sixteenth of their extent: enough for most cells to be clear of edges.
+_POLYGON_HALVINGS = 3
 
-def _near_edges(windows: DataFrame, cell: g.Box) -> DataFrame:
-    """Keeps, for each cell, the edges that the ray cast for a point in the cell can meet.
 
-    The ray runs to the right, so edges above, below or left of the cell do not count.
+def _polygon_in_cell() -> tuple[list[str], g.Sql]:
+    """Settles what a cell can settle for all its points.
+
+    A cell that no edge meets lies wholly inside the polygon (``w_whole``: no further test), or wholly outside (no row). The
+    others keep only the edges that a ray to the right, cast from within the cell, can meet. The cell is widened
+    a little for the first test, so that rounding cannot overlook an edge.
     """
-    return windows.withColumn("w_edges", F.filter("w_edges", lambda e: (
-        (F.greatest(e["y1"], e["y2"]) >= cell.ymin) & (F.least(e["y1"], e["y2"]) <= cell.ymax)
-        & (F.greatest(e["x1"], e["x2"]) >= cell.xmin)
-    )))
+    pad = "(cell_.xmax - cell_.xmin) * 1e-6D"
+    wide = (f"named_struct('xmin', cell_.xmin - {pad}, 'xmax', cell_.xmax + {pad},"
+            f" 'ymin', cell_.ymin - {pad}, 'ymax', cell_.ymax + {pad})")
+    met = f"exists(w_edges, o_ -> {g.edge_meets_box('o_', 'wide_.xmin', 'wide_.xmax', 'wide_.ymin', 'wide_.ymax')})"
+    center = ("((cell_.xmin + cell_.xmax) / 2)", "((cell_.ymin + cell_.ymax) / 2)")
+    facing = ("filter(w_edges, e_ -> greatest(e_.y1, e_.y2) >= cell_.ymin AND least(e_.y1, e_.y2) <= cell_.ymax"
+              " AND greatest(e_.x1, e_.x2) >= cell_.xmin)")
+    none = "slice(w_edges, 1, 0)"
+    rows = (
+        f"CASE WHEN {g.bind_sql(wide, 'wide_', met)} THEN array(named_struct('w_whole', false, 'w_edges', {facing}))"
+        f" WHEN {g.polygon_contains_point('w_edges', *center)} THEN array(named_struct('w_whole', true, 'w_edges', {none}))"
+        f" ELSE slice(array(named_struct('w_whole', true, 'w_edges', {none})), 1, 0) END"
+    )
+    return ["w_edges"], rows
 
 
 def polygons_in_polygons(
@@ -102,7 +121,7 @@ def polygons_in_polygons(
     exact = mode == EXACT
     objects = _polygon_side(polygons, object_id, OBJECT_ID, OBJECT, on, exact)
     sides = _polygon_side(windows, window_id, WINDOW_ID, WINDOW, on, exact)
-    a, b = side_box(OBJECT), side_box(WINDOW)
+    a, b = g.box(OBJECT), g.box(WINDOW)
     if exact:
         test = g.box_contains_box(b, a) & F.expr(g.polygon_contains_polygon("w_edges", "o_edges", OBJECT))
         joined = cell_join(objects, sides, test, on, limits=limits)
@@ -134,7 +153,7 @@ def distance_join(
     )
     px, py, cx, cy, cr = (F.col(c) for c in ("o_xmin", "o_ymin", "w_x", "w_y", "w_r"))
     if mode == EXACT:
-        test = g.box_contains_point(side_box(WINDOW), px, py) & g.circle_contains_point(cx, cy, cr, px, py)
+        test = g.box_contains_point(g.box(WINDOW), px, py) & g.circle_contains_point(cx, cy, cr, px, py)
     else:
         test = g.box_contains_point(g.circle_box(cx, cy, cr), px, py)
     return _pairs(cell_join(objects, windows, test, on, limits=limits), on)
@@ -160,6 +179,7 @@ def group_per_window(
     Most windows have the single part 0. A window with very many objects is dealt over parts by a hash of the
     object id, so that no task has to hold its whole set. A window without matches has one empty part.
     """
+    pairs = checkpointed(pairs)  # read twice, joined once
     totals = count_per_window(pairs, windows, window_id)
     parts = totals.select(WINDOW_ID, F.greatest(F.ceil(F.col("n") / chunk), F.lit(1)).alias("parts"))
     crowded = parts.where(F.col("parts") > 1)

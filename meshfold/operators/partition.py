@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
-from meshfold.operators.aggregate import boundary, geometry_box
+from meshfold.operators.aggregate import geometry_box
 from meshfold.operators.join import rectangles_in_rectangles
 
 METHODS = ("equalgrid", "hilbert", "rtree", "voronoi")
@@ -194,7 +194,11 @@ def plan_partitions(df: DataFrame, method: str, n: int) -> Partitioning:
         raise ValueError(f"partitioning method must be one of {METHODS}, not {method!r}")
     if n < 1:
         raise ValueError("n must be at least 1")
-    b = boundary(df).crossJoin(df.agg(F.count("*").alias("n"))).first()  # two single rows
+    around = geometry_box(df)
+    b = df.agg(
+        F.min(around.xmin).alias("xmin"), F.max(around.xmax).alias("xmax"),
+        F.min(around.ymin).alias("ymin"), F.max(around.ymax).alias("ymax"), F.count("*").alias("n"),
+    ).first()
     rows = b["n"]
     sample = sample_size(n, rows)
     if sample == -1:

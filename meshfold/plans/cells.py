@@ -24,13 +24,13 @@ Which join runs is decided by counting, before the join, the rows each side woul
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meshfold.functions.geometry import Box, boxes_intersect
+from meshfold.functions.geometry import Box, Sql, bind_sql, box, boxes_intersect
 
 OBJECT_ID, WINDOW_ID = "object_id", "window_id"
 OBJECT, WINDOW = "o_", "w_"  # column prefixes of the two sides
@@ -52,20 +52,17 @@ class Limits:
     part_rows: int = PART_ROWS
 
 
-def side_box(prefix: str) -> Box:
-    return Box(*(F.col(prefix + n) for n in ("xmin", "xmax", "ymin", "ymax")))
-
-
 def _tier(b: Box) -> Column:
     """Smallest t with extent <= 4^t. ``log2`` of a double is the same on every executor (StrictMath)."""
     extent = F.greatest(b.xmax - b.xmin, b.ymax - b.ymin)
-    return F.when(extent > 0, F.greatest(F.ceil(F.log2(extent) / 2).cast("int"), F.lit(_MIN_TIER))).otherwise(F.lit(_MIN_TIER))
+    found = F.greatest(F.ceil(F.log2(extent) / 2).cast("int"), F.lit(_MIN_TIER))
+    return F.when(extent > 0, found).when(extent <= 0, F.lit(_MIN_TIER))  # null bounds: no tier, no cell, no pair
 
 
-def _side(tier: Column | int) -> Column:
+def _side(tier: Column | int, halvings: int) -> Column:
     if isinstance(tier, int):
-        return F.lit(4.0**tier / 2)
-    return F.pow(F.lit(4.0), tier) / 2
+        return F.lit(4.0**tier / 2**halvings)
+    return F.pow(F.lit(4.0), tier) / 2**halvings
 
 
 def _cell(value: Column, side: Column) -> Column:
@@ -76,9 +73,9 @@ def _covered(low: Column, high: Column, side: Column) -> Column:
     return F.explode(F.sequence(_cell(low, side), _cell(high, side)))
 
 
-def _cover(df: DataFrame, prefix: str, tier: str) -> DataFrame:
+def _cover(df: DataFrame, prefix: str, tier: str, halvings: int) -> DataFrame:
     """One row per covered cell of the grid of column ``tier``."""
-    b, side = side_box(prefix), _side(F.col(tier))
+    b, side = box(prefix), _side(F.col(tier), halvings)
     return (
         df.withColumn("cell_x", _covered(b.xmin, b.xmax, side))
         .withColumn("cell_y", _covered(b.ymin, b.ymax, side))
@@ -86,8 +83,8 @@ def _cover(df: DataFrame, prefix: str, tier: str) -> DataFrame:
     )
 
 
-def _n_cells(b: Box, tier: Column) -> Column:
-    side = _side(tier)
+def _n_cells(b: Box, tier: Column, halvings: int) -> Column:
+    side = _side(tier, halvings)
     return (_cell(b.xmax, side) - _cell(b.xmin, side) + 1) * (_cell(b.ymax, side) - _cell(b.ymin, side) + 1)
 
 
@@ -96,14 +93,14 @@ def _row_weight(df: DataFrame, prefix: str) -> Column:
     return 1 + F.size(prefix + "edges") / 4 if prefix + "edges" in df.columns else F.lit(1.0)
 
 
-def _tiers_in_use(df: DataFrame, prefix: str) -> dict[int, tuple[float, float]]:
+def _tiers_in_use(df: DataFrame, prefix: str, halvings: int) -> dict[int, tuple[float, float]]:
     """tier -> (weight of its rows, weight once they cover cells). Some sixty tiers exist at most."""
-    b, weight = side_box(prefix), _row_weight(df, prefix)
+    b, weight = box(prefix), _row_weight(df, prefix)
     rows = (
         df.select(*b, weight.alias("weight"), _tier(b).alias("tier")).groupBy("tier")
-        .agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * _n_cells(b, F.col("tier"))).alias("cells"))
+        .agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * _n_cells(b, F.col("tier"), halvings)).alias("cells"))
     )
-    return {r["tier"]: (r["n"], r["cells"]) for r in rows.collect()}
+    return {r["tier"]: (r["n"], r["cells"]) for r in rows.collect() if r["tier"] is not None}
 
 
 def _total_weight(df: DataFrame, prefix: str) -> float:
@@ -117,7 +114,8 @@ def cell_join(
     on: Sequence[str] = (),
     inside: bool = True,
     limits: Limits = Limits(),
-    per_cell: Callable[[DataFrame, Box], DataFrame] | None = None,
+    halvings: int = 1,
+    per_cell: tuple[Sequence[str], Sql] | None = None,
 ) -> DataFrame:
     """All (object, window) rows that satisfy ``predicate``, each exactly once.
 
@@ -125,30 +123,33 @@ def cell_join(
     ``w_xmin .. w_ymax``; further columns pass through. ``on`` names columns both sides
     share and must agree on. With ``inside`` the predicate has to imply that the object's
     lower left corner lies in the window's box, without it that the two boxes intersect.
-    ``per_cell(windows, cell)`` may rewrite the window rows knowing the cell their objects are in.
+    ``halvings`` sets the cell side, 4^tier / 2^halvings. ``per_cell`` rewrites the window rows knowing the cell their
+    objects are in: the columns it replaces, and the SQL of an array of structs with the new columns (empty
+    to drop the row), in which ``cell_`` stands for the cell's bounds.
     """
-    objects = objects.where(F.col(OBJECT + "xmin").isNotNull())
-    windows = windows.where(F.col(WINDOW + "xmin").isNotNull())
-    tiers = _tiers_in_use(windows, WINDOW)
-    windows = windows.withColumn("w_tier", _tier(side_box(WINDOW)))
+    tiers = _tiers_in_use(windows, WINDOW, halvings)
+    windows = windows.withColumn("w_tier", _tier(box(WINDOW)))
     if inside:
-        left = _corner_keys(objects, sorted(tiers))
-        right = _cover(windows, WINDOW, "w_tier")
+        left = _corner_keys(objects, sorted(tiers), halvings)
+        right = _cover(windows, WINDOW, "w_tier", halvings)
         right_weight, left_copies = sum(cells for _, cells in tiers.values()), len(tiers)
     else:
-        object_tiers = _tiers_in_use(objects, OBJECT)
-        objects = objects.withColumn("o_tier", _tier(side_box(OBJECT)))
-        left = _cover(_shared_tiers(objects, "o_tier", sorted(tiers)), OBJECT, "tier")
-        right = _cover(_shared_tiers(windows, "w_tier", sorted(object_tiers)), WINDOW, "tier")
+        object_tiers = _tiers_in_use(objects, OBJECT, halvings)
+        objects = objects.withColumn("o_tier", _tier(box(OBJECT)))
+        left = _cover(_shared_tiers(objects, "o_tier", sorted(tiers)), OBJECT, "tier", halvings)
+        right = _cover(_shared_tiers(windows, "w_tier", sorted(object_tiers)), WINDOW, "tier", halvings)
         # One cover on the own tier, at most 4 cells on each higher one.
         right_weight = sum(cells + 4 * n * len([t for t in object_tiers if t > tier])
                            for tier, (n, cells) in tiers.items())
         left_copies = 9 + 4 * len(tiers)
-        predicate = _meets_here() & predicate
+        predicate = _meets_here(halvings) & predicate
     if per_cell is not None:
-        side = _side(F.col("cell_tier"))
-        x, y = F.col("cell_x") * side, F.col("cell_y") * side
-        right = per_cell(right, Box(x, x + side, y, y + side))
+        replaced, rows = per_cell
+        bounds = ("named_struct('xmin', cell_x * s_, 'xmax', (cell_x + 1) * s_, 'ymin', cell_y * s_, 'ymax', (cell_y + 1) * s_)")
+        side = f"pow(4D, cell_tier) / {2**halvings}D"
+        # A generator, so that no filter is moved below it and computed over again.
+        made = F.inline(F.expr(bind_sql(side, "s_", bind_sql(bounds, "cell_", rows))))
+        right = right.select(*(c for c in right.columns if c not in replaced), made)
 
     key = ["cell_tier", "cell_x", "cell_y", *on]
     if right_weight <= limits.broadcast_rows:
@@ -161,11 +162,14 @@ def cell_join(
     return left.join(right, key).where(predicate).drop(*(c for c in key if c not in on), "o_tier", "w_tier")
 
 
-def _corner_keys(objects: DataFrame, tiers: list[int]) -> DataFrame:
+def _corner_keys(objects: DataFrame, tiers: list[int], halvings: int) -> DataFrame:
     """One row per tier in use, in the cell of the object's lower left corner."""
     x, y = F.col(OBJECT + "xmin"), F.col(OBJECT + "ymin")
     keys = [
-        F.struct(F.lit(t).alias("cell_tier"), _cell(x, _side(t)).alias("cell_x"), _cell(y, _side(t)).alias("cell_y"))
+        F.struct(
+            F.lit(t).alias("cell_tier"),
+            _cell(x, _side(t, halvings)).alias("cell_x"), _cell(y, _side(t, halvings)).alias("cell_y"),
+        )
         for t in tiers or [0]
     ]
     if len(keys) == 1:
@@ -182,9 +186,9 @@ def _shared_tiers(df: DataFrame, own: str, others: list[int]) -> DataFrame:
     return df.withColumn("tier", F.explode(F.concat(own_tier, higher)))
 
 
-def _meets_here() -> Column:
+def _meets_here(halvings: int) -> Column:
     """The pair belongs to the larger of its tiers and to the cell of the lower left corner of the intersection."""
-    a, b, side = side_box(OBJECT), side_box(WINDOW), _side(F.col("cell_tier"))
+    a, b, side = box(OBJECT), box(WINDOW), _side(F.col("cell_tier"), halvings)
     return (
         boxes_intersect(a, b)
         & (F.col("cell_tier") == F.greatest("o_tier", "w_tier"))

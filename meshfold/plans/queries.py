@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from meshfold.functions import geometry as g
 from meshfold.operators import aggregate, hotspot, join, knn, layout, partition, range_query, union
 from meshfold.plans import oracle
-from meshfold.session import shared_folder
+from meshfold.session import shared_folder, spread
 from meshfold.sources import readers, tables, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,7 +110,7 @@ def knn_rects(spark, sf):
 
 @query
 def knn_polys(spark, sf):
-    return _ranked(knn.knn_polygons(tables.polygons(spark, sf), CENTER, 5))
+    return _ranked(knn.knn_polygons(spread(tables.polygons(spark, sf)), CENTER, 5))
 
 
 @query
@@ -172,7 +172,7 @@ def join_rects_rects_intersects(spark, sf):
 
 @query
 def join_pts_polys(spark, sf):
-    return join.points_in_polygons(tables.spread_points(spark, sf), tables.polygons(spark, sf))
+    return join.points_in_polygons(spread(tables.spread_points(spark, sf)), spread(tables.polygons(spark, sf)))
 
 
 @query
@@ -182,7 +182,7 @@ def join_pts_polys_mbr(spark, sf):
 
 @query
 def join_polys_polys_contains(spark, sf):
-    return join.polygons_in_polygons(tables.small_polygons(spark, sf), tables.polygons(spark, sf))
+    return join.polygons_in_polygons(spread(tables.small_polygons(spark, sf)), spread(tables.polygons(spark, sf)))
 
 
 @query

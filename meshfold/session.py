@@ -45,3 +45,13 @@ def checkpointed(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def spread(df):
+    """``df`` dealt over all cores, if it is read in fewer splits than there are cores.
+
+    For tables of few small files ahead of costly work per row. A large table has more splits than that
+    and is left alone. Only for tables as read: counting the splits of a joined table would run the join.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

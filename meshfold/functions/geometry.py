@@ -279,9 +279,8 @@ def _contact(e: Sql, o: Sql) -> Sql:
 
 
 def _pieces_contained(outer: Sql, inner: Sql) -> Sql:
-    """No piece of the inner boundary is outside, and no piece of the outer boundary strictly inside.
-
-    The second half catches holes of the outer polygon that lie within the inner one.
+    """No piece of the inner boundary is outside, no piece of the outer boundary strictly inside (a hole within the
+    inner polygon), and an inner point lies inside: the inner polygon could fill a hole exactly.
     """
     px, py = middle("i_e", "piece_")
     outside = f"NOT (exists({outer}, a_ -> {runs_along('i_e', 'a_', px, py)}) OR {polygon_covers_point(outer, px, py)})"
@@ -289,7 +288,17 @@ def _pieces_contained(outer: Sql, inner: Sql) -> Sql:
     qx, qy = middle("o_e", "piece_")
     within = f"{polygon_contains_point(inner, qx, qy)} AND NOT exists({inner}, a_ -> {runs_along('o_e', 'a_', qx, qy)})"
     enters = f"exists({outer}, o_e -> exists({pieces('o_e', inner)}, piece_ -> {within}))"
-    return f"NOT ({leaves} OR {enters})"
+    return f"NOT ({leaves} OR {enters}) AND {_inner_point(inner, polygon_contains_point(outer, 'x_', 'y_'))}"
+
+
+def _inner_point(polygon_edges: Sql, body: Sql) -> Sql:
+    """``body`` with a point (x_, y_) strictly inside the polygon: on a line between its two lowest vertices'
+    heights, halfway between the first two edges met."""
+    heights = f"array_sort(array_distinct(transform({polygon_edges}, e_ -> e_.y1)))"
+    spanning = f"filter({polygon_edges}, e_ -> (e_.y1 > y_) <> (e_.y2 > y_))"
+    met = f"array_sort(transform({spanning}, e_ -> e_.x1 + (y_ - e_.y1) / nullif(e_.y2 - e_.y1, 0D) * (e_.x2 - e_.x1)))"
+    at_x = bind_sql(met, "xs_", bind_sql("(get(xs_, 0) + get(xs_, 1)) / 2", "x_", body))
+    return bind_sql(heights, "ys_", bind_sql("(get(ys_, 0) + get(ys_, 1)) / 2", "y_", at_x))
 
 
 def polygon_contains_polygon(outer: Sql, inner: Sql, inner_prefix: str) -> Sql:

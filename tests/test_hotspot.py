@@ -1,0 +1,85 @@
+import math
+import random
+from collections import Counter
+from itertools import product
+
+import pytest
+from shapes import points
+
+from meshfold.operators import hotspot, join
+from meshfold.operators.hotspot import Cube
+
+CUBE = Cube(t=(1, 4), cx=(10, 15), cy=(-3, 2))
+
+
+@pytest.fixture(scope="module")
+def events():
+    rng = random.Random(2)
+    rows = [(2, 12, 0)] * 100  # a third in one cell
+    return rows + [(rng.randint(1, 4), rng.randint(9, 16), rng.randint(-4, 3)) for _ in range(200)]
+
+
+def _brute(events, local=False, int_division=False):
+    """The score by nested loops over the whole cube."""
+    counts = Counter(events)
+    cells = list(product(range(1, 5), range(10, 16), range(-3, 3)))
+    n = len(cells)
+    mean = sum(counts[c] for c in cells) / n
+    mean2 = sum(counts[c] ** 2 for c in cells) / n
+    scores = {}
+    for t, x, y in cells:
+        around = [c for c in product((t - 1, t, t + 1), (x - 1, x, x + 1), (y - 1, y, y + 1)) if c in set(cells)]
+        s, s2, w = sum(counts[c] for c in around), sum(counts[c] ** 2 for c in around), len(around)
+        m, m2 = (s / n, s2 / n) if local else (mean, mean2)
+        ratio = (n * w - w * w) // (n - 1) if int_division else (n * w - w * w) / (n - 1)
+        below = math.sqrt(max(m2 - m * m, 0)) * math.sqrt(ratio)
+        scores[t, x, y] = ((s - m * w) / below if below > 0 else 0.0, s, s2, w)
+    return scores
+
+
+@pytest.mark.parametrize("options", [{}, {"stats": "local"}, {"int_division": True}])
+def test_scores(spark, events, options):
+    cells = spark.createDataFrame(events, "t INT, cx INT, cy INT")
+    rows = hotspot.gi_star(hotspot.cell_counts(cells), CUBE, dense=True, **options).collect()
+    expected = _brute(events, options.get("stats") == "local", options.get("int_division", False))
+    assert len(rows) == CUBE.n == len(expected)
+    for r in rows:
+        z, s, s2, w = expected[r["t"], r["cx"], r["cy"]]
+        assert (r["s"], r["s2"], r["w"]) == (s, s2, w) and r["z"] == pytest.approx(z)
+
+
+def test_sparse_scores_are_those_with_neighbours(spark, events):
+    counts = hotspot.cell_counts(spark.createDataFrame(events[:100], "t INT, cx INT, cy INT"))
+    rows = hotspot.gi_star(counts, CUBE).collect()
+    assert len(rows) == 27 and all(r["s"] == 100 for r in rows)
+    top = hotspot.hottest(hotspot.gi_star(counts, CUBE), 5).collect()
+    assert [(r["t"], r["cx"], r["cy"]) for r in top] == sorted((r["t"], r["cx"], r["cy"]) for r in top)
+    assert hotspot.hottest(hotspot.gi_star(counts, CUBE), None).count() == 27  # equal scores are kept
+
+
+def test_nothing_varies(spark):
+    even = hotspot.cube_cells(spark, CUBE).withColumnRenamed("t", "t")
+    rows = hotspot.gi_star(hotspot.cell_counts(even), CUBE).collect()
+    assert len(rows) == CUBE.n and {r["z"] for r in rows} == {0.0}
+    with pytest.raises(ValueError):
+        hotspot.gi_star(hotspot.cell_counts(even), CUBE, stats="none")
+
+
+def test_counts_by_join(spark):
+    """A point on the line between unit squares counts in each."""
+    events = points(spark, [(11.5, 0.5), (12.0, 0.5), (12.0, 1.0)]).selectExpr("id", "x", "y", "CAST(1 AS INT) AS t")
+    squares = hotspot.unit_squares(spark, CUBE)
+    pairs = join.points_in_rectangles(events, squares, on=["t"])
+    counts = join.count_per_window(pairs, squares, on=["t"]).join(squares.selectExpr("t", "id AS window_id", "cx", "cy"), ["t", "window_id"])
+    found = {(r["cx"], r["cy"]): r["n"] for r in counts.where("n > 0").collect()}
+    assert counts.count() == CUBE.n and found == {(11, 0): 3, (12, 0): 2, (11, 1): 1, (12, 1): 1}
+
+
+@pytest.mark.parametrize("binning, cell", [("floor", (4069, -7400)), ("truncate", (4069, -7399)), ("round", (4070, -7399))])
+def test_binning(spark, binning, cell):
+    trips = spark.sql("SELECT timestamp'2015-01-13 10:00:00' AS pickup, 40.69999D AS lat, -73.99123D AS lon")
+    row = hotspot.trip_cells(hotspot.trips_in_box(trips), binning=binning).first()
+    assert (row["t"], row["cx"], row["cy"]) == (13, *cell)
+    assert hotspot.trips_in_box(trips.selectExpr("pickup", "lat + 1 AS lat", "lon")).count() == 0
+    with pytest.raises(ValueError):
+        hotspot.trip_cells(trips, binning="up")

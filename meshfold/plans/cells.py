@@ -107,6 +107,25 @@ def _total_weight(df: DataFrame, prefix: str) -> float:
     return df.agg(F.sum(_row_weight(df, prefix)).alias("n")).first()["n"] or 0.0
 
 
+def _merged_tiers(tiers: dict[int, tuple[float, float]], budget: float) -> tuple[dict[int, int], float]:
+    """Grid tier of each window tier, and the weight of all windows once they cover the cells of their grid.
+
+    Every grid in use costs one more key per object. A tier with few windows, such as some huge ones among many
+    small, is therefore indexed on the grid of the tier below, at up to 16 times the cells per step, as long as
+    that adds less than ``budget``.
+    """
+    grid = {t: t for t in tiers}
+    cells = {t: c for t, (_, c) in tiers.items()}
+    for upper, lower in zip(sorted(tiers, reverse=True), sorted(tiers, reverse=True)[1:]):
+        moved = cells[upper] * 16.0 ** (upper - lower)
+        if moved <= budget:
+            grid = {t: lower if g == upper else g for t, g in grid.items()}
+            cells[lower] += moved
+            del cells[upper]
+            budget -= moved
+    return grid, sum(cells.values())
+
+
 def cell_join(
     objects: DataFrame,
     windows: DataFrame,
@@ -129,10 +148,16 @@ def cell_join(
     """
     tiers = _tiers_in_use(windows, WINDOW, halvings)
     windows = windows.withColumn("w_tier", _tier(box(WINDOW)))
+    object_weight = None
     if inside:
-        left = _corner_keys(objects, sorted(tiers), halvings)
+        grid, right_weight = _merged_tiers(tiers, limits.broadcast_rows / 4)
+        if right_weight > limits.broadcast_rows:
+            object_weight = _total_weight(objects, OBJECT)
+            grid, right_weight = _merged_tiers(tiers, object_weight / 4)
+        windows = windows.withColumn("w_tier", _mapped(F.col("w_tier"), grid))
+        left = _corner_keys(objects, sorted(set(grid.values())), halvings)
         right = _cover(windows, WINDOW, "w_tier", halvings)
-        right_weight, left_copies = sum(cells for _, cells in tiers.values()), len(tiers)
+        left_copies = len(set(grid.values()))
     else:
         object_tiers = _tiers_in_use(objects, OBJECT, halvings)
         objects = objects.withColumn("o_tier", _tier(box(OBJECT)))
@@ -154,14 +179,23 @@ def cell_join(
     key = ["cell_tier", "cell_x", "cell_y", *on]
     if right_weight <= limits.broadcast_rows:
         right = F.broadcast(right)
-    elif _total_weight(objects, OBJECT) * left_copies <= limits.broadcast_rows:
-        left = F.broadcast(left)
     else:
-        left, right = _split_crowded(left, right, key, limits)
-        key = [*key, "left_part", "right_part"]
+        left_weight = (_total_weight(objects, OBJECT) if object_weight is None else object_weight) * left_copies
+        if left_weight <= limits.broadcast_rows:
+            left = F.broadcast(left)
+        else:
+            left, right = _split_crowded(left, left_weight, right, right_weight, key, limits)
+            key = [*key, "left_part", "right_part"]
     return left.join(right, key).where(predicate).drop(*(c for c in key if c not in on), "o_tier", "w_tier")
 
 
+def _mapped(tier: Column, grid: dict[int, int]) -> Column:
+    for own, other in grid.items():
+        if own != other:
+            tier = F.when(F.col("w_tier") == own, F.lit(other)).otherwise(tier)
+    return tier
+
+
 def _corner_keys(objects: DataFrame, tiers: list[int], halvings: int) -> DataFrame:
     """One row per tier in use, in the cell of the object's lower left corner."""
     x, y = F.col(OBJECT + "xmin"), F.col(OBJECT + "ymin")
@@ -197,9 +231,11 @@ def _meets_here(halvings: int) -> Column:
     )
 
 
-def _split_crowded(left: DataFrame, right: DataFrame, key: list[str], limits: Limits) -> tuple[DataFrame, DataFrame]:
+def _split_crowded(
+    left: DataFrame, left_rows: float, right: DataFrame, right_rows: float, key: list[str], limits: Limits,
+) -> tuple[DataFrame, DataFrame]:
     """Deal crowded cells into parts: (cell, i, j) joins part i of the left with part j of the right."""
-    left_parts, right_parts = _crowded(left, key, limits), _crowded(right, key, limits)
+    left_parts, right_parts = _crowded(left, left_rows, key, limits), _crowded(right, right_rows, key, limits)
 
     def deal(df: DataFrame, id_column: str, own: str, own_parts, other: str, other_parts) -> DataFrame:
         df = _with_parts(df, key, own_parts, "own_parts")
@@ -227,13 +263,13 @@ def _with_parts(df: DataFrame, key: list[str], parts: DataFrame | None, name: st
     return df.join(F.broadcast(listed), key, "left").withColumn(name, F.coalesce(name, F.lit(1).cast("bigint")))
 
 
-def _crowded(df: DataFrame, key: list[str], limits: Limits) -> DataFrame | None:
+def _crowded(df: DataFrame, rows: float, key: list[str], limits: Limits) -> DataFrame | None:
     """(key, parts) of the cells that hold more rows than one part should; None when there are none.
 
-    Collected and rebuilt as a literal table, so that a task run again sees the same parts.
+    ``rows`` is an upper bound of the rows of ``df``. The list is collected and rebuilt as a literal table, so that a
+    task run again sees the same parts.
     """
     keys = df.select(*key)
-    rows = keys.count()
     fraction = min(1.0, limits.sample_rows / max(rows, 1))
     sample = keys if fraction == 1.0 else keys.sample(fraction, seed=7)
     part = max(limits.part_rows, math.ceil(rows / MAX_PARTS)) * fraction

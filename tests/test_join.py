@@ -153,11 +153,29 @@ def test_crowded_cells_are_dealt_out(spark):
     left = cells._corner_keys(join._side(pts, "id", "object_id", "o_", join._point_box("x", "y"), ()), [0], 1)
     right = cells._cover(join._side(wins, "id", "window_id", "w_", join.g.box(), ()).withColumn("w_tier", F.lit(0)), "w_", "w_tier", 1)
     key = ["cell_tier", "cell_x", "cell_y"]
-    dealt, _ = cells._split_crowded(left, right, key, Limits(part_rows=200))
+    dealt, _ = cells._split_crowded(left, 9000, right, right.count(), key, Limits(part_rows=200))
     sizes = [r["count"] for r in dealt.groupBy(*key, "left_part", "right_part").count().collect()]
     assert max(sizes) < 400 and sum(sizes) >= 9000
 
 
+def test_few_large_windows_share_the_grid_of_small_ones():
+    tiers = {-2: (1000.0, 4000.0), 0: (900.0, 2000.0), 3: (2.0, 8.0)}
+    assert cells._merged_tiers(tiers, 0) == ({-2: -2, 0: 0, 3: 3}, 6008.0)
+    assert cells._merged_tiers(tiers, 50_000) == ({-2: -2, 0: 0, 3: 0}, 6000.0 + 8 * 16**3)
+    assert cells._merged_tiers(tiers, 1e9)[0] == {-2: -2, 0: -2, 3: -2}
+    assert cells._merged_tiers({}, 5) == ({}, 0)
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_large_windows_among_many_objects(spark, plan):
+    """Enough points for the large windows to move to the finer grid, in each plan."""
+    rng = random.Random(8)
+    pts = [(rng.uniform(0, 30), rng.uniform(0, 30)) for _ in range(3000)]
+    wins = [(x, x + 1, 5, 6) for x in range(30)] + [(2, 7, 2, 7), (0.5, 20, 3, 12)]
+    expected = {(w, p) for w, (a, b, c, d) in enumerate(wins) for p, (x, y) in enumerate(pts) if a <= x <= b and c <= y <= d}
+    assert _pairs(join.points_in_rectangles(points(spark, pts), boxes(spark, wins), limits=PLANS[plan])) == expected
+
+
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         join.rectangles_in_rectangles(boxes(spark, []), boxes(spark, []), mode="fuzzy")

@@ -46,10 +46,28 @@ def points_in_rectangles(
     on: Sequence[str] = (), limits: Limits = Limits(),
 ) -> DataFrame:
     """Points inside or on each rectangle. ``on``: further columns that must agree, such as a time step."""
-    objects = _side(points, object_id, OBJECT_ID, OBJECT, _point_box("x", "y"), on)
+    return _pairs(_points_and_rectangles(points, rectangles, object_id, window_id, on, limits), on)
+
+
+def _points_and_rectangles(points, rectangles, object_id, window_id, on, limits, *extra: Column) -> DataFrame:
+    objects = _side(points, object_id, OBJECT_ID, OBJECT, _point_box("x", "y"), on, *extra)
     windows = _side(rectangles, window_id, WINDOW_ID, WINDOW, g.box(), on)
     test = g.box_contains_point(g.box(WINDOW), F.col("o_xmin"), F.col("o_ymin"))
-    return _pairs(cell_join(objects, windows, test, on, limits=limits), on)
+    return cell_join(objects, windows, test, on, limits=limits)
+
+
+def count_points_in_rectangles(
+    points: DataFrame, rectangles: DataFrame, window_id: str = "id", on: Sequence[str] = (), limits: Limits = Limits(),
+) -> DataFrame:
+    """``(window_id, n)`` like `count_per_window`, for tables with many equal points.
+
+    Equal points are counted first, with map-side partial counts, and joined once with their number: a place that holds a
+    third of all rows becomes a single row. For tables of mostly different points, `count_per_window` saves that shuffle.
+    """
+    places = points.groupBy(*on, "x", "y").agg(F.count("*").alias("rows"))
+    places = places.withColumn("place", F.xxhash64("x", "y"))  # deals crowded cells out; need not be unique
+    joined = _points_and_rectangles(places, rectangles, "place", window_id, on, limits, F.col("rows").alias("hit"))
+    return _sum_per_window(joined, rectangles, window_id, on)
 
 
 def rectangles_in_rectangles(
@@ -85,7 +103,7 @@ def points_in_polygons(
     return _pairs(joined, on)
 
 
-# Polygons are cut into cells of a quarter to a sixteenth of their extent: enough for most cells to be clear of edges.
+# Polygons are cut into cells of a half to an eighth of their extent, of which many are clear of edges.
 _POLYGON_HALVINGS = 3
 
 
@@ -166,7 +184,11 @@ def count_per_window(pairs: DataFrame, windows: DataFrame, window_id: str = "id"
 
     One shuffle, of partial counts only: each window adds a zero to its own group instead of being joined.
     """
-    hits = pairs.select(*on, WINDOW_ID, F.lit(1).cast("bigint").alias("hit"))
+    return _sum_per_window(pairs.withColumn("hit", F.lit(1).cast("bigint")), windows, window_id, on)
+
+
+def _sum_per_window(hits: DataFrame, windows: DataFrame, window_id: str, on: Sequence[str]) -> DataFrame:
+    hits = hits.select(*on, WINDOW_ID, "hit")
     zeros = windows.select(*on, F.col(window_id).alias(WINDOW_ID), F.lit(0).cast("bigint").alias("hit"))
     return hits.unionByName(zeros).groupBy(*on, WINDOW_ID).agg(F.sum("hit").alias("n"))
 

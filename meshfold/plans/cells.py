@@ -176,6 +176,9 @@ def cell_join(
         made = F.inline(F.expr(bind_sql(side, "s_", bind_sql(bounds, "cell_", rows))))
         right = right.select(*(c for c in right.columns if c not in replaced), made)
 
+        if right_weight > limits.broadcast_rows:  # rows were dropped and made lighter: weigh them again
+            right_weight = _total_weight(right, WINDOW)
+
     key = ["cell_tier", "cell_x", "cell_y", *on]
     if right_weight <= limits.broadcast_rows:
         right = F.broadcast(right)

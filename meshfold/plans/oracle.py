@@ -223,6 +223,7 @@ SQL: dict[str, str] = {
     "knn_polys_pruned": _with("smalledges", _ranked(_poly_d("smalledges"), 5)),
     "join_pts_rects_pairs": _with("pts rects", f"SELECT {_PAIRS} FROM {_PTS_RECTS}"),
     "join_pts_rects_count": _with("pts rects", _PTS_RECTS_COUNT),
+    "join_equal_pts_rects_count": _with("skew rects", _PTS_RECTS_COUNT.replace("pts", "skew")),
     "join_pts_rects_groups": _with("pts rects", """SELECT r.id AS window_id, CAST(0 AS BIGINT) AS part, count(p.id) AS n,
       coalesce(string_agg(CAST(p.id AS VARCHAR), ',' ORDER BY p.id), '') AS objects FROM rects r LEFT JOIN pts p
       ON p.x BETWEEN r.xmin AND r.xmax AND p.y BETWEEN r.ymin AND r.ymax GROUP BY r.id"""),

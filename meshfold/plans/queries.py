@@ -144,6 +144,11 @@ def join_pts_rects_count(spark, sf):
     return join.count_per_window(join.points_in_rectangles(tables.spread_points(spark, sf), rects), rects)
 
 
+@query
+def join_equal_pts_rects_count(spark, sf):
+    return join.count_points_in_rectangles(tables.clustered_points(spark, sf), tables.rectangles(spark, sf))
+
+
 @query
 def join_pts_rects_groups(spark, sf):
     rects = tables.rectangles(spark, sf)

@@ -138,6 +138,14 @@ def test_counts_keep_empty_windows(spark):
     assert groups == {0: (0, [0, 1], 2), 1: (0, [], 0), 2: (0, [0, 1, 2], 3)}
 
 
+@pytest.mark.parametrize("plan", PLANS)
+def test_equal_points_are_counted_once_joined(spark, plan):
+    rng = random.Random(3)
+    pts, wins = points(spark, _points(rng, 600)), boxes(spark, _boxes(rng, 50))
+    expected = {tuple(r) for r in join.count_per_window(join.points_in_rectangles(pts, wins), wins).collect()}
+    assert {tuple(r) for r in join.count_points_in_rectangles(pts, wins, limits=PLANS[plan]).collect()} == expected
+
+
 def test_large_groups_come_in_parts(spark):
     pts, wins = points(spark, [(i / 1000, 0) for i in range(1000)]), boxes(spark, [(0, 1, 0, 1), (0, 0.0095, 0, 1)])
     rows = join.group_per_window(join.points_in_rectangles(pts, wins), wins, chunk=100).collect()

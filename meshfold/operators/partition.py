@@ -185,7 +185,8 @@ def hilbert_key(x: Column, y: Column, bounds: tuple[float, float, float, float])
 
 def _percentiles(df: DataFrame, value: str, shares: list[float], by: str | None = None) -> DataFrame:
     grouped = df.groupBy(by) if by else df.groupBy()
-    return grouped.agg(F.percentile_approx(value, shares, _ACCURACY).alias("cuts"))
+    accuracy = max(_ACCURACY, 20 * len(shares))  # an error of a twentieth of a partition at most
+    return grouped.agg(F.percentile_approx(value, shares, accuracy).alias("cuts"))
 
 
 def plan_partitions(df: DataFrame, method: str, n: int) -> Partitioning:

@@ -189,7 +189,23 @@ def cell_join(
         else:
             left, right = _split_crowded(left, left_weight, right, right_weight, key, limits)
             key = [*key, "left_part", "right_part"]
-    return left.join(right, key).where(predicate).drop(*(c for c in key if c not in on), "o_tier", "w_tier")
+    return _hash_join(left, right, key, on, predicate).drop("o_tier", "w_tier")
+
+
+def _hash_join(left: DataFrame, right: DataFrame, key: list[str], on: Sequence[str], predicate: Column) -> DataFrame:
+    """Equi-join on ``key`` by way of one BIGINT hash of it: one number is quicker to look up and to sort than
+    several. The key itself is compared as well, so that colliding hashes do no harm; as two inequalities, lest the
+    optimizer makes it part of the join key again.
+    """
+    right_names = {c: f"right_{c}" for c in key}
+    right = right.withColumnsRenamed(right_names)
+    same = F.lit(True)
+    for c, other in right_names.items():
+        same = same & (F.col(c) >= F.col(other)) & (F.col(c) <= F.col(other))
+    left = left.withColumn("cell", F.xxhash64(*key))
+    right = right.withColumn("right_cell", F.xxhash64(*right_names.values()))
+    joined = left.join(right, F.col("cell") == F.col("right_cell")).where(same & predicate)
+    return joined.drop("cell", "right_cell", *right_names.values(), *(c for c in key if c not in on))
 
 
 def _mapped(tier: Column, grid: dict[int, int]) -> Column:

@@ -31,9 +31,14 @@ class Cube:
         return F.expr(" AND ".join(f"{a} BETWEEN {getattr(self, a)[0]} AND {getattr(self, a)[1]}" for a in AXES))
 
 
+# The city's box in degrees (fixed values).
+CITY_LAT = (40.5, 40.9)
+CITY_LON = (-74.25, -73.70)
+
+
 def trips_in_box(
     trips: DataFrame, lat: str = "lat", lon: str = "lon",
-    lat_range: tuple[float, float] = (40.5, 40.9), lon_range: tuple[float, float] = (-74.25, -73.70),
+    lat_range: tuple[float, float] = CITY_LAT, lon_range: tuple[float, float] = CITY_LON,
 ) -> DataFrame:
     """Drops trips that start outside the city's box."""
     return trips.where(F.col(lat).between(*lat_range) & F.col(lon).between(*lon_range))

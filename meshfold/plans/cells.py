@@ -154,7 +154,8 @@ def cell_join(
         if right_weight > limits.broadcast_rows:
             object_weight = _total_weight(objects, OBJECT)
             grid, right_weight = _merged_tiers(tiers, object_weight / 4)
-        windows = windows.withColumn("w_tier", _mapped(F.col("w_tier"), grid))
+        # A generator, so that null checks on the tier stay above it instead of repeating the bounds' computation.
+        windows = windows.withColumn("w_tier", F.explode(F.array(_mapped(F.col("w_tier"), grid))))
         left = _corner_keys(objects, sorted(set(grid.values())), halvings)
         right = _cover(windows, WINDOW, "w_tier", halvings)
         left_copies = len(set(grid.values()))

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from meshfold.plans import oracle
+from meshfold.plans.queries import QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -22,11 +24,12 @@ def sql():
     return connection
 
 
-def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_query_of_the_library_has_sql():
+    assert set(QUERIES) == set(oracle.SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(oracle.SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees(spark, sql, name):
     found = entry.queries()[name](spark, FOLDER)
     asked = sql.execute(entry.oracle_sql()[name])

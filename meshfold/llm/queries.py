@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from meshfold.llm import simhash
+from meshfold.llm import decontamination, simhash
 
 QUERIES = {
+    "op1_decontamination": decontamination.op1_decontamination,
     "op5_simhash": simhash.op5_simhash,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_decontamination": decontamination.SQL,
+}

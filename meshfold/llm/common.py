@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meshfold.session import shared_folder
@@ -227,20 +227,15 @@ def components(links: DataFrame, name: str) -> DataFrame:
 def ranked(rows: DataFrame, group: str, unique: str, seed: int, name: str, per_slice: int = 200_000) -> DataFrame:
     """``rows`` with column rank: a random order of each group, gapless from 0.
 
-    A group is dealt over slices by a hash of the unique long column, slices are counted, and rows are numbered within
+    ``group`` has no nulls. A group is dealt over slices by a hash of the unique long column, slices are counted, and rows are numbered within
     their slice; a group of any size is ranked by many tasks. ``rows`` should be a stored table: it is read twice.
     """
     total = rows.count()
     slices = max(1, -(-total // per_slice))
     rows = rows.withColumn("slice_", F.pmod(F.xxhash64(F.lit(seed), F.col(unique)), F.lit(slices)))
     sizes = stored(rows.groupBy(group, "slice_").agg(F.count("*").alias("n_")), name)
-    from pyspark.sql import Window
-
     before = F.coalesce(F.sum("n_").over(Window.partitionBy(group).orderBy("slice_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select(F.col(group).alias("g_"), F.col("slice_").alias("s_"), before.alias("start_"))
+    starts = sizes.select(group, "slice_", before.alias("start_"))
     order = Window.partitionBy(group, "slice_").orderBy(F.xxhash64(F.lit(seed + 1), F.col(unique)), F.col(unique))
     numbered = rows.withColumn("at_", F.row_number().over(order) - 1)
-    return (
-        numbered.join(starts, F.col(group).eqNullSafe(F.col("g_")) & (F.col("slice_") == F.col("s_")))
-        .withColumn("rank", (F.col("start_") + F.col("at_")).cast("long")).drop("g_", "s_", "slice_", "start_", "at_")
-    )
+    return numbered.join(starts, [group, "slice_"]).withColumn("rank", (F.col("start_") + F.col("at_")).cast("long")).drop("slice_", "start_", "at_")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from meshfold.llm import decontamination, simhash
+from meshfold.llm import decontamination, sharding, simhash
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
+    "op2_sharding": sharding.op2_sharding,
     "op5_simhash": simhash.op5_simhash,
 }
 SQL: dict[str, str] = {

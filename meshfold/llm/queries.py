@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from meshfold.llm import decontamination, sharding, simhash
+from meshfold.llm import decontamination, packing, sharding, simhash
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
     "op2_sharding": sharding.op2_sharding,
     "op5_simhash": simhash.op5_simhash,
+    "op7_packing": packing.op7_packing,
 }
 SQL: dict[str, str] = {
     "op1_decontamination": decontamination.SQL,

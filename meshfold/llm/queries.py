@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from meshfold.llm import decontamination, packing, sharding, simhash
+from meshfold.llm import decontamination, packing, sharding, simhash, warc
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
     "op2_sharding": sharding.op2_sharding,
     "op5_simhash": simhash.op5_simhash,
     "op7_packing": packing.op7_packing,
+    "op9_warc": warc.op9_warc,
 }
 SQL: dict[str, str] = {
     "op1_decontamination": decontamination.SQL,

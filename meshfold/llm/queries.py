@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from meshfold.llm import decontamination, packing, sharding, simhash, warc
+from meshfold.llm import decontamination, packing, secrets, sharding, simhash, warc
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
     "op2_sharding": sharding.op2_sharding,
     "op5_simhash": simhash.op5_simhash,
     "op7_packing": packing.op7_packing,
+    "op8_secrets": secrets.op8_secrets,
     "op9_warc": warc.op9_warc,
 }
 SQL: dict[str, str] = {
     "op1_decontamination": decontamination.SQL,
+    "op8_secrets": secrets.SQL,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meshfold.llm import decontamination, packing, secrets, sharding, simhash, warc
+from meshfold.llm import decontamination, extraction, packing, secrets, sharding, simhash, warc
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -11,6 +11,7 @@ QUERIES = {
     "op7_packing": packing.op7_packing,
     "op8_secrets": secrets.op8_secrets,
     "op9_warc": warc.op9_warc,
+    "op10_extraction": extraction.op10_extraction,
 }
 SQL: dict[str, str] = {
     "op1_decontamination": decontamination.SQL,

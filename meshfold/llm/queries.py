@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from meshfold.llm import decontamination, extraction, neighbours, packing, quality, secrets, sharding, simhash, warc
+from meshfold.llm import decontamination, extraction, lines, neighbours, packing, quality, secrets, sharding, simhash, warc
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
     "op2_sharding": sharding.op2_sharding,
     "op3_quality": quality.op3_quality,
+    "op4_line_dedup": lines.op4_line_dedup,
     "op5_simhash": simhash.op5_simhash,
     "op6_neighbours": neighbours.op6_neighbours,
     "op7_packing": packing.op7_packing,

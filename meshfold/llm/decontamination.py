@@ -235,6 +235,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(named, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without a word inside an occurrence of a benchmark window. Rows alike in doc_id and text share their fate."""
+    keyed = docs.withColumn("key_", F.xxhash64("doc_id", "text"))
+    found = contamination(keyed.select(F.col("key_").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    hit = stored(found.where("n_hit > 0").select(F.col("doc_id").alias("key_")).distinct(), "contaminated")
+    return keyed.join(hit, "key_", "left_anti").select(*docs.columns)
+
+
 _LOWERED = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_LOWERED} AS w FROM documents),

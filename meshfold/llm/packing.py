@@ -175,3 +175,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = Non
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents with their places in sequences."""
+    return pack(docs)

@@ -87,9 +87,9 @@ def keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(at), np.concatenate(out)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with column fp (long: the 64 bits). Null text: 0, as without words."""
-    kept = [c for c in docs.columns if c != text]
+def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs`` with column fp (long: the 64 bits), without the text unless it is to be kept. Null text: 0, as without words."""
+    kept = [c for c in docs.columns if c != text or keep_text]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,7 +98,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataF
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), column], [*kept, "fp"])
 
     schema = docs.select(*kept).withColumn("fp", F.lit(0).cast("long")).schema
-    return bounded_scan(docs, *kept, text).mapInArrow(scan, schema)
+    return bounded_scan(docs, *kept, *([] if keep_text else [text])).mapInArrow(scan, schema)
 
 
 def fingerprint_links(prints: DataFrame, distance: int = 2) -> DataFrame:
@@ -120,6 +120,13 @@ def fingerprint_links(prints: DataFrame, distance: int = 2) -> DataFrame:
     return run_links(tile_pairs(multi_runs(keyed, "simhash-runs")), [], near)
 
 
+def groups(prints: DataFrame, distance: int) -> DataFrame:
+    """(fp, root): the smallest fingerprint reachable from each of the stored, distinct ``prints``."""
+    found = components(fingerprint_links(prints, distance), "simhash-components")
+    moved = found.select(F.col("node").alias("fp"), F.col("component").alias("root"))
+    return stored(prints.select("fp").join(moved, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root")), "simhash-groups")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) for each row of ``docs``: the smallest doc_id reachable over fingerprints that differ in at
     most ``distance`` bits.
@@ -131,14 +138,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, doc_id
     table = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = stored(fingerprints(table, shingle), "simhash-rows")
     prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-prints")
-    groups = components(fingerprint_links(prints, distance), "simhash-components")
-    linked = groups.join(prints, groups["node"] == prints["fp"])
-    lowest = linked.groupBy("component").agg(F.min("least").alias("lowest"))
-    moved = stored(linked.join(lowest, "component").select(F.col("node").alias("fp"), "lowest"), "simhash-lowest")
-    named = prints.join(moved, "fp", "left").select("fp", F.coalesce("lowest", "least").alias("component_id"))
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    rooted = prints.join(groups(prints, distance), "fp")
+    lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rows.join(rooted.join(lowest, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
+    """``docs`` (doc_id, text and others) with one row of each group of near duplicates: that of the smallest doc_id, nulls last; of rows that share
+    it, one."""
+    names = docs.columns
+    rows = stored(fingerprints(docs, shingle, keep_text=True).withColumnRenamed("fp", "fp_").withColumn("row_", F.monotonically_increasing_id()), "simhash-docs")
+    prints = stored(rows.select(F.col("fp_").alias("fp")).distinct(), "simhash-prints")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_")
+    first = rows.select(F.col("fp_").alias("fp"), order.alias("o")).join(groups(prints, distance), "fp").groupBy("root").agg(F.min("o").alias("o"))
+    return rows.join(first.select("o.row_"), "row_", "left_semi").select(*names)
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return keep_one(docs)

@@ -145,6 +145,9 @@ def _intersect(block: Block, terms: list, counts: np.ndarray, places: np.ndarray
     at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[rarest], n)
     first = places[at].astype(np.int64) - order[row, 0]
     exact = np.ones(len(row), bool)
+    if slop:  # the rarest word, too, may be off its place
+        shift = np.arange(-slop, slop + 1)
+        row, first, exact = np.repeat(row, len(shift)), (first[:, None] + shift).ravel(), np.tile(shift == 0, len(row))
     for k in range(1, term.shape[1]):
         active = sizes[row] > k
         offset = order[row, k]
@@ -164,7 +167,7 @@ MATCHES = "segment long, ord int, spans array<struct<s: long, e: long>>, items a
 
 def search(index: DataFrame, block: Block, slop: int = 0) -> DataFrame:
     """Rows of documents with matches: ``spans`` of words inside exact occurrences, the ``items`` they belong to, and with a ``slop``
-    the ``near_items``: those with a window each of whose words lies at most ``slop`` words from its place."""
+    the ``near_items``: those with a window that can be laid so that each of its words occurs at most ``slop`` words from its place."""
     if not 0 <= slop < GAP // 4:
         raise ValueError(f"slop must be from 0 to {GAP // 4 - 1}")
     held = index.sparkSession.sparkContext.broadcast(block)
@@ -179,7 +182,7 @@ def search(index: DataFrame, block: Block, slop: int = 0) -> DataFrame:
                     continue
                 n = np.array(n.values, np.int64)
                 bases = GAP + np.concatenate([[0], np.cumsum(n + GAP)[:-1]])
-                ord_ = np.searchsorted(bases, found[1] + GAP // 2, "right") - 1
+                ord_ = np.searchsorted(bases, found[1] + GAP // 4, "right") - 1
                 out = defaultdict(lambda: ([], set(), set()))
                 for d, w, s, e in zip(ord_.tolist(), found[0].tolist(), (found[1] - bases[ord_]).tolist(), found[2].tolist()):
                     spans, items, near = out[d]

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
-from meshfold.plans.cells import OBJECT, OBJECT_ID, WINDOW, WINDOW_ID, Limits, cell_join
-from meshfold.session import checkpointed
+from meshfold.plans.cells import LISTED_CELLS, OBJECT, OBJECT_ID, WINDOW, WINDOW_ID, Limits, cell_join
+from meshfold.session import stored
 
 EXACT, MBR = "exact", "mbr"
 
@@ -201,10 +201,12 @@ def group_per_window(
     Most windows have the single part 0. A window with very many objects is dealt over parts by a hash of the
     object id, so that no task has to hold its whole set. A window without matches has one empty part.
     """
-    pairs = checkpointed(pairs)  # read twice, joined once
+    pairs = stored(pairs, "pairs")  # read twice, joined once
     totals = count_per_window(pairs, windows, window_id)
-    parts = totals.select(WINDOW_ID, F.greatest(F.ceil(F.col("n") / chunk), F.lit(1)).alias("parts"))
-    crowded = parts.where(F.col("parts") > 1)
+    parts = F.greatest(F.ceil(F.col("n") / chunk), F.lit(1))
+    crowded = stored(totals.select(WINDOW_ID, parts.alias("parts")).where("parts > 1"), "crowded-windows")
+    if crowded.count() <= LISTED_CELLS:  # the pairs of a crowded window then stay where they are
+        crowded = F.broadcast(crowded)
     dealt = (
         pairs.join(crowded, WINDOW_ID, "left")
         .withColumn("part", F.pmod(F.xxhash64(OBJECT_ID), F.coalesce("parts", F.lit(1).cast("bigint"))))
@@ -221,6 +223,8 @@ def group_per_window(
     )
 
 
-def distinct_geometry(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per distinct geometry, for results keyed by value instead of by id."""
-    return df.dropDuplicates(list(columns))
+def distinct_geometry(df: DataFrame, columns: Sequence[str], id_column: str = "id") -> DataFrame:
+    """One row per distinct geometry, that of the smallest id, for results keyed by value instead of by id."""
+    others = [c for c in df.columns if c not in columns and c != id_column]
+    least = df.groupBy(*columns).agg(F.min(F.struct(id_column, *others)).alias("least_"))
+    return least.select(*(F.col(c) if c in columns else F.col("least_")[c].alias(c) for c in df.columns))

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
 from meshfold.plans.cells import OBJECT, OBJECT_ID, WINDOW, WINDOW_ID, Limits, cell_join
-from meshfold.session import checkpointed
+from meshfold.session import stored
 
-_MERGE_PARTS = 16
+# Stretches of one edge that are merged at once; an edge with more is merged in parts first.
+_MERGED_ROWS = 10_000
 
 
 def _oriented(rings: g.Sql) -> g.Sql:
@@ -83,7 +84,10 @@ def _outline(shapes: DataFrame, stretches: DataFrame) -> DataFrame:
 
     An edge under very many polygons is merged in parts first: merging is associative, and few stretches are left of each part.
     """
-    covered = stretches.where(~F.col("kept")).withColumn("part", F.pmod(F.xxhash64("other"), F.lit(_MERGE_PARTS)))
+    covered = stretches.where(~F.col("kept"))
+    crowded = covered.groupBy("id", "edge").agg(F.ceil(F.count("*") / _MERGED_ROWS).alias("parts")).where("parts > 1")
+    covered = covered.join(crowded, ["id", "edge"], "left")
+    covered = covered.withColumn("part", F.pmod(F.xxhash64("other"), F.coalesce("parts", F.lit(1).cast("bigint"))))
     covered = _merged(covered.select("id", "edge", "part", "t0", "t1"), ["id", "edge", "part"])
     edges = shapes.select("id", F.posexplode("edges").alias("edge", "e"))
     ends = edges.select("id", "edge", "e", F.lit(1.0).alias("t0"), F.lit(1.0).alias("t1"))
@@ -110,7 +114,7 @@ def _outline(shapes: DataFrame, stretches: DataFrame) -> DataFrame:
 
 def union_boundary(polygons: DataFrame, id_column: str = "id", limits: Limits = Limits()) -> DataFrame:
     """(id, x1, y1, x2, y2): directed pieces of the union's outline, with the id of the polygon each comes from."""
-    shapes = checkpointed(_distinct_polygons(polygons, id_column))
+    shapes = stored(_distinct_polygons(polygons, id_column), "union-shapes")
     return _outline(shapes, _covered_stretches(shapes, limits))
 
 
@@ -129,8 +133,8 @@ def union_parts(polygons: DataFrame, id_column: str = "id", limits: Limits = Lim
 
     Polygons connect when they overlap or share a stretch of an edge; touching in a point does not connect.
     """
-    shapes = checkpointed(_distinct_polygons(polygons, id_column))
-    stretches = checkpointed(_covered_stretches(shapes, limits))
+    shapes = stored(_distinct_polygons(polygons, id_column), "union-shapes")
+    stretches = stored(_covered_stretches(shapes, limits), "union-stretches")
     labels = connected_components(shapes.select("id"), stretches.select(F.col("id").alias("a"), F.col("other").alias("b")).distinct())
     members = labels.groupBy("part").agg(F.count("*").alias("polygons"))
     pieces = _outline(shapes, stretches).join(labels, "id")
@@ -142,17 +146,17 @@ def connected_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(id, part): the smallest id reachable from each node over ``links (a, b)``, taken both ways.
 
     Each round takes the smallest label among the neighbours (a minimum, so partial results merge before the
-    shuffle) and then the label of that label, which doubles the reach. The labels are checkpointed each round.
+    shuffle) and then the label of that label, which doubles the reach. The labels are stored each round.
     """
-    both = checkpointed(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = checkpointed(nodes.select("id", F.col("id").alias("part")))
+    both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "union-links")
+    labels = stored(nodes.select("id", F.col("id").alias("part")), "union-labels")
     while True:
         offers = both.join(labels, both["b"] == labels["id"]).select(F.col("a").alias("id"), "part")
         nearest = offers.unionByName(labels).groupBy("id").agg(F.min("part").alias("part"))
         jump = labels.select(F.col("id").alias("part"), F.col("part").alias("further"))
-        moved = checkpointed(
+        moved = stored(
             nearest.join(jump, "part", "left")
-            .select("id", F.least("part", F.coalesce("further", "part")).alias("part"))
+            .select("id", F.least("part", F.coalesce("further", "part")).alias("part")), "union-labels",
         )
         old = labels.select("id", F.col("part").alias("was"))
         changed = moved.join(old, "id").where(F.col("part") != F.col("was")).limit(1).count()

@@ -13,17 +13,16 @@ Objects meeting windows (``inside=False``): both sides cover cells. A pair meets
 its two tiers, and counts only in the cell that holds the lower left corner of the intersection;
 so again each pair comes out once and no ``distinct`` is needed.
 
-Which join runs is decided by counting, before the join, the rows each side would put into it:
+Which join runs is decided by weighing, before the join, the rows each side would put into it:
 
-* one side small (`BROADCAST_ROWS`): that side is broadcast, the other is not shuffled at all;
-* both large: shuffle on the cell. Cells that hold far more than their share, on either side, are split:
-  the crowded side is dealt into parts by a hash of its id, the other side is copied to each part.
-  The crowded cells are found from a sample, which only steers the work and never the result.
+* one side small (`BROADCAST_BYTES`): that side is broadcast, the other is not shuffled at all;
+* both large: shuffle on the cell, with a hint, so that no estimate can turn it back into a broadcast. Cells with too many
+  rows on a side, or too many pairs to test, are split: each side is dealt into parts by a hash of its id and copied
+  to each part of the other. The crowded cells are found from a sample, which only steers the work and never the result.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -31,32 +30,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meshfold.functions.geometry import Box, Sql, bind_sql, box, boxes_intersect
+from meshfold.session import stored
 
 OBJECT_ID, WINDOW_ID = "object_id", "window_id"
 OBJECT, WINDOW = "o_", "w_"  # column prefixes of the two sides
-_MIN_TIER = -20  # windows of extent 0 (points) are indexed like ones of 4^-20
+# Extents that are indexed apart: points like windows of 4^-20, endless windows like ones of 4^511, the largest in doubles.
+_MIN_TIER, _MAX_TIER = -20, 511
+# An extent counts as at least this share of the coordinates' size, so that cell numbers stay exact far from the origin.
+_GRAIN = 2.0**-48
+_LARGEST = 1.7976931348623157e308
 
-# A broadcast row is at most a few hundred bytes, so this is some tens of MB per executor.
-BROADCAST_ROWS = 250_000
+BROADCAST_BYTES = 64 << 20
 SAMPLE_ROWS = 2_000_000
 PART_ROWS = 500_000  # rows of one side that one part of a cell should hold
-MAX_PARTS = 4096  # bound on the list of crowded cells, which is broadcast
+PART_PAIRS = 1_000_000_000  # pairs that one part of a cell should test
+LISTED_CELLS = 200_000  # crowded cells in a broadcast list; a longer list is joined by a shuffle
+_SEEN = 50  # sampled rows a crowded cell should have
+# Grids a window may be moved down by: 16 times the cells for each, all made by the task that holds the window.
+_MOST_MOVES = 3
 
 
 @dataclass(frozen=True)
 class Limits:
     """Sizes that choose the plan. They never change the result; tests lower them."""
 
-    broadcast_rows: int = BROADCAST_ROWS
+    broadcast_bytes: int = BROADCAST_BYTES
     sample_rows: int = SAMPLE_ROWS
     part_rows: int = PART_ROWS
+    part_pairs: int = PART_PAIRS
 
 
 def _tier(b: Box) -> Column:
     """Smallest t with extent <= 4^t. ``log2`` of a double is the same on every executor (StrictMath)."""
-    extent = F.greatest(b.xmax - b.xmin, b.ymax - b.ymin)
-    found = F.greatest(F.ceil(F.log2(extent) / 2).cast("int"), F.lit(_MIN_TIER))
-    return F.when(extent > 0, found).when(extent <= 0, F.lit(_MIN_TIER))  # null bounds: no tier, no cell, no pair
+    size = F.greatest(*(F.abs(c) for c in b))
+    extent = F.greatest(b.xmax - b.xmin, b.ymax - b.ymin, size * _GRAIN)
+    found = F.greatest(F.ceil(F.log2(F.least(extent, F.lit(_LARGEST))) / 2).cast("int"), F.lit(_MIN_TIER))
+    known = b.xmax.isNotNull() & b.xmin.isNotNull() & b.ymax.isNotNull() & b.ymin.isNotNull()
+    found = F.least(found, F.lit(_MAX_TIER))
+    return F.when(known & (extent > 0), found).when(known & (extent <= 0), F.lit(_MIN_TIER))  # null bounds: no tier, no cell, no pair
 
 
 def _side(tier: Column | int, halvings: int) -> Column:
@@ -66,7 +77,8 @@ def _side(tier: Column | int, halvings: int) -> Column:
 
 
 def _cell(value: Column, side: Column) -> Column:
-    return F.floor(value / side)
+    """Endless values lie in the cell of the largest number."""
+    return F.floor(F.least(F.greatest(value, F.lit(-_LARGEST)), F.lit(_LARGEST)) / side)
 
 
 def _covered(low: Column, high: Column, side: Column) -> Column:
@@ -89,8 +101,9 @@ def _n_cells(b: Box, tier: Column, halvings: int) -> Column:
 
 
 def _row_weight(df: DataFrame, prefix: str) -> Column:
-    """Size of a row in units of a plain one; four edges of a polygon weigh as much as a row."""
-    return 1 + F.size(prefix + "edges") / 4 if prefix + "edges" in df.columns else F.lit(1.0)
+    """Bytes of a row, about: a head, a word a column, and the numbers of its edges."""
+    plain = F.lit(24.0 + 16 * len(df.columns))
+    return plain + 40 * F.coalesce(F.size(prefix + "edges"), F.lit(0)) if prefix + "edges" in df.columns else plain
 
 
 def _tiers_in_use(df: DataFrame, prefix: str, halvings: int) -> dict[int, tuple[float, float]]:
@@ -112,11 +125,13 @@ def _merged_tiers(tiers: dict[int, tuple[float, float]], budget: float) -> tuple
 
     Every grid in use costs one more key per object. A tier with few windows, such as some huge ones among many
     small, is therefore indexed on the grid of the tier below, at up to 16 times the cells per step, as long as
-    that adds less than ``budget``.
+    that adds less than ``budget`` and no window goes down by more than `_MOST_MOVES` grids.
     """
     grid = {t: t for t in tiers}
     cells = {t: c for t, (_, c) in tiers.items()}
     for upper, lower in zip(sorted(tiers, reverse=True), sorted(tiers, reverse=True)[1:]):
+        if max(t for t, g in grid.items() if g == upper) - lower > _MOST_MOVES:
+            continue
         moved = cells[upper] * 16.0 ** (upper - lower)
         if moved <= budget:
             grid = {t: lower if g == upper else g for t, g in grid.items()}
@@ -150,8 +165,8 @@ def cell_join(
     windows = windows.withColumn("w_tier", _tier(box(WINDOW)))
     object_weight = None
     if inside:
-        grid, right_weight = _merged_tiers(tiers, limits.broadcast_rows / 4)
-        if right_weight > limits.broadcast_rows:
+        grid, right_weight = _merged_tiers(tiers, limits.broadcast_bytes / 4)
+        if right_weight > limits.broadcast_bytes:
             object_weight = _total_weight(objects, OBJECT)
             grid, right_weight = _merged_tiers(tiers, object_weight / 4)
         # A generator, so that null checks on the tier stay above it instead of repeating the bounds' computation.
@@ -177,19 +192,20 @@ def cell_join(
         made = F.inline(F.expr(bind_sql(side, "s_", bind_sql(bounds, "cell_", rows))))
         right = right.select(*(c for c in right.columns if c not in replaced), made)
 
-        if right_weight > limits.broadcast_rows:  # rows were dropped and made lighter: weigh them again
+        if right_weight > limits.broadcast_bytes:  # rows were dropped and made lighter: weigh them again
             right_weight = _total_weight(right, WINDOW)
 
     key = ["cell_tier", "cell_x", "cell_y", *on]
-    if right_weight <= limits.broadcast_rows:
+    if right_weight <= limits.broadcast_bytes:
         right = F.broadcast(right)
     else:
         left_weight = (_total_weight(objects, OBJECT) if object_weight is None else object_weight) * left_copies
-        if left_weight <= limits.broadcast_rows:
+        if left_weight <= limits.broadcast_bytes:
             left = F.broadcast(left)
         else:
             left, right = _split_crowded(left, left_weight, right, right_weight, key, limits)
             key = [*key, "left_part", "right_part"]
+            left, right = left.hint("merge"), right.hint("merge")
     return _hash_join(left, right, key, on, predicate).drop("o_tier", "w_tier")
 
 
@@ -252,50 +268,53 @@ def _meets_here(halvings: int) -> Column:
 
 
 def _split_crowded(
-    left: DataFrame, left_rows: float, right: DataFrame, right_rows: float, key: list[str], limits: Limits,
+    left: DataFrame, left_weight: float, right: DataFrame, right_weight: float, key: list[str], limits: Limits,
 ) -> tuple[DataFrame, DataFrame]:
     """Deal crowded cells into parts: (cell, i, j) joins part i of the left with part j of the right."""
-    left_parts, right_parts = _crowded(left, left_rows, key, limits), _crowded(right, right_rows, key, limits)
-
-    def deal(df: DataFrame, id_column: str, own: str, own_parts, other: str, other_parts) -> DataFrame:
-        df = _with_parts(df, key, own_parts, "own_parts")
-        df = _with_parts(df, key, other_parts, "other_parts")
-        copies = F.lit(0).cast("bigint")
-        if other_parts is not None:
-            copies = F.explode(F.sequence(copies, F.col("other_parts") - 1))
+    parts = _crowded(left, left_weight, right, right_weight, key, limits)
+
+    def deal(df: DataFrame, id_column: str, own: str, other: str) -> DataFrame:
+        if parts is None:
+            return df.withColumns({own: F.lit(0).cast("bigint"), other: F.lit(0).cast("bigint")})
+        one = F.lit(1).cast("bigint")
+        listed = df.join(parts, key, "left").withColumns({f"{c}s": F.coalesce(f"{c}s", one) for c in (own, other)})
         return (
-            df.withColumn(own, F.pmod(F.xxhash64(id_column), F.col("own_parts")))
-            .withColumn(other, copies)
-            .drop("own_parts", "other_parts")
+            listed.withColumn(own, F.pmod(F.xxhash64(id_column), F.col(f"{own}s")))
+            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"{other}s") - 1)))
+            .drop(f"{own}s", f"{other}s")
         )
 
-    return (
-        deal(left, OBJECT_ID, "left_part", left_parts, "right_part", right_parts),
-        deal(right, WINDOW_ID, "right_part", right_parts, "left_part", left_parts),
-    )
-
-
-def _with_parts(df: DataFrame, key: list[str], parts: DataFrame | None, name: str) -> DataFrame:
-    if parts is None:
-        return df.withColumn(name, F.lit(1).cast("bigint"))
-    listed = parts.withColumnRenamed("parts", name)
-    # Bounded: at most MAX_PARTS rows.
-    return df.join(F.broadcast(listed), key, "left").withColumn(name, F.coalesce(name, F.lit(1).cast("bigint")))
+    return deal(left, OBJECT_ID, "left_part", "right_part"), deal(right, WINDOW_ID, "right_part", "left_part")
 
 
-def _crowded(df: DataFrame, rows: float, key: list[str], limits: Limits) -> DataFrame | None:
-    """(key, parts) of the cells that hold more rows than one part should; None when there are none.
+def _crowded(
+    left: DataFrame, left_weight: float, right: DataFrame, right_weight: float, key: list[str], limits: Limits,
+) -> DataFrame | None:
+    """(key, left_parts, right_parts) of the cells in which a side has more rows, or both more pairs, than a task should get.
 
-    ``rows`` is an upper bound of the rows of ``df``. The list is collected and rebuilt as a literal table, so that a
-    task run again sees the same parts.
+    Both sides are sampled, densely enough that a crowded cell is seen `_SEEN` times. Too many pairs are
+    halved, as it were, on the side with more rows a part until they fit. The list is stored, so that a task run again
+    sees the same parts; it is broadcast if it has few rows, and None if it is empty.
     """
-    keys = df.select(*key)
-    fraction = min(1.0, limits.sample_rows / max(rows, 1))
-    sample = keys if fraction == 1.0 else keys.sample(fraction, seed=7)
-    part = max(limits.part_rows, math.ceil(rows / MAX_PARTS)) * fraction
-    found = (
-        sample.groupBy(*key).count().where(F.col("count") > part)
-        .select(*key, F.ceil(F.col("count") / F.lit(part)).alias("parts"))
-    )
-    listed = found.collect()  # fewer than 1 / part of the sample: at most MAX_PARTS rows
-    return df.sparkSession.createDataFrame(listed, found.schema) if listed else None
+    def counts(df: DataFrame, weight: float, name: str) -> DataFrame:
+        rows = weight / (24.0 + 16 * len(df.columns))
+        fraction = min(1.0, max(limits.sample_rows / max(rows, 1), _SEEN / limits.part_rows))
+        keys = df.select(*key)
+        sample = keys if fraction == 1.0 else keys.sample(fraction, seed=7)
+        return sample.groupBy(*key).agg((F.count("*") / fraction).alias(name))
+
+    both = counts(left, left_weight, "l").join(counts(right, right_weight, "r"), key, "full").fillna(1.0, ["l", "r"])
+    l, r = F.col("l"), F.col("r")
+    left_parts, right_parts = (F.ceil(c / limits.part_rows) for c in (l, r))
+    # Pairs of a part beyond the limit: more parts, of the side whose parts are longer first, of both in equal measure then.
+    excess = F.greatest(l * r / (F.col("left_parts") * F.col("right_parts")) / limits.part_pairs, F.lit(1.0))
+    more = both.withColumns({"left_parts": left_parts, "right_parts": right_parts}).withColumn("excess", excess)
+    long_left, long_right = l / F.col("left_parts"), r / F.col("right_parts")
+    to_left = F.least(F.greatest(F.sqrt(F.col("excess") * long_left / long_right), F.lit(1.0)), F.col("excess"))
+    more = more.withColumn("to_left", to_left).select(
+        *key, F.ceil(F.col("left_parts") * F.col("to_left")).alias("left_parts"),
+        F.ceil(F.col("right_parts") * F.col("excess") / F.col("to_left")).alias("right_parts"),
+    ).where("left_parts > 1 OR right_parts > 1")
+    listed = stored(more, "crowded-cells")
+    n = listed.count()
+    return (F.broadcast(listed) if n <= LISTED_CELLS else listed) if n else None

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -28,23 +31,36 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: ``spark.checkpoint.dir`` as the cluster names it.
 
-    A machine-local folder is only made up in local mode, where no other machine has
-    to see it.
+    Only in local mode, where no other machine has to see it, one is made up: one for the process, removed at its end.
+    In a folder that the session names, tables stay until whoever set it clears it.
     """
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="meshfold-")
+    if not _own_folder:
+        _own_folder.append(tempfile.mkdtemp(prefix="meshfold-"))
+        atexit.register(shutil.rmtree, _own_folder[0], ignore_errors=True)
+    return _own_folder[0]
 
 
-def checkpointed(df):
-    """``df`` with its lineage cut, in the checkpoint folder the session names."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+_own_folder: list[str] = []
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_folder(spark)}/meshfold-{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back: its lineage is cut, lost executors don't matter.
+
+    Used in place of ``checkpoint()``: the caller's checkpoint folder isn't set, and the columns read are pruned.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df):

@@ -10,10 +10,10 @@ from meshfold.operators import join
 from meshfold.plans import cells
 from meshfold.plans.cells import Limits
 
-# Broadcast; shuffle; shuffle with cells split into many parts on both sides; the same, found from a sample.
+# Broadcast; shuffle; shuffle with cells split by their rows on both sides, by their pairs; the same, found from a sample.
 PLANS = {
-    "broadcast": Limits(), "shuffle": Limits(broadcast_rows=0), "split": Limits(broadcast_rows=0, part_rows=5),
-    "sampled": Limits(broadcast_rows=0, part_rows=20, sample_rows=300),
+    "broadcast": Limits(), "shuffle": Limits(broadcast_bytes=0), "split": Limits(broadcast_bytes=0, part_rows=5),
+    "pairs": Limits(broadcast_bytes=0, part_pairs=50), "sampled": Limits(broadcast_bytes=0, part_rows=100, sample_rows=300),
 }
 
 
@@ -161,16 +161,61 @@ def test_crowded_cells_are_dealt_out(spark):
     left = cells._corner_keys(join._side(pts, "id", "object_id", "o_", join._point_box("x", "y"), ()), [0], 1)
     right = cells._cover(join._side(wins, "id", "window_id", "w_", join.g.box(), ()).withColumn("w_tier", F.lit(0)), "w_", "w_tier", 1)
     key = ["cell_tier", "cell_x", "cell_y"]
-    dealt, _ = cells._split_crowded(left, 9000, right, right.count(), key, Limits(part_rows=200))
-    sizes = [r["count"] for r in dealt.groupBy(*key, "left_part", "right_part").count().collect()]
-    assert max(sizes) < 400 and sum(sizes) >= 9000
+    for limits, rows, pairs in ((Limits(part_rows=200), 400, None), (Limits(part_pairs=5000), None, 10_000)):
+        deals = cells._split_crowded(left, 9000 * 200, right, right.count() * 200, key, limits)
+        held = [{tuple(r)[:-1]: r["count"] for r in d.groupBy(*key, "left_part", "right_part").count().collect()} for d in deals]
+        assert sum(held[0].values()) >= 9000
+        if rows:
+            assert max(held[0].values()) < rows
+        if pairs:
+            assert max(n * held[1].get(k, 0) for k, n in held[0].items()) < pairs
+
+
+def _physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_plan_is_the_one_decided_on(spark):
+    pts, wins = points(spark, [(i % 50, i % 70) for i in range(500)]), boxes(spark, [(i, i + 1, 0, 30) for i in range(40)])
+    assert "BroadcastHashJoin" in _physical(join.points_in_rectangles(pts, wins))
+    small = "Exchange hashpartitioning"
+    assert small not in _physical(join.points_in_rectangles(pts, wins))
+    for name in ("shuffle", "split", "pairs"):
+        plan = _physical(join.points_in_rectangles(pts, wins, limits=PLANS[name]))
+        assert "SortMergeJoin [cell" in plan, name
+        if name == "shuffle":  # Catalyst would broadcast tables of this size by itself
+            assert "BroadcastHashJoin" not in plan
+
+
+def test_endless_and_far_windows(spark):
+    inf = float("inf")
+    wins = [(-inf, inf, -inf, inf), (5, inf, 0, 9), (4.5e6, 4.5e6, 4.5e6, 4.5e6), (-inf, 3, 1, 1), (1e15, 1e15 + 2, 0, 9)]
+    pts = [(0, 0), (7, 1), (4.5e6, 4.5e6), (2, 1), (1e15 + 1, 5), (-1e300, 1), (inf, 2)]
+    expected = {(w, p) for w, (a, b, c, d) in enumerate(wins) for p, (x, y) in enumerate(pts) if a <= x <= b and c <= y <= d}
+    for limits in PLANS.values():
+        assert _pairs(join.points_in_rectangles(points(spark, pts), boxes(spark, wins), limits=limits)) == expected
+    objs = [(0, 1, 0, 1), (-inf, 0, 0, 2), (4.5e6, 4.5e6, 4.5e6, 4.5e6), (7, 8, 7, inf)]
+    meets = {(w, o) for w, a in enumerate(wins) for o, b in enumerate(objs) if b[0] <= a[1] and a[0] <= b[1] and b[2] <= a[3] and a[2] <= b[3]}
+    assert _pairs(join.rectangles_in_rectangles(boxes(spark, objs), boxes(spark, wins), mode="mbr")) == meets
+
+
+def test_points_far_from_the_origin_have_cells_of_their_own(spark):
+    wins = boxes(spark, [(5e6 + i, 5e6 + i, 0, 0) for i in range(100)])
+    cells_ = cells._cover(join._side(wins, "id", "window_id", "w_", join.g.box(), ()).withColumn("w_tier", cells._tier(cells.box("w_"))), "w_", "w_tier", 1)
+    assert cells_.select("cell_x").distinct().count() == 100
+
+
+def test_distinct_geometry_keeps_the_smallest_id(spark):
+    rows = spark.createDataFrame([(3, 1.0, 2.0), (1, 1.0, 2.0), (2, 5.0, 2.0)], "id long, x double, y double")
+    assert sorted(map(tuple, join.distinct_geometry(rows, ["x", "y"]).collect())) == [(1, 1.0, 2.0), (2, 5.0, 2.0)]
 
 
 def test_few_large_windows_share_the_grid_of_small_ones():
     tiers = {-2: (1000.0, 4000.0), 0: (900.0, 2000.0), 3: (2.0, 8.0)}
     assert cells._merged_tiers(tiers, 0) == ({-2: -2, 0: 0, 3: 3}, 6008.0)
     assert cells._merged_tiers(tiers, 50_000) == ({-2: -2, 0: 0, 3: 0}, 6000.0 + 8 * 16**3)
-    assert cells._merged_tiers(tiers, 1e9)[0] == {-2: -2, 0: -2, 3: -2}
+    assert cells._merged_tiers(tiers, 1e9)[0] == {-2: -2, 0: 0, 3: 0}  # two grids further a window would make a million cells
+    assert cells._merged_tiers({-2: (9.0, 9.0), 0: (9.0, 9.0)}, 1e9)[0] == {-2: -2, 0: -2}
     assert cells._merged_tiers({}, 5) == ({}, 0)
 
 

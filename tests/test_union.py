@@ -58,7 +58,7 @@ def test_random_polygons(spark):
 
 
 def test_shuffled_plan(spark):
-    _compare(spark, CASES["around a hole"], Limits(broadcast_rows=0, part_rows=4))
+    _compare(spark, CASES["around a hole"], Limits(broadcast_bytes=0, part_rows=4))
 
 
 def test_parts(spark):

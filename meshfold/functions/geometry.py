@@ -196,9 +196,9 @@ def few_edges_contain_point(polygon_edges: Sql, x: Sql, y: Sql, few: int = 4) ->
 
 
 def polygon_covers_point(polygon_edges: Sql, x: Sql, y: Sql) -> Sql:
-    """Inside or on the boundary: here a point on an edge has a null count too, but counts as covered."""
+    """Inside or on the boundary: here a point on an edge has a null count too, but counts as covered. Null without edges."""
     step = _ray_step("e_", x, y, "n_ + 1", "n_", "CAST(NULL AS INT)")
-    return f"coalesce(aggregate({polygon_edges}, 0, (n_, e_) -> {step}) % 2 = 1, true)"
+    return f"CASE WHEN {polygon_edges} IS NOT NULL THEN coalesce(aggregate({polygon_edges}, 0, (n_, e_) -> {step}) % 2 = 1, true) END"
 
 
 def polygon_distance(polygon_edges: Sql, x: Sql, y: Sql) -> Sql:

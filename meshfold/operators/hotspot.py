@@ -152,8 +152,9 @@ def unit_squares(spark, cube: Cube = Cube()) -> DataFrame:
 
     A point on the line between two squares lies in both.
     """
+    (t0, _), (x0, x1), (y0, y1) = cube.t, cube.cx, cube.cy
     return cube_cells(spark, cube).selectExpr(
-        f"(CAST(t AS BIGINT) * 100000 + (cx - {cube.cx[0]})) * 100000 + (cy - {cube.cy[0]}) AS id",
+        f"((CAST(t AS BIGINT) - {t0}) * {x1 - x0 + 1} + (cx - {x0})) * {y1 - y0 + 1} + (cy - {y0}) AS id",
         "t", "cx", "cy", "CAST(cx AS DOUBLE) AS xmin", "CAST(cx + 1 AS DOUBLE) AS xmax",
         "CAST(cy AS DOUBLE) AS ymin", "CAST(cy + 1 AS DOUBLE) AS ymax",
     )

@@ -26,10 +26,10 @@ HILBERT_BITS = 15
 _STEP_BITS = 3
 _SAMPLE_PER_PARTITION = 1000
 _ACCURACY = 10_000
-_CELLS_PER_SITE, _MAX_CELLS = 64, 65_536
+_CELLS_PER_SITE, _MAX_CELLS = 64, 1 << 20
 
 
-def sample_size(n: int, rows: int) -> int:
+def sample_size(n: int, rows: int) -> int:  # the shares and results are fixed values
     """Rows to sample for n partitions: 1 %, or 0 if that is fewer than n (too small to cut).
 
     -1 when there are not more rows than partitions, which callers refuse.
@@ -48,9 +48,15 @@ class Partitioning:
     n: int
     bounds: tuple[float, float, float, float]  # xmin, xmax, ymin, ymax
     cuts: tuple = field(default=())
+    rows: int = 0  # of the table the cuts were found on
 
     def assign(self, df: DataFrame) -> DataFrame:
-        """``df`` with an INT column ``pid`` in 0 .. n-1."""
+        """``df`` with an INT column ``pid`` in 0 .. n-1; null for rows with a missing coordinate."""
+        x, y = g.box_center(geometry_box(df))
+        known = df.withColumn("known_", x.isNotNull() & y.isNotNull())
+        return self._assigned(known).withColumn("pid", F.when(F.col("known_"), F.col("pid"))).drop("known_")
+
+    def _assigned(self, df: DataFrame) -> DataFrame:
         if self.n == 1:
             return df.withColumn("pid", F.lit(0))
         x, y = g.box_center(geometry_box(df))
@@ -189,8 +195,8 @@ def _percentiles(df: DataFrame, value: str, shares: list[float], by: str | None
     return grouped.agg(F.percentile_approx(value, shares, accuracy).alias("cuts"))
 
 
-def plan_partitions(df: DataFrame, method: str, n: int) -> Partitioning:
-    """Finds the cuts. One partition is made when 1 % of the rows would be fewer than n."""
+def plan_partitions(df: DataFrame, method: str, n: int, collapse: bool = False) -> Partitioning:
+    """Finds the cuts. With ``collapse``, one partition is made when 1 % of the rows would be fewer than n."""
     if method not in METHODS:
         raise ValueError(f"partitioning method must be one of {METHODS}, not {method!r}")
     if n < 1:
@@ -201,29 +207,31 @@ def plan_partitions(df: DataFrame, method: str, n: int) -> Partitioning:
         F.min(around.ymin).alias("ymin"), F.max(around.ymax).alias("ymax"), F.count("*").alias("n"),
     ).first()
     rows = b["n"]
+    if rows and b["xmin"] is None:
+        raise ValueError("no row has a geometry")
     sample = sample_size(n, rows)
     if sample == -1:
         raise ValueError(f"{rows} rows cannot fill {n} partitions; ask for fewer")
     bounds = (b["xmin"], b["xmax"], b["ymin"], b["ymax"])
-    if sample == 0 or n == 1:
-        return Partitioning(method, 1, bounds)
+    if n == 1 or collapse and sample == 0:
+        return Partitioning(method, 1, bounds, rows=rows)
     if method == "equalgrid":
-        return Partitioning(method, n, bounds)
+        return Partitioning(method, n, bounds, rows=rows)
 
     x, y = g.box_center(geometry_box(df))
-    centers = df.select(x.alias("x"), y.alias("y"))
+    centers = df.select(x.alias("x"), y.alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
     wanted = max(sample, n * _SAMPLE_PER_PARTITION)
     if wanted < rows / 2:
         centers = centers.sample(wanted / rows, seed=11)
     if method == "hilbert":
         keys = centers.select(hilbert_key(F.col("x"), F.col("y"), bounds).alias("key"))
         cuts = _percentiles(keys, "key", [i / n for i in range(1, n)]).first()["cuts"]
-        return Partitioning(method, n, bounds, tuple(cuts))
+        return Partitioning(method, n, bounds, tuple(cuts), rows)
     if method == "rtree":
-        return Partitioning(method, n, bounds, _tile_cuts(centers, n))
+        return Partitioning(method, n, bounds, _tile_cuts(centers, n), rows)
     # Distinct places in order of a hash: a random choice that a second run repeats. n rows.
     places = centers.distinct().orderBy(F.xxhash64("x", "y"), "x", "y").limit(n).collect()
-    return Partitioning(method, len(places), bounds, tuple((r["x"], r["y"]) for r in places))
+    return Partitioning(method, len(places), bounds, tuple((r["x"], r["y"]) for r in places), rows)
 
 
 def _tile_cuts(centers: DataFrame, n: int) -> tuple:
@@ -243,9 +251,9 @@ def _tile_cuts(centers: DataFrame, n: int) -> tuple:
     return tuple(x_cuts), tuple(first), tuple(map(tuple, y_cuts))
 
 
-def assign_partitions(df: DataFrame, method: str, n: int) -> DataFrame:
+def assign_partitions(df: DataFrame, method: str, n: int, collapse: bool = False) -> DataFrame:
     """``df`` with its partition id ``pid``."""
-    return plan_partitions(df, method, n).assign(df)
+    return plan_partitions(df, method, n, collapse).assign(df)
 
 
 def partition_bounds(df: DataFrame) -> DataFrame:
@@ -262,8 +270,3 @@ def windows_on_partitions(windows: DataFrame, bounds: DataFrame, window_id: str
     boxes = windows.select(F.col(window_id), *g.box_columns(geometry_box(windows)))
     pairs = rectangles_in_rectangles(bounds, boxes, object_id="pid", window_id=window_id, mode="mbr")
     return pairs.select(F.col("window_id").alias(window_id), F.col("object_id").alias("pid"))
-
-
-def repartitioned(df: DataFrame, n: int) -> DataFrame:
-    """``df`` spread evenly over n Spark partitions."""
-    return df.repartition(n)

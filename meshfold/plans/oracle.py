@@ -189,8 +189,22 @@ def _scores(source: str, ratio: str = _REAL) -> str:
     return f"SELECT cx, cy, t, {_Z.format(ratio=ratio)} AS z, s, s2, w FROM {source}"
 
 
-def _check(table: str) -> str:
-    return f"SELECT CAST(0 AS BIGINT) AS lost, CAST(0 AS BIGINT) AS outside, count(*) AS total FROM {table}"
+_CHECK = "SELECT CAST(0 AS BIGINT) AS {}, CAST(0 AS BIGINT) AS {}, count(*) AS total{} FROM {}"
+
+# The curve from the highest bit of the cell down: the quadrant's place, then the turn into it.
+_HILBERT = """WITH RECURSIVE cells AS (
+      SELECT CAST(least(greatest(floor((x-x0)/((x1-x0)/32768)), 0), 32767) AS BIGINT) AS x,
+             CAST(least(greatest(floor((y-y0)/((y1-y0)/32768)), 0), 32767) AS BIGINT) AS y
+      FROM ({pts}) p CROSS JOIN (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM ({pts}) q) b),
+    h AS (
+      SELECT 16384 AS s, x, y, CAST(0 AS BIGINT) AS d FROM cells
+      UNION ALL
+      SELECT s//2, CASE WHEN ry=0 THEN (CASE WHEN rx=1 THEN 32767-y ELSE y END) ELSE x END,
+             CASE WHEN ry=0 THEN (CASE WHEN rx=1 THEN 32767-x ELSE x END) ELSE y END,
+             d + CAST(s AS BIGINT)*s*(CASE WHEN rx=0 THEN ry ELSE 3-ry END)
+      FROM (SELECT *, CASE WHEN x & s > 0 THEN 1 ELSE 0 END AS rx, CASE WHEN y & s > 0 THEN 1 ELSE 0 END AS ry FROM h) t WHERE s > 0)
+    SELECT CAST(0 AS BIGINT) AS lost, CAST(0 AS BIGINT) AS uneven, count(*) AS total, CAST(0 AS BIGINT) AS disorder,
+      CAST(sum(d) AS BIGINT) AS key_sum FROM h WHERE s = 0"""
 
 
 def _trips(cut: str) -> str:
@@ -218,6 +232,8 @@ SQL: dict[str, str] = {
     "knn_pts": _with("pts", _ranked(_POINT_D, 5)),
     "knn_rects": _with("rects", _ranked(_RECT_D, K_RECTS)),
     "knn_polys": _with("edges", _ranked(_poly_d("edges"), 5)),
+    "knn_pts_some_null": _with("pts", _ranked(_POINT_D.replace("FROM pts", "FROM pts WHERE id % 3 <> 0"), 5)),
+    "knn_polys_some_null": _with("edges", _ranked(_poly_d("edges").replace("GROUP BY gid", "WHERE gid % 3 <> 0 GROUP BY gid"), 5)),
     "knn_pts_pruned": _with("pts", _ranked(_POINT_D, 5)),
     "knn_rects_pruned": _with("rects", _ranked(_RECT_D, K_RECTS)),
     "knn_polys_pruned": _with("smalledges", _ranked(_poly_d("smalledges"), 5)),
@@ -227,6 +243,9 @@ SQL: dict[str, str] = {
     "join_pts_rects_groups": _with("pts rects", """SELECT r.id AS window_id, CAST(0 AS BIGINT) AS part, count(p.id) AS n,
       coalesce(string_agg(CAST(p.id AS VARCHAR), ',' ORDER BY p.id), '') AS objects FROM rects r LEFT JOIN pts p
       ON p.x BETWEEN r.xmin AND r.xmax AND p.y BETWEEN r.ymin AND r.ymax GROUP BY r.id"""),
+    "join_pts_rects_small_groups": _with("pts rects", """SELECT r.id AS window_id, count(p.id) AS n,
+      coalesce(string_agg(CAST(p.id AS VARCHAR), ',' ORDER BY p.id), '') AS objects FROM rects r LEFT JOIN pts p
+      ON p.x BETWEEN r.xmin AND r.xmax AND p.y BETWEEN r.ymin AND r.ymax GROUP BY r.id"""),
     "join_pts_rects_indexed": _with("pts rects", f"SELECT {_PAIRS} FROM {_PTS_RECTS}"),
     "join_rects_rects_contains": _with("rects", f"SELECT b.id AS window_id, a.id AS object_id FROM rects a JOIN rects b ON {_CONTAINS}"),
     "join_rects_rects_intersects": _with("rects", f"SELECT b.id AS window_id, a.id AS object_id FROM rects a JOIN rects b ON {_MEET}"),
@@ -250,6 +269,8 @@ SQL: dict[str, str] = {
       ON p.x BETWEEN c.x-{RADIUS}e0 AND c.x+{RADIUS}e0 AND p.y BETWEEN c.y-{RADIUS}e0 AND c.y+{RADIUS}e0"""),
     "distance_join_count": _with("skew pts", f"""SELECT c.id AS window_id, count(p.id) AS n
       FROM skew c LEFT JOIN pts p ON sqrt({_NEAR}) < 1e0 GROUP BY c.id"""),
+    "distance_join_mbr_count": _with("skew pts", """SELECT c.id AS window_id, count(p.id) AS n
+      FROM skew c LEFT JOIN pts p ON p.x BETWEEN c.x-1e0 AND c.x+1e0 AND p.y BETWEEN c.y-1e0 AND c.y+1e0 GROUP BY c.id"""),
     "distance_join_circles": _with("circles pts", """SELECT c.id AS window_id, p.id AS object_id FROM circles c JOIN pts p
       ON sqrt((p.x-c.cx)*(p.x-c.cx)+(p.y-c.cy)*(p.y-c.cy)) < c.radius"""),
     "boundary_pts": _with("pts", _bounds("pts", "x", "x", "y", "y")),
@@ -271,9 +292,12 @@ SQL: dict[str, str] = {
     "partition_equalgrid": _with("pts", """SELECT CAST(gx*3+gy AS INT) AS pid, count(*) AS n, round(count(*)/(SELECT count(*)*1e0 FROM pts), 6) AS share
       FROM (SELECT least(floor((x-x0)/((x1-x0)/3)), 2) AS gx, least(floor((y-y0)/((y1-y0)/3)), 2) AS gy FROM pts
         CROSS JOIN (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM pts) b) p GROUP BY 1"""),
-    "partition_hilbert_check": _check("orders"),
-    "partition_rtree_check": _check("orders"),
-    "partition_voronoi_check": _check("orders"),
+    "partition_hilbert_check": _HILBERT.format(pts=TABLES["pts"]),
+    "partition_rtree_check": _CHECK.format("lost", "uneven", ", CAST(0 AS BIGINT) AS overlaps", "orders"),
+    "partition_voronoi_check": _CHECK.format("wrong", "empty", "", "orders"),
+    "partition_by_other_table": _with("pts rects", """SELECT CAST(gx*3+gy AS INT) AS pid, count(*) AS n
+      FROM (SELECT greatest(least(floor(((xmin+xmax)/2-x0)/((x1-x0)/3)), 2), 0) AS gx, greatest(least(floor(((ymin+ymax)/2-y0)/((y1-y0)/3)), 2), 0) AS gy
+        FROM rects CROSS JOIN (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM pts) b) p GROUP BY 1"""),
     "partition_windows_check": _with("pts rects", _PTS_RECTS_COUNT),
     "hotspot_counts": _with("counts", "SELECT * FROM counts"),
     "hotspot_gistar_top50": _with("weighted moments", _scores(_GLOBAL) + " ORDER BY z DESC, t, cx, cy LIMIT 50"),
@@ -293,6 +317,8 @@ SQL: dict[str, str] = {
     "load_points_wkt_roundtrip": _with("pbox", "SELECT id, xmin AS x, ymin AS y FROM pbox"),
     "load_rects_roundtrip": _with("rects", "SELECT * FROM rects"),
     "load_rects_wkt_roundtrip": _with("pbox", "SELECT * FROM pbox"),
+    "load_rects_wkt_z_roundtrip": _with("pbox", "SELECT * FROM pbox"),
+    "load_rects_collection_roundtrip": _with("pbox", "SELECT xmin, xmax, ymin, ymax FROM pbox"),
     "load_rects_geojson_roundtrip": _with("pbox", "SELECT xmin, xmax, ymin, ymax FROM pbox"),
     "load_polygons_csv_roundtrip": _with("polyv", "SELECT gid AS id, k, vx, vy FROM polyv"),
     "load_polygons_wkt_roundtrip": _with("polyv", "SELECT gid AS id, k, vx, vy FROM polyv"),

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
 from meshfold.operators import aggregate, hotspot, join, knn, layout, partition, range_query, union
 from meshfold.plans import oracle
-from meshfold.session import shared_folder, spread
+from meshfold.session import new_folder, spread
 from meshfold.sources import readers, tables, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +28,7 @@ def query(f: Query) -> Query:
 
 
 def _new_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    return new_folder(spark, "query")
 
 
 # ---------------------------------------------------------------- range
@@ -113,6 +112,18 @@ def knn_polys(spark, sf):
     return _ranked(knn.knn_polygons(spread(tables.polygons(spark, sf)), CENTER, 5))
 
 
+@query
+def knn_pts_some_null(spark, sf):
+    """Among points a third of which have no x."""
+    return _ranked(knn.knn_points(tables.spread_points(spark, sf).withColumn("x", F.expr("CASE WHEN id % 3 <> 0 THEN x END")), CENTER, 5))
+
+
+@query
+def knn_polys_some_null(spark, sf):
+    """Among polygons a third of which have no rings."""
+    return _ranked(knn.knn_polygons(tables.polygons(spark, sf).withColumn("rings", F.expr("CASE WHEN id % 3 <> 0 THEN rings END")), CENTER, 5))
+
+
 @query
 def knn_pts_pruned(spark, sf):
     stored = layout.write_clustered(tables.spread_points(spark, sf), _new_folder(spark), "rtree", N_PARTITIONS)
@@ -156,6 +167,15 @@ def join_pts_rects_groups(spark, sf):
     return groups.select("window_id", "part", "n", F.array_join("objects", ",").alias("objects"))
 
 
+@query
+def join_pts_rects_small_groups(spark, sf):
+    """The groups in parts of about three ids, put together again."""
+    rects = tables.rectangles(spark, sf)
+    groups = join.group_per_window(join.points_in_rectangles(tables.spread_points(spark, sf), rects), rects, chunk=3)
+    whole = groups.groupBy("window_id").agg(F.sum("n").alias("n"), F.array_sort(F.flatten(F.collect_list("objects"))).alias("objects"))
+    return whole.select("window_id", "n", F.array_join("objects", ",").alias("objects"))
+
+
 @query
 def join_pts_rects_indexed(spark, sf):
     rects = tables.rectangles(spark, sf)
@@ -222,6 +242,13 @@ def distance_join_count(spark, sf):
     return join.count_per_window(join.distance_join(points, centers, 1.0), centers)
 
 
+@query
+def distance_join_mbr_count(spark, sf):
+    points = tables.spread_points(spark, sf)
+    centers = tables.clustered_points(spark, sf)
+    return join.count_per_window(join.distance_join(points, centers, 1.0, mode="mbr"), centers)
+
+
 @query
 def distance_join_circles(spark, sf):
     """Each circle has its own radius."""
@@ -311,33 +338,60 @@ def partition_equalgrid(spark, sf):
     return shares.withColumn("share", F.round("share", 6))
 
 
-def _partition_check(spark: SparkSession, sf: str, method: str) -> DataFrame:
-    """(lost, outside, total): rows without a partition, rows outside their partition's bounds, all rows."""
-    points = tables.spread_points(spark, sf)
-    placed = partition.assign_partitions(points, method, N_PARTITIONS)
-    bounds = partition.partition_bounds(placed).select("pid", *g.BOX)
-    inside = g.box_contains_point(g.box(), F.col("x"), F.col("y"))
-    checked = placed.join(F.broadcast(bounds), "pid", "left").agg(  # at most N_PARTITIONS rows
-        F.count(F.when(F.col("xmin").isNull() | ~F.col("pid").between(0, N_PARTITIONS - 1), 1)).alias("lost"),
-        F.count(F.when(~inside, 1)).alias("outside"),
-        F.count("*").alias("total"),
+def _shares(placed: DataFrame) -> DataFrame:
+    """One row: (lost, uneven, total): rows without a partition of 0 .. N_PARTITIONS - 1, partitions whose share is over 10 % off, all rows."""
+    counts = placed.groupBy("pid").agg(F.count("*").alias("n"))
+    known = F.col("pid").between(0, N_PARTITIONS - 1)
+    even = F.abs(F.col("n") / F.sum("n").over(Window.partitionBy()) * N_PARTITIONS - 1) <= 0.1  # at most N_PARTITIONS + 1 rows
+    marked = counts.select("n", F.coalesce(known, F.lit(False)).alias("known"), even.alias("even"))
+    return marked.agg(
+        F.sum(F.when(F.col("known"), 0).otherwise(F.col("n"))).cast("bigint").alias("lost"),
+        (F.lit(N_PARTITIONS).cast("bigint") - F.count(F.when(F.col("known") & F.col("even"), 1))).alias("uneven"),
+        F.sum("n").alias("total"),
     )
-    return checked
 
 
 @query
 def partition_hilbert_check(spark, sf):
-    return _partition_check(spark, sf, "hilbert")
+    """(lost, uneven, total, disorder, key_sum): also partitions whose curve keys overlap the next one's, and the sum of all keys."""
+    points = tables.spread_points(spark, sf)
+    plan = partition.plan_partitions(points, "hilbert", N_PARTITIONS)
+    placed = plan.assign(points).withColumn("key", partition.hilbert_key(F.col("x"), F.col("y"), plan.bounds))
+    ranges = placed.groupBy("pid").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.sum("key").alias("keys"))
+    after = F.lead("low").over(Window.orderBy("pid"))  # at most N_PARTITIONS + 1 rows
+    order = ranges.select("keys", (F.col("high") >= after).alias("bad")).agg(
+        F.count(F.when(F.col("bad"), 1)).alias("disorder"), F.sum("keys").alias("key_sum"))
+    return _shares(placed).crossJoin(order)  # one row each
 
 
 @query
 def partition_rtree_check(spark, sf):
-    return _partition_check(spark, sf, "rtree")
+    """(lost, uneven, total, overlaps): also pairs of partitions whose members' bounds overlap by more than a line."""
+    points = tables.spread_points(spark, sf)
+    placed = partition.assign_partitions(points, "rtree", N_PARTITIONS)
+    a, b = (partition.partition_bounds(placed).select("pid", *g.BOX).alias(n) for n in "ab")
+    meet = F.expr("a.pid < b.pid AND a.xmin < b.xmax AND b.xmin < a.xmax AND a.ymin < b.ymax AND b.ymin < a.ymax")
+    return _shares(placed).crossJoin(a.join(b, meet).agg(F.count("*").alias("overlaps")))  # N_PARTITIONS rows with themselves
 
 
 @query
 def partition_voronoi_check(spark, sf):
-    return _partition_check(spark, sf, "voronoi")
+    """(wrong, empty, total): rows for which another site is nearer, sites without rows, all rows."""
+    points = tables.spread_points(spark, sf)
+    plan = partition.plan_partitions(points, "voronoi", N_PARTITIONS)
+    squares = [(F.col("x") - x) * (F.col("x") - x) + (F.col("y") - y) * (F.col("y") - y) for x, y in plan.cuts]
+    own = F.get(F.array(*squares), F.col("pid"))
+    counts = plan.assign(points).groupBy("pid").agg(F.count("*").alias("n"), F.count(F.when(own <= F.least(*squares), 1)).alias("right"))
+    return counts.agg(
+        F.sum(F.col("n") - F.col("right")).alias("wrong"),
+        (F.lit(len(plan.cuts)).cast("bigint") - F.count(F.when(F.col("right") > 0, 1))).alias("empty"), F.sum("n").alias("total"))
+
+
+@query
+def partition_by_other_table(spark, sf):
+    """(pid, n): rectangles on the grid found on the points."""
+    plan = partition.plan_partitions(tables.spread_points(spark, sf), "equalgrid", 9)
+    return plan.assign(tables.rectangles(spark, sf)).groupBy("pid").agg(F.count("*").alias("n"))
 
 
 @query
@@ -463,6 +517,25 @@ def load_rects_wkt_roundtrip(spark, sf):
     return _reload(lines, readers.load_rectangles, "wkt", id_column=1).select("id", *g.BOX)
 
 
+@query
+def load_rects_wkt_z_roundtrip(spark, sf):
+    """With a height in every position, which the bounds pass over."""
+    polys = tables.polygons(spark, sf)
+    raised = F.regexp_replace(writers.wkt(polys), "(-?[0-9.E-]+) (-?[0-9.E-]+)", "$1 $2 250.5")
+    lines = polys.select(F.concat_ws("\t", F.regexp_replace(raised, "^POLYGON", "POLYGON Z"), "id"))
+    return _reload(lines, readers.load_rectangles, "wkt", id_column=1).select("id", *g.BOX)
+
+
+@query
+def load_rects_collection_roundtrip(spark, sf):
+    """Each polygon as the only member of a GeometryCollection, with heights."""
+    json = writers.as_geojson(tables.polygons(spark, sf))
+    column = json.columns[0]
+    raised = F.regexp_replace(column, r"\[(-?[0-9.E-]+),\s*(-?[0-9.E-]+)\]", "[$1,$2,-77]")
+    lines = json.select(F.concat(F.lit('{"type":"GeometryCollection","geometries":['), raised, F.lit("]}")))
+    return _reload(lines, readers.load_rectangles, "geojson").select(*g.BOX)
+
+
 @query
 def load_rects_geojson_roundtrip(spark, sf):
     lines = writers.as_geojson(tables.polygons(spark, sf))

@@ -17,7 +17,12 @@ from meshfold.functions import geometry as g
 # Field separators per text format; WKT sits in a column of a tab-separated line (fixed values).
 SEPARATORS = {"csv": ",", "tsv": "\t", "wkt": "\t"}
 FORMATS = ("csv", "tsv", "wkt", "geojson")
-_NUMBER = r"[-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?"
+_NUMBER = r"[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?"
+# A position: x and y, and further ordinates that are passed over.
+_POSITION = {
+    "wkt": rf"({_NUMBER})\s+({_NUMBER})(?:\s+{_NUMBER})*",
+    "geojson": rf"\[\s*({_NUMBER})\s*,\s*({_NUMBER})(?:\s*,\s*{_NUMBER})*\s*\]",
+}
 _POSITIONS = "array<array<double>>"
 
 
@@ -26,8 +31,7 @@ def _lines(
 ) -> DataFrame:
     if fmt not in FORMATS:
         raise ValueError(f"input format must be one of {FORMATS}, not {fmt!r}")
-    if malformed not in ("fail", "drop"):
-        raise ValueError(f"malformed must be 'fail' or 'drop', not {malformed!r}")
+    _check_malformed(malformed)
     lines = spark.read.text(path).withColumnRenamed("value", "user_data")
     if id_column is None:
         lines = lines.withColumn("id", F.monotonically_increasing_id())
@@ -48,34 +52,28 @@ def _double(fmt: str, at: int) -> Column:
 
 
 def _checked(df: DataFrame, columns: list[str], malformed: str) -> DataFrame:
-    """Every column in ``columns`` must have been read."""
+    """Every column in ``columns`` must have been read. The check is a filter: it runs whatever columns are read later."""
     bad = F.lit(False)
     for name in columns:
         bad = bad | F.col(name).isNull()
     if malformed == "drop":
         return df.where(~bad)
     message = F.concat(F.lit("cannot read a geometry from line: "), F.substring("user_data", 1, 200))
-    first = columns[0]
-    failing = F.when(bad, F.raise_error(message).cast(df.schema[first].dataType)).otherwise(F.col(first))
-    return df.withColumn(first, failing)
-
-
-def _numbers(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(f"({_NUMBER})"), F.lit(1)), lambda n: n.try_cast("double"))
+    return df.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True))
 
 
 def _coordinate_text(fmt: str, offset: int) -> Column:
-    """The part of the line that holds coordinates, for geometries of any type."""
+    """The part of the line that holds coordinates, for geometries of any type, collections included."""
     if fmt == "wkt":
         return _field("wkt", offset)
-    return F.get_json_object("user_data", "$.coordinates")
+    parts = (F.get_json_object("user_data", f"$.{key}") for key in ("coordinates", "geometries"))
+    return F.coalesce(*parts)
 
 
 def _text_box(fmt: str, offset: int) -> g.Box:
-    """Bounds of all coordinates of a two-dimensional WKT or GeoJSON geometry."""
-    numbers = _numbers(_coordinate_text(fmt, offset))
-    xs = F.filter(numbers, lambda _, i: i % 2 == 0)
-    ys = F.filter(numbers, lambda _, i: i % 2 == 1)
+    """Bounds of all positions of a WKT or GeoJSON geometry in x and y."""
+    text = _coordinate_text(fmt, offset)
+    xs, ys = (F.transform(F.regexp_extract_all(text, F.lit(_POSITION[fmt]), F.lit(i)), lambda n: n.try_cast("double")) for i in (1, 2))
     return g.Box(F.array_min(xs), F.array_max(xs), F.array_min(ys), F.array_max(ys))
 
 
@@ -163,25 +161,48 @@ def _wkt_vertex(text: Column) -> Column:
     return _vertex(F.get(parts, F.lit(0)).try_cast("double"), F.get(parts, F.lit(1)).try_cast("double"))
 
 
-def load_step_points(spark: SparkSession, path: str) -> DataFrame:
+def _step_lines(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    raw = spark.read.text(path).withColumnRenamed("value", "user_data")
+    numbers = [_double("csv", i + 1).alias(n) for i, n in enumerate(names)]
+    return raw.select("user_data", F.trim(_field("csv", 0)).try_cast("int").alias("t"), *numbers)
+
+
+def _check_malformed(malformed: str) -> None:
+    if malformed not in ("fail", "drop"):
+        raise ValueError(f"malformed must be 'fail' or 'drop', not {malformed!r}")
+
+
+def load_step_points(spark: SparkSession, path: str, malformed: str = "fail") -> DataFrame:
     """(t, x, y) from CSV lines ``t,x,y``."""
-    return spark.read.csv(path, schema="t INT, x DOUBLE, y DOUBLE", mode="FAILFAST")
+    _check_malformed(malformed)
+    return _checked(_step_lines(spark, path, ["x", "y"]), ["t", "x", "y"], malformed).drop("user_data")
 
 
-def load_step_rectangles(spark: SparkSession, path: str) -> DataFrame:
+def load_step_rectangles(spark: SparkSession, path: str, malformed: str = "fail") -> DataFrame:
     """(t, xmin, xmax, ymin, ymax) from CSV lines ``t,x1,y1,x2,y2``, corners in any order."""
-    raw = spark.read.csv(path, schema="t INT, x1 DOUBLE, y1 DOUBLE, x2 DOUBLE, y2 DOUBLE", mode="FAILFAST")
+    _check_malformed(malformed)
+    corners = ["x1", "y1", "x2", "y2"]
+    raw = _checked(_step_lines(spark, path, corners), ["t", *corners], malformed)
     return raw.select(
         "t", F.least("x1", "x2").alias("xmin"), F.greatest("x1", "x2").alias("xmax"),
         F.least("y1", "y2").alias("ymin"), F.greatest("y1", "y2").alias("ymax"),
     )
 
 
-def load_trips(spark: SparkSession, path: str, time: int = 1, lon: int = 5, lat: int = 6) -> DataFrame:
-    """(pickup, lon, lat) from CSV trip records; the arguments are column positions. Lines that do not parse,
-    such as a header, are left out."""
+def load_trips(
+    spark: SparkSession, path: str, time: int = 1, lon: int = 5, lat: int = 6, header: bool = False, malformed: str = "fail",
+) -> DataFrame:
+    """(pickup, lon, lat) from CSV trip records; the numbers are column positions.
+
+    With ``header``, lines equal to the first line of the first file are left out: each file may begin with it.
+    """
+    _check_malformed(malformed)
     raw = spark.read.text(path).withColumnRenamed("value", "user_data")
-    return raw.select(
-        _field("csv", time).try_cast("timestamp").alias("pickup"),
+    if header:
+        first = raw.first()
+        raw = raw.where(F.col("user_data") != (first["user_data"] if first else ""))
+    parsed = raw.select(
+        "user_data", _field("csv", time).try_cast("timestamp").alias("pickup"),
         _double("csv", lon).alias("lon"), _double("csv", lat).alias("lat"),
-    ).dropna()
+    )
+    return _checked(parsed, ["pickup", "lon", "lat"], malformed).drop("user_data")

@@ -71,15 +71,6 @@ def polygons(spark: SparkSession, folder: str) -> DataFrame:
     return centers.select("id", F.array(ring).alias("rings"))
 
 
-def polygon_windows(spark: SparkSession, folder: str) -> DataFrame:
-    """(id, xmin, xmax, ymin, ymax): the squares the polygons fill."""
-    return (
-        table(spark, folder, "supplier")
-        .selectExpr("s_suppkey AS id", f"{POLY_X} AS px", f"{POLY_Y} AS py", "3+s_suppkey%7 AS r")
-        .selectExpr("id", "px-r AS xmin", "px+r AS xmax", "py-r AS ymin", "py+r AS ymax")
-    )
-
-
 def small_polygons(spark: SparkSession, folder: str) -> DataFrame:
     """(id, rings): small diamonds."""
     centers = table(spark, folder, "part").selectExpr(
@@ -88,11 +79,6 @@ def small_polygons(spark: SparkSession, folder: str) -> DataFrame:
     return centers.select("id", F.array(_ring(DIAMOND, "px", "py", "r")).alias("rings"))
 
 
-def with_box(df: DataFrame) -> DataFrame:
-    """Adds ``xmin .. ymax`` to a polygon table."""
-    return df.select("*", *g.box_columns(g.rings_box("rings")))
-
-
 def step_cells(spark: SparkSession, folder: str) -> DataFrame:
     """(id, t, cx, cy): events placed into the hot-spot cube."""
     return table(spark, folder, "events").selectExpr(

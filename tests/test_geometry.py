@@ -21,6 +21,7 @@ def lit(*values):
     return [F.lit(float(v)) for v in values]
 
 
+# Circles and boxes with known answers.
 @pytest.mark.parametrize("circle, window, meets", [
     ((0.0, 0.0, 0.1), (-0.1, 0.1, -0.1, 0.1), True),
     ((-0.1, 0.0, 0.1), (-0.1, 0.1, -0.1, 0.1), True),

@@ -83,3 +83,9 @@ def test_binning(spark, binning, cell):
     assert hotspot.trips_in_box(trips.selectExpr("pickup", "lat + 1 AS lat", "lon")).count() == 0
     with pytest.raises(ValueError):
         hotspot.trip_cells(trips, binning="up")
+
+
+def test_squares_of_a_long_axis_have_ids_of_their_own(spark):
+    cube = hotspot.Cube(t=(1, 2), cx=(0, 2), cy=(0, 100_001))
+    squares = hotspot.unit_squares(spark, cube)
+    assert squares.select("id").distinct().count() == cube.n

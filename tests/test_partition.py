@@ -10,6 +10,7 @@ from meshfold.operators import aggregate, knn, layout, partition, range_query
 METHODS = partition.METHODS
 
 
+# Sample sizes by partitions and rows.
 @pytest.mark.parametrize("n, rows, size", [
     (2, 10, 0), (2, 100, 0), (2, 1010, 10), (2, 1110, 11), (5, 1000, 10), (5, 10000, 100), (5, 10001, 100),
     (5, 100011, 1000), (6, 100011, 1000), (10, 10, -1), (11, 10, -1),
@@ -74,7 +75,29 @@ def test_refusals(spark, spread_points):
         partition.assign_partitions(spread_points, "quadtree", 4)
     with pytest.raises(ValueError):
         partition.assign_partitions(spread_points, "rtree", 1_000_000)
-    assert partition.assign_partitions(spread_points, "rtree", 61).select("pid").distinct().count() == 1  # 1 % is too few
+    assert partition.assign_partitions(spread_points, "rtree", 61).select("pid").distinct().count() == 61
+    assert partition.assign_partitions(spread_points, "rtree", 61, collapse=True).select("pid").distinct().count() == 1  # 1 % is too few
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_missing_coordinates_have_no_partition(spark, method):
+    rows = [(i, float(i % 20), float(i // 20)) for i in range(400)] + [(400, None, 1.0), (401, 2.0, None)]
+    table = spark.createDataFrame(rows, "id long, x double, y double")
+    placed = partition.assign_partitions(table, method, 4)
+    assert {r["id"] for r in placed.where("pid IS NULL").collect()} == {400, 401}
+    assert placed.where("pid IS NOT NULL").count() == 400
+
+
+def test_searches_pass_over_missing_geometry(spark, tmp_path):
+    rows = [(i, float(i % 20), float(i // 20)) for i in range(400)] + [(400, None, 1.0), (-1, None, None)]
+    table = spark.createDataFrame(rows, "id long, x double, y double")
+    assert [r["id"] for r in knn.knn_points(table, (0, 0), 1).collect()] == [0]
+    stored = layout.write_clustered(table, str(tmp_path / "points"), "rtree", 4)
+    for k in (1, 30, 400, 500):
+        assert sorted(r["id"] for r in stored.knn_points((3, 3), k).collect()) == sorted(r["id"] for r in knn.knn_points(table, (3, 3), k).collect())
+    shapes = polygons(spark, {i: square(i, 0, 0.5) for i in range(20)}).withColumn("rings", F.expr("CASE WHEN id > 4 THEN rings END"))
+    assert [r["id"] for r in knn.knn_polygons(shapes, (0, 0), 3).orderBy("id").collect()] == [5, 6, 7]
+    assert knn.knn_polygons(shapes, (0, 0), 30).count() == 15
 
 
 def test_shares(spark):
@@ -138,5 +161,4 @@ def test_boundaries(spark):
     assert [(r["x"], r["y"]) for r in aggregate.circle_centers(circles).orderBy("id").collect()] == [(0, 0), (10, 0)]
     with pytest.raises(ValueError):
         aggregate.boundary(spark.range(3))
-    assert partition.repartitioned(spark.range(100), 7).rdd.getNumPartitions() == 7
     assert set(g.BOX) <= set(aggregate.bounding_boxes(circles).columns)

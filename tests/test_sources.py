@@ -89,7 +89,7 @@ def test_steps_and_trips(spark, text):
     rects = readers.load_step_rectangles(spark, text("tr.csv", "3,9,2,1,8"))
     assert _rows(rects, "t", "xmin", "xmax", "ymin", "ymax") == [(3, 1, 9, 2, 8)]
     trips = text("trips.csv", "id,pickup,a,b,c,lon,lat", "1,2015-01-13 08:00:00,x,1,2,-73.99,40.7")
-    rows = readers.load_trips(spark, trips).collect()
+    rows = readers.load_trips(spark, trips, header=True).collect()
     assert [(r["pickup"].day, r["lon"], r["lat"]) for r in rows] == [(13, -73.99, 40.7)]
 
 
@@ -110,3 +110,29 @@ def test_written_text(spark, tmp_path):
     assert json.loads(writers.as_geojson(rects).first()["json"])["type"] == "Polygon"
     writers.save_lines(rects, str(tmp_path / "lines"), "\t")
     assert spark.read.text(str(tmp_path / "lines")).first()["value"] == "0\t0.0\t2.0\t1.0\t4.0"
+
+
+@pytest.mark.parametrize("load, fmt, good, bad", [
+    (readers.load_points, "csv", "1,2", "1,north"), (readers.load_rectangles, "tsv", "1\t2\t3\t4", "1\t2\t3"),
+    (readers.load_polygons, "csv", "0,0,1,0,1,1", "0,0,1,0"),
+    (readers.load_step_points, None, "1,2,3", "x,2,3"), (readers.load_step_rectangles, None, "1,2,3,4,5", "1,2,3,,5"),
+    (readers.load_trips, None, "1,2015-01-13 08:00:00,x,1,2,-73.99,40.7", "header"),
+])
+def test_a_bad_line_stops_every_read(spark, text, load, fmt, good, bad):
+    path = text("lines", good, bad)
+    args = (spark, path) if fmt is None else (spark, path, fmt)
+    found = load(*args)
+    for read in (found.count, found.select(found.columns[-1]).collect, found.select(found.columns[0]).collect):
+        with pytest.raises(Exception, match="cannot read a geometry"):
+            read()
+    assert load(*args, malformed="drop").count() == 1
+
+
+def test_heights_and_collections(spark, text):
+    lines = text("z.wkt", "POINT Z (1 2 99)", "POLYGON Z ((0 0 7, 4. 0 7, 4 .5 700, 0 0 7))", "GEOMETRYCOLLECTION (POINT (9 8), LINESTRING (1 -1, 2 2))")
+    expected = [(0, 4, 0, 0.5), (1, 1, 2, 2), (1, 9, -1, 8)]
+    assert _rows(readers.load_rectangles(spark, lines, "wkt"), "xmin", "xmax", "ymin", "ymax") == expected
+    assert _rows(readers.load_points(spark, lines, "wkt"), "x", "y") == [(0, 0), (1, -1), (1, 2)]
+    json_lines = text("z.json", '{"type":"Point","coordinates":[1,2,99]}', '{"type":"LineString","coordinates":[[0,0.5,9],[4,0,9]]}',
+                      '{"type":"GeometryCollection","geometries":[{"type":"Point","coordinates":[9,8]},{"type":"Point","coordinates":[1,-1,5]}]}')
+    assert _rows(readers.load_rectangles(spark, json_lines, "geojson"), "xmin", "xmax", "ymin", "ymax") == expected

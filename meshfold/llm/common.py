@@ -6,35 +6,52 @@ in tiles of bounded size, ranks are counted in slices, and components are found
 
 from __future__ import annotations
 
-import uuid
+import atexit
+import os
+import shutil
+import site
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meshfold.session import shared_folder
+from meshfold.session import new_folder, stored  # noqa: F401  (for the operators)
 
 #: Members of a run compared in one task at once; larger runs are dealt in pairs of tiles.
 TILE = 8192
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that the session names in ``spark.checkpoint.dir``."""
-    return f"{shared_folder(spark)}/meshfold-{name}-{uuid.uuid4().hex}"
+def prepare(spark: SparkSession) -> None:
+    """Bounds Arrow batches to 1,000 rows, so that long texts fit a worker, and sees that workers find this package.
+
+    An installed package, or one on PYTHONPATH or in the working folder, is found anyway; else a session gets it once, as ``--py-files`` would do.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    root = Path(__file__).resolve().parents[2]
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep), *site.getsitepackages()]
+    if any(p and Path(p).resolve() == root for p in known) or spark.sparkContext.applicationId in _sent:
+        return
+    folder = tempfile.mkdtemp()  # the driver serves the file from there to the end
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/meshfold.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted((root / "meshfold").rglob("*.py")):
+            out.write(file, file.relative_to(root))
+    spark.sparkContext.addPyFile(archive)
+    _sent.add(spark.sparkContext.applicationId)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back: its lineage is cut, lost executors don't matter."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+_sent: set[str] = set()
 
 
 def bounded_scan(df: DataFrame, *columns: str) -> DataFrame:
-    """The columns alone, as rows for Arrow. A batch holds at most 1,000 rows, so that long texts fit a worker."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    """The columns alone, for a scan in Python."""
+    prepare(df.sparkSession)
     return df.select(*columns)
 
 

@@ -31,7 +31,7 @@ _BAD = re.compile(
 _GOOD = re.compile(r"(?<![a-z])(?:article|story|post|entry|main|content|body|text)(?![a-z])", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 # Costs, in hundredths. A hint of boilerplate weighs more than all edges of a block together.
-HINT_BAD, HINT_GOOD, IN_ARTICLE, HEADER, LINKED, ENDED, ADJACENT, SIBLING = 2000, 120, 700, 400, 500, 80, 200, 150
+HINT_BAD, HINT_GOOD, IN_ARTICLE, HEADER, LINKED, ENDED, ADJACENT, SIBLING = 2000, 300, 700, 400, 500, 80, 200, 150
 # Without an article element, a block's cost rises with its length from the first value by the second a character, up to the third.
 BARE, CHARACTER, FULL = -160, 3, 160
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meshfold.llm.common import stored
+from meshfold.llm.common import prepare, stored
 
 #: Curves; axes each projects to and bits of an axis (their product fits a long).
 CURVES, AXES, BITS, SEED = 32, 12, 4, 11
@@ -160,7 +160,7 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20, curves: int = CURVES
     result; further columns are not read.
     """
     spark = table.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    prepare(spark)
     rows = stored(valid_vectors(table, vec_id, embedding), "vectors")
     is_query = F.pmod("vec_id", F.lit(every)) == 0
     firsts = rows.withColumn("n", F.row_number().over(Window.partitionBy("vec").orderBy("vec_id"))).where(F.col("n") <= k + 1)

@@ -6,11 +6,12 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfold.llm.common import bounded_scan, new_folder, stored
+from meshfold.llm.common import bounded_scan, new_folder, prepare, stored
 
 # Fixed values of the format.
 VERSION, CRLF, END = "WARC/1.1", "\r\n", "\r\n\r\n"
@@ -136,26 +137,40 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     A file is read by one task as a stream and parsed by the records' lengths, so blocks may hold anything, and no more than a record
     is held. A file that is cut off or no archive stops the read.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    prepare(spark)
     lines = spark.read.option("lineSep", "\n").text(path).select(F.input_file_name().alias("file"), F.col("value").cast("binary").alias("line"))
     names = ("warc-type", "warc-record-id", "warc-concurrent-to", "warc-refers-to", "warc-target-uri", "warc-payload-digest")
 
-    def records(found) -> Iterator[pa.RecordBatch]:
-        for headers, block in found:
-            columns = [pa.array([headers.get(n)], pa.string()) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([block], pa.binary())], ["type", "record_id", "concurrent_to", "refers_to", "target_uri", "digest", "block"])
+    fields = ["type", "record_id", "concurrent_to", "refers_to", "target_uri", "digest", "block"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_, parser = None, None
+        open_, parser, rows, size = None, None, [], 0
+
+        def out() -> pa.RecordBatch:
+            columns = list(zip(*rows)) or [()] * 7
+            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in columns[:-1]), pa.array(columns[-1], pa.binary())], fields)
+
         for batch in batches:
-            for file, line in zip(batch.column("file"), batch.column("line")):
-                if (file := file.as_py()) != open_:
+            lines_, file = batch.column("line").to_pylist(), batch.column("file").dictionary_encode()
+            number = file.indices.to_numpy()
+            cuts = [0, *(np.flatnonzero(number[1:] != number[:-1]) + 1).tolist(), len(lines_)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if (name := file.dictionary[number[a]].as_py()) != open_:
                     if parser:
                         parser.close()
-                    open_, parser = file, Parser()
-                yield from records(parser.feed(line.as_py() + b"\n"))
+                    open_, parser = name, Parser()
+                for headers, block in parser.feed(b"\n".join(lines_[a:b]) + b"\n"):
+                    rows.append((*map(headers.get, names), block))
+                    size += len(block)
+                    if len(rows) == 1000 or size > 4 << 20:
+                        yield out()
+                        rows.clear()
+                        size = 0
         if parser:
             parser.close()
+        yield out()
 
     return lines.mapInArrow(scan, RECORDS)
 
@@ -163,30 +178,39 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 def assemble(records: DataFrame, payloads: bool = True) -> DataFrame:
     """One nested row per capture: (capture_id, url, request, response, metadata), joined through concurrent-to identifiers.
 
-    response is the response or revisit record: struct(type, refers_to, payload_bytes, payload_digest[, payload]), of a revisit with the
+    response is the response or revisit record: struct(type, refers_to, target_uri, payload_bytes, payload_digest[, payload]), of a revisit with the
     digest of its header; request is the head sent, metadata a map of its fields. A capture without a request or metadata record has null
-    there; of several the first in order of block is taken. ``payloads=False`` leaves the payload out of the joins.
+    there, of several the first in order of text is taken; records that name no capture, or one that isn't there, are left out. Records meet
+    in one shuffle on the identifier, with digests in place of payloads unless ``payloads`` is set.
     """
+    names = ["capture_id", "type", "text", "main"]
+    parts = "type: string, refers_to: string, target_uri: string, payload_bytes: long, payload_digest: string" + ", payload: binary" * payloads
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds, blocks, digests = (batch.column(c).to_pylist() for c in ("type", "block", "digest"))
-            bodies = [b.partition(b"\r\n\r\n")[2] for b in blocks]
-            size = [len(p) if k == "response" else None for k, p in zip(kinds, bodies)]
-            digest = [payload_digest(p) if k == "response" else (d or "").removeprefix("sha1:") or None for k, p, d in zip(kinds, bodies, digests)]
-            out = [batch.column(c) for c in ("record_id", "type", "refers_to", "target_uri")] + [pa.array(size, pa.int64()), pa.array(digest, pa.string())]
-            if payloads:
-                out.append(pa.array([p if k == "response" else None for k, p in zip(kinds, bodies)], pa.binary()))
-            yield pa.RecordBatch.from_arrays(out, names)
-
-    names = ["record_id", "type", "refers_to", "target_uri", "payload_bytes", "payload_digest"] + ["payload"] * payloads
-    schema = "record_id string, type string, refers_to string, target_uri string, payload_bytes long, payload_digest string" + ", payload binary" * payloads
-    main = records.where("type IN ('response', 'revisit')").select("record_id", "type", "refers_to", "target_uri", "digest", "block").mapInArrow(scan, schema)
-    beside = records.where("type IN ('request', 'metadata') AND concurrent_to IS NOT NULL").select("type", "concurrent_to", F.col("block").cast("string").alias("text"))
-    first = lambda kind: F.min(F.when(F.col("type") == kind, F.col("text")))
-    beside = beside.groupBy(F.col("concurrent_to").alias("record_id")).agg(first("request").alias("request"), first("metadata").alias("fields"))
-    metadata = F.expr(r"str_to_map(rtrim('\r\n', fields), '\r\n', ': ')")
-    response = F.struct("type", "refers_to", "payload_bytes", "payload_digest", *["payload"] * payloads)
-    return main.join(beside, "record_id", "left").select(F.col("record_id").alias("capture_id"), F.col("target_uri").alias("url"), "request", response.alias("response"), metadata.alias("metadata"))
+            keys, texts, main = [], [], []
+            for r in batch.to_pylist():
+                kind, block = r["type"], r["block"]
+                own = kind in ("response", "revisit")
+                keys.append(r["record_id"] if own else r["concurrent_to"] if kind in ("request", "metadata") else None)
+                texts.append(None if own else block.decode("utf-8", "replace"))
+                payload = block.partition(b"\r\n\r\n")[2] if kind == "response" else None
+                found = {"type": kind, "refers_to": r["refers_to"], "target_uri": r["target_uri"]}
+                if payload is None:
+                    found |= {"payload_bytes": None, "payload_digest": (r["digest"] or "").removeprefix("sha1:") or None}
+                else:
+                    found |= {"payload_bytes": len(payload), "payload_digest": payload_digest(payload)}
+                main.append((found | {"payload": payload} if payloads else found) if own else None)
+            kinds = [("type", pa.string()), ("refers_to", pa.string()), ("target_uri", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())]
+            struct = pa.struct(kinds + [("payload", pa.binary())] * payloads)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), batch.column("type"), pa.array(texts, pa.string()), pa.array(main, struct)], names)
+
+    needed = ["type", "record_id", "concurrent_to", "refers_to", "target_uri", "digest", "block"]
+    found = records.select(*needed).mapInArrow(scan, f"capture_id string, type string, text string, main struct<{parts}>").where("capture_id IS NOT NULL")
+    first = lambda kind: F.min(F.when(F.col("type") == kind, F.col("text"))).alias(kind)
+    joined = found.groupBy("capture_id").agg(F.min("main").alias("response"), first("request"), first("metadata")).where("response IS NOT NULL")
+    fields = F.expr(r"str_to_map(rtrim('\r\n', metadata), '\r\n', ': ')")
+    return joined.select("capture_id", F.col("response.target_uri").alias("url"), "request", "response", fields.alias("metadata"))
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

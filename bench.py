@@ -12,8 +12,9 @@ import statistics
 import sys
 import time
 
-from meshfold.plans.queries import QUERIES
-from meshfold.session import local_session
+from meshfold.operators import join, knn, layout
+from meshfold.plans.queries import CENTER, K_RECTS, N_PARTITIONS, QUERIES, W2
+from meshfold.session import local_session, new_folder
 from meshfold.sources import tables
 
 HEADLINE = [
@@ -37,6 +38,18 @@ def plain(spark, sf):
     }
 
 
+def indexed(spark, sf):
+    """Range, kNN and join over layouts that are written beforehand, next to the same over plain tables in HEADLINE."""
+    rects, points = tables.rectangles(spark, sf), tables.spread_points(spark, sf)
+    by_rects = layout.write_clustered(rects, new_folder(spark, "bench"), "hilbert", N_PARTITIONS)
+    by_points = layout.write_clustered(points, new_folder(spark, "bench"), "rtree", N_PARTITIONS)
+    return {
+        "indexed_range_rects_intersects": lambda: by_rects.range_rectangles(W2),
+        "indexed_knn_rects": lambda: knn.ranked(by_rects.knn_rectangles(CENTER, K_RECTS)),
+        "indexed_join_pts_rects_pairs": lambda: join.points_in_rectangles(by_points.meeting(rects), rects),
+    }
+
+
 def timed(run, runs: int) -> float:
     run()
     seconds = []
@@ -56,6 +69,8 @@ def main() -> None:
     results = {}
     for name in HEADLINE:
         results[name] = timed(lambda q=QUERIES[name]: q(spark, sf).write.format("noop").mode("overwrite").save(), runs)
+    for name, query in indexed(spark, sf).items():
+        results[name] = timed(lambda q=query: q().write.format("noop").mode("overwrite").save(), runs)
     total = round(sum(results.values()), 3)
     if "--plain" in sys.argv:
         for name, df in plain(spark, sf).items():

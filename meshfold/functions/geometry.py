@@ -242,6 +242,21 @@ def _cuts(e: Sql, o: Sql) -> Sql:
     return f"filter({at}, t_ -> t_ >= 0 AND t_ <= 1)"
 
 
+def cut_positions(e: Sql, o: Sql) -> Sql:
+    """Sorted positions in [0, 1] on ``e`` where ``o`` crosses, touches or ends on it."""
+    return f"array_sort({_cuts(e, o)})"
+
+
+def shared_run(e: Sql, o: Sql) -> Sql:
+    """STRUCT<t0, t1, heading> of the stretch that the two edges have in common, null without one; a heading over 0 is the same way."""
+    length2 = f"nullif(({e}.x2 - {e}.x1) * ({e}.x2 - {e}.x1) + ({e}.y2 - {e}.y1) * ({e}.y2 - {e}.y1), 0D)"
+    t1, t2 = (f"((({o}.x{k} - {e}.x1) * ({e}.x2 - {e}.x1) + ({o}.y{k} - {e}.y1) * ({e}.y2 - {e}.y1)) / {length2})" for k in (1, 2))
+    on_line = f"{_cross(e, f'{o}.x1', f'{o}.y1')} = 0 AND {_cross(e, f'{o}.x2', f'{o}.y2')} = 0"
+    heading = f"(({e}.x2 - {e}.x1) * ({o}.x2 - {o}.x1) + ({e}.y2 - {e}.y1) * ({o}.y2 - {o}.y1))"
+    low, high = f"greatest(least({t1}, {t2}), 0D)", f"least(greatest({t1}, {t2}), 1D)"
+    return f"CASE WHEN {on_line} AND {low} < {high} THEN named_struct('t0', {low}, 't1', {high}, 'heading', {heading}) END"
+
+
 def pieces(e: Sql, others: Sql) -> Sql:
     """``e`` cut by all edges in ``others``: ARRAY<STRUCT<t0, t1>> of non-empty pieces along it."""
     near = (f"filter({others}, c_ -> "

@@ -1,8 +1,8 @@
 """Polygon union (dissolve): the outline, area and connected parts of all polygons together.
 
-An edge of polygon P belongs to the outline where no other polygon covers it. So each edge meets the polygons
-whose bounding box it crosses (a cell join), each such pair yields the stretches of the edge that the other polygon
-covers, and what is left of the edge after merging the stretches is outline. The pieces keep the polygon's
+An edge of polygon P belongs to the outline where no other polygon covers it. Edges are rows: those that meet cut each other
+(a cell join of edges), the pieces are judged by a point halfway along them (a cell join with the polygons), and what is
+left of an edge after merging its covered stretches is outline. No edge walks another polygon's edges. The pieces keep the polygon's
 orientation (interior on the left), so the area is a plain sum over them, holes included.
 
 Stretches along a shared edge: if both polygons lie on the same side, the one with the smaller id keeps it;
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
+from meshfold.operators.join import points_in_polygons
 from meshfold.plans.cells import OBJECT, OBJECT_ID, WINDOW, WINDOW_ID, Limits, cell_join
 from meshfold.session import stored
 
@@ -32,7 +33,7 @@ def _distinct_polygons(polygons: DataFrame, id_column: str) -> DataFrame:
     return (
         polygons.select(F.col(id_column).alias("id"), F.expr(_oriented("rings")).alias("rings"))
         .groupBy("rings").agg(F.min("id").alias("id"))
-        .select("id", F.expr(g.edges("rings")).alias("edges"), *g.box_columns(g.rings_box("rings")))
+        .select("id", "rings", F.expr(g.edges("rings")).alias("edges"), *g.box_columns(g.rings_box("rings")))
     )
 
 
@@ -42,30 +43,46 @@ def _covered_stretches(shapes: DataFrame, limits: Limits) -> DataFrame:
     ``kept`` marks those along a shared edge that stay with this polygon; they still connect the two.
     """
     edges = shapes.select("id", F.posexplode("edges").alias("edge", "e"))
-    e = F.col("e")
-    objects = edges.select(
-        F.struct("id", "edge").alias(OBJECT_ID), e,
-        F.least(e["x1"], e["x2"]).alias(OBJECT + "xmin"), F.greatest(e["x1"], e["x2"]).alias(OBJECT + "xmax"),
-        F.least(e["y1"], e["y2"]).alias(OBJECT + "ymin"), F.greatest(e["y1"], e["y2"]).alias(OBJECT + "ymax"),
-    )
-    windows = shapes.select(F.col("id").alias(WINDOW_ID), F.col("edges").alias("w_edges"), *g.box_columns(g.box(), WINDOW))
-    met = cell_join(objects, windows, F.col(OBJECT_ID)["id"] != F.col(WINDOW_ID), inside=False, limits=limits)
 
-    x, y = g.middle("e", "s_")
-    heading = "(e.x2 - e.x1) * (a_.x2 - a_.x1) + (e.y2 - e.y1) * (a_.y2 - a_.y1)"
-    judged = (
-        f"transform(filter(w_edges, a_ -> {g.runs_along('e', 'a_', x, y)}), a_ -> {heading})"  # headings of shared edges
-    )
-    kind = (
-        f"CASE WHEN size(h_) > 0 THEN CASE WHEN exists(h_, v_ -> v_ > 0) AND {OBJECT_ID}.id < {WINDOW_ID} THEN 'kept' ELSE 'inside' END"
-        f" WHEN {g.polygon_contains_point('w_edges', x, y)} THEN 'inside' END"
-    )
-    placed = f"named_struct('t0', s_.t0, 't1', s_.t1, 'kind', get(transform(array({judged}), h_ -> {kind}), 0))"
-    stretches = F.expr(f"filter(transform({g.pieces('e', 'w_edges')}, s_ -> {placed}), s_ -> s_.kind IS NOT NULL)")
-    return (
-        met.select(F.col(OBJECT_ID), F.col(WINDOW_ID).alias("other"), F.explode(stretches).alias("s"))
-        .select(f"{OBJECT_ID}.id", f"{OBJECT_ID}.edge", "other", "s.t0", "s.t1", (F.col("s.kind") == "kept").alias("kept"))
-    )
+    def side(name: str, prefix: str, as_: str) -> DataFrame:
+        e = F.col("e")
+        return edges.select(
+            F.struct("id", "edge").alias(name), e.alias(as_),
+            F.least(e["x1"], e["x2"]).alias(prefix + "xmin"), F.greatest(e["x1"], e["x2"]).alias(prefix + "xmax"),
+            F.least(e["y1"], e["y2"]).alias(prefix + "ymin"), F.greatest(e["y1"], e["y2"]).alias(prefix + "ymax"),
+        )
+
+    own, window = F.col(OBJECT_ID), F.col(WINDOW_ID)
+    other = own["id"] != window["id"]
+    crossed = cell_join(side(OBJECT_ID, OBJECT, "e"), side(WINDOW_ID, WINDOW, "w_e"), other, inside=False, limits=limits)
+    contacts = crossed.select(
+        own["id"].alias("id"), own["edge"].alias("edge"), window["id"].alias("other"),
+        F.expr(g.cut_positions("e", "w_e")).alias("cuts"), F.expr(g.shared_run("e", "w_e")).alias("run"),
+    ).where("size(cuts) > 0 OR run IS NOT NULL")
+    contacts = contacts.groupBy("id", "edge", "other").agg(
+        F.flatten(F.collect_list("cuts")).alias("cuts"), F.collect_list("run").alias("runs"))
+
+    boxes = shapes.select(F.col("id").alias(WINDOW_ID), *g.box_columns(g.box(), WINDOW))
+    met = cell_join(side(OBJECT_ID, OBJECT, "e"), boxes, own["id"] != window, inside=False, limits=limits)
+    met = met.select(own["id"].alias("id"), own["edge"].alias("edge"), window.alias("other"), "e").join(contacts, ["id", "edge", "other"], "left")
+    ends = F.expr("concat(array(0D, 1D), coalesce(cuts, array()), coalesce(transform(runs, r -> r.t0), array()), coalesce(transform(runs, r -> r.t1), array()))")
+    at = met.withColumn("ts", F.array_sort(F.array_distinct(ends)))
+    cut = F.expr("transform(slice(ts, 1, size(ts) - 1), (t, i) -> named_struct('t0', t, 't1', get(ts, i + 1)))")
+    x, y = g.middle("e", "s")
+    headings = "transform(filter(runs, r -> (s.t0 + s.t1) / 2 BETWEEN r.t0 AND r.t1), r -> r.heading)"
+    pieces = stored(
+        at.select("id", "edge", "other", "e", "runs", F.explode(cut).alias("s"))
+        .select("id", "edge", "other", "s.t0", "s.t1", F.expr(x).alias("x"), F.expr(y).alias("y"), F.expr(headings).alias("headings"))
+        .withColumn("piece", F.monotonically_increasing_id()), "union-pieces")
+
+    along = F.coalesce(F.size("headings") > 0, F.lit(False))
+    shared = pieces.where(along).withColumn("kept", F.expr("exists(headings, v -> v > 0) AND id < other"))
+    free = pieces.where(~along)
+    around = shapes.select(F.col("id").alias("other"), "rings")
+    inside = points_in_polygons(free, around, "piece", "other", on=["other"], limits=limits).select(F.col(OBJECT_ID).alias("piece"))
+    covered = free.join(inside, "piece").withColumn("kept", F.lit(False))
+    columns = ["id", "edge", "other", "t0", "t1", "kept"]
+    return shared.select(*columns).union(covered.select(*columns))
 
 
 def _merged(stretches: DataFrame, keys: list[str]) -> DataFrame:

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from meshfold.llm.common import bounded_scan, text_slices
 
-#: Bounds of the labelled sample that the model is fitted on: documents, and lines of one of them.
-TRAIN_DOCS, TRAIN_LINES = 20_000, 400
+#: Bounds of the labelled sample that the model is fitted on: documents, and lines of one of them. At most some 100 MB reach the driver.
+TRAIN_DOCS, TRAIN_LINES = 10_000, 200
 ROUNDS, RATE, PENALTY = 200, 0.1, 1e-4
 BAD, GOOD = 0, 1
 
@@ -49,8 +49,11 @@ OWN = 13
 WIDTH = 3 * OWN + 3
 
 
-def features(lines: list[bytes]) -> np.ndarray:
-    own = np.array([_own(x) for x in lines], np.float32)
+def own_features(lines: list[bytes]) -> np.ndarray:
+    return np.array([_own(x) for x in lines], np.float32)
+
+
+def with_neighbours(own: np.ndarray) -> np.ndarray:
     out = np.zeros((len(own), WIDTH), np.float32)
     out[:, :OWN] = own
     out[1:, OWN : 2 * OWN] = own[:-1]
@@ -137,7 +140,7 @@ def document_scores(texts: list[bytes], chain: Chain | None) -> list[float]:
         return [0.5] * len(texts)
     lines = [lines_of(t) for t in texts]
     lengths = np.array([len(x) for x in lines])
-    x = np.concatenate([features(part) for part in lines])
+    x = np.concatenate([with_neighbours(own_features(part)) for part in lines])
     p, _, _ = marginals(chain.scores(x), chain.steps, Padded(lengths))
     weight = np.array([len(s) + 1 for part in lines for s in part], float)
     begins = np.cumsum(lengths) - lengths
@@ -165,14 +168,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Chain | None:
             for first, texts in text_slices(batch, "text"):
                 part = batch.slice(first, len(texts))
                 found = [lines_of(t) for t in texts]
-                data = [features(x).tobytes() if len(x) <= TRAIN_LINES else None for x in found]
+                data = [own_features(x).tobytes() if len(x) <= TRAIN_LINES else None for x in found]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), pa.array(data, pa.binary())], ["doc_id", "quality", "x"])
 
     rows = bounded_scan(marked, "doc_id", "quality", "text").mapInArrow(scan, "doc_id long, quality int, x binary").where("x IS NOT NULL")
     rows = rows.orderBy(F.xxhash64("doc_id", "x")).limit(TRAIN_DOCS).collect()
     if not rows:
         return None
-    x = [np.frombuffer(r.x, np.float32).reshape(-1, WIDTH) for r in rows]
+    x = [with_neighbours(np.frombuffer(r.x, np.float32).reshape(-1, OWN)) for r in rows]
     return fit(np.concatenate(x), np.array([len(a) for a in x]), np.array([r.quality for r in rows]))
 
 

@@ -17,7 +17,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meshfold.session import new_folder, stored  # noqa: F401  (for the operators)
@@ -55,7 +55,14 @@ def bounded_scan(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns)
 
 
-def text_slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def packed(df: DataFrame, *beside: Column | str, replaced: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` as one struct column in_, without the columns that the result replaces, and the columns ``beside`` again: working columns then
+    clash with none of its names."""
+    kept = [c for c in df.columns if c.lower() not in replaced]
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("in_"), *beside)
+
+
+def text_slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """The texts of a batch as UTF-8 (null: empty), in slices of about ``limit`` bytes: (first row, texts)."""
     col = batch.column(column)
     col = col.fill_null("").cast(pa.large_binary()) if not pa.types.is_null(col.type) else pa.array([b""] * len(col), pa.large_binary())

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfold.llm.common import bounded_scan, stored, text_slices
+from meshfold.llm.common import bounded_scan, packed, stored, text_slices
 
 WINDOW = 10
 #: Empty places between documents in a segment's numbering, so that no match spans two of them.
@@ -240,10 +240,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without a word inside an occurrence of a benchmark window. Rows alike in doc_id and text share their fate."""
-    keyed = docs.withColumn("key_", F.xxhash64("doc_id", "text"))
-    found = contamination(keyed.select(F.col("key_").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    hit = stored(found.where("n_hit > 0").select(F.col("doc_id").alias("key_")).distinct(), "contaminated")
-    return keyed.join(hit, "key_", "left_anti").select(*docs.columns)
+    keyed = packed(docs, "text", F.xxhash64("doc_id", "text").alias("key"))
+    found = contamination(keyed.select(F.col("key").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    hit = stored(found.where("n_hit > 0").select(F.col("doc_id").alias("key")).distinct(), "contaminated")
+    return keyed.select("in_", "key").join(hit, "key", "left_anti").select("in_.*")
 
 
 _LOWERED = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfold.llm.common import bounded_scan, components, multi_runs, run_links, stored, text_slices, tile_pairs
+from meshfold.llm.common import bounded_scan, components, multi_runs, packed, run_links, stored, text_slices, tile_pairs
 
 #: Edits between lines that count as the same, and the code points from which on a line is compared at all.
 EDITS, LEAST = 2, 32
@@ -204,10 +204,8 @@ def dedupe_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST, text:
     what stays is joined by them.
 
     A null text is empty and has one empty line. Rows that are alike in doc_id and text are one document and get the same text. An empty table gives
-    an empty result. Other columns are passed on; n_lines and n_removed must not be there.
+    an empty result. Other columns are passed on; columns n_lines and n_removed of ``docs`` are replaced.
     """
-    if {"n_lines", "n_removed"} & set(docs.columns):
-        raise ValueError("columns n_lines and n_removed are there already")
     table = _identified(docs, text)
     places = table.select("doc_id", "doc_", F.posexplode(F.split("text", "\n", -1)).alias("at", "line")).where(F.length("line") >= least)
     owner = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
@@ -217,27 +215,29 @@ def dedupe_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST, text:
     firsts = classed.groupBy("class").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     removed = classed.join(firsts, "class").where(F.col("place") != F.col("first"))
     removed = removed.select("place.*").distinct().groupBy("owner", "doc_").agg(F.collect_list("at").alias("removed_"))
-    keyed = docs.withColumns({text: F.coalesce(F.col(text), F.lit(""))})
-    keyed = keyed.withColumns({"owner_": owner, "doc_": F.xxhash64("doc_id", text)})
-    marked = keyed.join(removed.withColumnsRenamed({"owner": "owner_"}), ["owner_", "doc_"], "left").select(*docs.columns, "removed_")
-    return _without(marked, docs.columns, text)
+    columns = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    given = F.coalesce(F.col(text), F.lit("")).alias("text")
+    keyed = packed(docs, owner.alias("owner"), "doc_id", given, replaced=("n_lines", "n_removed"))
+    keyed = keyed.withColumn("doc_", F.xxhash64("doc_id", "text")).drop("doc_id")
+    marked = _without(keyed.join(removed, ["owner", "doc_"], "left").select("in_", "text", "removed_"))
+    return marked.select(*(F.col("text").alias(c) if c == text else F.col(f"in_.`{c}`") for c in columns), "n_lines", "n_removed")
 
 
-def _without(marked: DataFrame, columns: list[str], text: str) -> DataFrame:
-    """``marked`` without the lines whose places are in removed_."""
+def _without(marked: DataFrame) -> DataFrame:
+    """(in_, text, n_lines, n_removed) of (in_, text, removed_): the text without the lines whose places are in removed_."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, counts, gone = [], [], []
-            for t, r in zip(batch.column(text), batch.column("removed_")):
+            for t, r in zip(batch.column("text"), batch.column("removed_")):
                 lines, drop = t.as_py().split("\n"), set(r.as_py() or ())
                 out.append("\n".join(x for i, x in enumerate(lines) if i not in drop) if drop else t.as_py())
                 counts.append(len(lines))
                 gone.append(len(drop))
-            arrays = [pa.array(out, pa.string()) if c == text else batch.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(counts, pa.int64()), pa.array(gone, pa.int64())], [*columns, "n_lines", "n_removed"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("in_"), pa.array(out, pa.string()), pa.array(counts, pa.int64()), pa.array(gone, pa.int64())], ["in_", "text", "n_lines", "n_removed"])
 
-    schema = marked.select(*columns).withColumns({"n_lines": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long")}).schema
-    return bounded_scan(marked, *columns, "removed_").mapInArrow(scan, schema)
+    schema = marked.select("in_", "text").withColumns({"n_lines": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long")}).schema
+    return bounded_scan(marked, "in_", "text", "removed_").mapInArrow(scan, schema)
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfold.llm.common import bounded_scan, text_slices
+from meshfold.llm.common import bounded_scan, packed, text_slices
 
 #: Bounds of the labelled sample that the model is fitted on: documents, and lines of one of them. At most some 100 MB reach the driver.
 TRAIN_DOCS, TRAIN_LINES = 10_000, 200
@@ -183,12 +183,11 @@ def score(docs: DataFrame, chain: Chain | None) -> DataFrame:
     """``docs`` with columns score (0 to 1, higher: good likelier) and predicted (1 from 0.5 on).
 
     Empty and null texts are scored as one empty line; without a chain all scores are 0.5; repeated rows get equal scores; an
-    empty table gives an empty result. The columns score and predicted must not be there.
+    empty table gives an empty result. Columns score and predicted of ``docs`` are replaced.
     """
     held = docs.sparkSession.sparkContext.broadcast(chain)
+    docs = docs.drop("score", "predicted")
     names = docs.columns
-    if {"score", "predicted"} & set(names):
-        raise ValueError("columns score and predicted are there already")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,4 +207,5 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the classifier doesn't reject."""
     chain = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score(docs, chain).where("predicted = 1").select(*docs.columns)
+    whole = packed(docs, "text")
+    return score(whole, chain).where("predicted = 1").select("in_.*")

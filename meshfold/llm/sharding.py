@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfold.llm.common import ranked, stored
+from meshfold.llm.common import packed, ranked, stored
 
 SHARDS, SEED = 8, 20_240
 #: Rows of the matrix at most; further partitions share rows.
@@ -61,14 +61,12 @@ def shard(rows: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     The rows are stored with their partition and a running number. The partitions' sizes reach the driver (``MATRIX_ROWS`` numbers
     at most), which draws the exact number of rows from each partition to each shard. Rows are then permuted within their partition
     and cut by that matrix's row, exchanged, and permuted within their shard. Hashes of the running number order the rows, never values:
-    equal and null rows are spread like any other, and an empty table gives an empty result. Columns that the
-    result adds must not be there.
+    equal and null rows are spread like any other, and an empty table gives an empty result. Columns shard and slot of
+    ``rows`` are replaced.
     """
-    taken = {"shard", "slot", "part_", "row_"} & set(rows.columns)
-    if taken:
-        raise ValueError(f"columns {sorted(taken)} are there already")
     if shards < 1:
         raise ValueError("at least one shard is needed")
+    spark, rows = rows.sparkSession, packed(rows, replaced=("shard", "slot"))
     kept = stored(rows.withColumns({"part_": F.pmod(F.spark_partition_id(), F.lit(MATRIX_ROWS)), "row_": F.monotonically_increasing_id()}), "shard-rows")
     sizes = {r[0]: r[1] for r in kept.groupBy("part_").count().collect()}
     total = sum(sizes.values())
@@ -77,14 +75,14 @@ def shard(rows: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     parts = sorted(sizes)
     matrix = communication_matrix([sizes[p] for p in parts], targets, seed + 1)
     bounds = [(p, [sum(row[: s + 1]) for s in range(shards)]) for p, row in zip(parts, matrix)]
-    cuts = rows.sparkSession.createDataFrame(bounds, "cut_part_ int, cuts_ array<long>")
+    cuts = spark.createDataFrame(bounds, "cut_part_ int, cuts_ array<long>")
     placed = (
         ranked(kept, "part_", "row_", seed + 2, "shard-local").withColumnRenamed("rank", "place_")
         .join(F.broadcast(cuts), F.col("part_") == F.col("cut_part_"))
         .withColumn("shard", F.size(F.filter("cuts_", lambda c: c <= F.col("place_"))))
         .drop("part_", "cut_part_", "cuts_", "place_")
     )
-    return ranked(stored(placed, "shard-exchange"), "shard", "row_", seed + 4, "shard-slots").withColumnRenamed("rank", "slot").drop("row_")
+    return ranked(stored(placed, "shard-exchange"), "shard", "row_", seed + 4, "shard-slots").select("in_.*", "shard", F.col("rank").alias("slot"))
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

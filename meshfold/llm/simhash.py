@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meshfold.llm.common import bounded_scan, components, multi_runs, run_links, stored, text_slices, tile_pairs
+from meshfold.llm.common import bounded_scan, components, multi_runs, packed, run_links, stored, text_slices, tile_pairs
 
 # The binary Golay code has words of 23 bits, 12 of them free, and this generator polynomial.
 GENERATOR, WORD_BITS, CHECK_BITS = 0b110001110101, 23, 11
@@ -87,9 +87,9 @@ def keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(at), np.concatenate(out)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", keep_text: bool = False) -> DataFrame:
-    """``docs`` with column fp (long: the 64 bits), without the text unless it is to be kept. Null text: 0, as without words."""
-    kept = [c for c in docs.columns if c != text or keep_text]
+def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataFrame:
+    """``docs`` without the text, with column fp (long: the 64 bits). Null text: 0, as without words."""
+    kept = [c for c in docs.columns if c != text]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,7 +98,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", keep_tex
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), column], [*kept, "fp"])
 
     schema = docs.select(*kept).withColumn("fp", F.lit(0).cast("long")).schema
-    return bounded_scan(docs, *kept, *([] if keep_text else [text])).mapInArrow(scan, schema)
+    return bounded_scan(docs, *kept, text).mapInArrow(scan, schema)
 
 
 def fingerprint_links(prints: DataFrame, distance: int = 2) -> DataFrame:
@@ -146,12 +146,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, doc_id
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     """``docs`` (doc_id, text and others) with one row of each group of near duplicates: that of the smallest doc_id, nulls last; of rows that share
     it, one."""
-    names = docs.columns
-    rows = stored(fingerprints(docs, shingle, keep_text=True).withColumnRenamed("fp", "fp_").withColumn("row_", F.monotonically_increasing_id()), "simhash-docs")
-    prints = stored(rows.select(F.col("fp_").alias("fp")).distinct(), "simhash-prints")
+    table = packed(docs, "doc_id", "text")
+    rows = stored(fingerprints(table, shingle).withColumn("row_", F.monotonically_increasing_id()), "simhash-docs")
+    prints = stored(rows.select("fp").distinct(), "simhash-prints")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_")
-    first = rows.select(F.col("fp_").alias("fp"), order.alias("o")).join(groups(prints, distance), "fp").groupBy("root").agg(F.min("o").alias("o"))
-    return rows.join(first.select("o.row_"), "row_", "left_semi").select(*names)
+    first = rows.select("fp", order.alias("o")).join(groups(prints, distance), "fp").groupBy("root").agg(F.min("o").alias("o"))
+    return rows.join(first.select("o.row_"), "row_", "left_semi").select("in_.*")
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:

@@ -96,10 +96,10 @@ def test_chains_clusters_and_edges(spark):
     rows = [(None, None), (0, ""), (1, "\n\n"), (2, base[0]), (2, base[0]), (None, base[0] + "\nx\nx"), (3, "é" * 20_000), (4, "é" * 19_999 + "\nshort\nshort")]
     for i in range(5, 60):
         rows.append((i, "\n".join(edited(rng, rng.choice(base), 2) for _ in range(rng.randint(1, 6)))))
-    docs = spark.createDataFrame([(i, t, "z", i) for i, t in rows], "doc_id long, text string, line string, key long").repartition(4)
+    docs = spark.createDataFrame([(i, t, "z", i, 5, "w") for i, t in rows], "doc_id long, text string, line string, doc_ long, n_lines int, in_ string").repartition(4)
     got = lines.dedupe_lines(docs, 2, 8).collect()
     expected = brute(rows, 2, 8)
-    assert len(got) == len(rows) and got[0].line == "z"
+    assert len(got) == len(rows) and got[0].line == "z" and got[0].in_ == "w"
     assert {(r.doc_id, r.text) for r in got} == {(k[0], t) for k, t in expected.items()}
     for r in got:
         assert r.n_lines - r.n_removed == r.text.count("\n") + 1 or r.text == ""

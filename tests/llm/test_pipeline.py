@@ -73,6 +73,10 @@ def test_repeated_rows_and_nulls_pass_the_stages(spark, sf_small):
         out = stage(spark, docs, sf_small)
         assert out.columns == docs.columns and out.count() <= 5
         assert stage(spark, docs.where("doc_id = 9"), sf_small).count() == 0
+    clash = docs.selectExpr("*", "doc_id AS fp", "text AS in_", "1 AS row_", "'k' AS key", "text AS removed_", "2 AS score")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        assert stage(spark, clash, sf_small).columns == clash.columns
+        stage(spark, clash, sf_small).collect()
     kept = simhash.keep_one(docs).collect()
     assert sorted(r.doc_id for r in kept) == [1, 2]
 

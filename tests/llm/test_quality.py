@@ -63,8 +63,10 @@ def test_held_out_labels_are_never_read(spark, sf_small):
 
 
 def test_edge_cases(spark, sf_small):
+    from pyspark.sql import functions as F
+
     rows = [(1, None, 0.5), (2, "", 0.5), (3, "\n\n \n", 0.5), (None, "x\n" * 20_000, 0.5), (4, "Word " * 50_000, None), (4, "Word " * 50_000, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, quality double")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality double").withColumn("score", F.lit("x"))
     labels = spark.createDataFrame([(1, 0, 0), (1, 1, 0), (4, 1, 0), (None, 1, 0), (2, None, 0), (3, 7, 0)], "doc_id long, quality int, toxic int")
     chain = quality.train(docs.drop("quality"), labels)
     got = quality.score(docs, chain).collect()

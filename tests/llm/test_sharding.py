@@ -53,8 +53,9 @@ def test_shards_of_repeated_and_null_rows(spark):
     assert max(Counter(r.shard for r in got if r.doc_id == 1).values()) < 60  # copies are spread
     assert sharding.shard(table.where("doc_id = -1")).collect() == []
     assert len(sharding.shard(spark.range(3).withColumnRenamed("id", "doc_id")).collect()) == 3
-    with pytest.raises(ValueError):
-        sharding.shard(table.withColumnRenamed("cut_", "slot"))
+    clash = table.selectExpr("doc_id", "cut_ AS slot", "doc_id AS rank", "doc_id AS row_", "cut_ AS in_", "1 AS slice_")
+    found = sharding.shard(clash).collect()
+    assert Counter((r.doc_id, r.in_) for r in found) == Counter(rows) and {r.shard for r in found} == set(range(8))
     with pytest.raises(ValueError):
         sharding.shard(table, 0)
 

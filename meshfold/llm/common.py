@@ -223,13 +223,14 @@ def components(links: DataFrame, name: str) -> DataFrame:
     """
 
     def star(edges: DataFrame, large: bool) -> DataFrame:
-        if large:
-            sides = edges.union(edges.select("b", "a"))
-            least = sides.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-            return sides.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        least = edges.groupBy("a").agg(F.min("b").alias("m"))
-        hung = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        return hung.union(least.select("a", F.col("m").alias("b"))).where("a != b").distinct()
+        sides = edges.union(edges.select("b", "a")) if large else edges
+        least = F.least("a", F.min("b")) if large else F.min("b")
+        least = stored(sides.groupBy("a").agg(least.alias("m")), name)  # read by itself: Spark can then split a hub in the join
+        hung = sides.where("b > a") if large else sides
+        hung = hung.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        if not large:
+            hung = hung.union(least.select("a", F.col("m").alias("b")))
+        return hung.where("a != b").distinct()
 
     def mark(edges: DataFrame):
         return edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -213,6 +213,7 @@ def dedupe_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST, text:
     classes = stored(components(line_links(table, edits, least), "line-classes"), "line-classes").withColumnsRenamed({"node": "id", "component": "class"})
     classed = places.join(classes, "id", "left").select("place", F.coalesce("class", "id").alias("class"))
     firsts = classed.groupBy("class").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    firsts = stored(firsts, "line-firsts")  # read by itself, so that Spark can split the partition of a common class in the join
     removed = classed.join(firsts, "class").where(F.col("place") != F.col("first"))
     removed = removed.select("place.*").distinct().groupBy("owner", "doc_").agg(F.collect_list("at").alias("removed_"))
     columns = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]

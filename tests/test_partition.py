@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -162,3 +163,17 @@ def test_boundaries(spark):
     with pytest.raises(ValueError):
         aggregate.boundary(spark.range(3))
     assert set(g.BOX) <= set(aggregate.bounding_boxes(circles).columns)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+@pytest.mark.parametrize("method", ["hilbert", "rtree", "voronoi"])
+def test_the_registered_checks_can_fail(spark, monkeypatch, method):
+    """A constant and a random assignment both change the checked row."""
+    from meshfold.plans.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    good = QUERIES[f"partition_{method}_check"](spark, folder).first()
+    for pid in (F.lit(0), F.pmod(F.xxhash64("id"), F.lit(16)).cast("int")):
+        monkeypatch.setattr(partition.Partitioning, "assign", lambda self, df, pid=pid: df.withColumn("pid", pid))
+        bad = QUERIES[f"partition_{method}_check"](spark, folder).first()
+        assert bad["total"] == good["total"] and bad != good

@@ -308,7 +308,7 @@ SQL: dict[str, str] = {
        FROM cube c LEFT JOIN sums s ON s.t=c.t AND s.cx=c.cx AND s.cy=c.cy CROSS JOIN moments) q"""),
     "hotspot_gistar_local": _with("weighted", _scores(_LOCAL) + " ORDER BY z DESC, t, cx, cy LIMIT 50"),
     "hotspot_gistar_int_division": _with("weighted moments", _scores(_GLOBAL, f"floor({_REAL})")),
-    "hotspot_join_counts": _with("cube taxi", """SELECT c.t, (CAST(c.t AS BIGINT)*100000+(c.cx-4050))*100000+(c.cy+7425) AS square, count(e.id) AS n
+    "hotspot_join_counts": _with("cube taxi", """SELECT c.t, ((CAST(c.t AS BIGINT)-1)*40+(c.cx-4050))*57+(c.cy+7425) AS square, count(e.id) AS n
       FROM cube c LEFT JOIN taxi e ON e.t=c.t AND e.cx>=c.cx AND e.cx<=c.cx+1 AND e.cy>=c.cy AND e.cy<=c.cy+1 GROUP BY 1, 2"""),
     "hotspot_trips_floor": _trips("floor(?)"),
     "hotspot_trips_truncate": _trips("trunc(?)"),

@@ -249,18 +249,18 @@ def components(links: DataFrame, name: str) -> DataFrame:
 
 # ---------------------------------------------------------------- ranks
 
-def ranked(rows: DataFrame, group: str, unique: str, seed: int, name: str, per_slice: int = 200_000) -> DataFrame:
+def ranked(rows: DataFrame, group: str, unique: str, seed: int, name: str, per_slice: int = 1_000) -> DataFrame:
     """``rows`` with column rank: a random order of each group, gapless from 0.
 
-    ``group`` has no nulls. A group is dealt over slices by a hash of the unique long column, slices are counted, and rows are numbered within
-    their slice; a group of any size is ranked by many tasks. ``rows`` should be a stored table: it is read twice.
+    ``group`` has no nulls and a bounded number of values. A group is dealt over slices of about ``per_slice`` rows by a hash of the unique
+    long column, slices are counted, and rows are numbered within their slice: a group of any size is ranked by many tasks.
+    ``rows`` should be a stored table: it is read three times.
     """
-    total = rows.count()
-    slices = max(1, -(-total // per_slice))
-    rows = rows.withColumn("slice_", F.pmod(F.xxhash64(F.lit(seed), F.col(unique)), F.lit(slices)))
-    sizes = stored(rows.groupBy(group, "slice_").agg(F.count("*").alias("n_")), name)
+    groups = stored(rows.groupBy(group).agg(F.ceil(F.count("*") / per_slice).alias("slices_")), name)
+    sliced = rows.join(F.broadcast(groups), group).withColumn("slice_", F.pmod(F.xxhash64(F.lit(seed), F.col(unique)), F.col("slices_"))).drop("slices_")
+    sizes = stored(sliced.groupBy(group, "slice_").agg(F.count("*").alias("n_")), name)
     before = F.coalesce(F.sum("n_").over(Window.partitionBy(group).orderBy("slice_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sizes.select(group, "slice_", before.alias("start_"))
     order = Window.partitionBy(group, "slice_").orderBy(F.xxhash64(F.lit(seed + 1), F.col(unique)), F.col(unique))
-    numbered = rows.withColumn("at_", F.row_number().over(order) - 1)
+    numbered = sliced.withColumn("at_", F.row_number().over(order) - 1)
     return numbered.join(starts, [group, "slice_"]).withColumn("rank", (F.col("start_") + F.col("at_")).cast("long")).drop("slice_", "start_", "at_")

@@ -35,10 +35,10 @@ def test_shuffle_is_uniform(spark):
     """Each row meets each shard and slot equally often over many seeds."""
     rows = spark.range(6).repartition(2)
     seen = Counter()
-    for seed in range(60):
+    for seed in range(30):
         for r in sharding.shard(rows, 2, seed).collect():
             seen[r.id, r.shard] += 1
-    assert all(12 <= seen[i, s] <= 48 for i in range(6) for s in range(2))
+    assert all(3 <= seen[i, s] <= 27 for i in range(6) for s in range(2))
 
 
 def test_shards_of_repeated_and_null_rows(spark):

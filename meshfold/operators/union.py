@@ -21,6 +21,7 @@ from meshfold.session import stored
 
 # Stretches of one edge that are merged at once; an edge with more is merged in parts first.
 _MERGED_ROWS = 10_000
+_FEW_EDGES = 32
 
 
 def _oriented(rings: g.Sql) -> g.Sql:
@@ -78,8 +79,14 @@ def _covered_stretches(shapes: DataFrame, limits: Limits) -> DataFrame:
     along = F.coalesce(F.size("headings") > 0, F.lit(False))
     shared = pieces.where(along).withColumn("kept", F.expr("exists(headings, v -> v > 0) AND id < other"))
     free = pieces.where(~along)
-    around = shapes.select(F.col("id").alias("other"), "rings")
-    inside = points_in_polygons(free, around, "piece", "other", on=["other"], limits=limits).select(F.col(OBJECT_ID).alias("piece"))
+    # A polygon of few edges is tested as a whole, one of many by the cells it covers.
+    around = shapes.select(F.col("id").alias("other"), "rings", F.col("edges").alias("w_edges"))
+    many = F.size("w_edges") > _FEW_EDGES
+    inside = free.join(around.where(~many), "other").where(F.expr(g.polygon_contains_point("w_edges", "x", "y"))).select("piece")
+    large = around.where(many).drop("w_edges")
+    if not large.isEmpty():
+        hits = points_in_polygons(free, large, "piece", "other", on=["other"], limits=limits)
+        inside = inside.union(hits.select(F.col(OBJECT_ID).alias("piece")))
     covered = free.join(inside, "piece").withColumn("kept", F.lit(False))
     columns = ["id", "edge", "other", "t0", "t1", "kept"]
     return shared.select(*columns).union(covered.select(*columns))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +13,28 @@ from pyspark.sql import functions as F
 
 from meshfold.llm.common import bounded_scan, components, multi_runs, packed, run_links, stored, text_slices, tile_pairs
 
+
+@dataclass(frozen=True)
+class Alike:
+    """When two lines count as the same: at most ``edits`` edits of code points lead from one to the other, or at most one edit of a word for
+    each full ``per`` words of the longer line (0: no such edits). Words are what white space separates."""
+
+    edits: int
+    per: int = 0
+
+    def __lt__(self, difference: int) -> bool:
+        """Whether lines whose lengths differ by ``difference`` code points can't be alike; an edited word may have any length."""
+        return not self.per and self.edits < difference
+
+    def words(self, n):
+        """Edits of words for a line of ``n`` words."""
+        return n // self.per if self.per else n * 0
+
+
 #: Edits between lines that count as the same, and the code points from which on a line is compared at all.
-EDITS, LEAST = 2, 32
+EDITS, LEAST = Alike(2, per=20), 32
+#: Words of a hashed run of words. A longer one is more selective, but more of them are sent.
+RUN = 5
 #: Candidate lines whose ids are broadcast to pick up their texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -83,14 +104,77 @@ def line_keys(points: np.ndarray, start: np.ndarray, length: np.ndarray, edits:
     return np.concatenate(lines), np.concatenate(keys)
 
 
+# ---------------------------------------------------------------- runs of words
+
+_SPACE = np.array([chr(i).isspace() for i in range(0x3001)] + [False])
+
+
+def word_classes(per: int) -> list[tuple[int, float, int]]:
+    """(least, most, window) by the number of words of the longer of two lines: some ``window`` neighbouring runs of ``RUN`` words are in both.
+
+    Lines of n words with t = n // per edits have n - t words in common at least, in t + 1 stretches at most.
+    """
+    bounds = [per, 2 * per, 4 * per, float("inf")]
+    shared = [-(-(n - n // per) // (n // per + 1)) for n in bounds[:3]]
+    if per and shared[0] < RUN:
+        raise ValueError("lines alike must share a run of words")
+    return [(bounds[i], bounds[i + 1], shared[i] - RUN + 1) for i in range(3)]
+
+
+def word_keys(points: np.ndarray, start: np.ndarray, length: np.ndarray, per: int, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of the lines at ``start`` (ascending) of ``length``: of each window of runs of words the smallest hash.
+
+    Two lines with a window's words in common, wherever they are, have its smallest hash in common. A line sends the keys of its
+    own class of lengths, and of the next if a longer line alike can be in that one.
+    """
+    powers.grow(len(points) + 1)
+    space = np.ones(len(points) + 2, bool)
+    space[1:-1] = _SPACE[np.minimum(points, 0x3001)]
+    begin, end = np.flatnonzero(space[:-1] & ~space[1:]), np.flatnonzero(~space[:-1] & space[1:])
+    line = np.searchsorted(start, begin, "right") - 1
+    inside = line >= 0
+    inside[inside] = begin[inside] < (start + length)[line[inside]]
+    begin, end, line = begin[inside], end[inside], line[inside]
+    lines, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    n = len(begin) - RUN + 1
+    if n > 0:
+        sums = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum(points.astype(np.uint64) * powers.up[: len(points)], out=sums[1:])
+        words = _mixed((sums[end] - sums[begin]) * powers.down[begin] ^ _mixed((end - begin).astype(np.uint64)))
+        runs = np.zeros(n, np.uint64)
+        for j in range(RUN):
+            runs = runs * _BASE + words[j : j + n]
+        runs = _mixed(runs)
+        count = np.bincount(line, minlength=len(start))[line]
+        for i, (least, most, window) in enumerate(word_classes(per)):
+            m = n - window + 1
+            if m <= 0:
+                continue
+            smallest = runs[:m].copy()
+            for j in range(1, window):
+                np.minimum(smallest, runs[j : j + m], out=smallest)
+            last = window + RUN - 2
+            ok = (line[:m] == line[last : last + m]) & (count[:m] >= least - least // per) & (count[:m] < most)
+            ok[1:] &= (smallest[1:] != smallest[:-1]) | (line[1:m] != line[: m - 1])
+            lines.append(line[:m][ok])
+            keys.append(_mixed(smallest[ok] + np.uint64(i + 1)))
+    return np.concatenate(lines), np.concatenate(keys)
+
+
 # ---------------------------------------------------------------- verification
 
-def within(a: str, b: str, edits: int) -> bool:
-    """Whether at most ``edits`` edits turn ``a`` into ``b``.
+def within(a: str | list[str], b: str | list[str], edits: int | Alike) -> bool:
+    """Whether at most ``edits`` edits turn ``a`` into ``b``: of code points if they are texts, of words if they are lists of them.
 
     Bit-parallel over a diagonal band of 2 * ``edits`` + 1 cells: bit k of a column's words stands for the row that lies k - ``edits`` below the
     diagonal. The value on the band's lower edge is carried along, then along the last row.
     """
+    if isinstance(edits, Alike):
+        if within(a, b, edits.edits):
+            return True
+        a, b = a.split(), b.split()
+        most = edits.words(max(len(a), len(b)))
+        return most > 0 and within(a, b, most)
     if len(a) < len(b):
         a, b = b, a
     if len(a) - len(b) > edits:
@@ -137,16 +221,34 @@ def signature(text: str) -> int:
     return int(np.bitwise_xor.reduce(np.uint64(1) << bits)) if len(bits) else 0
 
 
-def _near(edits: int):
+def word_signature(words: list[str]) -> int:
+    """Parities of the counts of hashed words; an edit of a word changes two of the 64 bits at most."""
+    mark = 0
+    for w in words:
+        mark ^= 1 << (xxhash.xxh64_intdigest(w) & 63)
+    return mark
+
+
+def _near(alike: Alike):
+    edits = alike.edits
+
     def near(held: dict, x: int, others: np.ndarray) -> np.ndarray:
         if "texts" not in held:
             held["texts"] = held["line"].to_pylist()
             held["sizes"] = np.array([len(t) for t in held["texts"]])
             held["marks"] = np.array([signature(t) for t in held["texts"]], np.uint64)
+            held["words"] = [t.split() if alike.per else [] for t in held["texts"]]
+            held["counts"] = np.array([len(w) for w in held["words"]])
+            held["word_marks"] = np.array([word_signature(w) for w in held["words"]], np.uint64)
         texts, sizes, marks = held["texts"], held["sizes"], held["marks"]
-        out = (np.abs(sizes[others] - sizes[x]) <= edits) & (np.bitwise_count(marks[others] ^ marks[x]) <= 4 * edits)
+        words, counts, word_marks = held["words"], held["counts"], held["word_marks"]
+        close = (np.abs(sizes[others] - sizes[x]) <= edits) & (np.bitwise_count(marks[others] ^ marks[x]) <= 4 * edits)
+        most = alike.words(np.maximum(counts[others], counts[x]))
+        by_words = (most > 0) & (np.abs(counts[others] - counts[x]) <= most) & (np.bitwise_count(word_marks[others] ^ word_marks[x]) <= 2 * most)
+        out = close | by_words
         for k in np.flatnonzero(out):
-            out[k] = within(texts[x], texts[others[k]], edits)
+            y = others[k]
+            out[k] = close[k] and within(texts[x], texts[y], edits) or by_words[k] and within(words[x], words[y], int(most[k]))
         return out
 
     return near
@@ -160,12 +262,14 @@ def _identified(docs: DataFrame, text: str) -> DataFrame:
     return table.withColumn("doc_", F.xxhash64("doc_id", "text"))
 
 
-def line_links(docs: DataFrame, edits: int, least: int) -> DataFrame:
-    """Links (a, b) between ids (XXH64) of distinct lines of ``least`` code points or more that join all at most ``edits`` edits apart.
+def line_links(docs: DataFrame, edits: int | Alike, least: int) -> DataFrame:
+    """Links (a, b) between ids (XXH64) of distinct lines of ``least`` code points or more that join all that are alike: at most ``edits`` edits apart.
 
-    Lines send hashes of their segments and probes; keys that two lines share are kept, the texts of those lines are attached, and
-    each run of a key is verified. Neither exact copies nor lines already joined are compared.
+    Lines send hashes of their segments and probes, and of runs of their words; keys that two lines share are kept, the texts of those lines are
+    attached, and each run of a key is verified. Neither exact copies nor lines already joined are compared.
     """
+    alike = edits if isinstance(edits, Alike) else Alike(edits)
+    edits = alike.edits
     if least < 2 * edits + 2:
         raise ValueError("lines must be longer than their segments' shifts")
 
@@ -185,6 +289,10 @@ def line_links(docs: DataFrame, edits: int, least: int) -> DataFrame:
                 ids, first = np.unique(ids, return_index=True)
                 long = long[first]
                 at, key = line_keys(points, starts[long], (ends - starts)[long], edits, powers)
+                if alike.per:
+                    order = np.argsort(long)
+                    words, more = word_keys(points, starts[long[order]], (ends - starts)[long[order]], alike.per, powers)
+                    at, key = np.concatenate([at, order[words]]), np.concatenate([key, more])
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64), pa.int64()), pa.array(ids[at], pa.int64())], ["key", "id"])
 
     multi = multi_runs(bounded_scan(docs, "text").mapInArrow(members, "key long, id long"), "line-runs")
@@ -193,13 +301,13 @@ def line_links(docs: DataFrame, edits: int, least: int) -> DataFrame:
         wanted = F.broadcast(wanted)
     lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("line")).where(F.length("line") >= least).withColumn("id", F.xxhash64("line"))
     texts = stored(lines.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line")), "line-texts")
-    return run_links(tile_pairs(multi).join(texts, "id"), ["line"], _near(edits))
+    return run_links(tile_pairs(multi).join(texts, "id"), ["line"], _near(alike))
 
 
-def dedupe_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST, text: str = "text") -> DataFrame:
+def dedupe_lines(docs: DataFrame, edits: int | Alike = EDITS, least: int = LEAST, text: str = "text") -> DataFrame:
     """``docs`` with its texts freed of repeated lines, and columns n_lines and n_removed.
 
-    Lines of at least ``least`` code points form a class if edits lead from one to the next, at most ``edits`` at a step; the first line of
+    Lines of at least ``least`` code points form a class if edits lead from one to the next, at most ``edits`` at a step (``Alike``: or its share of words); the first line of
     each class, by doc_id (nulls last), then place, stays, all others go. Shorter lines stay always. Lines are split at line feeds, and
     what stays is joined by them.
 

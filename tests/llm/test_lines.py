@@ -125,3 +125,51 @@ def test_query_is_brute_force(spark, sf_small):
     got = lines.op4_line_dedup(spark, sf_small).collect()
     assert {(r.doc_id, r.text_sha256) for r in got} == {(k[0], hashlib.sha256(t.encode()).hexdigest()) for k, t in expected.items()}
     assert sum(r.n_removed for r in got) > 0
+
+
+def reworded(rng, words, most, vocabulary):
+    out = list(words)
+    for _ in range(most):
+        k, how = rng.randrange(len(out)), rng.random()
+        if how < 0.3:
+            out.insert(k, rng.choice(vocabulary))
+        elif how < 0.6:
+            out.pop(k)
+        else:
+            out[k] = rng.choice(vocabulary)
+    return out
+
+
+@pytest.mark.parametrize("per", [20, 30])
+def test_lines_within_the_share_of_words_have_a_run_in_common(per):
+    rng, powers = random.Random(per), lines.Powers()
+    vocabulary = ["a", "bé", "the", "𝒳y", "longer", "of"]
+    for _ in range(600):
+        a = [rng.choice(vocabulary) for _ in range(rng.choice([rng.randint(per - 2, 5 * per), 2 * per, 4 * per, 4 * per + 1, 300]))]
+        b = reworded(rng, a, len(a) // per, vocabulary)
+        most = max(len(a), len(b)) // per
+        texts = ["x y", " ".join(a), "  ".join(b) + " "]
+        points = np.frombuffer("\n".join(texts).encode("utf-32-le"), np.uint32)
+        length = np.array([len(t) for t in texts])
+        start = np.concatenate([[0], np.cumsum(length + 1)[:-1]])
+        at, key = lines.word_keys(points, start, length, per, powers)
+        assert not (at == 0).any()
+        if distance(a, b) <= most and most:
+            assert set(key[at == 1].tolist()) & set(key[at == 2].tolist())
+            assert lines.within(texts[1], texts[2], lines.Alike(2, per))
+            assert (lines.word_signature(a) ^ lines.word_signature(b)).bit_count() <= 2 * most
+
+
+def test_long_lines_with_other_words_go(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    rows = []
+    for n in (20, 39, 41, 75, 160, 2_000):
+        line = [rng.choice(words) for _ in range(n)]
+        near = [w if i % 20 != 10 else "replacement" for i, w in enumerate(line)][: n]
+        far = [w if i % 20 not in (3, 10, 16) else "substitute" for i, w in enumerate(line)]
+        rows += [(len(rows), " ".join(line)), (len(rows) + 1, " ".join(near)), (len(rows) + 2, " ".join(far))]
+    got = {r.doc_id: r.n_removed for r in lines.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    alike = [sum(a != b for a, b in zip(rows[i][1].split(), rows[i + 1][1].split())) <= len(rows[i][1].split()) // 20 for i in range(0, len(rows), 3)]
+    assert [got[i] for i in range(1, len(rows), 3)] == [int(x) for x in alike] and sum(alike) >= 4
+    assert not any(got[i] for i in range(len(rows)) if i % 3 != 1)

@@ -23,11 +23,13 @@ LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th".split())
 #: Start tags that close an open element of the same kind, and what keeps them from looking further out.
 SIBLINGS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ()}
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[/a-zA-Z][^>]*\Z", re.S)
-_NAMES = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _BAD = re.compile(
     r"(?<![a-z])(?:nav|navbar|navigation|menu|menubar|breadcrumbs?|footer|foot|sidebar|side-?bar|aside|ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|"
     r"cookies?|consent|gdpr|notices?|notifications?|alert|popup|modal|overlay|share|sharing|social|related|recommended|comments?|respond|replies|disqus|"
     r"subscribe|newsletter|signup|login|search|toolbar|widget|masthead|topbar|copyright|legal|disclaimer|tags|pager|pagination|skip|hidden|contentinfo|complementary)(?![a-z])", re.I)
+#: Parts of a class that says what an element is filed under or stands beside, not what it is.
+_ABOUT = frozenset("category cat tag has no not with without".split())
 _GOOD = re.compile(r"(?<![a-z])(?:article|story|post|entry|main|content|body|text)(?![a-z])", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 # Costs, in hundredths. A hint of boilerplate weighs more than all edges of a block together.
@@ -44,6 +46,7 @@ class Block:
     parent: int
     depth: int
     bad: bool
+    hinted: bool
     article: bool
     header: bool
     good: int
@@ -55,16 +58,22 @@ class _Open:
     name: str
     number: int
     bad: bool
+    hinted: bool
     article: bool
     header: bool
     good: int
     link: bool
 
 
+def _hint_bad(value: str) -> bool:
+    """Whether a name in a class, id or role hints at boilerplate."""
+    return bool(_BAD.search(value)) and any(_BAD.search(x) and _ABOUT.isdisjoint(x.lower().split("-")) for x in value.split())
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in its order, character references decoded and white space made one space."""
     out: list[Block] = []
-    stack = [_Open("", 0, False, False, False, 0, False)]
+    stack = [_Open("", 0, False, False, False, False, 0, False)]
     opened: dict[str, int] = {}
     parts: list[str] = []
     linked, number, at, end = 0, 0, 0, len(page)
@@ -75,7 +84,7 @@ def blocks(page: str) -> list[Block]:
         if text:
             top, *outer = (x for x in reversed(stack) if x.name in BLOCK or not x.name)
             holder = outer[0] if outer and top.name in LEAVES else top
-            out.append(Block(text, holder.number, len(stack), top.bad, top.article, top.header, top.good, linked))
+            out.append(Block(text, holder.number, len(stack), top.bad, top.hinted, top.article, top.header, top.good, linked))
         parts.clear()
         linked = 0
 
@@ -131,20 +140,22 @@ def blocks(page: str) -> list[Block]:
             continue
         number += 1
         top = stack[-1]
-        bad, good = top.bad or name in BOILERPLATE, top.good
+        bad, hint, good = top.bad or name in BOILERPLATE, False, top.good
         if found[3]:
-            for key, *values in _NAMES.findall(found[3]):
+            for key, *values in _ATTRIBUTE.findall(found[3]):
                 key, value = key.lower(), "".join(values)
                 if key == "style":
                     bad |= bool(_HIDDEN.search(value))
                 elif key == "hidden" or key == "aria-hidden":
                     bad |= value.lower() != "false"
-                elif name not in ("html", "body"):
+                elif key in ("class", "id", "role") and name not in ("html", "body"):
                     value = value.replace("_", "-")
-                    bad |= bool(_BAD.search(value))
+                    hint |= _hint_bad(value)
                     good = min(2, good + bool(_GOOD.search(value)))
-        article = top.article or name in ("article", "main")
-        stack.append(_Open(name, number, bad, article, top.header or name == "header", good, top.link or name == "a"))
+        own = name in ("article", "main")  # a hint on these says nothing; one around them is weighed in main_text
+        article, hinted = top.article or own, top.hinted or hint and not top.article and not own
+        bad |= hint and top.article and not own
+        stack.append(_Open(name, number, bad, hinted, article, top.header or name == "header", good, top.link or name == "a"))
         opened[name] = opened.get(name, 0) + 1
     flush()
     return out
@@ -244,6 +255,9 @@ def content_side(costs: list[int], links: list[tuple[int, int, int]]) -> list[bo
 def main_text(page: str) -> str:
     """The content blocks of a page, one a line."""
     found = blocks(page)
+    plain = any(b.article and not b.bad and not b.hinted for b in found)
+    for b in found:  # a hint around an article holds only if the page has another one
+        b.bad |= b.hinted and (plain or not b.article)
     any_article = any(b.article and not b.bad for b in found)
     keep = content_side([terminal(b, any_article) for b in found], edges(found))
     return "\n".join(b.text for b, k in zip(found, keep) if k)

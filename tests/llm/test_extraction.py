@@ -51,6 +51,20 @@ def test_broken_pages():
     assert extraction.main_text(deep) == "deep"
 
 
+def test_hints_do_not_take_the_article():
+    text = "This paragraph has enough words to be told from a menu, and it closes as sentences do, with a full stop at the end of all."
+    for page in ("<article class='post category-social'>{}</article>", "<article class='hentry tag-legal'>{}</article>", "<div class='content has-sidebar'>{}</div>",
+                 "<main class='no-sidebar'>{}</main>", "<main class='legal'><article id=search>{}</article></main>", "<div class='sidebar-layout'><main>{}</main></div>",
+                 "<div class='with_sidebar'><article>{}</article></div>", "<div data-id='search-3' data-class='menu'>{}</div>", "<div alt=\"class='menu' hidden\">{}</div>"):
+        assert extraction.main_text(f"<body>{page.format(f'<p>{text}</p>')}<nav>Home</nav></body>") == text, page
+    for attribute in ("title='a hidden gem'", "data-hidden", "title=\"style='display:none'\"", "data-x=class=menu"):
+        assert extraction.main_text(f"<article><p {attribute}>{text}</p></article>") == text, attribute
+    for attribute in ("hidden", "HIDDEN=''", "class='x menu'", "class=site_footer", "id='comments'", "role=navigation", "title='x'hidden", "class='post has-x sidebar'", "style='display: none'"):
+        assert extraction.main_text(f"<article><p>{text}</p><div {attribute}>{text}</div></article>") == text, attribute
+    assert extraction.main_text(f"<main><p>{text}</p><div id=comments><article>{text}</article></div></main>") == text
+    assert extraction.main_text(f"<article>{text}</article><div class=related><article>{text}</article></div>") == text
+
+
 def test_operator(spark):
     rows = [(1, "u", "<article><p>é</p></article>"), (2, None, None), (2, None, None), (None, "v", "")]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")

@@ -33,6 +33,8 @@ class Alike:
 
 #: Edits between lines that count as the same, and the code points from which on a line is compared at all.
 EDITS, LEAST = Alike(2, per=20), 32
+#: Documents from which on exact copies of a shorter line of two words or more go too.
+SPREAD = 10
 #: Words of a hashed run of words. A longer one is more selective, but more of them are sent.
 RUN = 5
 #: Candidate lines whose ids are broadcast to pick up their texts; more are joined by a shuffle.
@@ -304,23 +306,28 @@ def line_links(docs: DataFrame, edits: int | Alike, least: int) -> DataFrame:
     return run_links(tile_pairs(multi).join(texts, "id"), ["line"], _near(alike))
 
 
-def dedupe_lines(docs: DataFrame, edits: int | Alike = EDITS, least: int = LEAST, text: str = "text") -> DataFrame:
+def dedupe_lines(docs: DataFrame, edits: int | Alike = EDITS, least: int = LEAST, text: str = "text", spread: int = SPREAD) -> DataFrame:
     """``docs`` with its texts freed of repeated lines, and columns n_lines and n_removed.
 
     Lines of at least ``least`` code points form a class if edits lead from one to the next, at most ``edits`` at a step (``Alike``: or its share of words); the first line of
-    each class, by doc_id (nulls last), then place, stays, all others go. Shorter lines stay always. Lines are split at line feeds, and
+    each class, by doc_id (nulls last), then place, stays, all others go. A shorter line is a class of its exact copies if it has two words or more and is in ``spread`` documents or more;
+    other short lines stay always. Lines are split at line feeds, and
     what stays is joined by them.
 
     A null text is empty and has one empty line. Rows that are alike in doc_id and text are one document and get the same text. An empty table gives
     an empty result. Other columns are passed on; columns n_lines and n_removed of ``docs`` are replaced.
     """
     table = _identified(docs, text)
-    places = table.select("doc_id", "doc_", F.posexplode(F.split("text", "\n", -1)).alias("at", "line")).where(F.length("line") >= least)
+    places = table.select("doc_id", "doc_", F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
+    short = F.length("line") < least
+    places = places.where(~short | F.col("line").rlike(r"(?U)\S\s+\S"))
     owner = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    places = stored(places.select(F.struct(owner.alias("owner"), "doc_", "at").alias("place"), F.xxhash64("line").alias("id")), "line-places")
+    places = stored(places.select(F.struct(owner.alias("owner"), "doc_", "at").alias("place"), F.xxhash64("line").alias("id"), short.alias("short")), "line-places")
     classes = stored(components(line_links(table, edits, least), "line-classes"), "line-classes").withColumnsRenamed({"node": "id", "component": "class"})
-    classed = places.join(classes, "id", "left").select("place", F.coalesce("class", "id").alias("class"))
-    firsts = classed.groupBy("class").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    classed = places.join(classes, "id", "left").select("place", F.coalesce("class", "id").alias("class"), "short")
+    firsts = classed.groupBy("class").agg(F.min("place").alias("first"), F.count("*").alias("n"), F.max("short").alias("short")).where("n > 1").drop("n")
+    common = places.where("short").select(F.col("id").alias("class"), "place.doc_").distinct().groupBy("class").count().where(F.col("count") >= spread)
+    firsts = firsts.where("NOT short").union(firsts.where("short").join(common, "class", "left_semi")).drop("short")
     firsts = stored(firsts, "line-firsts")  # read by itself, so that Spark can split the partition of a common class in the join
     removed = classed.join(firsts, "class").where(F.col("place") != F.col("first"))
     removed = removed.select("place.*").distinct().groupBy("owner", "doc_").agg(F.collect_list("at").alias("removed_"))

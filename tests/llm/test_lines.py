@@ -173,3 +173,11 @@ def test_long_lines_with_other_words_go(spark):
     alike = [sum(a != b for a, b in zip(rows[i][1].split(), rows[i + 1][1].split())) <= len(rows[i][1].split()) // 20 for i in range(0, len(rows), 3)]
     assert [got[i] for i in range(1, len(rows), 3)] == [int(x) for x in alike] and sum(alike) >= 4
     assert not any(got[i] for i in range(len(rows)) if i % 3 != 1)
+
+
+def test_short_lines_of_many_documents_go(spark):
+    texts = [f"All rights reserved.\nYes.\n\nSeen {'twice' if i % 2 else i}\n a\u2003b" for i in range(lines.SPREAD)]
+    rows = [*enumerate(texts), (50, "a b c\na b c\n" * 20), *((60 + i, "in nine") for i in range(lines.SPREAD - 1))]
+    got = {r.doc_id: r.text for r in lines.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    gone = ("All rights reserved.", " a\u2003b")
+    assert got == {i: t if i in (0, 50) or i >= 60 else "\n".join(x for x in t.split("\n") if x not in gone) for i, t in rows}

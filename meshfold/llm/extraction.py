@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from meshfold.llm.common import bounded_scan, text_slices
 
 # Element names by their part in a page.
-RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
+RAW = frozenset("script style textarea title iframe".split())
+#: Elements whose text isn't shown as text; blocks in them are boilerplate. One that nothing closes later in the page marks nothing.
+INERT = frozenset("noscript template svg object select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
-    "head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
+    "head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 BOILERPLATE = frozenset("nav footer aside form menu button dialog head fieldset".split())
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th".split())
 #: Start tags that close an open element of the same kind, and what keeps them from looking further out.
@@ -63,6 +65,7 @@ class _Open:
     header: bool
     good: int
     link: bool
+    inert: bool = False
 
 
 def _hint_bad(value: str) -> bool:
@@ -77,6 +80,7 @@ def blocks(page: str) -> list[Block]:
     opened: dict[str, int] = {}
     parts: list[str] = []
     linked, number, at, end = 0, 0, 0, len(page)
+    closed: dict[str, int] = {}  # where the last end tag of an inert element is
 
     def flush() -> None:
         nonlocal linked
@@ -98,7 +102,7 @@ def blocks(page: str) -> list[Block]:
     while at < end:
         found = _TAG.search(page, at)
         chunk = page[at : found.start() if found else end]
-        if chunk:
+        if chunk and not stack[-1].inert:
             text = html.unescape(chunk) if "&" in chunk else chunk
             parts.append(text)
             if stack[-1].link:
@@ -140,7 +144,13 @@ def blocks(page: str) -> list[Block]:
             continue
         number += 1
         top = stack[-1]
-        bad, hint, good = top.bad or name in BOILERPLATE, False, top.good
+        inert = False
+        if name in INERT:
+            if name not in closed:
+                closed[name] = max((x.start() for x in re.finditer(rf"</{name}(?![^\s/>])", page, re.I)), default=-1)
+            inert = closed[name] >= at
+            parts.append(" ")
+        bad, hint, good = top.bad or inert or name in BOILERPLATE, False, top.good
         if found[3]:
             for key, *values in _ATTRIBUTE.findall(found[3]):
                 key, value = key.lower(), "".join(values)
@@ -155,7 +165,7 @@ def blocks(page: str) -> list[Block]:
         own = name in ("article", "main")  # a hint on these says nothing; one around them is weighed in main_text
         article, hinted = top.article or own, top.hinted or hint and not top.article and not own
         bad |= hint and top.article and not own
-        stack.append(_Open(name, number, bad, hinted, article, top.header or name == "header", good, top.link or name == "a"))
+        stack.append(_Open(name, number, bad, hinted, article, top.header or name == "header", good, top.link or name == "a", inert or top.inert and name not in BLOCK))
         opened[name] = opened.get(name, 0) + 1
     flush()
     return out

@@ -65,6 +65,15 @@ def test_hints_do_not_take_the_article():
     assert extraction.main_text(f"<article>{text}</article><div class=related><article>{text}</article></div>") == text
 
 
+def test_only_raw_text_ends_at_its_end_tag():
+    for name in ("select", "object", "svg", "math", "noscript", "template"):
+        assert extraction.main_text(f"<article><p>before</p><{name}><p>after</p></article>") == "before\nafter", name
+        assert extraction.main_text(f"<article><p>before <{name}>x</p><p>after</p></article><{name}>y</{name}>").endswith("\nafter"), name
+        inside = "a in b" if name == "math" else "a b"
+        assert extraction.main_text(f"<article><p>a <{name}>in</{name}> b</p></article>") == inside, name
+    assert extraction.main_text("<article><p>a<select><option>x<option>y</select>b</p><noscript><p>on</p></noscript><p>c</p></article>") == "a b\nc"
+
+
 def test_operator(spark):
     rows = [(1, "u", "<article><p>é</p></article>"), (2, None, None), (2, None, None), (None, "v", "")]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meshfold.llm import decontamination, extraction, infill, lines, neighbours, packing, periodic, quality, secrets, sharding, simhash, warc
+from meshfold.llm import decontamination, extraction, forest, infill, lines, neighbours, packing, periodic, quality, secrets, sharding, simhash, warc
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -15,11 +15,13 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_warc": warc.op9_warc,
     "op10_extraction": extraction.op10_extraction,
+    "op11_minhash_forest": forest.op11_minhash_forest,
     "op12_fill_in_middle": infill.op12_fill_in_middle,
     "op13_periodic_runs": periodic.op13_periodic_runs,
 }
 SQL: dict[str, str] = {
     "op1_decontamination": decontamination.SQL,
     "op8_secrets": secrets.SQL,
+    "op11_minhash_forest": forest.SQL,
     "op12_fill_in_middle": infill.SQL,
 }

@@ -23,8 +23,10 @@ VALUES, ORDERS, LEVELS = 128, 32, 8
 #: Depths at which a region's documents are candidates of each other; a region of more than REGION goes on to the next depth, and at
 #: the last one is compared in tiles of REGION whatever its size.
 DEPTHS, REGION = (4, 6, 8), 256
-#: Orders compared at a time: what the first ones link needn't be compared in later ones.
-ROUNDS = (4, 12, ORDERS)
+#: Orders compared first: what they link needn't be compared in the others.
+FIRST = 4
+#: Rows whose sets are picked by a broadcast of their numbers; more are picked by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -152,7 +154,7 @@ def regions(signatures: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- links
 
 def _compared(run: pa.Table, share: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links (a, b) that join what is linked in a run, beyond what column label joins already."""
+    """Links (a, b) between labels that join what is linked in a run; members of one label are joined already."""
     sets = [np.frombuffer(s, np.uint64) for s in run.column("shingles").to_pylist()]
     ids, tile, label = (run.column(c).to_numpy() for c in ("id", "tile", "label"))
     across = run.column("i")[0] != run.column("j")[0]
@@ -180,12 +182,12 @@ def _compared(run: pa.Table, share: int) -> Iterator[tuple[np.ndarray, np.ndarra
         found = others[100 * shared >= share * (sizes[others] + sizes[x] - shared)]
         if len(found):
             _, first = np.unique(forest.label[found], return_index=True)
-            yield np.full(len(first), ids[x]), ids[found[first]]
+            yield np.full(len(first), label[x]), label[found[first]]
             forest.join(x, found)
 
 
 def _confirmed(members: DataFrame, share: int) -> DataFrame:
-    """Links (a, b) among ``members`` (key, i, j, tile, id, label, shingles) of each (key, i, j), tested on the full sets."""
+    """Links (a, b) between labels of ``members`` (key, i, j, tile, id, label, shingles) of each (key, i, j), tested on the full sets."""
     order = ["key", "i", "j", "tile", "id"]
     dealt = members.select(*order, "label", "shingles").repartition("key", "i", "j").sortWithinPartitions(*order)
 
@@ -199,16 +201,6 @@ def _confirmed(members: DataFrame, share: int) -> DataFrame:
     return dealt.mapInArrow(scan, "a long, b long")
 
 
-def _labelled(members: DataFrame, joined: DataFrame | None) -> DataFrame:
-    """``members`` (key, id, ...) with the component that each is in so far as column label, of keys in which two or more components meet."""
-    if joined is None:
-        return members.withColumn("label", F.col("id"))
-    known = joined.select(F.col("node").alias("id"), "component")
-    at = stored(members.join(known, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component"), "forest-labels")
-    mixed = at.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    return at.join(mixed, "key", "left_semi")
-
-
 def _rest(members: DataFrame) -> DataFrame:
     """``members`` (key, id, label) dealt so that any two of a key whose labels differ meet in one (key, i, j).
 
@@ -229,36 +221,47 @@ def _rest(members: DataFrame) -> DataFrame:
     return dealt.select("key", "id", "label", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
 
 
+def _chained(found: DataFrame) -> DataFrame:
+    """``found`` with tiles as pairs (i, i); the last member of a tile is in the next tile too, so that alike members of a region of many tiles become one component."""
+    last = found.where("tile > 0").select("key").distinct()
+    ends = found.join(last, "key", "left_semi").groupBy("key", "tile").agg(F.max("id").alias("id"), F.max("label").alias("label"))
+    beyond = found.where("tile > 0").select("key", "tile").distinct()
+    ends = ends.withColumn("tile", F.col("tile") + 1).join(beyond, ["key", "tile"], "left_semi")
+    whole = found.select("key", "tile", "id", "label").union(ends.select("key", "tile", "id", "label"))
+    return whole.withColumns({"i": F.col("tile"), "j": F.col("tile")})
+
+
 def set_links(sets: DataFrame, share: int = SHARE) -> DataFrame:
-    """(node, component) over the ids of ``sets`` (a stored table: id, shingles, signature; an id may come more than once, with the same set)
-    that links of at least ``share`` percent join; ids without a link are left out.
+    """(id, root) of the ids of ``sets`` (a stored table: row_, unique, id, shingles, signature; an id may come more than once, with the same set): two ids have the same
+    root if links of at least ``share`` percent join them; ids that no region holds are left out.
 
-    Orders are compared in rounds. A region whose members the rounds before have joined isn't looked at again, and of the others only members of
-    different components are compared. Of a crowded region neighbouring members are compared first, in tiles, then one of each
-    component so found, and at the end whatever isn't joined yet. The links of a run are a forest, never all pairs.
+    The first orders are compared at once, a crowded region's members in neighbouring tiles. Of the regions of all orders, then, only those are looked at
+    in which components still meet, crowded ones as a whole, and only members of different components are compared. The links of a run are a forest, never all pairs.
     """
     found = regions(sets.where("id IS NOT NULL").select("id", "signature").dropDuplicates(["id"]))
     wanted = found.select("id").distinct()
-    texts = stored(sets.select("id", "shingles").join(wanted, "id", "left_semi").dropDuplicates(["id"]), "forest-sets")
+    one = stored(sets.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("row_").alias("row_")), "forest-wanted")
+    few = one.count() <= BROADCAST_IDS
+    picked = one.select("row_")
+    texts = stored(sets.select("row_", "id", "shingles").join(F.broadcast(picked) if few else picked, "row_", "left_semi").select("id", "shingles"), "forest-sets")
+
+    def joined(members: DataFrame) -> DataFrame:
+        links = _confirmed(members.join(texts, "id"), share)
+        return components(links, "forest-components").withColumnRenamed("component", "joined")
+
+    def renamed(table: DataFrame, column: str, by: DataFrame) -> DataFrame:
+        return table.join(by.withColumnRenamed("node", column), column, "left").withColumn(column, F.coalesce("joined", column)).drop("joined")
+
+    first = found.where(_order() < FIRST).withColumn("label", F.col("id"))
+    labels = stored(renamed(one.select("id", F.col("id").alias("label")), "label", joined(_chained(first))), "forest-labels")
     crowded = stored(found.where("tile > 0").select("key").distinct(), "forest-crowded")
-    large = None if crowded.isEmpty() else found.join(crowded, "key", "left_semi")
-    own_tile = {"i": F.col("tile"), "j": F.col("tile")}
-    links = joined = None
-
-    def compare(dealt: DataFrame) -> None:
-        nonlocal links, joined
-        new = _confirmed(dealt.join(texts, "id"), share)
-        links = stored(new if links is None else links.union(new), "forest-links")
-        joined = stored(components(links, "forest-components"), "forest-components")
-
-    for first, last in zip((0, *ROUNDS), ROUNDS):
-        compare(_labelled(found.where(_order().between(first, last - 1)), joined).withColumns(own_tile))
-        if not first and large is not None:
-            one = _labelled(large.drop("tile"), joined).groupBy("key", "label").agg(F.min("id").alias("id"))
-            compare(_labelled(multi_runs(one, "forest-ones", REGION), joined).withColumns(own_tile))
-    if large is not None:
-        compare(_rest(stored(_labelled(large.drop("tile"), joined), "forest-rest")))
-    return joined
+    at = stored(found.join(labels, "id"), "forest-members")
+    mixed = stored(at.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key"), "forest-mixed")
+    at = at.join(mixed, "key", "left_semi")
+    others = at.where(_order() >= FIRST).join(crowded, "key", "left_anti").select("key", "id", "label", "tile", F.col("tile").alias("i"), F.col("tile").alias("j"))
+    if not crowded.isEmpty():
+        others = others.union(_rest(stored(at.join(crowded, "key", "left_semi"), "forest-rest")))
+    return renamed(labels, "label", joined(others)).withColumnRenamed("label", "root")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, share: int = SHARE, text: str = "text") -> DataFrame:
@@ -272,13 +275,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, share: int = SHARE, tex
     ``REGION`` sets; an empty table gives an empty result; other columns are not read.
     """
     table = docs.select("doc_id", F.col(f"`{text}`").alias("text"))
-    rows = stored(signed(table, width, "doc_id"), "forest-rows")
-    joined = set_links(rows, share)
-    least = rows.where("id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("least"))
-    rooted = stored(least.join(joined.withColumnRenamed("node", "id"), "id", "left").select("id", "least", F.coalesce("component", "id").alias("root")), "forest-roots")
+    rows = stored(signed(table, width, "doc_id").withColumn("row_", F.monotonically_increasing_id()), "forest-rows")
+    least = rows.where("id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("least")).join(set_links(rows, share), "id", "left")
+    rooted = stored(least.select("id", "least", F.coalesce("root", "id").alias("root")), "forest-roots")
     lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(rooted.join(lowest, "root").select("id", "component_id"), "forest-named")
-    result = rows.select("doc_id", "n_shingles", "id").join(named, "id", "left")
+    result = rows.select("doc_id", "n_shingles", "id").join(rooted.join(lowest, "root").select("id", "component_id"), "id", "left")
     component = F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return result.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
@@ -286,14 +287,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, share: int = SHARE, tex
 def keep_one(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
     """``docs`` (doc_id, text and others) with one row of each component: that of the smallest doc_id, nulls last; of rows that share it, one. Documents
     without words all stay."""
-    table = packed(docs, "doc_id", "text").withColumn("row_", F.monotonically_increasing_id())
-    held = stored(table, "forest-docs")
+    held = stored(packed(docs, "doc_id", "text").withColumn("row_", F.monotonically_increasing_id()), "forest-docs")
     rows = stored(signed(held, width, "doc_id", "row_"), "forest-rows")
-    joined = set_links(rows, share)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_")
-    root = F.coalesce("component", "id")
-    first = rows.where("id IS NOT NULL").groupBy("id").agg(F.min(order).alias("o")).join(joined.withColumnRenamed("node", "id"), "id", "left")
-    stays = first.groupBy(root.alias("root")).agg(F.min("o").alias("o")).select("o.row_").union(rows.where("id IS NULL").select("row_"))
+    first = rows.where("id IS NOT NULL").groupBy("id").agg(F.min(order).alias("o")).join(set_links(rows, share), "id", "left")
+    stays = first.groupBy(F.coalesce("root", "id").alias("root")).agg(F.min("o").alias("o")).select("o.row_").union(rows.where("id IS NULL").select("row_"))
     return held.join(stays, "row_", "left_semi").select("in_.*")
 
 

@@ -25,6 +25,8 @@ VALUES, ORDERS, LEVELS = 128, 32, 8
 DEPTHS, REGION = (4, 6, 8), 256
 #: Orders compared first: what they link needn't be compared in the others.
 FIRST = 4
+#: Standard deviations below the expected number of equal values at which a pair is let through to the test of the full sets.
+SPARE = 5.5
 #: Rows whose sets are picked by a broadcast of their numbers; more are picked by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -67,12 +69,12 @@ def shingle_set(text: bytes, width: int, known: dict[bytes, int]) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """``VALUES`` smallest hashes (32 bits each) of a set that isn't empty."""
+    """``VALUES`` smallest hashes (16 bits of each) of a set that isn't empty."""
     least = np.full(VALUES, np.iinfo(np.uint64).max, np.uint64)
     factor, shift = _seeds(VALUES, 0) | np.uint64(1), _seeds(VALUES, 1 << 20)
     for at in range(0, len(shingles), 2048):
         np.minimum(least, (shingles[at : at + 2048, None] * factor + shift).min(axis=0), out=least)
-    return (least >> np.uint64(32)).astype("<u4")
+    return (least >> np.uint64(48)).astype("<u2")
 
 
 def prefix_keys(signatures: np.ndarray, depth: int) -> np.ndarray:
@@ -115,7 +117,7 @@ def _prefixes(signatures: DataFrame, depth: int) -> DataFrame:
         for batch in batches:
             held = batch.column("signature").to_pylist()
             if held:
-                keys = prefix_keys(np.frombuffer(b"".join(held), "<u4").reshape(-1, VALUES), depth)
+                keys = prefix_keys(np.frombuffer(b"".join(held), "<u2").reshape(-1, VALUES), depth)
                 ids = np.repeat(batch.column("id").to_numpy(), ORDERS)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64), pa.int64()), pa.array(ids, pa.int64())], ["key", "id"])
 
@@ -186,19 +188,49 @@ def _compared(run: pa.Table, share: int) -> Iterator[tuple[np.ndarray, np.ndarra
             forest.join(x, found)
 
 
+def _each_run(members: DataFrame, columns: list[str], scan, schema: str) -> DataFrame:
+    """``scan`` over the rows (key, i, j, tile, id, label, columns...) of each (key, i, j)."""
+    order = ["key", "i", "j", "tile", "id"]
+    dealt = members.select(*order, "label", *columns).repartition("key", "i", "j").sortWithinPartitions(*order)
+    return dealt.mapInArrow(lambda batches: (out for run in whole_runs(batches, ("key", "i", "j")) for out in scan(run)), schema)
+
+
+def _screened(members: DataFrame, share: int) -> DataFrame:
+    """Those of ``members`` (key, i, j, tile, id, label, n_shingles, signature) whose signature and size let them be linked with a member of another label.
+
+    Of ``VALUES`` values a pair of the least share has that share in common on average; ``SPARE`` standard deviations fewer are let through, so one of
+    some ten million such pairs is lost.
+    """
+    least = VALUES * share / 100 - SPARE * (VALUES * share * (100 - share)) ** 0.5 / 100
+
+    def scan(run: pa.Table) -> Iterator[pa.RecordBatch]:
+        values = np.frombuffer(b"".join(run.column("signature").to_pylist()), "<u2").reshape(-1, VALUES)
+        label, tile, sizes = (run.column(c).to_numpy() for c in ("label", "tile", "n_shingles"))
+        across, keep = run.column("i")[0] != run.column("j")[0], np.zeros(len(label), bool)
+        for x in range(len(label) - 1):
+            fit = (label[x + 1 :] != label[x]) & (100 * np.minimum(sizes[x + 1 :], sizes[x]) >= share * np.maximum(sizes[x + 1 :], sizes[x]))
+            if across:
+                fit &= tile[x + 1 :] != tile[x]
+            others = x + 1 + np.flatnonzero(fit)
+            others = others[(values[others] == values[x]).sum(axis=1) >= least]
+            keep[others] = True
+            keep[x] |= len(others) > 0
+        if keep.any():
+            yield from run.select(["key", "i", "j", "tile", "id", "label"]).filter(pa.array(keep)).combine_chunks().to_batches()
+
+    return _each_run(members, ["n_shingles", "signature"], scan, "key long, i long, j long, tile long, id long, label long")
+
+
 def _confirmed(members: DataFrame, share: int) -> DataFrame:
     """Links (a, b) between labels of ``members`` (key, i, j, tile, id, label, shingles) of each (key, i, j), tested on the full sets."""
-    order = ["key", "i", "j", "tile", "id"]
-    dealt = members.select(*order, "label", "shingles").repartition("key", "i", "j").sortWithinPartitions(*order)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in whole_runs(batches, ("key", "i", "j")):
-            found = list(_compared(run, share))
-            if found:
-                a, b = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    def scan(run: pa.Table) -> Iterator[pa.RecordBatch]:
+        found = list(_compared(run, share))
+        if found:
+            a, b = (np.concatenate(x) for x in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return dealt.mapInArrow(scan, "a long, b long")
+    return _each_run(members, ["shingles"], scan, "a long, b long")
 
 
 def _rest(members: DataFrame) -> DataFrame:
@@ -232,18 +264,20 @@ def _chained(found: DataFrame) -> DataFrame:
 
 
 def set_links(sets: DataFrame, share: int = SHARE) -> DataFrame:
-    """(id, root) of the ids of ``sets`` (a stored table: row_, unique, id, shingles, signature; an id may come more than once, with the same set): two ids have the same
+    """(id, root) of the ids of ``sets`` (a stored table: row_, unique, id, n_shingles, shingles, signature; an id may come more than once, with the same set): two ids have the same
     root if links of at least ``share`` percent join them; ids that no region holds are left out.
 
     The first orders are compared at once, a crowded region's members in neighbouring tiles. Of the regions of all orders, then, only those are looked at
-    in which components still meet, crowded ones as a whole, and only members of different components are compared. The links of a run are a forest, never all pairs.
+    in which components still meet, crowded ones as a whole, and only members of different components are compared, first by their signatures. The links of a run are a forest, never all pairs.
     """
     found = regions(sets.where("id IS NOT NULL").select("id", "signature").dropDuplicates(["id"]))
     wanted = found.select("id").distinct()
     one = stored(sets.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("row_").alias("row_")), "forest-wanted")
     few = one.count() <= BROADCAST_IDS
     picked = one.select("row_")
-    texts = stored(sets.select("row_", "id", "shingles").join(F.broadcast(picked) if few else picked, "row_", "left_semi").select("id", "shingles"), "forest-sets")
+    facts = sets.select("row_", "id", "n_shingles", "signature", "shingles").join(F.broadcast(picked) if few else picked, "row_", "left_semi").drop("row_")
+    facts = stored(facts, "forest-sets")
+    texts, sketches = facts.select("id", "shingles"), facts.select("id", "n_shingles", "signature")
 
     def joined(members: DataFrame) -> DataFrame:
         links = _confirmed(members.join(texts, "id"), share)
@@ -261,6 +295,7 @@ def set_links(sets: DataFrame, share: int = SHARE) -> DataFrame:
     others = at.where(_order() >= FIRST).join(crowded, "key", "left_anti").select("key", "id", "label", "tile", F.col("tile").alias("i"), F.col("tile").alias("j"))
     if not crowded.isEmpty():
         others = others.union(_rest(stored(at.join(crowded, "key", "left_semi"), "forest-rest")))
+    others = stored(_screened(others.join(sketches, "id"), share), "forest-screened")
     return renamed(labels, "label", joined(others)).withColumnRenamed("label", "root")
 
 

@@ -263,6 +263,16 @@ def _chained(found: DataFrame) -> DataFrame:
     return whole.withColumns({"i": F.col("tile"), "j": F.col("tile")})
 
 
+def _distinct_runs(members: DataFrame) -> DataFrame:
+    """``members`` (key, i, j, tile, id, label) without the runs that have the same members as another run: two alike documents meet in most orders, but need one test."""
+    across = F.col("i") != F.col("j")
+    side = F.when(across, F.col("tile")).otherwise(-1)
+    members = stored(members.select("key", "i", "j", "tile", "id", "label"), "forest-runs")
+    run = members.groupBy("key", "i", "j").agg(F.count("*").alias("n"), *(F.bit_xor(F.xxhash64(F.lit(k), "id", side)).alias(f"h{k}") for k in (1, 2)))
+    one = run.groupBy("n", "h1", "h2").agg(F.min(F.struct("key", "i", "j")).alias("run")).where("n > 1").select("run.*")
+    return members.join(one, ["key", "i", "j"], "left_semi")
+
+
 def set_links(sets: DataFrame, share: int = SHARE) -> DataFrame:
     """(id, root) of the ids of ``sets`` (a stored table: row_, unique, id, n_shingles, shingles, signature; an id may come more than once, with the same set): two ids have the same
     root if links of at least ``share`` percent join them; ids that no region holds are left out.
@@ -280,7 +290,7 @@ def set_links(sets: DataFrame, share: int = SHARE) -> DataFrame:
     texts, sketches = facts.select("id", "shingles"), facts.select("id", "n_shingles", "signature")
 
     def joined(members: DataFrame) -> DataFrame:
-        links = _confirmed(members.join(texts, "id"), share)
+        links = _confirmed(_distinct_runs(members).join(texts, "id"), share)
         return components(links, "forest-components").withColumnRenamed("component", "joined")
 
     def renamed(table: DataFrame, column: str, by: DataFrame) -> DataFrame:
@@ -289,14 +299,13 @@ def set_links(sets: DataFrame, share: int = SHARE) -> DataFrame:
     first = found.where(_order() < FIRST).withColumn("label", F.col("id"))
     labels = stored(renamed(one.select("id", F.col("id").alias("label")), "label", joined(_chained(first))), "forest-labels")
     crowded = stored(found.where("tile > 0").select("key").distinct(), "forest-crowded")
-    at = stored(found.join(labels, "id"), "forest-members")
+    at = found.join(labels, "id")
     mixed = stored(at.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key"), "forest-mixed")
-    at = at.join(mixed, "key", "left_semi")
+    at = stored(at.join(mixed, "key", "left_semi"), "forest-members")
     others = at.where(_order() >= FIRST).join(crowded, "key", "left_anti").select("key", "id", "label", "tile", F.col("tile").alias("i"), F.col("tile").alias("j"))
     if not crowded.isEmpty():
-        others = others.union(_rest(stored(at.join(crowded, "key", "left_semi"), "forest-rest")))
-    others = stored(_screened(others.join(sketches, "id"), share), "forest-screened")
-    return renamed(labels, "label", joined(others)).withColumnRenamed("label", "root")
+        others = others.union(_rest(at.join(crowded, "key", "left_semi")))
+    return renamed(labels, "label", joined(_screened(others.join(sketches, "id"), share))).withColumnRenamed("label", "root")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, share: int = SHARE, text: str = "text") -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
 from meshfold.operators.join import points_in_polygons
+from meshfold.operators.rings import assembled, strung
 from meshfold.plans.cells import OBJECT, OBJECT_ID, WINDOW, WINDOW_ID, Limits, cell_join
 from meshfold.session import stored
 
@@ -166,6 +167,18 @@ def union_parts(polygons: DataFrame, id_column: str = "id", limits: Limits = Lim
     return members.join(areas, "part", "left")
 
 
+def union_polygons(polygons: DataFrame, id_column: str = "id", limits: Limits = Limits()) -> DataFrame:
+    """(part, rings): the union as polygons, one for each connected part, named by its smallest polygon id: the shell first, counter-clockwise, then the holes.
+
+    Parts and rings may touch in points: touching parts stay apart, and no ring passes a point twice.
+    """
+    shapes = stored(_distinct_polygons(polygons, id_column), "union-shapes")
+    stretches = stored(_covered_stretches(shapes, limits), "union-stretches")
+    labels = connected_components(shapes.select("id"), stretches.select(F.col("id").alias("a"), F.col("other").alias("b")).distinct())
+    placed = strung(_outline(shapes, stretches).join(labels, "id"))
+    return assembled(placed)
+
+
 def connected_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(id, part): the smallest id reachable from each node over ``links (a, b)``, taken both ways.
 

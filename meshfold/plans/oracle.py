@@ -338,4 +338,16 @@ SQL: dict[str, str] = {
       "reach AS (SELECT gid, gid AS other FROM polyv WHERE k=0 UNION SELECT r.gid, e.b FROM reach r JOIN "
       "(SELECT gid AS a, other AS b FROM holders UNION SELECT other, gid FROM holders) e ON e.a=r.other)"),
 }
+# Rings: runs of the outline followed from end to start, both rounded, until the smallest one of a ring is known.
+_REACH = ("reach AS (SELECT gid, gid AS other FROM polyv WHERE k=0 UNION SELECT r.gid, e.b FROM reach r JOIN "
+          "(SELECT gid AS a, other AS b FROM holders UNION SELECT other, gid FROM holders) e ON e.a=r.other)")
+_STRUNG = """sides AS (SELECT row_number() OVER (ORDER BY gid, k, min(t0)) AS n, gid, x1+min(t0)*(x2-x1) AS ax, y1+min(t0)*(y2-y1) AS ay,
+      x1+max(t1)*(x2-x1) AS bx, y1+max(t1)*(y2-y1) AS by_ FROM runs GROUP BY gid, k, run, x1, y1, x2, y2),
+    follows AS (SELECT a.n, b.n AS ahead FROM sides a JOIN sides b ON round(a.bx, 6)=round(b.ax, 6) AND round(a.by_, 6)=round(b.ay, 6)),
+    walk AS (SELECT n, n AS seen FROM sides UNION SELECT w.n, f.ahead FROM walk w JOIN follows f ON f.n=w.seen)"""
+SQL["union_rings"] = _with("holders runs", """SELECT part, CAST(row_number() OVER (PARTITION BY part ORDER BY area < 0, -abs(area), ring)-1 AS INT) AS ring, vertices,
+      round(area, 5) AS area, count(*) OVER (PARTITION BY part)-1 AS holes FROM
+      (SELECT l.part, r.ring, count(*) AS vertices, sum(s.ax*s.by_-s.bx*s.ay)/2 AS area
+       FROM (SELECT n, min(seen) AS ring FROM walk GROUP BY n) r JOIN sides s ON s.n=r.n
+       JOIN (SELECT gid, min(other) AS part FROM reach GROUP BY gid) l ON l.gid=s.gid GROUP BY l.part, r.ring) q""", _REACH + ",\n" + _STRUNG)
 SQL["load_points_roundtrip"] = _with("pts", """SELECT id, x, y, concat('p,', id, ',', x, ',', y, ',rest') AS user_data FROM pts""")

@@ -608,3 +608,11 @@ def union_boundary(spark, sf):
 @query
 def union_parts(spark, sf):
     return union.union_parts(tables.polygons(spark, sf)).withColumn("area", F.round("area", 6))
+
+
+@query
+def union_rings(spark, sf):
+    """(part, ring, vertices, area, holes): the rings of each polygon of the union, shell first, holes by falling area."""
+    whole = union.union_polygons(tables.polygons(spark, sf))
+    rings = whole.select("part", (F.size("rings") - 1).cast("bigint").alias("holes"), F.posexplode("rings").alias("ring", "points"))
+    return rings.select("part", "ring", (F.size("points") - 1).cast("bigint").alias("vertices"), F.expr(f"round({g.signed_area2('points')} / 2, 5)").alias("area"), "holes")

@@ -75,3 +75,75 @@ def test_components(spark):
     labels = {r["id"]: r["part"] for r in union.connected_components(nodes, chain.union(hub)).collect()}
     assert all(labels[i] == 0 for i in range(100)) and labels[100] == 100
     assert all(labels[i] == 101 for i in range(101, 151)) and all(labels[i] == i for i in range(151, 200))
+
+
+def _rings_of(geometry):
+    """(shell's area, areas of the holes) of each polygon of a JTS geometry."""
+    out = []
+    for i in range(geometry.getNumGeometries()):
+        p = geometry.getGeometryN(i)
+        if not p.isEmpty():
+            holes = [p.getFactory().createPolygon(p.getInteriorRingN(k).getCoordinateSequence()).getArea() for k in range(p.getNumInteriorRing())]
+            out.append((p.getFactory().createPolygon(p.getExteriorRing().getCoordinateSequence()).getArea(), sorted(holes)))
+    return sorted(out)
+
+
+def _area(ring):
+    return sum(a["x"] * b["y"] - b["x"] * a["y"] for a, b in zip(ring, ring[1:])) / 2
+
+
+def _compare_rings(spark, shapes):
+    found = []
+    for row in union.union_polygons(polygons(spark, dict(enumerate(shapes)))).collect():
+        areas = [_area(r) for r in row["rings"]]
+        assert areas[0] > 0 and all(a < 0 for a in areas[1:])
+        for ring in row["rings"]:
+            places = [(round(p["x"], 7), round(p["y"], 7)) for p in ring]
+            assert places[0] == places[-1] and len(set(places)) == len(places) - 1  # closed, and no point twice
+        found.append((areas[0], sorted(-a for a in areas[1:])))
+    want = _rings_of(Jts(spark).union(shapes))
+    assert [(pytest.approx(a, abs=1e-7), [pytest.approx(h, abs=1e-7) for h in holes]) for a, holes in want] == sorted(found)
+
+
+RINGS = {n: CASES[n] for n in ("disjoint", "nested, sharing an edge", "touching in a corner", "around a hole", "hole partly filled")} | {
+    "island in a hole": [[*square(0, 0, 9), *square(2, 2, 5)], square(3, 3, 2)],
+    "hole touching the shell": [[[(0, 0), (6, 0), (6, 6), (0, 6), (0, 0)], [(0, 3), (2, 2), (2, 4), (0, 3)]]],
+    "two holes touching": [square(0, 0, 3), square(3, 0, 3), square(0, 3, 1), square(2, 3, 2), square(5, 3, 1), square(0, 4, 2), square(4, 4, 2), square(2, 5, 2),
+                           square(0, 6, 3), square(3, 6, 3)],
+    "corners in a ring": [square(0, 0, 1), square(1, 1, 1), square(2, 0, 1), square(1, -1, 1)],
+}
+
+
+@pytest.mark.parametrize("name", RINGS)
+def test_rings(spark, name):
+    _compare_rings(spark, RINGS[name])
+
+
+def test_rings_of_random_polygons(spark):
+    rng = random.Random(19)
+    jts, shapes = Jts(spark), []
+    while len(shapes) < 60:
+        s = star(rng, rng.uniform(0, 30), rng.uniform(0, 30), rng.uniform(1, 5))
+        if jts.polygon(s).isValid():
+            shapes.append(s)
+    _compare_rings(spark, shapes)
+
+
+def test_cycles_of_any_length(spark):
+    from meshfold.operators import rings
+
+    sizes, links, first = [1, 2, 3, 4, 7, 64, 65, 1000], [], 0
+    rng = random.Random(2)
+    for size in sizes:
+        order = rng.sample(range(first, first + size), size)
+        links += list(zip(order, [*order[1:], order[0]]))
+        first += size
+    after = dict(links)
+    for r in rings._cycles(spark.createDataFrame(links, "piece long, next long")).collect():
+        at = r["piece"]
+        for _ in range(r["steps"]):
+            assert at != r["ring"]
+            at = after[at]
+        assert at == r["ring"] and r["steps"] < 1000
+    with pytest.raises(ValueError):
+        rings.strung(spark.createDataFrame([(0.0, 0.0, 1.0, 0.0), (1.0, 0.0, 1.0, 1.0)], "x1 double, y1 double, x2 double, y2 double"))

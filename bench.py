@@ -12,7 +12,7 @@ import statistics
 import sys
 import time
 
-from meshfold.operators import join, knn, layout
+from meshfold.operators import knn, layout, paired
 from meshfold.plans.queries import CENTER, K_RECTS, N_PARTITIONS, QUERIES, W2
 from meshfold.session import local_session, new_folder
 from meshfold.sources import tables
@@ -42,11 +42,12 @@ def indexed(spark, sf):
     """Range, kNN and join over layouts that are written beforehand, next to the same over plain tables in HEADLINE."""
     rects, points = tables.rectangles(spark, sf), tables.spread_points(spark, sf)
     by_rects = layout.write_clustered(rects, new_folder(spark, "bench"), "hilbert", N_PARTITIONS)
-    by_points = layout.write_clustered(points, new_folder(spark, "bench"), "rtree", N_PARTITIONS)
+    grid = paired.plan_grid(points, 64)
+    objects, windows = paired.write_objects(points, grid, new_folder(spark, "bench")), paired.write_windows(rects, grid, new_folder(spark, "bench"))
     return {
         "indexed_range_rects_intersects": lambda: by_rects.range_rectangles(W2),
         "indexed_knn_rects": lambda: knn.ranked(by_rects.knn_rectangles(CENTER, K_RECTS)),
-        "indexed_join_pts_rects_pairs": lambda: join.points_in_rectangles(by_points.meeting(rects), rects),
+        "indexed_join_pts_rects_pairs": lambda: paired.join_stored(objects, windows),
     }
 
 

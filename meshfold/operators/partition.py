@@ -1,9 +1,10 @@
-"""Spatial partitioning: a partition id per object, by one of four methods.
+"""Spatial partitioning: a partition id per object, by one of five methods.
 
 ``equalgrid``  equal cells over the boundary
 ``hilbert``    equal shares along a Hilbert curve
 ``rtree``      sort-tile: strips of equal shares by x, each cut into equal shares by y
 ``voronoi``    the nearest of n sites taken from the data
+``quadtree``   squares halved on both axes until none has more than one n-th of the rows; there may be more than n of them
 
 Every object gets exactly one id, by its centre, so nothing is copied. Cuts come from distributed
 approximate percentiles; only the cuts themselves (at most n numbers) reach the driver.
@@ -21,8 +22,8 @@ from meshfold.functions import geometry as g
 from meshfold.operators.aggregate import geometry_box
 from meshfold.operators.join import rectangles_in_rectangles
 
-METHODS = ("equalgrid", "hilbert", "rtree", "voronoi")
-HILBERT_BITS = 15
+METHODS = ("equalgrid", "hilbert", "rtree", "voronoi", "quadtree")
+HILBERT_BITS = QUAD_LEVELS = 15
 _STEP_BITS = 3
 _SAMPLE_PER_PARTITION = 1000
 _ACCURACY = 10_000
@@ -40,6 +41,21 @@ def sample_size(n: int, rows: int) -> int:  # the shares and results are fixed v
     return sample if sample >= n else 0
 
 
+@dataclass(frozen=True)
+class Leaf:
+    """A square of a quadtree: its first place on the Morton curve, its level (0: the whole), and its rows if these are too many even on the last level."""
+
+    start: int
+    level: int
+    crowd: int = 0
+
+    def cells(self) -> tuple[int, int, int, int]:
+        """The cells of the finest grid it covers: first and last column, first and last row."""
+        column, row = (sum((self.start >> (2 * b + odd) & 1) << b for b in range(QUAD_LEVELS)) for odd in (1, 0))
+        size = 1 << (QUAD_LEVELS - self.level)
+        return column, column + size - 1, row, row + size - 1
+
+
 @dataclass(frozen=True)
 class Partitioning:
     """Cuts found on one table; `assign` applies them to that or any other table."""
@@ -49,6 +65,7 @@ class Partitioning:
     bounds: tuple[float, float, float, float]  # xmin, xmax, ymin, ymax
     cuts: tuple = field(default=())
     rows: int = 0  # of the table the cuts were found on
+    leaves: tuple[Leaf, ...] = field(default=())  # of a quadtree, by partition id
 
     def assign(self, df: DataFrame) -> DataFrame:
         """``df`` with an INT column ``pid`` in 0 .. n-1; null for rows with a missing coordinate."""
@@ -67,6 +84,9 @@ class Partitioning:
         if self.method == "hilbert":
             keyed = df.withColumn("curve_", hilbert_key(x, y, self.bounds))
             return _ranked(keyed, "pid", "curve_", [self.cuts]).drop("curve_")
+        if self.method == "quadtree":
+            keyed = df.withColumn("curve_", morton_key(x, y, self.bounds))
+            return _ranked(keyed, "pid", "curve_", [self.cuts]).drop("curve_")
         if self.method == "rtree":
             x_cuts, first, y_cuts = self.cuts
             striped = _ranked(df.withColumn("x_", x).withColumn("y_", y), "strip_", "x_", [x_cuts])
@@ -189,6 +209,42 @@ def hilbert_key(x: Column, y: Column, bounds: tuple[float, float, float, float])
     return key
 
 
+def morton_key(x: Column, y: Column, bounds: tuple[float, float, float, float]) -> Column:
+    """Position along the Morton curve over ``bounds``, as BIGINT: the bits of the grid cell's column and row in turn, column first."""
+    def apart(v: Column) -> Column:
+        v = v.cast("bigint")
+        for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
+        return v
+
+    column, row = grid_cell(x, y, bounds)
+    return F.shiftleft(apart(column), 1).bitwiseOR(apart(row))
+
+
+def grid_cell(x: Column, y: Column, bounds: tuple[float, float, float, float]) -> tuple[Column, Column]:
+    """Column and row in the finest grid of a quadtree; whatever lies outside goes to the outermost cell."""
+    return _grid_index(x, y, bounds, 1 << QUAD_LEVELS)
+
+
+def _quad_leaves(centers: DataFrame, bounds, rows: int, n: int) -> tuple[Leaf, ...]:
+    """The squares with at most ceil(rows / n) rows that come from splitting all larger ones, in Morton order.
+
+    All levels are counted at once, from the counts of the finest cells; only the squares that have to be split reach the driver, some 16 n at most.
+    """
+    most = -(-rows // n)
+    cells = centers.groupBy(morton_key(F.col("x"), F.col("y"), bounds).alias("key")).agg(F.count("*").alias("n"))
+    level = F.explode(F.sequence(F.lit(0), F.lit(QUAD_LEVELS))).alias("level")
+    squares = cells.select("key", "n", level).selectExpr("level", f"shiftright(key, 2 * ({QUAD_LEVELS} - level)) AS square", "n")
+    split = {(r["level"], r["square"]): r["n"] for r in squares.groupBy("level", "square").agg(F.sum("n").alias("n")).where(F.col("n") > most).collect()}
+    leaves = [] if (0, 0) in split else [Leaf(0, 0)]
+    for (level, square), count in split.items():
+        if level == QUAD_LEVELS:
+            leaves.append(Leaf(square, level, count))
+        else:
+            leaves += [Leaf(child << 2 * (QUAD_LEVELS - level - 1), level + 1) for child in range(4 * square, 4 * square + 4) if (level + 1, child) not in split]
+    return tuple(sorted(leaves, key=lambda leaf: leaf.start))
+
+
 def _percentiles(df: DataFrame, value: str, shares: list[float], by: str | None = None) -> DataFrame:
     grouped = df.groupBy(by) if by else df.groupBy()
     accuracy = max(_ACCURACY, 20 * len(shares))  # an error of a twentieth of a partition at most
@@ -220,6 +276,9 @@ def plan_partitions(df: DataFrame, method: str, n: int, collapse: bool = False)
 
     x, y = g.box_center(geometry_box(df))
     centers = df.select(x.alias("x"), y.alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
+    if method == "quadtree":
+        leaves = _quad_leaves(centers, bounds, rows, n)
+        return Partitioning(method, len(leaves), bounds, tuple(leaf.start for leaf in leaves[1:]), rows, leaves)
     wanted = max(sample, n * _SAMPLE_PER_PARTITION)
     if wanted < rows / 2:
         centers = centers.sample(wanted / rows, seed=11)

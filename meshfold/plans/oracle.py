@@ -295,6 +295,7 @@ SQL: dict[str, str] = {
     "partition_hilbert_check": _HILBERT.format(pts=TABLES["pts"]),
     "partition_rtree_check": _CHECK.format("lost", "uneven", ", CAST(0 AS BIGINT) AS overlaps", "orders"),
     "partition_voronoi_check": _CHECK.format("wrong", "empty", "", "orders"),
+    "partition_quadtree_check": _CHECK.format("lost", "oversized", ", CAST(0 AS BIGINT) AS overlaps", "customer"),
     "partition_by_other_table": _with("pts rects", """SELECT CAST(gx*3+gy AS INT) AS pid, count(*) AS n
       FROM (SELECT greatest(least(floor(((xmin+xmax)/2-x0)/((x1-x0)/3)), 2), 0) AS gx, greatest(least(floor(((ymin+ymax)/2-y0)/((y1-y0)/3)), 2), 0) AS gy
         FROM rects CROSS JOIN (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM pts) b) p GROUP BY 1"""),
@@ -338,6 +339,15 @@ SQL: dict[str, str] = {
       "reach AS (SELECT gid, gid AS other FROM polyv WHERE k=0 UNION SELECT r.gid, e.b FROM reach r JOIN "
       "(SELECT gid AS a, other AS b FROM holders UNION SELECT other, gid FROM holders) e ON e.a=r.other)"),
 }
+SQL |= {
+    "join_pts_rects_stored": SQL["join_pts_rects_pairs"],
+    "join_equal_pts_rects_stored": _with("skew rects", f"SELECT {_PAIRS} FROM {_PTS_RECTS.replace('pts', 'skew')}"),
+    "join_rects_rects_stored_contains": SQL["join_rects_rects_contains"],
+    "join_rects_rects_stored_intersects": SQL["join_rects_rects_intersects"],
+    "join_pts_polys_stored": SQL["join_pts_polys"],
+    "join_polys_polys_stored_contains": SQL["join_polys_polys_contains"],
+    "join_polys_polys_stored_mbr": SQL["join_polys_polys_mbr"],
+}
 # Rings: runs of the outline followed from end to start, both rounded, until the smallest one of a ring is known.
 _REACH = ("reach AS (SELECT gid, gid AS other FROM polyv WHERE k=0 UNION SELECT r.gid, e.b FROM reach r JOIN "
           "(SELECT gid AS a, other AS b FROM holders UNION SELECT other, gid FROM holders) e ON e.a=r.other)")

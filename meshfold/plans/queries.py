@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
-from meshfold.operators import aggregate, hotspot, join, knn, layout, partition, range_query, union
+from meshfold.operators import aggregate, hotspot, join, knn, layout, paired, partition, range_query, union
 from meshfold.plans import oracle
 from meshfold.session import new_folder, spread
 from meshfold.sources import readers, tables, writers
@@ -215,6 +215,51 @@ def join_polys_polys_mbr(spark, sf):
     return join.polygons_in_polygons(tables.small_polygons(spark, sf), tables.polygons(spark, sf), mode="mbr")
 
 
+def _paired(spark: SparkSession, objects: DataFrame, windows: DataFrame, mode: str) -> DataFrame:
+    """The join of both tables, stored on a grid found on the objects."""
+    grid = paired.plan_grid(objects, N_PARTITIONS)
+    left, right = paired.write_objects(objects, grid, _new_folder(spark)), paired.write_windows(windows, grid, _new_folder(spark))
+    return paired.join_stored(left, right, mode)
+
+
+@query
+def join_pts_rects_stored(spark, sf):
+    return _paired(spark, tables.spread_points(spark, sf), tables.rectangles(spark, sf), "exact")
+
+
+@query
+def join_equal_pts_rects_stored(spark, sf):
+    """Points many of which are equal."""
+    return _paired(spark, tables.clustered_points(spark, sf), tables.rectangles(spark, sf), "exact")
+
+
+@query
+def join_rects_rects_stored_contains(spark, sf):
+    rects = tables.rectangles(spark, sf)
+    return _paired(spark, rects, rects, "exact")
+
+
+@query
+def join_rects_rects_stored_intersects(spark, sf):
+    rects = tables.rectangles(spark, sf)
+    return _paired(spark, rects, rects, "mbr")
+
+
+@query
+def join_pts_polys_stored(spark, sf):
+    return _paired(spark, tables.spread_points(spark, sf), tables.polygons(spark, sf), "exact")
+
+
+@query
+def join_polys_polys_stored_contains(spark, sf):
+    return _paired(spark, tables.small_polygons(spark, sf), tables.polygons(spark, sf), "exact")
+
+
+@query
+def join_polys_polys_stored_mbr(spark, sf):
+    return _paired(spark, tables.small_polygons(spark, sf), tables.polygons(spark, sf), "mbr")
+
+
 @query
 def join_distinct_geometry_count(spark, sf):
     """Results keyed by value: equal points count once."""
@@ -387,6 +432,24 @@ def partition_voronoi_check(spark, sf):
         (F.lit(len(plan.cuts)).cast("bigint") - F.count(F.when(F.col("right") > 0, 1))).alias("empty"), F.sum("n").alias("total"))
 
 
+@query
+def partition_quadtree_check(spark, sf):
+    """(lost, oversized, overlaps, total) of clustered points: squares with more than their share though they could be split, pairs of squares whose members'
+    bounds overlap by more than a line."""
+    points = tables.clustered_points(spark, sf)
+    plan = partition.plan_partitions(points, "quadtree", N_PARTITIONS)
+    placed = plan.assign(points)
+    counts = placed.groupBy("pid").agg(F.count("*").alias("n"))
+    known = F.coalesce(F.col("pid").between(0, plan.n - 1), F.lit(False))
+    crowds = [i for i, leaf in enumerate(plan.leaves) if leaf.crowd]
+    large = known & (F.col("n") > -(-plan.rows // N_PARTITIONS)) & ~F.col("pid").isin(crowds)
+    checked = counts.agg(
+        F.sum(F.when(known, 0).otherwise(F.col("n"))).cast("bigint").alias("lost"), F.count(F.when(large, 1)).alias("oversized"), F.sum("n").alias("total"))
+    a, b = (partition.partition_bounds(placed).select("pid", *g.BOX).alias(n) for n in "ab")
+    meet = F.expr("a.pid < b.pid AND a.xmin < b.xmax AND b.xmin < a.xmax AND a.ymin < b.ymax AND b.ymin < a.ymax")
+    return checked.crossJoin(a.join(b, meet).agg(F.count("*").alias("overlaps")))  # some rows for each of N_PARTITIONS with themselves
+
+
 @query
 def partition_by_other_table(spark, sf):
     """(pid, n): rectangles on the grid found on the points."""

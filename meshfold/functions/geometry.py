@@ -334,6 +334,21 @@ def polygon_contains_polygon(outer: Sql, inner: Sql, inner_prefix: str) -> Sql:
     return f"{polygon_covers_point(outer, f'{first}.x1', f'{first}.y1')} AND {bind_sql(near, 'near_', by_contact)}"
 
 
+def polygon_intersects_polygon(a: Sql, b: Sql) -> Sql:
+    """Closed: edges meet, or one polygon holds a vertex of the other. A polygon within a hole of the other does not meet it."""
+    met = f"exists({a}, i_e -> exists({b}, o_e -> {_contact('i_e', 'o_e')} <> {_APART}))"
+    held = (polygon_covers_point(x, f"get({y}, 0).x1", f"get({y}, 0).y1") for x, y in ((a, b), (b, a)))
+    return f"({met} OR {' OR '.join(held)})"
+
+
+def box_edges(prefix: str = "") -> Sql:
+    """The four edges of the rectangle held in the columns ``<prefix>xmin`` .. ``<prefix>ymax``, counter-clockwise."""
+    left, right, low, high = (prefix + name for name in BOX)
+    corners = [(left, low), (right, low), (right, high), (left, high)]
+    rows = (f"named_struct('x1', {a}, 'y1', {b}, 'x2', {c}, 'y2', {d})" for (a, b), (c, d) in zip(corners, [*corners[1:], corners[0]]))
+    return f"array({', '.join(rows)})"
+
+
 # ---------------------------------------------------------------- projections
 
 def circle_box(cx: Column, cy: Column, radius: Column) -> Box:

@@ -12,6 +12,10 @@ W3 = (-100.0, 0.0, -40.0, 0.0)
 CENTER = (-84.01, 34.01)
 P3 = (-30.0, -10.0)
 K_RECTS = 1000
+QUERY_RINGS = [  # a concave shell and a hole
+    [(-120.013, -20.007), (60.011, -50.003), (100.017, 40.009), (10.019, 10.001), (-80.023, 60.027)],
+    [(-40.103, -10.207), (0.309, -12.401), (-10.511, 5.603)],
+]
 RADIUS = 0.1
 N_PARTITIONS = 16
 CELLS = 70680
@@ -153,6 +157,33 @@ def _polygon_meets(w, edges: str) -> str:
       GROUP BY gid HAVING count(*)%2=1"""
 
 
+def _query_edges() -> str:
+    rows = [(*a, *b) for ring in QUERY_RINGS for a, b in zip(ring, [*ring[1:], ring[0]])]
+    return "q AS (SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(f"{v!r}e0" for v in row) + ")" for row in rows) + ") v(x1, y1, x2, y2))"
+
+
+def _in_query(x: str, y: str) -> str:
+    return f"(SELECT count(*) FROM q WHERE ((q.y1>{y})<>(q.y2>{y})) AND {x} < (q.x2-q.x1)*({y}-q.y1)/(q.y2-q.y1)+q.x1)%2=1"
+
+
+_RECT_EDGES = """redges AS (SELECT id AS gid, 0 AS k, xmin AS x1, ymin AS y1, xmax AS x2, ymin AS y2 FROM rects UNION ALL
+      SELECT id, 1, xmax, ymin, xmax, ymax FROM rects UNION ALL SELECT id, 2, xmax, ymax, xmin, ymax FROM rects UNION ALL
+      SELECT id, 3, xmin, ymax, xmin, ymin FROM rects)"""
+
+
+def _by_query(edges: str, meet: bool) -> str:
+    """Ids of shapes in, or meeting, the query polygon: by crossing edges, and by vertices of each in the other. The tables hold no touching edges."""
+    cross = f"""SELECT e.gid FROM {edges} e JOIN q ON
+      (((q.x2-q.x1)*(e.y1-q.y1)-(e.x1-q.x1)*(q.y2-q.y1)>0) <> ((q.x2-q.x1)*(e.y2-q.y1)-(e.x2-q.x1)*(q.y2-q.y1)>0))
+      AND (((e.x2-e.x1)*(q.y1-e.y1)-(q.x1-e.x1)*(e.y2-e.y1)>0) <> ((e.x2-e.x1)*(q.y2-e.y1)-(q.x2-e.x1)*(e.y2-e.y1)>0))"""
+    held = f"""SELECT gid FROM (SELECT e.gid, q.x1, q.y1 FROM {edges} e JOIN q ON ((e.y1>q.y1)<>(e.y2>q.y1))
+      AND q.x1 < (e.x2-e.x1)*(q.y1-e.y1)/(e.y2-e.y1)+e.x1 GROUP BY e.gid, q.x1, q.y1 HAVING count(*)%2=1) h"""
+    inside = f"SELECT gid FROM {edges} e WHERE k=0 AND {_in_query('e.x1', 'e.y1')}"
+    if meet:
+        return f"{cross} UNION {held} UNION {inside}"
+    return f"{inside} EXCEPT ({cross} UNION {held})"
+
+
 def _ranked(source: str, k: int) -> str:
     """``source`` gives (id, d)."""
     return f"""SELECT CAST(row_number() OVER (ORDER BY d, id) AS INT) AS rank, id, round(d, 6) AS distance
@@ -348,6 +379,15 @@ SQL |= {
     "join_polys_polys_stored_contains": SQL["join_polys_polys_contains"],
     "join_polys_polys_stored_mbr": SQL["join_polys_polys_mbr"],
 }
+_IN_QUERY = _with("pts", f"SELECT * FROM pts p WHERE {_in_query('p.x', 'p.y')}", _query_edges())
+SQL |= {
+    "range_pts_in_polygon": _IN_QUERY,
+    "range_pts_in_polygon_indexed": _IN_QUERY,
+    "range_rects_in_polygon": _with("rects", f"SELECT * FROM rects WHERE id IN ({_by_query('redges', False)})", f"{_query_edges()},\n{_RECT_EDGES}"),
+    "range_rects_meet_polygon": _with("rects", f"SELECT * FROM rects WHERE id IN ({_by_query('redges', True)})", f"{_query_edges()},\n{_RECT_EDGES}"),
+    "range_polys_in_polygon": _with("smalledges", f"SELECT gid AS id FROM ({_by_query('smalledges', False)}) s", _query_edges()),
+    "range_polys_meet_polygon": _with("edges", f"SELECT gid AS id FROM ({_by_query('edges', True)}) s", _query_edges()),
+}
 # Rings: runs of the outline followed from end to start, both rounded, until the smallest one of a ring is known.
 _REACH = ("reach AS (SELECT gid, gid AS other FROM polyv WHERE k=0 UNION SELECT r.gid, e.b FROM reach r JOIN "
           "(SELECT gid AS a, other AS b FROM holders UNION SELECT other, gid FROM holders) e ON e.a=r.other)")

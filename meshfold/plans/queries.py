@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
-from meshfold.operators import aggregate, hotspot, join, knn, layout, paired, partition, range_query, union
+from meshfold.operators import aggregate, hotspot, join, knn, layout, paired, partition, polygon_range, range_query, union
 from meshfold.plans import oracle
 from meshfold.session import new_folder, spread
 from meshfold.sources import readers, tables, writers
@@ -91,6 +91,37 @@ def range_polys_indexed(spark, sf):
     return stored.range_polygons(W2).select("id")
 
 
+@query
+def range_pts_in_polygon(spark, sf):
+    return polygon_range.range_by_polygon(tables.spread_points(spark, sf), oracle.QUERY_RINGS)
+
+
+@query
+def range_pts_in_polygon_indexed(spark, sf):
+    stored = layout.write_clustered(tables.spread_points(spark, sf), _new_folder(spark), "quadtree", N_PARTITIONS)
+    return stored.range_by_polygon(oracle.QUERY_RINGS)
+
+
+@query
+def range_rects_in_polygon(spark, sf):
+    return polygon_range.range_by_polygon(tables.rectangles(spark, sf), oracle.QUERY_RINGS)
+
+
+@query
+def range_rects_meet_polygon(spark, sf):
+    return polygon_range.range_by_polygon(tables.rectangles(spark, sf), oracle.QUERY_RINGS, "intersects")
+
+
+@query
+def range_polys_in_polygon(spark, sf):
+    return polygon_range.range_by_polygon(tables.small_polygons(spark, sf), oracle.QUERY_RINGS).select("id")
+
+
+@query
+def range_polys_meet_polygon(spark, sf):
+    return polygon_range.range_by_polygon(tables.polygons(spark, sf), oracle.QUERY_RINGS, "intersects").select("id")
+
+
 # ---------------------------------------------------------------- nearest neighbours
 
 def _ranked(found: DataFrame) -> DataFrame:

@@ -263,14 +263,26 @@ def _chained(found: DataFrame) -> DataFrame:
     return whole.withColumns({"i": F.col("tile"), "j": F.col("tile")})
 
 
-def _distinct_runs(members: DataFrame) -> DataFrame:
-    """``members`` (key, i, j, tile, id, label) without the runs that have the same members as another run: two alike documents meet in most orders, but need one test."""
-    across = F.col("i") != F.col("j")
-    side = F.when(across, F.col("tile")).otherwise(-1)
+def _fewest_runs(members: DataFrame) -> DataFrame:
+    """Runs (key, i, j, tile, id, label) in which the members of each of the runs ``members`` meet, fewer of them where many runs overlap.
+
+    Two alike documents meet in most orders, but need one test. Runs that share members form a group; where its documents, in tiles that all meet, are sent
+    less often than by its runs, they take the place of these. A large, loose group keeps its runs.
+    """
     members = stored(members.select("key", "i", "j", "tile", "id", "label"), "forest-runs")
-    run = members.groupBy("key", "i", "j").agg(F.count("*").alias("n"), *(F.bit_xor(F.xxhash64(F.lit(k), "id", side)).alias(f"h{k}") for k in (1, 2)))
-    one = run.groupBy("n", "h1", "h2").agg(F.min(F.struct("key", "i", "j")).alias("run")).where("n > 1").select("run.*")
-    return members.join(one, ["key", "i", "j"], "left_semi")
+    first = members.groupBy("key", "i", "j").agg(F.min("id").alias("least"))
+    near = members.join(first, ["key", "i", "j"]).select(F.col("id").alias("a"), F.col("least").alias("b"))
+    groups = stored(components(near, "forest-groups"), "forest-groups").withColumnsRenamed({"node": "id", "component": "group"})
+    placed = stored(members.join(groups, "id"), "forest-grouped")
+    sent = placed.groupBy("group").agg(F.count("*").alias("sent"))
+    each = placed.select("group", "id", "label").distinct()
+    sizes = each.groupBy("group").agg(F.ceil(F.count("*") / REGION).alias("tiles"), F.count("*").alias("n"))
+    better = stored(sizes.join(sent, "group").where("n * tiles <= sent").select("group", "tiles"), "forest-better")
+    kept = placed.join(better, "group", "left_anti").select("key", "i", "j", "tile", "id", "label")
+    whole = each.join(better, "group").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")))
+    whole = whole.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
+    key = F.xxhash64(F.lit("group"), "group")  # apart from the keys of orders but by a chance that joins two runs, which does no harm
+    return kept.union(whole.select(key.alias("key"), F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "id", "label"))
 
 
 def set_links(sets: DataFrame, share: int = SHARE) -> DataFrame:
@@ -290,7 +302,7 @@ def set_links(sets: DataFrame, share: int = SHARE) -> DataFrame:
     texts, sketches = facts.select("id", "shingles"), facts.select("id", "n_shingles", "signature")
 
     def joined(members: DataFrame) -> DataFrame:
-        links = _confirmed(_distinct_runs(members).join(texts, "id"), share)
+        links = _confirmed(_fewest_runs(members).join(texts, "id"), share)
         return components(links, "forest-components").withColumnRenamed("component", "joined")
 
     def renamed(table: DataFrame, column: str, by: DataFrame) -> DataFrame:

@@ -33,10 +33,14 @@ class Alike:
 
 #: Edits between lines that count as the same, and the code points from which on a line is compared at all.
 EDITS, LEAST = Alike(2, per=20), 32
-#: Documents from which on exact copies of a shorter line of two words or more go too.
-SPREAD = 10
+#: Documents, and words of the line, from which on exact copies of a shorter line go too.
+SPREAD, WORDS = 10, 2
 #: Words of a hashed run of words. A longer one is more selective, but more of them are sent.
 RUN = 5
+#: Lines of a key whose pairs are selected at once; runs of more are compared in pairs of tiles of TILE, which is a multiple of it.
+FEW, TILE = 16, 2048
+#: Rows of runs that a task looks at at once.
+ROWS = 16_384
 #: Candidate lines whose ids are broadcast to pick up their texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -111,44 +115,49 @@ def line_keys(points: np.ndarray, start: np.ndarray, length: np.ndarray, edits:
 _SPACE = np.array([chr(i).isspace() for i in range(0x3001)] + [False])
 
 
-def word_classes(per: int) -> list[tuple[int, float, int]]:
-    """(least, most, window) by the number of words of the longer of two lines: some ``window`` neighbouring runs of ``RUN`` words are in both.
+def line_words(points: np.ndarray, start: np.ndarray, length: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """(line, hash) of each word of the lines at ``start`` (ascending) of ``length``, in order."""
+    powers.grow(len(points) + 1)
+    space = np.ones(len(points) + 2, bool)
+    space[1:-1] = _SPACE[np.minimum(points, 0x3001)]
+    begin, end = np.flatnonzero(space[:-1] & ~space[1:]), np.flatnonzero(~space[:-1] & space[1:])
+    line = np.searchsorted(start, begin, "right") - 1
+    inside = line >= 0
+    inside[inside] = begin[inside] < (start + length)[line[inside]]
+    begin, end, line = begin[inside], end[inside], line[inside]
+    sums = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum(points.astype(np.uint64) * powers.up[: len(points)], out=sums[1:])
+    return line, _mixed((sums[end] - sums[begin]) * powers.down[begin] ^ _mixed((end - begin).astype(np.uint64)))
+
+
+def word_classes(alike: Alike) -> list[tuple[int, float, int]]:
+    """(least, most, window) by the number of words of the longer of two lines, from two edited words on: some ``window`` neighbouring
+    runs of ``RUN`` words are in both.
 
-    Lines of n words with t = n // per edits have n - t words in common at least, in t + 1 stretches at most.
+    Lines of n words with t = n // per edits of words have n - t of them in common at least, in t + 1 stretches at most. An edit of a code point
+    touches two neighbouring words at most, so that with e of them n - 2 e words are in common, in e + 1 stretches.
     """
-    bounds = [per, 2 * per, 4 * per, float("inf")]
-    shared = [-(-(n - n // per) // (n // per + 1)) for n in bounds[:3]]
-    if per and shared[0] < RUN:
+    bounds = [2 * alike.per, 4 * alike.per, float("inf")]
+    shared = [min(-(-(n - n // alike.per) // (n // alike.per + 1)), -(-(n - 2 * alike.edits) // (alike.edits + 1))) for n in bounds[:2]]
+    if shared[0] < RUN:
         raise ValueError("lines alike must share a run of words")
-    return [(bounds[i], bounds[i + 1], shared[i] - RUN + 1) for i in range(3)]
+    return [(bounds[i], bounds[i + 1], shared[i] - RUN + 1) for i in range(2)]
 
 
-def word_keys(points: np.ndarray, start: np.ndarray, length: np.ndarray, per: int, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-    """(line, key) of the lines at ``start`` (ascending) of ``length``: of each window of runs of words the smallest hash.
+def word_keys(line: np.ndarray, words: np.ndarray, count: np.ndarray, alike: Alike) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of lines of ``count`` words: of each window of runs of words the smallest hash.
 
     Two lines with a window's words in common, wherever they are, have its smallest hash in common. A line sends the keys of its
     own class of lengths, and of the next if a longer line alike can be in that one.
     """
-    powers.grow(len(points) + 1)
-    space = np.ones(len(points) + 2, bool)
-    space[1:-1] = _SPACE[np.minimum(points, 0x3001)]
-    begin, end = np.flatnonzero(space[:-1] & ~space[1:]), np.flatnonzero(~space[:-1] & space[1:])
-    line = np.searchsorted(start, begin, "right") - 1
-    inside = line >= 0
-    inside[inside] = begin[inside] < (start + length)[line[inside]]
-    begin, end, line = begin[inside], end[inside], line[inside]
     lines, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    n = len(begin) - RUN + 1
+    n = len(words) - RUN + 1
     if n > 0:
-        sums = np.zeros(len(points) + 1, np.uint64)
-        np.cumsum(points.astype(np.uint64) * powers.up[: len(points)], out=sums[1:])
-        words = _mixed((sums[end] - sums[begin]) * powers.down[begin] ^ _mixed((end - begin).astype(np.uint64)))
         runs = np.zeros(n, np.uint64)
         for j in range(RUN):
             runs = runs * _BASE + words[j : j + n]
-        runs = _mixed(runs)
-        count = np.bincount(line, minlength=len(start))[line]
-        for i, (least, most, window) in enumerate(word_classes(per)):
+        runs, of = _mixed(runs), count[line]
+        for i, (least, most, window) in enumerate(word_classes(alike)):
             m = n - window + 1
             if m <= 0:
                 continue
@@ -156,13 +165,32 @@ def word_keys(points: np.ndarray, start: np.ndarray, length: np.ndarray, per: in
             for j in range(1, window):
                 np.minimum(smallest, runs[j : j + m], out=smallest)
             last = window + RUN - 2
-            ok = (line[:m] == line[last : last + m]) & (count[:m] >= least - least // per) & (count[:m] < most)
+            shortest = least - max(least // alike.per, alike.edits)
+            ok = (line[:m] == line[last : last + m]) & (of[:m] >= shortest) & (of[:m] < most)
             ok[1:] &= (smallest[1:] != smallest[:-1]) | (line[1:m] != line[: m - 1])
             lines.append(line[:m][ok])
             keys.append(_mixed(smallest[ok] + np.uint64(i + 1)))
     return np.concatenate(lines), np.concatenate(keys)
 
 
+def keys_of(points: np.ndarray, start: np.ndarray, length: np.ndarray, alike: Alike, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of the lines at ``start`` (ascending) of ``length``; two that are alike have a key in common.
+
+    Without edits of words: segments and probes of code points. Else lines on which less than two words may be edited send these, and
+    segments and probes of words for one such edit. Of two edits of words on a line would send 12, 26, 49 keys and more, so longer lines send those of
+    their runs of words (some 11 for 40 to 80 words), which are in common after edits of code points as well.
+    """
+    if not alike.per:
+        return line_keys(points, start, length, alike.edits, powers)
+    line, words = line_words(points, start, length, powers)
+    count = np.bincount(line, minlength=len(start))
+    few, one = np.flatnonzero(count < 2 * alike.per), np.flatnonzero((count >= alike.per - 1) & (count < 2 * alike.per))
+    found = [(few, line_keys(points, start[few], length[few], alike.edits, powers)),
+             (one, line_keys(words, (np.cumsum(count) - count)[one], count[one], 1, powers)),
+             (np.arange(len(start)), word_keys(line, words, count, alike))]
+    return np.concatenate([of[at] for of, (at, _) in found]), np.concatenate([key for _, (_, key) in found])
+
+
 # ---------------------------------------------------------------- verification
 
 def within(a: str | list[str], b: str | list[str], edits: int | Alike) -> bool:
@@ -216,111 +244,187 @@ def within(a: str | list[str], b: str | list[str], edits: int | Alike) -> bool:
     return value <= edits
 
 
-def signature(text: str) -> int:
-    """Parities of the counts of hashed pairs of neighbouring characters; an edit changes four of the 64 bits at most."""
-    points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
-    bits = (_mixed(points[1:] * np.uint64(0x1F123BB5) + points[:-1])) & np.uint64(63)
-    return int(np.bitwise_xor.reduce(np.uint64(1) << bits)) if len(bits) else 0
+#: What is known of a line: code points, words, parities of its counts of pairs of neighbouring code points, and of its counts of words (four longs).
+FACTS = ["size", "count", "mark", "words0", "words1", "words2", "words3"]
 
 
-def word_signature(words: list[str]) -> int:
-    """Parities of the counts of hashed words; an edit of a word changes two of the 64 bits at most."""
-    mark = 0
-    for w in words:
-        mark ^= 1 << (xxhash.xxh64_intdigest(w) & 63)
-    return mark
+def line_facts(points: np.ndarray, start: np.ndarray, length: np.ndarray, powers: Powers) -> np.ndarray:
+    """``FACTS`` (a row each) of the lines at ``start`` (ascending) of ``length`` (1 at least), which line feeds part.
 
+    An edit of a code point changes four bits of a mark at most, an edit of a word two of the marks of words.
+    """
+    out = np.zeros((len(start), len(FACTS)), np.uint64)
+    out[:, 0] = length
+    bits = np.zeros(len(points), np.uint64)
+    bits[:-1] = np.uint64(1) << (_mixed(points[1:].astype(np.uint64) * np.uint64(0x1F123BB5) + points[:-1]) & np.uint64(63))
+    feed = points == 10
+    bits[feed] = 0
+    bits[:-1][feed[1:]] = 0
+    if len(start):
+        out[:, 2] = np.bitwise_xor.reduceat(bits, start)
+    line, words = line_words(points, start, length, powers)
+    count = np.bincount(line, minlength=len(start))
+    out[:, 1] = count
+    some = np.flatnonzero(count)
+    if len(some):
+        first, bit = (np.cumsum(count) - count)[some], np.uint64(1) << (words & np.uint64(63))
+        for k in range(4):
+            out[some, 3 + k] = np.bitwise_xor.reduceat(np.where(words >> np.uint64(62) == k, bit, np.uint64(0)), first)
+    return out
+
+
+def screened(a: np.ndarray, b: np.ndarray, alike: Alike) -> np.ndarray:
+    """For pairs of rows of facts (of the two one may be a single row): 1 if edits of code points may lead from one to the other, 2 if edits of words may, 3 if both may, else 0."""
+    apart = np.bitwise_count(a[..., 2:] ^ b[..., 2:])
+    size, count = a[..., :2].view(np.int64), b[..., :2].view(np.int64)
+    difference = np.abs(size - count)
+    most = alike.words(np.maximum(size[..., 1], count[..., 1]))
+    close = (difference[..., 0] <= alike.edits) & (apart[..., 0] <= 4 * alike.edits)
+    by_words = (most > 0) & (difference[..., 1] <= most) & (apart[..., 1:].sum(-1, dtype=np.int64) <= 2 * most)
+    return close + 2 * by_words
 
-def _near(alike: Alike):
-    edits = alike.edits
 
+def confirmed(x: str, y: str, how: int, alike: Alike) -> bool:
+    """Whether two lines that the screen let through are alike."""
+    if how & 1 and within(x, y, alike.edits):
+        return True
+    if not how & 2:
+        return False
+    a, b = x.split(), y.split()
+    return within(a, b, int(alike.words(max(len(a), len(b)))))
+
+
+def _near(alike: Alike):
     def near(held: dict, x: int, others: np.ndarray) -> np.ndarray:
-        if "texts" not in held:
+        if "facts" not in held:
+            held["facts"] = np.column_stack([held[f].to_numpy() for f in FACTS]).view(np.uint64)
             held["texts"] = held["line"].to_pylist()
-            held["sizes"] = np.array([len(t) for t in held["texts"]])
-            held["marks"] = np.array([signature(t) for t in held["texts"]], np.uint64)
-            held["words"] = [t.split() if alike.per else [] for t in held["texts"]]
-            held["counts"] = np.array([len(w) for w in held["words"]])
-            held["word_marks"] = np.array([word_signature(w) for w in held["words"]], np.uint64)
-        texts, sizes, marks = held["texts"], held["sizes"], held["marks"]
-        words, counts, word_marks = held["words"], held["counts"], held["word_marks"]
-        close = (np.abs(sizes[others] - sizes[x]) <= edits) & (np.bitwise_count(marks[others] ^ marks[x]) <= 4 * edits)
-        most = alike.words(np.maximum(counts[others], counts[x]))
-        by_words = (most > 0) & (np.abs(counts[others] - counts[x]) <= most) & (np.bitwise_count(word_marks[others] ^ word_marks[x]) <= 2 * most)
-        out = close | by_words
+        how = screened(held["facts"][others], held["facts"][x], alike)
+        out = how > 0
         for k in np.flatnonzero(out):
-            y = others[k]
-            out[k] = close[k] and within(texts[x], texts[y], edits) or by_words[k] and within(words[x], words[y], int(most[k]))
+            out[k] = confirmed(held["texts"][x], held["texts"][others[k]], int(how[k]), alike)
         return out
 
     return near
 
 
+def _pairs(rows: np.ndarray, alike: Alike) -> Iterator[tuple[np.ndarray, ...]]:
+    """(a, b, how) of the pairs within runs that the screen lets through; ``rows`` are (key, id, facts...) sorted by key, then id."""
+    key, facts = rows[:, 0], rows[:, 2:].view(np.uint64)
+    at = np.arange(len(rows))
+    for apart in range(1, len(rows)):
+        at = at[at + apart < len(rows)]
+        at = at[key[at + apart] == key[at]]
+        if not len(at):
+            return
+        how = screened(facts[at], facts[at + apart], alike)
+        some = how > 0
+        yield rows[at[some], 1], rows[at[some] + apart, 1], how[some]
+
+
 # ---------------------------------------------------------------- Spark
 
 def _identified(docs: DataFrame, text: str) -> DataFrame:
     """(doc_id, text, doc_: hash of both) with null texts empty."""
-    table = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
+    table = docs.select("doc_id", F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     return table.withColumn("doc_", F.xxhash64("doc_id", "text"))
 
 
 def line_links(docs: DataFrame, edits: int | Alike, least: int) -> DataFrame:
     """Links (a, b) between ids (XXH64) of distinct lines of ``least`` code points or more that join all that are alike: at most ``edits`` edits apart.
 
-    Lines send hashes of their segments and probes, and of runs of their words; keys that two lines share are kept, the texts of those lines are
-    attached, and each run of a key is verified. Neither exact copies nor lines already joined are compared.
+    Lines send hashes of their segments and probes, and of runs of their words; keys that two lines share are kept. Each candidate line's size and
+    parities are computed once. In runs of up to ``FEW`` lines of a key, these select pairs, which are made distinct and verified once
+    each, whatever number of keys they share; in longer runs, lines already joined are not compared again and only a forest of links is kept.
+    Exact copies are not compared.
     """
     alike = edits if isinstance(edits, Alike) else Alike(edits)
-    edits = alike.edits
-    if least < 2 * edits + 2:
+    if least < 2 * alike.edits + 2:
         raise ValueError("lines must be longer than their segments' shifts")
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            for _, texts in text_slices(batch, "text"):
-                joined = b"\n".join(texts)
-                points = np.frombuffer(joined.decode().encode("utf-32-le"), np.uint32)
-                ends = np.append(np.flatnonzero(points == 10), len(points))
-                starts = np.concatenate([[0], ends[:-1] + 1])
-                long = np.flatnonzero(ends - starts >= least)
-                if not len(long):
-                    continue
-                lines = joined.split(b"\n")
-                ids = np.array([xxhash.xxh64_intdigest(lines[i], 42) for i in long.tolist()], np.uint64).view(np.int64)
-                ids, first = np.unique(ids, return_index=True)
-                long = long[first]
-                at, key = line_keys(points, starts[long], (ends - starts)[long], edits, powers)
-                if alike.per:
-                    order = np.argsort(long)
-                    words, more = word_keys(points, starts[long[order]], (ends - starts)[long[order]], alike.per, powers)
-                    at, key = np.concatenate([at, order[words]]), np.concatenate([key, more])
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64), pa.int64()), pa.array(ids[at], pa.int64())], ["key", "id"])
-
-    multi = multi_runs(bounded_scan(docs, "text").mapInArrow(members, "key long, id long"), "line-runs")
+            for points, starts, length, texts in _line_slices(batch, "text"):
+                long = np.flatnonzero(length >= least)
+                ids = np.array([xxhash.xxh64_intdigest(texts[i], 42) for i in long.tolist()], np.uint64).view(np.int64)
+                first = np.sort(np.unique(ids, return_index=True)[1])
+                ids, long = ids[first], long[first]
+                if len(long):
+                    at, key = keys_of(points, starts[long], length[long], alike, powers)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64), pa.int64()), pa.array(ids[at], pa.int64())], ["key", "id"])
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers()
+        for batch in batches:
+            at = 0
+            for points, starts, length, _ in _line_slices(batch, "line"):
+                facts = line_facts(points, starts, length, powers).view(np.int64)
+                ids = batch.column("id").slice(at, len(starts))
+                at += len(starts)
+                yield pa.RecordBatch.from_arrays([ids, *(pa.array(f, pa.int64()) for f in facts.T)], ["id", *FACTS])
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _parted(batches, ["key", "id", *FACTS]):
+            found = list(_pairs(rows, alike))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)], ["a", "b", "how"])
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = [confirmed(x, y, how, alike) for x, y, how in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "how")))]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    multi = multi_runs(bounded_scan(docs, "text").mapInArrow(members, "key long, id long"), "line-runs", FEW)
     wanted = stored(multi.select("id").distinct(), "line-candidates")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
     lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("line")).where(F.length("line") >= least).withColumn("id", F.xxhash64("line"))
     texts = stored(lines.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line")), "line-texts")
-    return run_links(tile_pairs(multi).join(texts, "id"), ["line"], _near(alike))
-
-
-def dedupe_lines(docs: DataFrame, edits: int | Alike = EDITS, least: int = LEAST, text: str = "text", spread: int = SPREAD) -> DataFrame:
-    """``docs`` with its texts freed of repeated lines, and columns n_lines and n_removed.
-
-    Lines of at least ``least`` code points form a class if edits lead from one to the next, at most ``edits`` at a step (``Alike``: or its share of words); the first line of
-    each class, by doc_id (nulls last), then place, stays, all others go. A shorter line is a class of its exact copies if it has two words or more and is in ``spread`` documents or more;
-    other short lines stay always. Lines are split at line feeds, and
-    what stays is joined by them.
-
-    A null text is empty and has one empty line. Rows that are alike in doc_id and text are one document and get the same text. An empty table gives
-    an empty result. Other columns are passed on; columns n_lines and n_removed of ``docs`` are replaced.
-    """
+    facts = stored(texts.mapInArrow(known, "id long, " + ", ".join(f"{f} long" for f in FACTS)), "line-facts")
+
+    large = stored(multi.where("tile > 0").select("key").distinct(), "line-crowds")
+    few = multi.join(large, "key", "left_anti").select("key", "id").join(facts, "id").select("key", "id", *FACTS)
+    pairs = stored(few.repartition("key").sortWithinPartitions("key", "id").mapInArrow(paired, "a long, b long, how long").distinct(), "line-pairs")
+    both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b").select("a", "b", "how", "x", "y")
+    links = both.mapInArrow(verified, "a long, b long")
+    crowds = multi.join(large, "key", "left_semi").withColumn("tile", F.expr(f"tile div {TILE // FEW}"))
+    return links.union(run_links(tile_pairs(crowds).join(facts, "id").join(texts, "id"), [*FACTS, "line"], _near(alike)))
+
+
+def _line_slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:
+    """(code points, starts, lengths, lines) of the lines of the texts of a batch, a slice of it at a time."""
+    for _, texts in text_slices(batch, column):
+        joined = b"\n".join(texts)
+        points = np.frombuffer(joined.decode().encode("utf-32-le"), np.uint32)
+        ends = np.append(np.flatnonzero(points == 10), len(points))
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        yield points, starts, ends - starts, joined.split(b"\n")
+
+
+def _parted(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[np.ndarray]:
+    """The rows of longs of batches sorted by the first column, some ``ROWS`` at a time, never parting equal values of it."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(np.column_stack([batch.column(c).to_numpy() for c in columns]))
+        n += batch.num_rows
+        if n >= ROWS:
+            rows = np.concatenate(held)
+            other = np.flatnonzero(rows[:, 0] != rows[-1, 0])
+            cut = other[-1] + 1 if len(other) else 0
+            if cut:
+                yield rows[:cut]
+            held, n = [rows[cut:]], len(rows) - cut
+    if n:
+        yield np.concatenate(held)
+
+
+def _cleaned(docs: DataFrame, edits: int | Alike, least: int, text: str, spread: int, words: int) -> DataFrame:
+    """(in_: the given row, text: freed of repeated lines, n_lines, n_removed) for each row of ``docs``."""
     table = _identified(docs, text)
     places = table.select("doc_id", "doc_", F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
     short = F.length("line") < least
-    places = places.where(~short | F.col("line").rlike(r"(?U)\S\s+\S"))
+    places = places.where(~short | F.col("line").rlike(rf"(?U)(\S+\s+){{{words - 1}}}\S" if words else ""))
     owner = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
     places = stored(places.select(F.struct(owner.alias("owner"), "doc_", "at").alias("place"), F.xxhash64("line").alias("id"), short.alias("short")), "line-places")
     classes = stored(components(line_links(table, edits, least), "line-classes"), "line-classes").withColumnsRenamed({"node": "id", "component": "class"})
@@ -331,12 +435,30 @@ def dedupe_lines(docs: DataFrame, edits: int | Alike = EDITS, least: int = LEAST
     firsts = stored(firsts, "line-firsts")  # read by itself, so that Spark can split the partition of a common class in the join
     removed = classed.join(firsts, "class").where(F.col("place") != F.col("first"))
     removed = removed.select("place.*").distinct().groupBy("owner", "doc_").agg(F.collect_list("at").alias("removed_"))
-    columns = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
-    given = F.coalesce(F.col(text), F.lit("")).alias("text")
-    keyed = packed(docs, owner.alias("owner"), "doc_id", given, replaced=("n_lines", "n_removed"))
+    given = F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
+    keyed = packed(docs, owner.alias("owner"), "doc_id", given)
     keyed = keyed.withColumn("doc_", F.xxhash64("doc_id", "text")).drop("doc_id")
-    marked = _without(keyed.join(removed, ["owner", "doc_"], "left").select("in_", "text", "removed_"))
-    return marked.select(*(F.col("text").alias(c) if c == text else F.col(f"in_.`{c}`") for c in columns), "n_lines", "n_removed")
+    return _without(keyed.join(removed, ["owner", "doc_"], "left").select("in_", "text", "removed_"))
+
+
+def _given(name: str):
+    return F.col(f"in_.`{name}`").alias(name)
+
+
+def dedupe_lines(docs: DataFrame, edits: int | Alike = EDITS, least: int = LEAST, text: str = "text", spread: int = SPREAD, words: int = WORDS) -> DataFrame:
+    """``docs`` with its texts freed of repeated lines, and columns n_lines and n_removed.
+
+    Lines of at least ``least`` code points form a class if edits lead from one to the next, at most ``edits`` at a step (``Alike``: or its share of words); the first line of
+    each class, by doc_id (nulls last), then place, stays, all others go. A shorter line is a class of its exact copies if it has ``words`` words or more and is in ``spread`` documents or more;
+    other short lines stay always. With ``spread`` 1 and ``words`` 0 every exact copy goes, blank lines included. Lines are split at line feeds, and
+    what stays is joined by them. Texts and lines of any length are handled whole.
+
+    A null text is empty and has one empty line. Rows that are alike in doc_id and text are one document and get the same text. An empty table gives
+    an empty result. Other columns are passed on, whatever their names; columns n_lines and n_removed of ``docs`` are replaced.
+    """
+    kept = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    cleaned = _cleaned(docs, edits, least, text, spread, words)
+    return cleaned.select(*(F.col("text").alias(c) if c == text else _given(c) for c in kept), "n_lines", "n_removed")
 
 
 def _without(marked: DataFrame) -> DataFrame:
@@ -362,5 +484,6 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents without the lines that repeat; n_chars follows."""
-    return dedupe_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """All documents without the lines that repeat; n_chars follows, all other columns, n_lines and n_removed included, are those given."""
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long").alias("n_chars")}
+    return _cleaned(docs, EDITS, LEAST, "text", SPREAD, WORDS).select(*(new.get(c, _given(c)) for c in docs.columns))

@@ -32,6 +32,12 @@ def edited(rng, text, most, alphabet="abé"):
     return "".join(out)
 
 
+def layout(texts):
+    """Code points of the texts with line feeds between, their starts and lengths."""
+    length = np.array([len(t) for t in texts])
+    return np.frombuffer("\n".join(texts).encode("utf-32-le"), np.uint32), np.concatenate([[0], np.cumsum(length + 1)[:-1]]), length
+
+
 def brute(docs, edits, least):
     """Cleaned texts of (doc_id, text) rows."""
     docs = [(i, t or "") for i, t in docs]
@@ -81,7 +87,9 @@ def test_lines_within_the_threshold_share_a_key_and_pass_the_signature(edits):
         points = np.frombuffer(f"{a}\n{b}".encode("utf-32-le"), np.uint32)
         at, key = lines.line_keys(points, np.array([0, len(a) + 1]), np.array([len(a), len(b)]), edits, powers)
         assert set(key[at == 0].tolist()) & set(key[at == 1].tolist())
-        assert (lines.signature(a) ^ lines.signature(b)).bit_count() <= 4 * edits
+        facts = lines.line_facts(points, np.array([0, len(a) + 1]), np.array([len(a), len(b)]), powers)
+        assert int(facts[0, 2] ^ facts[1, 2]).bit_count() <= 4 * edits
+        assert lines.screened(facts[:1], facts[1:], lines.Alike(edits)).tolist() == [1]
 
 
 def test_probes_are_as_many_as_the_method_says():
@@ -149,15 +157,79 @@ def test_lines_within_the_share_of_words_have_a_run_in_common(per):
         b = reworded(rng, a, len(a) // per, vocabulary)
         most = max(len(a), len(b)) // per
         texts = ["x y", " ".join(a), "  ".join(b) + " "]
-        points = np.frombuffer("\n".join(texts).encode("utf-32-le"), np.uint32)
-        length = np.array([len(t) for t in texts])
-        start = np.concatenate([[0], np.cumsum(length + 1)[:-1]])
-        at, key = lines.word_keys(points, start, length, per, powers)
-        assert not (at == 0).any()
+        alike, (points, start, length) = lines.Alike(2, per), layout(texts)
+        at, key = lines.keys_of(points, start, length, alike, powers)
         if distance(a, b) <= most and most:
             assert set(key[at == 1].tolist()) & set(key[at == 2].tolist())
-            assert lines.within(texts[1], texts[2], lines.Alike(2, per))
-            assert (lines.word_signature(a) ^ lines.word_signature(b)).bit_count() <= 2 * most
+            assert lines.within(texts[1], texts[2], alike)
+            facts = lines.line_facts(points, start, length, powers)
+            assert sum(int(x).bit_count() for x in facts[1, 3:] ^ facts[2, 3:]) <= 2 * most
+            how = lines.screened(facts[1:2], facts[2:], alike)
+            assert how[0] & 2 and lines.confirmed(texts[1], texts[2], int(how[0]), alike)
+
+
+def test_long_lines_with_few_edited_code_points_have_a_key_in_common():
+    rng, powers, alike = random.Random(3), lines.Powers(), lines.Alike(2, 20)
+    for _ in range(1500):
+        words = ["".join(rng.choice("abcdé") for _ in range(rng.randint(1, 6))) for _ in range(rng.choice([19, 20, 38, 39, 40, 41, 42, 43, 60, 78, 79, 80, 81, 82, 120]))]
+        a = " ".join(words)
+        b = edited(rng, a, 2, "ab  ")
+        points, start, length = layout(["left out", a, b])
+        at, key = lines.keys_of(points, start, length, alike, powers)
+        assert set(key[at == 1].tolist()) & set(key[at == 2].tolist())
+        facts = lines.line_facts(points, start, length, powers)
+        assert lines.screened(facts[1], facts[2], alike) & 1
+
+
+def test_facts_of_each_line_are_its_own():
+    texts, powers = ["", "a", "  ", "one two  two", "é" * 300, "x\u2003y z"], lines.Powers()
+    points, start, length = layout(["aa", *[t or "." for t in texts]])
+    whole = lines.line_facts(points, start, length, powers)
+    assert whole[:, 1].tolist() == [1, 1, 1, 0, 3, 1, 3]
+    for i, t in enumerate(["aa", *[t or "." for t in texts]]):
+        assert (lines.line_facts(*layout([t]), powers)[0] == whole[i]).all()
+
+
+def test_each_pair_of_a_run_is_selected_once():
+    rng, powers, alike = random.Random(11), lines.Powers(), lines.Alike(2, 20)
+    texts = [edited(rng, rng.choice(["a plain line of text", "quite another line"]), 2) + "." for _ in range(60)]
+    facts = lines.line_facts(*layout(texts), powers).view(np.int64)
+    keys = np.sort(np.array([rng.randint(0, 9) for _ in texts]))
+    found = [(int(a), int(b), int(h)) for block in lines._pairs(np.column_stack([keys, np.arange(60), facts]), alike) for a, b, h in zip(*block)]
+    expected = [(i, j) for i in range(60) for j in range(i + 1, 60) if keys[i] == keys[j] and lines.screened(facts[i].view(np.uint64), facts[j].view(np.uint64), alike)]
+    assert sorted((a, b) for a, b, _ in found) == expected and expected
+
+
+@pytest.mark.parametrize("few", [2, 16])
+def test_runs_of_any_length_give_the_same_classes(spark, monkeypatch, few):
+    monkeypatch.setattr(lines, "FEW", few)
+    monkeypatch.setattr(lines, "TILE", 16)
+    monkeypatch.setattr(lines, "ROWS", 50)
+    rng = random.Random(21)
+    base = ["".join(rng.choice("abcdefghij klmnop") for _ in range(40)) for _ in range(6)]
+    rows = [(i, "\n".join(edited(rng, rng.choice(base), 2) for _ in range(4))) for i in range(60)]
+    got = lines.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 2, 8).collect()
+    assert {(r.doc_id, r.text) for r in got} == {(k[0], t) for k, t in brute(rows, 2, 8).items()}
+
+
+def test_the_exact_setting_takes_every_copy(spark):
+    rng = random.Random(2)
+    rows = [(i, "\n".join(rng.choice(["", " ", "one", "two words", "three short words", "a longer line of text that is compared by edits"]) for _ in range(5))) for i in range(12)]
+    got = lines.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spread=1, words=0).collect()
+    seen, expected = set(), {}
+    for i, t in rows:
+        expected[i] = "\n".join(x for x in t.split("\n") if not (x in seen or seen.add(x)))
+    assert {r.doc_id: r.text for r in got} == expected
+    got = lines.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string"), spread=1, words=1).collect()
+    assert all(r.text.count("one") <= 1 and sum(not x.strip() for x in r.text.split("\n")) == sum(not x.strip() for x in dict(rows)[r.doc_id].split("\n")) for r in got)
+
+
+def test_the_stage_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "the same line of text, long enough to be compared\nb", 7, "p", 3), (2, "the same line of text, long enough to be compared\nc", 8, "q", 4)],
+                                 "doc_id long, text string, n_lines int, `a.b` string, n_chars long")
+    got = lines.stage(spark, docs, "").collect()
+    assert {tuple(r) for r in got} == {(1, docs.first().text, 7, "p", 51), (2, "c", 8, "q", 1)}
+    assert got[0].__fields__ == docs.columns
 
 
 def test_long_lines_with_other_words_go(spark):

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfold.llm.common import bounded_scan, components, multi_runs, packed, run_links, stored, text_slices, tile_pairs
+from meshfold.llm.common import bounded_scan, components, multi_runs, packed, stored, text_slices, tile_pairs, whole_runs
 
 
 @dataclass(frozen=True)
@@ -39,8 +39,8 @@ SPREAD, WORDS = 10, 2
 RUN = 5
 #: Lines of a key whose pairs are selected at once; runs of more are compared in pairs of tiles of TILE, which is a multiple of it.
 FEW, TILE = 16, 2048
-#: Rows of runs that a task looks at at once.
-ROWS = 16_384
+#: Rows of runs that a task looks at at once, and pairs of rows of a longer run.
+ROWS, BLOCK = 16_384, 1 << 16
 #: Candidate lines whose ids are broadcast to pick up their texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -285,27 +285,42 @@ def screened(a: np.ndarray, b: np.ndarray, alike: Alike) -> np.ndarray:
 
 
 def confirmed(x: str, y: str, how: int, alike: Alike) -> bool:
-    """Whether two lines that the screen let through are alike."""
-    if how & 1 and within(x, y, alike.edits):
-        return True
-    if not how & 2:
-        return False
-    a, b = x.split(), y.split()
-    return within(a, b, int(alike.words(max(len(a), len(b)))))
-
-
-def _near(alike: Alike):
-    def near(held: dict, x: int, others: np.ndarray) -> np.ndarray:
-        if "facts" not in held:
-            held["facts"] = np.column_stack([held[f].to_numpy() for f in FACTS]).view(np.uint64)
-            held["texts"] = held["line"].to_pylist()
-        how = screened(held["facts"][others], held["facts"][x], alike)
-        out = how > 0
-        for k in np.flatnonzero(out):
-            out[k] = confirmed(held["texts"][x], held["texts"][others[k]], int(how[k]), alike)
-        return out
-
-    return near
+    """Whether two lines that the screen let through are alike; words come first, as there are fewer of them."""
+    if how & 2:
+        a, b = x.split(), y.split()
+        if within(a, b, int(alike.words(max(len(a), len(b))))):
+            return True
+    return bool(how & 1) and within(x, y, alike.edits)
+
+
+def _crowd_links(run: pa.Table, alike: Alike) -> Iterator[tuple[int, int]]:
+    """Links (a, b) that join what is alike in a run (i, j, tile, id, facts..., line): a forest. Some rows at a time are screened against the run's other
+    rows that aren't joined with them yet."""
+    tile, ids = run.column("tile").to_numpy(), run.column("id").to_pylist()
+    facts = np.column_stack([run.column(f).to_numpy() for f in FACTS]).view(np.uint64)
+    across, texts, m = run.column("i")[0] != run.column("j")[0], run.column("line").to_pylist(), run.num_rows
+    parent = list(range(m))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    block = max(1, BLOCK // m)
+    for first in range(0, m, block):
+        label = np.array([root(x) for x in range(m)])
+        if (label == label[0]).all():
+            return
+        rows = np.arange(first, min(first + block, m))
+        how = screened(facts[rows, None], facts[None, first:], alike)
+        how[(label[rows, None] == label[None, first:]) | (np.arange(first, m) <= rows[:, None])] = 0
+        if across:
+            how[tile[rows, None] == tile[None, first:]] = 0
+        for x, y in zip(*(at.tolist() for at in np.nonzero(how))):
+            p, q = root(first + x), root(first + y)
+            if p != q and confirmed(texts[first + x], texts[first + y], int(how[x, y]), alike):
+                parent[q] = p
+                yield ids[first + x], ids[first + y]
 
 
 def _pairs(rows: np.ndarray, alike: Alike) -> Iterator[tuple[np.ndarray, ...]]:
@@ -335,7 +350,8 @@ def line_links(docs: DataFrame, edits: int | Alike, least: int) -> DataFrame:
 
     Lines send hashes of their segments and probes, and of runs of their words; keys that two lines share are kept. Each candidate line's size and
     parities are computed once. In runs of up to ``FEW`` lines of a key, these select pairs, which are made distinct and verified once
-    each, whatever number of keys they share; in longer runs, lines already joined are not compared again and only a forest of links is kept.
+    each, whatever number of keys they share. Of longer runs, those of the same lines are compared once; there, lines already joined are not
+    compared again, and only a forest of links is kept.
     Exact copies are not compared.
     """
     alike = edits if isinstance(edits, Alike) else Alike(edits)
@@ -388,8 +404,20 @@ def line_links(docs: DataFrame, edits: int | Alike, least: int) -> DataFrame:
     pairs = stored(few.repartition("key").sortWithinPartitions("key", "id").mapInArrow(paired, "a long, b long, how long").distinct(), "line-pairs")
     both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b").select("a", "b", "how", "x", "y")
     links = both.mapInArrow(verified, "a long, b long")
-    crowds = multi.join(large, "key", "left_semi").withColumn("tile", F.expr(f"tile div {TILE // FEW}"))
-    return links.union(run_links(tile_pairs(crowds).join(facts, "id").join(texts, "id"), [*FACTS, "line"], _near(alike)))
+    crowds = multi.join(large, "key", "left_semi")
+    members_of = crowds.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.bit_xor(F.xxhash64("id")).alias("ids"))
+    once = members_of.groupBy("n", "least", "ids").agg(F.min("key").alias("key")).select("key")
+    tiles = tile_pairs(stored(crowds.join(once, "key", "left_semi").withColumn("tile", F.expr(f"tile div {TILE // FEW}")), "line-crowds"))
+    order = ["key", "i", "j", "tile", "id"]
+    dealt = tiles.join(facts, "id").join(texts, "id").select(*order, *FACTS, "line").repartition("key", "i", "j").sortWithinPartitions(*order)
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in whole_runs(batches, ("key", "i", "j")):
+            found = list(_crowd_links(run, alike))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+    return links.union(dealt.mapInArrow(compared, "a long, b long"))
 
 
 def _line_slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:

@@ -205,6 +205,7 @@ def test_runs_of_any_length_give_the_same_classes(spark, monkeypatch, few):
     monkeypatch.setattr(lines, "FEW", few)
     monkeypatch.setattr(lines, "TILE", 16)
     monkeypatch.setattr(lines, "ROWS", 50)
+    monkeypatch.setattr(lines, "BLOCK", 64)
     rng = random.Random(21)
     base = ["".join(rng.choice("abcdefghij klmnop") for _ in range(40)) for _ in range(6)]
     rows = [(i, "\n".join(edited(rng, rng.choice(base), 2) for _ in range(4))) for i in range(60)]
@@ -215,13 +216,12 @@ def test_runs_of_any_length_give_the_same_classes(spark, monkeypatch, few):
 def test_the_exact_setting_takes_every_copy(spark):
     rng = random.Random(2)
     rows = [(i, "\n".join(rng.choice(["", " ", "one", "two words", "three short words", "a longer line of text that is compared by edits"]) for _ in range(5))) for i in range(12)]
-    got = lines.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spread=1, words=0).collect()
-    seen, expected = set(), {}
-    for i, t in rows:
-        expected[i] = "\n".join(x for x in t.split("\n") if not (x in seen or seen.add(x)))
-    assert {r.doc_id: r.text for r in got} == expected
-    got = lines.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string"), spread=1, words=1).collect()
-    assert all(r.text.count("one") <= 1 and sum(not x.strip() for x in r.text.split("\n")) == sum(not x.strip() for x in dict(rows)[r.doc_id].split("\n")) for r in got)
+    given = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for words in (0, 1):
+        seen, expected = set(), {}
+        for i, t in rows:
+            expected[i] = "\n".join(x for x in t.split("\n") if words and not x.strip() or not (x in seen or seen.add(x)))
+        assert {r.doc_id: r.text for r in lines.dedupe_lines(given, spread=1, words=words).collect()} == expected
 
 
 def test_the_stage_keeps_columns_of_any_name(spark):

@@ -68,7 +68,7 @@ class Partitioning:
     leaves: tuple[Leaf, ...] = field(default=())  # of a quadtree, by partition id
 
     def assign(self, df: DataFrame) -> DataFrame:
-        """``df`` with an INT column ``pid`` in 0 .. n-1; null for rows with a missing coordinate."""
+        """``df`` with an INT column ``pid`` in 0 .. n-1 (a quadtree's: one for each of its leaves); null for rows with a missing coordinate."""
         x, y = g.box_center(geometry_box(df))
         known = df.withColumn("known_", x.isNotNull() & y.isNotNull())
         return self._assigned(known).withColumn("pid", F.when(F.col("known_"), F.col("pid"))).drop("known_")

@@ -29,14 +29,17 @@ def spread_points(spark):
 @pytest.mark.parametrize("method", METHODS)
 @pytest.mark.parametrize("n", [2, 10, 11])
 def test_every_row_gets_one_partition(spark, spread_points, method, n):
-    placed = partition.assign_partitions(spread_points, method, n)
+    plan = partition.plan_partitions(spread_points, method, n)
+    placed = plan.assign(spread_points)
     counts = {r["pid"]: r["count"] for r in placed.groupBy("pid").count().collect()}
-    assert sum(counts.values()) == 6000 and set(counts) <= set(range(n))
+    assert sum(counts.values()) == 6000 and set(counts) <= set(range(len(plan.leaves) if method == "quadtree" else n))
     assert placed.select("id").distinct().count() == 6000
     if method in ("hilbert", "rtree"):
         assert len(counts) == n and max(counts.values()) < 1.3 * 6000 / n
     if method == "equalgrid":
         assert len(counts) == int(n**0.5) ** 2
+    if method == "quadtree":  # squares are split in four until none has more than an n-th, so there may be more than n
+        assert len(counts) >= n and max(counts.values()) <= 6000 / n
 
 
 @pytest.mark.parametrize("method", METHODS)
@@ -177,3 +180,13 @@ def test_the_registered_checks_can_fail(spark, monkeypatch, method):
         monkeypatch.setattr(partition.Partitioning, "assign", lambda self, df, pid=pid: df.withColumn("pid", pid))
         bad = QUERIES[f"partition_{method}_check"](spark, folder).first()
         assert bad["total"] == good["total"] and bad != good
+
+
+def test_neighbours_in_a_layout_read_the_partitions_within_one_radius(spark, spread_points, tmp_path):
+    stored = layout.write_clustered(spread_points, str(tmp_path / "points"), "rtree", 40)
+    found = stored.knn_points((10.5, 10.5), 5)
+    assert [r["id"] for r in found.collect()] == [r["id"] for r in knn.knn_points(spread_points, (10.5, 10.5), 5).collect()]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    with pytest.raises(ValueError):
+        stored.knn_points((10.5, 10.5), 0)

@@ -76,7 +76,7 @@ def test_cuts_apply_to_another_table(spark, spread_points):
 
 def test_refusals(spark, spread_points):
     with pytest.raises(ValueError):
-        partition.assign_partitions(spread_points, "quadtree", 4)
+        partition.assign_partitions(spread_points, "kdtree", 4)  # no such method
     with pytest.raises(ValueError):
         partition.assign_partitions(spread_points, "rtree", 1_000_000)
     assert partition.assign_partitions(spread_points, "rtree", 61).select("pid").distinct().count() == 61

@@ -15,12 +15,14 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
 from meshfold.operators.aggregate import geometry_box
 from meshfold.operators.join import rectangles_in_rectangles
+from meshfold.operators.voronoi import grid_index, squares
+from meshfold.session import stored
 
 METHODS = ("equalgrid", "hilbert", "rtree", "voronoi", "quadtree")
 HILBERT_BITS = QUAD_LEVELS = 15
@@ -28,6 +30,8 @@ _STEP_BITS = 3
 _SAMPLE_PER_PARTITION = 1000
 _ACCURACY = 10_000
 _CELLS_PER_SITE, _MAX_CELLS = 64, 1 << 20
+#: Cuts or sites that a plan holds as literals; more of them become a table, broadcast up to so many numbers.
+_MAX_LITERALS, _MAX_BROADCAST = 1024, 8 << 20
 
 
 def sample_size(n: int, rows: int) -> int:  # the shares and results are fixed values
@@ -79,7 +83,7 @@ class Partitioning:
         x, y = g.box_center(geometry_box(df))
         if self.method == "equalgrid":
             per_axis = math.isqrt(self.n)
-            column, row = _grid_index(x, y, self.bounds, per_axis)
+            column, row = grid_index(x, y, self.bounds, per_axis)
             return df.withColumn("pid", column * per_axis + row)
         if self.method == "hilbert":
             keyed = df.withColumn("curve_", hilbert_key(x, y, self.bounds))
@@ -96,7 +100,10 @@ class Partitioning:
         return self._nearest_site(df, x, y)
 
     def _nearest_site(self, df: DataFrame, x: Column, y: Column) -> DataFrame:
-        """A grid lists, for each cell, the sites that can be nearest to a point in it: one for most cells."""
+        """A grid lists, for each cell, the sites that can be nearest to a point in it: one for most cells. Many sites take squares of several sizes."""
+        if len(self.cuts) > _MAX_LITERALS:
+            sites = df.sparkSession.createDataFrame([(i, *c) for i, c in enumerate(self.cuts)], "site int, sx double, sy double")
+            return squares(sites, self.bounds).nearest(df, x, y, "pid")
         sites = F.array(*(_site(i, sx, sy) for i, (sx, sy) in enumerate(self.cuts)))
         per_axis = math.isqrt(min(_CELLS_PER_SITE * self.n, _MAX_CELLS)) + 1
         xmin, xmax, ymin, ymax = self.bounds
@@ -113,7 +120,7 @@ class Partitioning:
             return F.filter(sites, lambda s: g.box_distance(cell, s["sx"], s["sy"]) <= limit)
 
         near = cells.select("grid_x", "grid_y", g.bind(reach * (1 + 1e-9), within).alias("sites"))
-        column, row = _grid_index(x, y, self.bounds, per_axis)
+        column, row = grid_index(x, y, self.bounds, per_axis)
 
         def ranked(s: Column) -> Column:
             dx, dy = s["sx"] - x, s["sy"] - y
@@ -137,36 +144,52 @@ def _literal_array(values) -> Column:
     return F.expr(f"array({','.join(texts)})")
 
 
-def _grid_index(x: Column, y: Column, bounds, per_axis: int) -> tuple[Column, Column]:
-    """Column and row in an equal grid over ``bounds``; whatever lies outside goes to the outermost cell."""
-    xmin, xmax, ymin, ymax = bounds
-
-    def index(value: Column, low: float, high: float) -> Column:
-        if high <= low:
-            return F.lit(0)
-        cell = F.floor((value - low) / ((high - low) / per_axis))
-        return F.least(F.greatest(cell, F.lit(0)), F.lit(per_axis - 1)).cast("int")
-
-    return index(x, xmin, xmax), index(y, ymin, ymax)
-
-
 def _ranked(df: DataFrame, name: str, value: str, cuts: list, group: str | None = None) -> DataFrame:
     """Adds ``name``: the number of cuts (ascending) that are <= ``value``, by binary search.
 
-    ``cuts`` is one list, or one per number in column ``group``. Every halving is a projection of its own, which keeps
-    the whole search in generated code.
+    ``cuts`` is one list, or one per number in column ``group``. More than `_MAX_LITERALS` cuts are a table: of one list, every
+    so many a cut is searched first and names the stretch, about as many cuts again, that the row is joined with.
     """
-    depth = max(map(len, cuts)).bit_length()
-    size = 1 << depth  # one list, padded so that every search takes the same steps
-    last = max((c[-1] for c in cuts if c), default=0)
-    never = 1.7976931348623157e308 if isinstance(last, float) else 2**63 - 1
-    flat = [v for c in cuts for v in [*c, *[never] * (size - len(c))]]
+    if sum(map(len, cuts)) <= _MAX_LITERALS:
+        return _searched(df, name, value, cuts, group)
+    if group:
+        return _in_stretch(df, name, value, cuts, group)
+    step = math.isqrt(len(cuts[0])) + 1
+    stretches = [cuts[0][i:i + step] for i in range(0, len(cuts[0]), step)]
+    of = f"{name}_of"
+    found = _in_stretch(_ranked(df, of, value, [tuple(s[0] for s in stretches[1:])]), name, value, stretches, of)
+    return found.withColumn(name, F.col(of) * step + F.col(name)).drop(of)
+
+
+def _in_stretch(df: DataFrame, name: str, value: str, cuts: list, group: str) -> DataFrame:
+    """`_searched` among the cuts of the row's group, which come from a table of as many rows as there are groups."""
+    size = 1 << max(map(len, cuts)).bit_length()
+    kind = "double" if isinstance(next(c[0] for c in cuts if c), float) else "bigint"
+    table = df.sparkSession.createDataFrame(
+        [(i, [*c, *[_never(kind == "double")] * (size - len(c))]) for i, c in enumerate(cuts)], f"`{group}` int, cuts_ array<{kind}>")
+    if size * len(cuts) <= _MAX_BROADCAST:
+        table = F.broadcast(table)
+    return _halvings(df.join(table, group, "left"), name, value, F.col("cuts_"), F.lit(0), size).drop("cuts_")
+
+
+def _searched(df: DataFrame, name: str, value: str, cuts: list, group: str | None) -> DataFrame:
+    """The search in one literal array, padded so that every search takes the same steps."""
+    size = 1 << max(map(len, cuts)).bit_length()
+    if size == 1:
+        return df.withColumn(name, F.lit(0))
+    never = _never(isinstance(max((c[-1] for c in cuts if c), default=0), float))
+    table = _literal_array([v for c in cuts for v in [*c, *[never] * (size - len(c))]])
+    return _halvings(df, name, value, table, F.col(group) * size if group else F.lit(0), size)
+
+
+def _never(fraction: bool) -> float | int:
+    return 1.7976931348623157e308 if fraction else 2**63 - 1
+
+
+def _halvings(df: DataFrame, name: str, value: str, table: Column, start: Column, size: int) -> DataFrame:
+    """The binary search; every halving is a projection of its own, which keeps it in generated code."""
     df = df.withColumn(name, F.lit(0))
-    if not depth:
-        return df
-    table = _literal_array(flat)
-    start = F.col(group) * size if group else F.lit(0)
-    for step in (size >> i for i in range(1, depth + 1)):
+    for step in (size >> i for i in range(1, size.bit_length())):
         ahead = F.get(table, start + F.col(name) + (step - 1))
         df = df.withColumn(name, F.when(ahead <= F.col(value), F.col(name) + step).otherwise(F.col(name)))
     return df
@@ -198,7 +221,7 @@ def _curve_table() -> list[int]:
 
 def hilbert_key(x: Column, y: Column, bounds: tuple[float, float, float, float]) -> Column:
     """Position along the Hilbert curve of order 15 over ``bounds``, as BIGINT: five table lookups, all generated code."""
-    column, row = _grid_index(x, y, bounds, 1 << HILBERT_BITS)
+    column, row = grid_index(x, y, bounds, 1 << HILBERT_BITS)
     table = _literal_array(_curve_table())
     mask = (1 << _STEP_BITS) - 1
     key, entry = F.lit(0).cast("bigint"), F.lit(0)
@@ -223,7 +246,7 @@ def morton_key(x: Column, y: Column, bounds: tuple[float, float, float, float])
 
 def grid_cell(x: Column, y: Column, bounds: tuple[float, float, float, float]) -> tuple[Column, Column]:
     """Column and row in the finest grid of a quadtree; whatever lies outside goes to the outermost cell."""
-    return _grid_index(x, y, bounds, 1 << QUAD_LEVELS)
+    return grid_index(x, y, bounds, 1 << QUAD_LEVELS)
 
 
 def _quad_leaves(centers: DataFrame, bounds, rows: int, n: int) -> tuple[Leaf, ...]:
@@ -251,6 +274,24 @@ def _percentiles(df: DataFrame, value: str, shares: list[float], by: str | None
     return grouped.agg(F.percentile_approx(value, shares, accuracy).alias("cuts"))
 
 
+def _even_cuts(keys: DataFrame, n: int) -> tuple[int, ...]:
+    """The n - 1 keys of the curve that cut the rows into n equal shares, exactly, by a pyramid of counts.
+
+    Keys are counted; sums by their upper half give the rows before each of at most 2^15 stretches of the curve, and a running
+    sum within a stretch, of at most 2^15 keys, the rest. Only the cuts reach the driver.
+    """
+    counts = stored(keys.groupBy("key").agg(F.count("*").alias("n")).withColumn("upper", F.shiftright("key", HILBERT_BITS)), "curve-counts")
+    earlier = Window.orderBy("upper").rowsBetween(Window.unboundedPreceding, -1)
+    sums = counts.groupBy("upper").agg(F.sum("n").alias("n"))
+    before = sums.select("upper", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    until = F.sum("n").over(Window.partitionBy("upper").orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
+    total = counts.agg(F.sum("n")).first()[0]
+    ends = counts.join(F.broadcast(before), "upper").withColumn("until", F.col("before") + until)  # at most 2^15 rows
+    first, last = F.expr(f"(until - n) * {n} DIV {total} + 1"), F.expr(f"least(until * {n} DIV {total}, {n - 1})")
+    cuts = ends.withColumns({"first": first, "last": last}).where("first <= last").select("key", F.explode(F.sequence("first", "last")).alias("i"))
+    return tuple(r["key"] + 1 for r in cuts.orderBy("i").collect())
+
+
 def plan_partitions(df: DataFrame, method: str, n: int, collapse: bool = False) -> Partitioning:
     """Finds the cuts. With ``collapse``, one partition is made when 1 % of the rows would be fewer than n."""
     if method not in METHODS:
@@ -284,6 +325,8 @@ def plan_partitions(df: DataFrame, method: str, n: int, collapse: bool = False)
         centers = centers.sample(wanted / rows, seed=11)
     if method == "hilbert":
         keys = centers.select(hilbert_key(F.col("x"), F.col("y"), bounds).alias("key"))
+        if n > _MAX_LITERALS:
+            return Partitioning(method, n, bounds, _even_cuts(keys, n), rows)
         cuts = _percentiles(keys, "key", [i / n for i in range(1, n)]).first()["cuts"]
         return Partitioning(method, n, bounds, tuple(cuts), rows)
     if method == "rtree":

@@ -222,6 +222,22 @@ def _scores(source: str, ratio: str = _REAL) -> str:
 
 _CHECK = "SELECT CAST(0 AS BIGINT) AS {}, CAST(0 AS BIGINT) AS {}, count(*) AS total{} FROM {}"
 
+# Each site's half-planes a*x + b*y <= c, against the other sites and the bounds; crossings of two that break none of the others are the cell's corners.
+_VORONOI = f"""WITH sites AS MATERIALIZED (SELECT s_suppkey AS id, {t.POLY_X} AS x, {t.POLY_Y} AS y FROM supplier),
+    b AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM sites),
+    planes AS MATERIALIZED (
+      SELECT s.id, o.id AS k, o.x-s.x AS a, o.y-s.y AS b, ((o.x-s.x)*(o.x+s.x)+(o.y-s.y)*(o.y+s.y))/2 AS c FROM sites s JOIN sites o ON s.id<>o.id
+      UNION ALL SELECT id, v.k, v.a, v.b, v.c FROM sites CROSS JOIN (
+        SELECT -1 AS k, -1e0 AS a, 0e0 AS b, -x0 AS c FROM b UNION ALL SELECT -2, 1e0, 0e0, x1 FROM b
+        UNION ALL SELECT -3, 0e0, -1e0, -y0 FROM b UNION ALL SELECT -4, 0e0, 1e0, y1 FROM b) v),
+    crossings AS (
+      SELECT p.id, p.k AS k1, q.k AS k2, (p.c*q.b-q.c*p.b)/(p.a*q.b-q.a*p.b) AS x, (p.a*q.c-q.a*p.c)/(p.a*q.b-q.a*p.b) AS y
+      FROM planes p JOIN planes q ON p.id=q.id AND p.k<q.k WHERE abs(p.a*q.b-q.a*p.b)>1e-12),
+    corners AS (
+      SELECT * FROM crossings v WHERE NOT EXISTS (
+        SELECT 1 FROM planes h WHERE h.id=v.id AND h.k<>v.k1 AND h.k<>v.k2 AND h.a*v.x+h.b*v.y-h.c>1e-8*sqrt(h.a*h.a+h.b*h.b)))
+    SELECT id, round(min(x), 5)+0e0 AS xmin, round(max(x), 5)+0e0 AS xmax, round(min(y), 5)+0e0 AS ymin, round(max(y), 5)+0e0 AS ymax FROM corners GROUP BY id"""
+
 # The curve from the highest bit of the cell down: the quadrant's place, then the turn into it.
 _HILBERT = """WITH RECURSIVE cells AS (
       SELECT CAST(least(greatest(floor((x-x0)/((x1-x0)/32768)), 0), 32767) AS BIGINT) AS x,
@@ -326,6 +342,7 @@ SQL: dict[str, str] = {
     "partition_hilbert_check": _HILBERT.format(pts=TABLES["pts"]),
     "partition_rtree_check": _CHECK.format("lost", "uneven", ", CAST(0 AS BIGINT) AS overlaps", "orders"),
     "partition_voronoi_check": _CHECK.format("wrong", "empty", "", "orders"),
+    "voronoi_bounds": _VORONOI,
     "partition_quadtree_check": _CHECK.format("lost", "oversized", ", CAST(0 AS BIGINT) AS overlaps", "customer"),
     "partition_by_other_table": _with("pts rects", """SELECT CAST(gx*3+gy AS INT) AS pid, count(*) AS n
       FROM (SELECT greatest(least(floor(((xmin+xmax)/2-x0)/((x1-x0)/3)), 2), 0) AS gx, greatest(least(floor(((ymin+ymax)/2-y0)/((y1-y0)/3)), 2), 0) AS gy

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
-from meshfold.operators import aggregate, hotspot, join, knn, layout, paired, partition, polygon_range, range_query, union
+from meshfold.operators import aggregate, hotspot, join, knn, layout, paired, partition, polygon_range, range_query, union, voronoi
 from meshfold.plans import oracle
 from meshfold.session import new_folder, spread
 from meshfold.sources import readers, tables, writers
@@ -463,6 +463,15 @@ def partition_voronoi_check(spark, sf):
         (F.lit(len(plan.cuts)).cast("bigint") - F.count(F.when(F.col("right") > 0, 1))).alias("empty"), F.sum("n").alias("total"))
 
 
+@query
+def voronoi_bounds(spark, sf):
+    """(id, xmin, xmax, ymin, ymax): the box of each site's cell, cut off at the bounds of all sites, which are the polygons' centres."""
+    sites = tables.table(spark, sf, "supplier").selectExpr("s_suppkey AS id", f"{tables.POLY_X} AS x", f"{tables.POLY_Y} AS y")
+    bounds = sites.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    cells = voronoi.voronoi_cells(sites, tuple(bounds))
+    return cells.select(F.col("site").alias("id"), *((F.round(c, 5) + F.lit(0.0)).alias(c) for c in g.BOX))
+
+
 @query
 def partition_quadtree_check(spark, sf):
     """(lost, oversized, overlaps, total) of clustered points: squares with more than their share though they could be split, pairs of squares whose members'

@@ -190,3 +190,29 @@ def test_neighbours_in_a_layout_read_the_partitions_within_one_radius(spark, spr
     assert "dynamicpruning" in plan
     with pytest.raises(ValueError):
         stored.knn_points((10.5, 10.5), 0)
+
+
+@pytest.mark.parametrize("method", ["hilbert", "rtree", "quadtree"])
+def test_cuts_in_a_table_give_the_same_partitions(spark, spread_points, method, monkeypatch):
+    plan = partition.plan_partitions(spread_points, method, 60)
+    expected = {r["id"]: r["pid"] for r in plan.assign(spread_points).collect()}
+    for literals, broadcast in ((7, 1 << 20), (3, 0)):
+        monkeypatch.setattr(partition, "_MAX_LITERALS", literals)
+        monkeypatch.setattr(partition, "_MAX_BROADCAST", broadcast)
+        assert {r["id"]: r["pid"] for r in plan.assign(spread_points).collect()} == expected
+
+
+def test_even_cuts_are_exact(spark):
+    rng = random.Random(9)
+    keys = sorted(rng.choice([rng.randrange(1 << 30), 7, rng.randrange(100)]) for _ in range(3000))
+    table = spark.createDataFrame([(k,) for k in keys], "key long").repartition(3)
+    # A cut lies behind the key with which the rows so far reach the share.
+    assert partition._even_cuts(table, 50) == tuple(keys[-(-3000 * i // 50) - 1] + 1 for i in range(1, 50))
+
+
+@pytest.mark.parametrize("method", ["hilbert", "rtree"])
+def test_a_hundred_thousand_partitions(spark, method):
+    table = spark.range(400_000).selectExpr("id", "((id * 7919) % 400009) / 1e2 AS x", "((id * 10473) % 400009) / 1e2 AS y")
+    counts = partition.assign_partitions(table, method, 100_000).groupBy("pid").count()
+    n, most, rows = counts.agg(F.count("*"), F.max("count"), F.sum("count")).first()
+    assert rows == 400_000 and n > 90_000 and most < 40

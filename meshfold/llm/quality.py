@@ -155,12 +155,17 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Chain | None:
-    """The chain fitted on the labelled rows that are not held out, ``TRAIN_DOCS`` at most (those with the smallest hashes of their id),
-    leaving out documents of more than ``TRAIN_LINES`` lines; None without any. Of contradictory labels the lower counts."""
-    chosen = (
+    """The chain fitted on the labelled rows that are not held out, ``TRAIN_DOCS`` at most; None without any.
+
+    The sample is drawn from the ids that ``docs`` really holds, those with the smallest hashes, so labels of other documents take no place in
+    it. Of a document of more than ``TRAIN_LINES`` lines the middle ones count. Of contradictory labels the lower counts.
+    """
+    labelled = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out())
-        .groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
+        .groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     )
+    present = docs.select("doc_id").join(labelled, "doc_id").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    chosen = present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
     marked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,10 +173,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Chain | None:
             for first, texts in text_slices(batch, "text"):
                 part = batch.slice(first, len(texts))
                 found = [lines_of(t) for t in texts]
-                data = [own_features(x).tobytes() if len(x) <= TRAIN_LINES else None for x in found]
+                data = [own_features(x)[max(0, len(x) - TRAIN_LINES) // 2:][:TRAIN_LINES].tobytes() for x in found]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), pa.array(data, pa.binary())], ["doc_id", "quality", "x"])
 
-    rows = bounded_scan(marked, "doc_id", "quality", "text").mapInArrow(scan, "doc_id long, quality int, x binary").where("x IS NOT NULL")
+    rows = bounded_scan(marked, "doc_id", "quality", "text").mapInArrow(scan, "doc_id long, quality int, x binary")
     rows = rows.orderBy(F.xxhash64("doc_id", "x")).limit(TRAIN_DOCS).collect()
     if not rows:
         return None
@@ -194,7 +199,8 @@ def score(docs: DataFrame, chain: Chain | None) -> DataFrame:
             scores = [s for _, texts in text_slices(batch, "text") for s in document_scores(texts, held.value)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*names, "score"])
 
-    scored = bounded_scan(docs, *names).mapInArrow(scan, docs.withColumn("score", F.lit(0.0)).schema)
+    plain = [F.col(f"`{c}`").alias(c if c == "text" else f"c{i}") for i, c in enumerate(names)]  # a scan takes no names with dots
+    scored = bounded_scan(docs, *plain).mapInArrow(scan, docs.withColumn("score", F.lit(0.0)).schema)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

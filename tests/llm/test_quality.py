@@ -76,3 +76,15 @@ def test_edge_cases(spark, sf_small):
     assert quality.train(docs.drop("quality"), labels.where("doc_id = 9")) is None
     assert {r.score for r in quality.score(docs, None).collect()} == {0.5}
     assert quality.score(docs.where("doc_id = 9"), chain).collect() == []
+
+
+def test_the_sample_is_drawn_from_the_documents(spark, monkeypatch):
+    """Labels of a hundred times as many other documents leave no empty sample, nor do documents that are all long."""
+    monkeypatch.setattr(quality, "TRAIN_DOCS", 20)
+    good, bad = "The river ran past the old mill, and nobody spoke.\n" * 300, "$$$ CLICK >>> 100% @@@ ###\n" * 300
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    docs = spark.createDataFrame([(i, good if i % 2 else bad, 1) for i in ids], "doc_id long, text string, `a.b` int")
+    labels = spark.range(6000).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS quality")
+    chain = quality.train(docs, labels)
+    got = quality.score(docs, chain).collect()
+    assert len(got) == len(ids) and all(r.predicted == r.doc_id % 2 and r["a.b"] == 1 for r in got)

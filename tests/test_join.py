@@ -153,6 +153,36 @@ def test_large_groups_come_in_parts(spark):
     assert len(big) >= 9 and sorted(i for r in big for i in r["objects"]) == list(range(1000))
     assert [(r["part"], r["objects"]) for r in rows if r["window_id"] == 1] == [(0, list(range(10)))]
 
+@pytest.mark.parametrize("rows", [4096, 7])
+def test_grouped_points_are_those_of_the_pairs(spark, rows):
+    """Arrays instead of rows for pairs: no pair is written or shuffled by itself."""
+    rng = random.Random(6)
+    pts, wins = points(spark, [*_points(rng, 300), (float("inf"), 0), (float("nan"), 1)]), boxes(spark, [*_boxes(rng, 80), (-1e300, float("inf"), -5, 5)])
+    objects = join._side(pts, "id", "object_id", "o_", join._point_box("x", "y"), ())
+    hits = cells.grouped_cell_join(objects, join._side(wins, "id", "window_id", "w_", join.g.box(), ()), pack_rows=rows)
+    assert "SortMergeJoin [cell_tier" in _physical(hits)
+    assert _pairs(hits.selectExpr("window_id", "explode(objects) AS object_id")) == _pairs(join.points_in_rectangles(pts, wins))
+    hits = join.points_in_rectangles(pts, wins, grouped=True)
+    assert hits.columns == ["window_id", "most", "objects"]
+    whole, pieces = (join.group_per_window(hits, wins, chunk=c).collect() for c in (1000, 3))
+    assert [(r["part"], r["n"]) for r in whole if r["n"]] == [(0, len(r["objects"])) for r in whole if r["n"]]
+    got = {}
+    for r in sorted(pieces, key=lambda r: r["part"]):
+        assert r["n"] <= 3
+        got.setdefault(r["window_id"], []).extend(r["objects"])
+    assert got == {r["window_id"]: r["objects"] for r in whole}
+
+
+def test_very_large_groups_are_dealt_before_they_are_gathered(spark, monkeypatch):
+    monkeypatch.setattr(join, "_HELD", 50)
+    pts, wins = points(spark, [(i / 1000, 0) for i in range(1000)]), boxes(spark, [(0, 1, 0, 1), (0, 0.0095, 0, 1), (5, 6, 5, 6)])
+    for few in (64, 2):
+        monkeypatch.setattr(join, "_FEW_GROUPS", few)
+        rows = join.group_per_window(join.points_in_rectangles(pts, wins, grouped=True), wins, chunk=20).collect()
+        assert len({(r["window_id"], r["part"]) for r in rows}) == len(rows) and max(r["n"] for r in rows) <= 20
+        assert sorted(i for r in rows if r["window_id"] == 0 for i in r["objects"]) == list(range(1000))
+        assert [(r["part"], r["objects"]) for r in rows if r["window_id"] > 0] in ([(0, list(range(10))), (0, [])], [(0, []), (0, list(range(10)))])
+
 
 def test_crowded_cells_are_dealt_out(spark):
     """A third of all points in one cell ends up in many parts, none much larger than asked for."""

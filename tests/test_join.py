@@ -9,6 +9,7 @@ from shapes import boxes, points, polygons, square, star
 from meshfold.operators import join
 from meshfold.plans import cells
 from meshfold.plans.cells import Limits
+from meshfold.plans.queries import QUERIES
 
 # Broadcast; shuffle; shuffle with cells split by their rows on both sides, by their pairs; the same, found from a sample.
 PLANS = {
@@ -217,6 +218,14 @@ def test_the_plan_is_the_one_decided_on(spark):
             assert "BroadcastHashJoin" not in plan
 
 
+@pytest.mark.parametrize("name", ["join_polys_polys_mbr", "join_rects_rects_intersects"])
+def test_tables_of_one_small_file_are_joined_by_all_cores(spark, tmp_path, name):
+    spark.range(1, 40).selectExpr("id AS s_suppkey").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(1, 200).selectExpr("id AS p_partkey", "CAST(1 + id % 50 AS INT) AS p_size").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    plan = _physical(QUERIES[name](spark, str(tmp_path)))
+    assert f"RoundRobinPartitioning({spark.sparkContext.defaultParallelism})" in plan
+
+
 def test_endless_and_far_windows(spark):
     inf = float("inf")
     wins = [(-inf, inf, -inf, inf), (5, inf, 0, 9), (4.5e6, 4.5e6, 4.5e6, 4.5e6), (-inf, 3, 1, 1), (1e15, 1e15 + 2, 0, 9)]

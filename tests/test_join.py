@@ -226,6 +226,13 @@ def test_tables_of_one_small_file_are_joined_by_all_cores(spark, tmp_path, name)
     assert f"RoundRobinPartitioning({spark.sparkContext.defaultParallelism})" in plan
 
 
+def test_shuffled_joins_keep_their_tasks(spark):
+    """Few bytes can be many pairs, so small partitions aren't put together before the join."""
+    pts, wins = points(spark, [(i % 50, i % 70) for i in range(500)]), boxes(spark, [(i, i + 1, 0, 30) for i in range(40)])
+    found = join.points_in_rectangles(pts, wins, limits=PLANS["shuffle"])
+    assert found.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+
+
 def test_endless_and_far_windows(spark):
     inf = float("inf")
     wins = [(-inf, inf, -inf, inf), (5, inf, 0, 9), (4.5e6, 4.5e6, 4.5e6, 4.5e6), (-inf, 3, 1, 1), (1e15, 1e15 + 2, 0, 9)]

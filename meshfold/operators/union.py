@@ -1,8 +1,7 @@
 """Polygon union (dissolve): the outline, area and connected parts of all polygons together.
 
-An edge of polygon P belongs to the outline where no other polygon covers it. Edges are rows: those that meet cut each other
-(a cell join of edges), the pieces are judged by a point halfway along them (a cell join with the polygons), and what is
-left of an edge after merging its covered stretches is outline. No edge walks another polygon's edges. The pieces keep the polygon's
+An edge of polygon P belongs to the outline where no other polygon covers it. Edges are rows: what covers them is found in cells (`covered`), and what is
+left of an edge after merging its covered stretches is outline. The pieces keep the polygon's
 orientation (interior on the left), so the area is a plain sum over them, holes included.
 
 Stretches along a shared edge: if both polygons lie on the same side, the one with the smaller id keeps it;
@@ -15,14 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meshfold.functions import geometry as g
-from meshfold.operators.join import points_in_polygons
+from meshfold.operators.covered import covered_stretches
 from meshfold.operators.rings import assembled, strung
-from meshfold.plans.cells import OBJECT, OBJECT_ID, WINDOW, WINDOW_ID, Limits, cell_join
+from meshfold.plans.cells import Limits
 from meshfold.session import stored
 
 # Stretches of one edge that are merged at once; an edge with more is merged in parts first.
 _MERGED_ROWS = 10_000
-_FEW_EDGES = 32
 
 
 def _oriented(rings: g.Sql) -> g.Sql:
@@ -39,60 +37,6 @@ def _distinct_polygons(polygons: DataFrame, id_column: str) -> DataFrame:
     )
 
 
-def _covered_stretches(shapes: DataFrame, limits: Limits) -> DataFrame:
-    """(id, edge, other, t0, t1, kept): stretches of each edge that another polygon covers.
-
-    ``kept`` marks those along a shared edge that stay with this polygon; they still connect the two.
-    """
-    edges = shapes.select("id", F.posexplode("edges").alias("edge", "e"))
-
-    def side(name: str, prefix: str, as_: str) -> DataFrame:
-        e = F.col("e")
-        return edges.select(
-            F.struct("id", "edge").alias(name), e.alias(as_),
-            F.least(e["x1"], e["x2"]).alias(prefix + "xmin"), F.greatest(e["x1"], e["x2"]).alias(prefix + "xmax"),
-            F.least(e["y1"], e["y2"]).alias(prefix + "ymin"), F.greatest(e["y1"], e["y2"]).alias(prefix + "ymax"),
-        )
-
-    own, window = F.col(OBJECT_ID), F.col(WINDOW_ID)
-    other = own["id"] != window["id"]
-    crossed = cell_join(side(OBJECT_ID, OBJECT, "e"), side(WINDOW_ID, WINDOW, "w_e"), other, inside=False, limits=limits)
-    contacts = crossed.select(
-        own["id"].alias("id"), own["edge"].alias("edge"), window["id"].alias("other"),
-        F.expr(g.cut_positions("e", "w_e")).alias("cuts"), F.expr(g.shared_run("e", "w_e")).alias("run"),
-    ).where("size(cuts) > 0 OR run IS NOT NULL")
-    contacts = contacts.groupBy("id", "edge", "other").agg(
-        F.flatten(F.collect_list("cuts")).alias("cuts"), F.collect_list("run").alias("runs"))
-
-    boxes = shapes.select(F.col("id").alias(WINDOW_ID), *g.box_columns(g.box(), WINDOW))
-    met = cell_join(side(OBJECT_ID, OBJECT, "e"), boxes, own["id"] != window, inside=False, limits=limits)
-    met = met.select(own["id"].alias("id"), own["edge"].alias("edge"), window.alias("other"), "e").join(contacts, ["id", "edge", "other"], "left")
-    ends = F.expr("concat(array(0D, 1D), coalesce(cuts, array()), coalesce(transform(runs, r -> r.t0), array()), coalesce(transform(runs, r -> r.t1), array()))")
-    at = met.withColumn("ts", F.array_sort(F.array_distinct(ends)))
-    cut = F.expr("transform(slice(ts, 1, size(ts) - 1), (t, i) -> named_struct('t0', t, 't1', get(ts, i + 1)))")
-    x, y = g.middle("e", "s")
-    headings = "transform(filter(runs, r -> (s.t0 + s.t1) / 2 BETWEEN r.t0 AND r.t1), r -> r.heading)"
-    pieces = stored(
-        at.select("id", "edge", "other", "e", "runs", F.explode(cut).alias("s"))
-        .select("id", "edge", "other", "s.t0", "s.t1", F.expr(x).alias("x"), F.expr(y).alias("y"), F.expr(headings).alias("headings"))
-        .withColumn("piece", F.monotonically_increasing_id()), "union-pieces")
-
-    along = F.coalesce(F.size("headings") > 0, F.lit(False))
-    shared = pieces.where(along).withColumn("kept", F.expr("exists(headings, v -> v > 0) AND id < other"))
-    free = pieces.where(~along)
-    # A polygon of few edges is tested as a whole, one of many by the cells it covers.
-    around = shapes.select(F.col("id").alias("other"), "rings", F.col("edges").alias("w_edges"))
-    many = F.size("w_edges") > _FEW_EDGES
-    inside = free.join(around.where(~many), "other").where(F.expr(g.polygon_contains_point("w_edges", "x", "y"))).select("piece")
-    large = around.where(many).drop("w_edges")
-    if not large.isEmpty():
-        hits = points_in_polygons(free, large, "piece", "other", on=["other"], limits=limits)
-        inside = inside.union(hits.select(F.col(OBJECT_ID).alias("piece")))
-    covered = free.join(inside, "piece").withColumn("kept", F.lit(False))
-    columns = ["id", "edge", "other", "t0", "t1", "kept"]
-    return shared.select(*columns).union(covered.select(*columns))
-
-
 def _merged(stretches: DataFrame, keys: list[str]) -> DataFrame:
     """Overlapping or touching stretches of a key joined into one."""
     order = Window.partitionBy(*keys).orderBy("t0", "t1")
@@ -140,7 +84,7 @@ def _outline(shapes: DataFrame, stretches: DataFrame) -> DataFrame:
 def union_boundary(polygons: DataFrame, id_column: str = "id", limits: Limits = Limits()) -> DataFrame:
     """(id, x1, y1, x2, y2): directed pieces of the union's outline, with the id of the polygon each comes from."""
     shapes = stored(_distinct_polygons(polygons, id_column), "union-shapes")
-    return _outline(shapes, _covered_stretches(shapes, limits))
+    return _outline(shapes, covered_stretches(shapes, limits)[0])
 
 
 def _area(pieces: DataFrame) -> Column:
@@ -153,14 +97,19 @@ def union_area(polygons: DataFrame, id_column: str = "id", limits: Limits = Limi
     return pieces.agg(F.coalesce(_area(pieces), F.lit(0.0)).alias("area"))
 
 
+def _part_labels(shapes: DataFrame, stretches: DataFrame, links: DataFrame) -> DataFrame:
+    met = stretches.select("id", "other").union(links.select("id", "other")).distinct()
+    return connected_components(shapes.select("id"), met.select(F.col("id").alias("a"), F.col("other").alias("b")))
+
+
 def union_parts(polygons: DataFrame, id_column: str = "id", limits: Limits = Limits()) -> DataFrame:
     """(part, polygons, area): the connected parts of the union, named by their smallest polygon id.
 
     Polygons connect when they overlap or share a stretch of an edge; touching in a point does not connect.
     """
     shapes = stored(_distinct_polygons(polygons, id_column), "union-shapes")
-    stretches = stored(_covered_stretches(shapes, limits), "union-stretches")
-    labels = connected_components(shapes.select("id"), stretches.select(F.col("id").alias("a"), F.col("other").alias("b")).distinct())
+    stretches, links = covered_stretches(shapes, limits)
+    labels = _part_labels(shapes, stretches, links)
     members = labels.groupBy("part").agg(F.count("*").alias("polygons"))
     pieces = _outline(shapes, stretches).join(labels, "id")
     areas = pieces.groupBy("part").agg(_area(pieces).alias("area"))
@@ -173,8 +122,8 @@ def union_polygons(polygons: DataFrame, id_column: str = "id", limits: Limits =
     Parts and rings may touch in points: touching parts stay apart, and no ring passes a point twice.
     """
     shapes = stored(_distinct_polygons(polygons, id_column), "union-shapes")
-    stretches = stored(_covered_stretches(shapes, limits), "union-stretches")
-    labels = connected_components(shapes.select("id"), stretches.select(F.col("id").alias("a"), F.col("other").alias("b")).distinct())
+    stretches, links = covered_stretches(shapes, limits)
+    labels = _part_labels(shapes, stretches, links)
     placed = strung(_outline(shapes, stretches).join(labels, "id"))
     return assembled(placed)
 

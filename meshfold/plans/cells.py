@@ -198,20 +198,24 @@ def cell_join(
         if right_weight > limits.broadcast_bytes:  # rows were dropped and made lighter: weigh them again
             right_weight = _total_weight(right, WINDOW)
 
-    key, tasks = ["cell_tier", "cell_x", "cell_y", *on], None
+    key = ["cell_tier", "cell_x", "cell_y", *on]
     if right_weight <= limits.broadcast_bytes:
-        right = F.broadcast(right)
-    else:
-        left_weight = (_total_weight(objects, OBJECT) if object_weight is None else object_weight) * left_copies
-        if left_weight <= limits.broadcast_bytes:
-            left = F.broadcast(left)
-        else:
-            left, right = _split_crowded(left, left_weight, right, right_weight, key, limits)
-            key = [*key, "left_part", "right_part"]
-            # Few bytes a cell can mean many pairs: tasks by number, which aren't put together by their bytes.
-            spark = left.sparkSession
-            tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), _TASKS_A_CORE * spark.sparkContext.defaultParallelism)
-    return _hash_join(left, right, key, on, predicate, tasks).drop("o_tier", "w_tier")
+        return _hash_join(left, F.broadcast(right), key, on, predicate, None).drop("o_tier", "w_tier")
+    left_weight = (_total_weight(objects, OBJECT) if object_weight is None else object_weight) * left_copies
+    if left_weight <= limits.broadcast_bytes:
+        return _hash_join(F.broadcast(left), right, key, on, predicate, None).drop("o_tier", "w_tier")
+    return dealt_join(left, left_weight, right, right_weight, key, on, predicate, limits).drop("o_tier", "w_tier")
+
+
+def dealt_join(
+    left: DataFrame, left_weight: float, right: DataFrame, right_weight: float, key: list[str], on: Sequence[str], predicate: Column, limits: Limits,
+) -> DataFrame:
+    """Both sides shuffled on ``key``, crowded cells dealt into parts. Rows hold ``object_id`` and ``window_id``."""
+    left, right = _split_crowded(left, left_weight, right, right_weight, key, limits)
+    # Few bytes a cell can mean many pairs: tasks by number, which aren't put together by their bytes.
+    spark = left.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), _TASKS_A_CORE * spark.sparkContext.defaultParallelism)
+    return _hash_join(left, right, [*key, "left_part", "right_part"], on, predicate, tasks)
 
 
 def _hash_join(left: DataFrame, right: DataFrame, key: list[str], on: Sequence[str], predicate: Column, tasks: int | None) -> DataFrame:

@@ -129,6 +129,39 @@ def test_rings_of_random_polygons(spark):
     _compare_rings(spark, shapes)
 
 
+def _crowd(spark, n, seed):
+    rng = random.Random(seed)
+    jts, shapes = Jts(spark), []
+    while len(shapes) < n:
+        s = star(rng, rng.uniform(0, 20), rng.uniform(0, 20), rng.uniform(2, 5))
+        if jts.polygon(s).isValid():
+            shapes.append(s)
+    return shapes
+
+
+def test_a_crowd_is_not_paired(spark):
+    """Four times the polygons on one place: sixteen times the pairs, but few of them lie at the outline."""
+    from meshfold.operators.covered import covered_stretches
+
+    shapes, rows = _crowd(spark, 480, 5), []
+    for some in (shapes[:120], shapes):
+        distinct = union._distinct_polygons(polygons(spark, dict(enumerate(some))), "id")
+        rows.append(covered_stretches(distinct, Limits())[0].count())
+    assert rows[1] < 6 * rows[0]
+    table, whole = _compare(spark, shapes)
+    parts = union.union_parts(table).collect()
+    assert len(parts) == whole.getNumGeometries() and sum(r["polygons"] for r in parts) == 480
+
+
+@pytest.mark.parametrize("offset", [0, 1e6])
+def test_sizes_far_apart(spark, offset):
+    """Small ones inside, across the border of and outside a huge one, and many edges along one line and on cells' borders."""
+    shapes = [square(offset, offset, 4000)] + [square(offset - 8 + 16 * i, offset + 4000 - 2, 16 if i % 2 else 5) for i in range(40)]
+    shapes += [square(offset + 5000, offset + k, 1 + k % 3) for k in range(40)] + [square(offset + 64, offset + 64, 1 + k) for k in range(30)]
+    table, whole = _compare(spark, shapes)
+    assert len(union.union_parts(table).collect()) == whole.getNumGeometries()
+
+
 def test_cycles_of_any_length(spark):
     from meshfold.operators import rings
 

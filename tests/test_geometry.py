@@ -150,3 +150,22 @@ def test_nearest_shapes(spark):
 def test_unknown_condition(spark):
     with pytest.raises(ValueError):
         range_query.range_points(points(spark, [(0, 0)]), (0, 1, 0, 1), "near")
+
+
+def test_most_pairs_of_polygons_need_no_exact_test(spark):
+    """Small diamonds around a large L and a diamond: edges that don't come near settle most, and never against the exact test."""
+    rng, rows = random.Random(4), []
+    outers = [[[(0, 0), (8, 0), (8, 4), (4, 4), (4, 8), (0, 8), (0, 0)]], [[(8, 4), (4, 8), (0, 4), (4, 0), (8, 4)]]]
+    for k in range(600):
+        x, y, r = (rng.choice([rng.uniform(0, 8), rng.randrange(9)]), rng.choice([rng.uniform(0, 8), rng.randrange(9)]), rng.choice([0.25, 0.5]))
+        inner = [[(x + r, y), (x, y + r), (x - r, y), (x, y - r), (x + r, y)]]
+        rows.append((k, *([[{"x": float(a), "y": float(b)} for a, b in ring] for ring in shape] for shape in (outers[k % 2], inner))))
+    ring = "array<array<struct<x:double,y:double>>>"
+    df = spark.createDataFrame(rows, f"id int, a {ring}, b {ring}").select(
+        "id", F.expr(g.edges("a")).alias("w_edges"), F.expr(g.edges("b")).alias("o_edges"), *g.box_columns(g.rings_box("b"), "o_"))
+    exact = g.polygon_contains_polygon("w_edges", "o_edges", "o_")
+    many = exact.replace(g._few_edges_clear("w_edges", "o_"), "false")
+    assert many != exact
+    found = df.select(F.expr(exact).alias("quick"), F.expr(many).alias("exact"), F.expr(g._few_edges_clear("w_edges", "o_")).alias("clear")).collect()
+    assert [r["quick"] for r in found] == [r["exact"] for r in found] and {r["exact"] for r in found} == {True, False}
+    assert sum(r["clear"] for r in found) > 300

@@ -27,7 +27,7 @@ DEPTHS, REGION = (4, 6, 8), 256
 FIRST = 4
 #: Standard deviations below the expected number of equal values at which a pair is let through to the test of the full sets.
 SPARE = 5.5
-#: Rows whose sets are picked by a broadcast of their numbers; more are picked by a shuffle.
+#: Rows that are picked by a broadcast of their numbers; more are picked by a shuffle.
 BROADCAST_IDS = 1_000_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -87,12 +87,13 @@ def prefix_keys(signatures: np.ndarray, depth: int) -> np.ndarray:
     return (keys >> np.uint64(5)) | (np.arange(ORDERS, dtype=np.uint64) << np.uint64(59))
 
 
-_FACTS = {"id": "long", "n_shingles": "long", "shingles": "binary", "signature": "binary"}
+_FACTS = {"id": "long", "n_shingles": "long", "signature": "binary"}
 
 
 def signed(docs: DataFrame, width: int, *beside: str) -> DataFrame:
-    """(beside..., id, n_shingles, shingles, signature) of ``docs`` (beside..., text): the set's own hash, its size, its hashes and its signature. Without words, the last
-    two and the id are null."""
+    """(beside..., id, n_shingles, signature) of ``docs`` (beside..., text): the set's own hash, its size and its signature. Without words, id and signature are null.
+
+    The sets themselves are larger than the texts, and few are needed again: they are made anew from these."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
@@ -100,7 +101,7 @@ def signed(docs: DataFrame, width: int, *beside: str) -> DataFrame:
             for first, texts in text_slices(batch, "text"):
                 sets = [shingle_set(t, width, known) for t in texts]
                 ids = [np.int64(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64)) if len(s) else None for s in sets]
-                columns = [pa.array(ids, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array([s.tobytes() if len(s) else None for s in sets], pa.binary()),
+                columns = [pa.array(ids, pa.int64()), pa.array(map(len, sets), pa.int64()),
                            pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, len(texts)) for c in beside), *columns], [*beside, *_FACTS])
 
@@ -155,9 +156,8 @@ def regions(signatures: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- links
 
-def _compared(run: pa.Table, share: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links (a, b) between labels that join what is linked in a run; members of one label are joined already."""
-    sets = [np.frombuffer(s, np.uint64) for s in run.column("shingles").to_pylist()]
+def _compared(run: pa.Table, sets: list[np.ndarray], share: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links (a, b) between labels that join what is linked in a run, whose rows have ``sets``; members of one label are joined already."""
     ids, tile, label = (run.column(c).to_numpy() for c in ("id", "tile", "label"))
     across = run.column("i")[0] != run.column("j")[0]
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
@@ -221,16 +221,18 @@ def _screened(members: DataFrame, share: int) -> DataFrame:
     return _each_run(members, ["n_shingles", "signature"], scan, "key long, i long, j long, tile long, id long, label long")
 
 
-def _confirmed(members: DataFrame, share: int) -> DataFrame:
-    """Links (a, b) between labels of ``members`` (key, i, j, tile, id, label, shingles) of each (key, i, j), tested on the full sets."""
+def _confirmed(members: DataFrame, width: int, share: int) -> DataFrame:
+    """Links (a, b) between labels of ``members`` (key, i, j, tile, id, label, text) of each (key, i, j), tested on the full sets of the texts."""
+    known: dict[bytes, int] = {}
 
     def scan(run: pa.Table) -> Iterator[pa.RecordBatch]:
-        found = list(_compared(run, share))
+        sets = [shingle_set(t, width, known) for t in run.column("text").cast(pa.binary()).to_pylist()]
+        found = list(_compared(run, sets, share))
         if found:
             a, b = (np.concatenate(x) for x in zip(*found))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return _each_run(members, ["shingles"], scan, "a long, b long")
+    return _each_run(members, ["text"], scan, "a long, b long")
 
 
 def _rest(members: DataFrame) -> DataFrame:
@@ -285,31 +287,32 @@ def _fewest_runs(members: DataFrame) -> DataFrame:
     return kept.union(whole.select(key.alias("key"), F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "id", "label"))
 
 
-def set_links(sets: DataFrame, share: int = SHARE) -> DataFrame:
-    """(id, root) of the ids of ``sets`` (a stored table: row_, unique, id, n_shingles, shingles, signature; an id may come more than once, with the same set): two ids have the same
-    root if links of at least ``share`` percent join them; ids that no region holds are left out.
+def set_links(rows: DataFrame, texts: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
+    """(id, root) of the ids of ``rows`` (a stored table: row_, id, n_shingles, signature; an id may come more than once, with the same set): two ids have the same
+    root if links of at least ``share`` percent join them; ids that no region holds are left out. ``texts`` (row_, text) are the rows' texts; a row that repeats has the same one.
 
     The first orders are compared at once, a crowded region's members in neighbouring tiles. Of the regions of all orders, then, only those are looked at
-    in which components still meet, crowded ones as a whole, and only members of different components are compared, first by their signatures. The links of a run are a forest, never all pairs.
+    in which components still meet, crowded ones as a whole, and only members of different components are compared. Each time signatures come first, and only
+    texts of what they let through are sent. The links of a run are a forest, never all pairs.
     """
-    found = regions(sets.where("id IS NOT NULL").select("id", "signature").dropDuplicates(["id"]))
-    wanted = found.select("id").distinct()
-    one = stored(sets.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("row_").alias("row_")), "forest-wanted")
-    few = one.count() <= BROADCAST_IDS
-    picked = one.select("row_")
-    facts = sets.select("row_", "id", "n_shingles", "signature", "shingles").join(F.broadcast(picked) if few else picked, "row_", "left_semi").drop("row_")
-    facts = stored(facts, "forest-sets")
-    texts, sketches = facts.select("id", "shingles"), facts.select("id", "n_shingles", "signature")
+    facts = [F.min("row_").alias("row_"), *(F.first(c).alias(c) for c in ("n_shingles", "signature"))]
+    sets = stored(rows.where("id IS NOT NULL").groupBy("id").agg(*facts), "forest-sets")
+    found = regions(sets.select("id", "signature"))
+    wanted = stored(found.select("id").distinct(), "forest-wanted")
+    sketches = sets.select("id", "n_shingles", "signature").join(_sent(wanted), "id", "left_semi")
 
     def joined(members: DataFrame) -> DataFrame:
-        links = _confirmed(_fewest_runs(members).join(texts, "id"), share)
+        runs = stored(_fewest_runs(_screened(members.join(sketches, "id"), share)), "forest-fewest")
+        picked = stored(sets.select("row_", "id").join(runs.select("id").distinct(), "id", "left_semi"), "forest-picked")
+        whole = texts.join(_sent(picked), "row_").groupBy("id").agg(F.first("text").alias("text"))
+        links = _confirmed(runs.join(whole, "id"), width, share)
         return components(links, "forest-components").withColumnRenamed("component", "joined")
 
     def renamed(table: DataFrame, column: str, by: DataFrame) -> DataFrame:
         return table.join(by.withColumnRenamed("node", column), column, "left").withColumn(column, F.coalesce("joined", column)).drop("joined")
 
     first = found.where(_order() < FIRST).withColumn("label", F.col("id"))
-    labels = stored(renamed(one.select("id", F.col("id").alias("label")), "label", joined(_chained(first))), "forest-labels")
+    labels = stored(renamed(wanted.select("id", F.col("id").alias("label")), "label", joined(_chained(first))), "forest-labels")
     crowded = stored(found.where("tile > 0").select("key").distinct(), "forest-crowded")
     at = found.join(labels, "id")
     mixed = stored(at.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key"), "forest-mixed")
@@ -317,7 +320,12 @@ def set_links(sets: DataFrame, share: int = SHARE) -> DataFrame:
     others = at.where(_order() >= FIRST).join(crowded, "key", "left_anti").select("key", "id", "label", "tile", F.col("tile").alias("i"), F.col("tile").alias("j"))
     if not crowded.isEmpty():
         others = others.union(_rest(at.join(crowded, "key", "left_semi")))
-    return renamed(labels, "label", joined(_screened(others.join(sketches, "id"), share))).withColumnRenamed("label", "root")
+    return renamed(labels, "label", joined(others)).withColumnRenamed("label", "root")
+
+
+def _sent(picked: DataFrame) -> DataFrame:
+    """A stored table of numbers, to be broadcast if it is small enough."""
+    return F.broadcast(picked) if picked.count() <= BROADCAST_IDS else picked
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, share: int = SHARE, text: str = "text") -> DataFrame:
@@ -330,9 +338,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, share: int = SHARE, tex
     out as often as they are; a null doc_id never names a component unless all are null; texts are handled whole, one by one, and a task holds two tiles of
     ``REGION`` sets; an empty table gives an empty result; other columns are not read.
     """
-    table = docs.select("doc_id", F.col(f"`{text}`").alias("text"))
-    rows = stored(signed(table, width, "doc_id").withColumn("row_", F.monotonically_increasing_id()), "forest-rows")
-    least = rows.where("id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("least")).join(set_links(rows, share), "id", "left")
+    table = docs.select("doc_id", F.col(f"`{text}`").alias("text")).withColumn("row_", F.xxhash64("doc_id", "text"))
+    rows = stored(signed(table, width, "doc_id", "row_"), "forest-rows")
+    links = set_links(rows, table.select("row_", "text"), width, share)
+    least = rows.where("id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("least")).join(links, "id", "left")
     rooted = stored(least.select("id", "least", F.coalesce("root", "id").alias("root")), "forest-roots")
     lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     result = rows.select("doc_id", "n_shingles", "id").join(rooted.join(lowest, "root").select("id", "component_id"), "id", "left")
@@ -346,7 +355,7 @@ def keep_one(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFra
     held = stored(packed(docs, "doc_id", "text").withColumn("row_", F.monotonically_increasing_id()), "forest-docs")
     rows = stored(signed(held, width, "doc_id", "row_"), "forest-rows")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_")
-    first = rows.where("id IS NOT NULL").groupBy("id").agg(F.min(order).alias("o")).join(set_links(rows, share), "id", "left")
+    first = rows.where("id IS NOT NULL").groupBy("id").agg(F.min(order).alias("o")).join(set_links(rows, held.select("row_", "text"), width, share), "id", "left")
     stays = first.groupBy(F.coalesce("root", "id").alias("root")).agg(F.min("o").alias("o")).select("o.row_").union(rows.where("id IS NULL").select("row_"))
     return held.join(stays, "row_", "left_semi").select("in_.*")
 

@@ -1,5 +1,6 @@
 """Components over the forest against all pairs of whole sets."""
 
+import os
 import random
 import re
 
@@ -113,3 +114,38 @@ def test_query(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet").orderBy("doc_id").collect()
     want = plain_components([plain_set(d.text) for d in docs])
     assert [(r[0], r[2]) for r in got] == [(d.doc_id, docs[w].doc_id) for d, w in zip(docs, want)]
+
+
+def test_sets_are_not_stored_and_few_texts_are_sent(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(f"{rng.randrange(10**4):04d}" for _ in range(1500)) for _ in range(150)]
+    for base in [text.split() for text in texts[:30]]:  # these meet in regions but are far from alike: about half of the shingles are shared
+        texts.append(" ".join(edited(rng, base, 100)))
+    texts += family(rng, 2, 1500, 3)
+    folder, kept = {}, forest.stored
+
+    def stored(df, name):
+        out = kept(df, name)
+        folder.setdefault(name, []).extend(out.inputFiles())
+        return out
+
+    sent, confirmed = [], forest._confirmed
+    monkeypatch.setattr(forest, "stored", stored)
+    monkeypatch.setattr(forest, "_confirmed", lambda members, *rest: sent.append(members.select("id").distinct().count()) or confirmed(members, *rest))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in forest.near_duplicates(docs).collect()}
+    assert got == dict(enumerate(plain_components([plain_set(t) for t in texts])))
+    size = sum(os.path.getsize(f.removeprefix("file:").replace("///", "/")) for files in folder.values() for f in files)
+    assert 0 < size < 0.3 * sum(map(len, texts))
+    assert max(sent) <= 4
+
+
+def test_rows_picked_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(forest, "BROADCAST_IDS", 0)
+    rng = random.Random(9)
+    texts = [t for _ in range(8) for t in family(rng, 6, 120, 2)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3])] * 5 + [(None, texts[7])] * 3 + [(50, None), (51, "")]
+    got = forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    want = plain_components([plain_set(t) for t in texts])
+    assert len(got) == len(rows) and {r.doc_id: r.component_id for r in got if r.doc_id is not None and r.doc_id < 50} == dict(enumerate(want))
+    assert {r.component_id for r in got if r.doc_id is None} == {want[7]}

@@ -39,6 +39,8 @@ SPREAD, WORDS = 10, 2
 RUN = 5
 #: Lines of a key whose pairs are selected at once; runs of more are compared in pairs of tiles of TILE, which is a multiple of it.
 FEW, TILE = 16, 2048
+#: Longer runs are put together if the pairs of what they hold are at most so many times their own pairs.
+WIDER = 4
 #: Rows of runs that a task looks at at once, and pairs of rows of a longer run.
 ROWS, BLOCK = 16_384, 1 << 16
 #: Candidate lines whose ids are broadcast to pick up their texts; more are joined by a shuffle.
@@ -345,12 +347,29 @@ def _identified(docs: DataFrame, text: str) -> DataFrame:
     return table.withColumn("doc_", F.xxhash64("doc_id", "text"))
 
 
+def _fewest_crowds(crowds: DataFrame) -> DataFrame:
+    """Runs (key, id, tile: of about ``TILE``) in which the lines of each of the runs ``crowds`` (key, id, tile: of ``FEW``) meet, fewer of them where runs overlap.
+
+    Lines alike share most of their keys, but need one test. Runs with the same smallest id are put together if that leaves at most ``WIDER`` times their pairs to screen; of the
+    others, those of the same lines are kept once.
+    """
+    runs = crowds.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.bit_xor(F.xxhash64("id")).alias("ids"))
+    runs = stored(runs, "line-crowd-runs")
+    met = stored(crowds.join(runs.select("key", "least"), "key").select("least", "id").distinct(), "line-crowds-met")
+    apart = runs.groupBy("least").agg(F.sum(F.pow("n", F.lit(2))).alias("pairs"))
+    sizes = met.groupBy("least").agg(F.count("*").alias("n")).join(apart, "least")
+    together = stored(sizes.where(F.pow("n", F.lit(2)) <= WIDER * F.col("pairs")).select("least", F.ceil(F.col("n") / TILE).alias("tiles")), "line-crowds-together")
+    whole = met.join(together, "least").select(F.col("least").alias("key"), "id", F.pmod(F.xxhash64("id"), F.col("tiles")).alias("tile"))
+    once = runs.join(together, "least", "left_anti").groupBy("n", "least", "ids").agg(F.min("key").alias("key")).select("key")
+    return whole.union(crowds.join(once, "key", "left_semi").select("key", "id", F.expr(f"tile div {TILE // FEW}")))
+
+
 def line_links(docs: DataFrame, edits: int | Alike, least: int) -> DataFrame:
     """Links (a, b) between ids (XXH64) of distinct lines of ``least`` code points or more that join all that are alike: at most ``edits`` edits apart.
 
     Lines send hashes of their segments and probes, and of runs of their words; keys that two lines share are kept. Each candidate line's size and
     parities are computed once. In runs of up to ``FEW`` lines of a key, these select pairs, which are made distinct and verified once
-    each, whatever number of keys they share. Of longer runs, those of the same lines are compared once; there, lines already joined are not
+    each, whatever number of keys they share. Longer runs that overlap are compared as one; there, lines already joined are not
     compared again, and only a forest of links is kept.
     Exact copies are not compared.
     """
@@ -404,10 +423,7 @@ def line_links(docs: DataFrame, edits: int | Alike, least: int) -> DataFrame:
     pairs = stored(few.repartition("key").sortWithinPartitions("key", "id").mapInArrow(paired, "a long, b long, how long").distinct(), "line-pairs")
     both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b").select("a", "b", "how", "x", "y")
     links = both.mapInArrow(verified, "a long, b long")
-    crowds = multi.join(large, "key", "left_semi")
-    members_of = crowds.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.bit_xor(F.xxhash64("id")).alias("ids"))
-    once = members_of.groupBy("n", "least", "ids").agg(F.min("key").alias("key")).select("key")
-    tiles = tile_pairs(stored(crowds.join(once, "key", "left_semi").withColumn("tile", F.expr(f"tile div {TILE // FEW}")), "line-crowds"))
+    tiles = tile_pairs(stored(_fewest_crowds(multi.join(large, "key", "left_semi")), "line-crowds"))
     order = ["key", "i", "j", "tile", "id"]
     dealt = tiles.join(facts, "id").join(texts, "id").select(*order, *FACTS, "line").repartition("key", "i", "j").sortWithinPartitions(*order)
 

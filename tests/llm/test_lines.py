@@ -253,3 +253,26 @@ def test_short_lines_of_many_documents_go(spark):
     got = {r.doc_id: r.text for r in lines.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
     gone = ("All rights reserved.", " a\u2003b")
     assert got == {i: t if i in (0, 50) or i >= 60 else "\n".join(x for x in t.split("\n") if x not in gone) for i, t in rows}
+
+
+@pytest.mark.parametrize("wider, tile", [(4, 2048), (4, 32), (0, 2048)])
+def test_crowds_that_overlap_are_compared_as_one(spark, monkeypatch, wider, tile):
+    monkeypatch.setattr(lines, "WIDER", wider)
+    monkeypatch.setattr(lines, "TILE", tile)
+    rng = random.Random(11)
+    runs = {k: {1, *(rng.randrange(2, 60) for _ in range(40))} for k in range(100, 108)}  # of one family
+    runs[200] = runs[201] = set(range(1000, 1040))  # the same lines
+    runs |= {300 + k: {2000, *range(2001 + 30 * k, 2031 + 30 * k)} for k in range(8)}  # these have one line in common
+    rows = [(k, i, n // lines.FEW) for k, ids in runs.items() for n, i in enumerate(sorted(ids))]
+    crowds = lines._fewest_crowds(spark.createDataFrame(rows, "key long, id long, tile long"))
+    tiles = [tuple(r) for r in lines.tile_pairs(crowds).select("key", "i", "j", "tile", "id").collect()]
+    assert len(set(tiles)) == len(tiles)
+    met = {}
+    for key, i, j, t, x in tiles:
+        for other, k, l, u, y in tiles:  # noqa: E741
+            if x < y and (key, i, j) == (other, k, l) and (i == j or t != u):
+                met[x, y] = met.get((x, y), 0) + 1
+    assert {(x, y) for ids in runs.values() for x in ids for y in ids if x < y} <= set(met)
+    if wider:
+        family = [n for (x, y), n in met.items() if y < 2000]
+        assert set(family) == {1} and len({r[0] for r in tiles}) == 10

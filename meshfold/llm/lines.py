@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfold.llm.common import bounded_scan, components, multi_runs, packed, stored, text_slices, tile_pairs, whole_runs
+from meshfold.llm.common import bounded_scan, components, packed, stored, text_slices, tile_pairs, whole_runs
 
 
 @dataclass(frozen=True)
@@ -37,7 +38,11 @@ EDITS, LEAST = Alike(2, per=20), 32
 SPREAD, WORDS = 10, 2
 #: Words of a hashed run of words. A longer one is more selective, but more of them are sent.
 RUN = 5
-#: Lines of a key whose pairs are selected at once; runs of more are compared in pairs of tiles of TILE, which is a multiple of it.
+#: Keys that a task deals out at once, keys in a row at most, buckets of keys for each shuffled partition.
+SENT, PACK, BUCKETS = 1 << 20, 2048, 8
+#: Rows of a bucket from which on keys of many lines are passed on, and lines that make many.
+HELD, MANY = 1 << 21, 4096
+#: Lines of a key whose pairs are selected at once; runs of more are compared in pairs of tiles of about TILE.
 FEW, TILE = 16, 2048
 #: Longer runs are put together if the pairs of what they hold are at most so many times their own pairs.
 WIDER = 4
@@ -193,6 +198,86 @@ def keys_of(points: np.ndarray, start: np.ndarray, length: np.ndarray, alike: Al
     return np.concatenate([of[at] for of, (at, _) in found]), np.concatenate([key for _, (_, key) in found])
 
 
+# ---------------------------------------------------------------- keys that lines share
+
+def dealt_keys(found: list[tuple[np.ndarray, np.ndarray]], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(bucket, pairs): keys and the ids of their lines by bucket of key, up to ``PACK`` of them in a row.
+
+    Most keys are of one line. As rows of their own they cost more to write, sort and hand over than to compare.
+    """
+    key, ids = (np.concatenate(c) for c in zip(*found))
+    for at in range(0, len(key), 4 * SENT):
+        yield _dealt(key[at : at + 4 * SENT], ids[at : at + 4 * SENT], buckets)
+
+
+def _dealt(key: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBatch:
+    bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    order = np.argsort(bucket.astype(np.min_scalar_type(buckets - 1)), kind="stable")
+    bucket, pairs = bucket[order], np.column_stack([key.view(np.int64)[order], ids[order]])
+    cuts = np.union1d(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, np.arange(0, len(bucket), PACK))
+    offsets = (np.append(cuts, len(bucket)) * 16).astype(np.int32)
+    column = pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(pairs)])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[cuts].astype(np.int32)), column], ["bucket", "pairs"])
+
+
+def _members(rows: np.ndarray, few: int, many: np.ndarray) -> pa.RecordBatch:
+    """(key, id, large: whether the key has more than ``few``) of keys that two or more ids share, or that are among ``many``; ``rows`` are (key, id)."""
+    order = np.argsort(rows[:, 0])
+    key = rows[order, 0]
+    shared, same = np.isin(key, many), key[1:] == key[:-1]
+    shared[1:] |= same
+    shared[:-1] |= same
+    rows, n = _distinct(rows[order[shared]])
+    known = np.isin(rows[:, 0], many)
+    rows, large = rows[(n > 1) | known], ((n > few) | known)[(n > 1) | known]
+    return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(large)], ["key", "id", "large"])
+
+
+def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct of ``rows`` (key, id), sorted, and for each the number of those of its key."""
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    fresh = np.ones(len(rows), bool)
+    fresh[1:] = (rows[1:] != rows[:-1]).any(1)
+    rows = rows[fresh]
+    first = np.ones(len(rows), bool)
+    first[1:] = rows[1:, 0] != rows[:-1, 0]
+    run = np.cumsum(first) - 1
+    return rows, np.bincount(run)[run] if len(rows) else run
+
+
+def shared_keys(batches: Iterator[pa.RecordBatch], few: int, held: int, many: int) -> Iterator[pa.RecordBatch]:
+    """``_members`` of each bucket, of (bucket, pairs) sorted by bucket.
+
+    From ``held`` rows on those of keys of more than ``many`` ids are passed on, so that no key is held whole; such a row can come twice.
+    """
+    bucket, rows, n, most, passed = None, [], 0, held, np.zeros(0, np.int64)
+    for batch in batches:
+        buckets, column = batch.column("bucket").to_numpy(), batch.column("pairs").cast(pa.large_binary())
+        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] // 8
+        pairs = np.frombuffer(column.buffers()[2], np.int64, offsets[-1])
+        cuts = [0, *(np.flatnonzero(buckets[1:] != buckets[:-1]) + 1).tolist(), len(buckets)]
+        for begin, end in zip(cuts, cuts[1:]):
+            if begin == end:
+                continue
+            if buckets[begin] != bucket:
+                if rows:
+                    yield _members(np.concatenate(rows), few, passed)
+                bucket, rows, n, most, passed = buckets[begin], [], 0, held, passed[:0]
+            rows.append(pairs[offsets[begin] : offsets[end]].reshape(-1, 2))
+            n += len(rows[-1])
+            if n > most:
+                whole, count = _distinct(np.concatenate(rows))
+                crowd = (count > many) | np.isin(whole[:, 0], passed)
+                if crowd.any():
+                    passed = np.union1d(passed, whole[crowd, 0])
+                    yield _members(whole[crowd], few, passed)
+                rows = [whole[~crowd]]
+                n = len(rows[0])
+                most = max(held, 2 * n)
+    if rows:
+        yield _members(np.concatenate(rows), few, passed)
+
+
 # ---------------------------------------------------------------- verification
 
 def within(a: str | list[str], b: str | list[str], edits: int | Alike) -> bool:
@@ -295,13 +380,44 @@ def confirmed(x: str, y: str, how: int, alike: Alike) -> bool:
     return bool(how & 1) and within(x, y, alike.edits)
 
 
+class Bags:
+    """Of those lines that are asked for, the distinct words, as numbers, and how often each is there."""
+
+    def __init__(self, texts: list[str]):
+        self.texts, self.numbers, self.known = texts, {}, {}
+
+    def _bag(self, x: int) -> tuple[np.ndarray, np.ndarray]:
+        if x not in self.known:
+            counts = Counter(self.texts[x].split())
+            words = [self.numbers.setdefault(w, len(self.numbers)) for w in counts]
+            self.known[x] = np.array(words, np.int32), np.fromiter(counts.values(), np.int32, len(words))
+        return self.known[x]
+
+    def may(self, x: int, others: np.ndarray, alike: Alike) -> np.ndarray:
+        """Whether edits of words may lead from line ``x`` to each of the lines ``others``: each edit leaves all but one word of the longer one in common, wherever it is.
+
+        The marks of ``line_facts`` are parities, so lines that repeat a few words again and again pass them whatever their counts.
+        """
+        out = [np.zeros(0, bool)]
+        for first in range(0, len(others), 256):
+            bags = [self._bag(y) for y in others[first : first + 256].tolist()]
+            words, counts = self._bag(x)
+            own = np.zeros(len(self.numbers), np.int32)
+            own[words] = counts
+            all_words, all_counts = (np.concatenate(c) for c in zip(*bags))
+            begin = np.cumsum([0] + [len(w) for w, _ in bags[:-1]])
+            longer = np.maximum(np.add.reduceat(all_counts, begin), counts.sum())
+            out.append(np.add.reduceat(np.minimum(own[all_words], all_counts), begin) >= longer - alike.words(longer))
+        return np.concatenate(out)
+
+
 def _crowd_links(run: pa.Table, alike: Alike) -> Iterator[tuple[int, int]]:
     """Links (a, b) that join what is alike in a run (i, j, tile, id, facts..., line): a forest. Some rows at a time are screened against the run's other
-    rows that aren't joined with them yet."""
+    rows that aren't joined with them yet; what passes has its words counted."""
     tile, ids = run.column("tile").to_numpy(), run.column("id").to_pylist()
     facts = np.column_stack([run.column(f).to_numpy() for f in FACTS]).view(np.uint64)
     across, texts, m = run.column("i")[0] != run.column("j")[0], run.column("line").to_pylist(), run.num_rows
-    parent = list(range(m))
+    parent, bags = list(range(m)), Bags(texts)
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -318,11 +434,15 @@ def _crowd_links(run: pa.Table, alike: Alike) -> Iterator[tuple[int, int]]:
         how[(label[rows, None] == label[None, first:]) | (np.arange(first, m) <= rows[:, None])] = 0
         if across:
             how[tile[rows, None] == tile[None, first:]] = 0
-        for x, y in zip(*(at.tolist() for at in np.nonzero(how))):
-            p, q = root(first + x), root(first + y)
-            if p != q and confirmed(texts[first + x], texts[first + y], int(how[x, y]), alike):
-                parent[q] = p
-                yield ids[first + x], ids[first + y]
+        for x in np.flatnonzero(how.any(1)).tolist():
+            others = np.array([y for y in np.flatnonzero(how[x]).tolist() if root(first + y) != root(first + x)], np.int64)
+            by_words = others[how[x, others] >= 2]
+            how[x, by_words[~bags.may(first + x, first + by_words, alike)]] &= 1
+            for y in others[how[x, others] > 0].tolist():
+                p, q = root(first + x), root(first + y)
+                if p != q and confirmed(texts[first + x], texts[first + y], int(how[x, y]), alike):
+                    parent[q] = p
+                    yield ids[first + x], ids[first + y]
 
 
 def _pairs(rows: np.ndarray, alike: Alike) -> Iterator[tuple[np.ndarray, ...]]:
@@ -348,7 +468,7 @@ def _identified(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _fewest_crowds(crowds: DataFrame) -> DataFrame:
-    """Runs (key, id, tile: of about ``TILE``) in which the lines of each of the runs ``crowds`` (key, id, tile: of ``FEW``) meet, fewer of them where runs overlap.
+    """Runs (key, id, tile: of about ``TILE``) in which the lines of each of the runs ``crowds`` (key, id) meet, fewer of them where runs overlap.
 
     Lines alike share most of their keys, but need one test. Runs with the same smallest id are put together if that leaves at most ``WIDER`` times their pairs to screen; of the
     others, those of the same lines are kept once.
@@ -359,15 +479,16 @@ def _fewest_crowds(crowds: DataFrame) -> DataFrame:
     apart = runs.groupBy("least").agg(F.sum(F.pow("n", F.lit(2))).alias("pairs"))
     sizes = met.groupBy("least").agg(F.count("*").alias("n")).join(apart, "least")
     together = stored(sizes.where(F.pow("n", F.lit(2)) <= WIDER * F.col("pairs")).select("least", F.ceil(F.col("n") / TILE).alias("tiles")), "line-crowds-together")
-    whole = met.join(together, "least").select(F.col("least").alias("key"), "id", F.pmod(F.xxhash64("id"), F.col("tiles")).alias("tile"))
-    once = runs.join(together, "least", "left_anti").groupBy("n", "least", "ids").agg(F.min("key").alias("key")).select("key")
-    return whole.union(crowds.join(once, "key", "left_semi").select("key", "id", F.expr(f"tile div {TILE // FEW}")))
+    tile = F.pmod(F.xxhash64("id"), F.col("tiles")).alias("tile")
+    whole = met.join(together, "least").select(F.col("least").alias("key"), "id", tile)
+    once = runs.join(together, "least", "left_anti").groupBy("n", "least", "ids").agg(F.min("key").alias("key"))
+    return whole.union(crowds.join(once.select("key", F.ceil(F.col("n") / TILE).alias("tiles")), "key").select("key", "id", tile))
 
 
 def line_links(docs: DataFrame, edits: int | Alike, least: int) -> DataFrame:
     """Links (a, b) between ids (XXH64) of distinct lines of ``least`` code points or more that join all that are alike: at most ``edits`` edits apart.
 
-    Lines send hashes of their segments and probes, and of runs of their words; keys that two lines share are kept. Each candidate line's size and
+    Lines send hashes of their segments and probes, and of runs of their words, in buckets; keys that two lines share are kept. Each candidate line's size and
     parities are computed once. In runs of up to ``FEW`` lines of a key, these select pairs, which are made distinct and verified once
     each, whatever number of keys they share. Longer runs that overlap are compared as one; there, lines already joined are not
     compared again, and only a forest of links is kept.
@@ -377,8 +498,10 @@ def line_links(docs: DataFrame, edits: int | Alike, least: int) -> DataFrame:
     if least < 2 * alike.edits + 2:
         raise ValueError("lines must be longer than their segments' shifts")
 
+    buckets, few, held, many = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), FEW, HELD, MANY
+
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
+        powers, found, n = Powers(), [], 0
         for batch in batches:
             for points, starts, length, texts in _line_slices(batch, "text"):
                 long = np.flatnonzero(length >= least)
@@ -387,7 +510,13 @@ def line_links(docs: DataFrame, edits: int | Alike, least: int) -> DataFrame:
                 ids, long = ids[first], long[first]
                 if len(long):
                     at, key = keys_of(points, starts[long], length[long], alike, powers)
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64), pa.int64()), pa.array(ids[at], pa.int64())], ["key", "id"])
+                    found.append((key, ids[at]))
+                    n += len(key)
+                if n >= SENT:
+                    yield from dealt_keys(found, buckets)
+                    found, n = [], 0
+        if n:
+            yield from dealt_keys(found, buckets)
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -410,7 +539,8 @@ def line_links(docs: DataFrame, edits: int | Alike, least: int) -> DataFrame:
             ok = [confirmed(x, y, how, alike) for x, y, how in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "how")))]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    multi = multi_runs(bounded_scan(docs, "text").mapInArrow(members, "key long, id long"), "line-runs", FEW)
+    sent = bounded_scan(docs, "text").mapInArrow(members, "bucket int, pairs binary").repartition("bucket").sortWithinPartitions("bucket")
+    multi = stored(sent.mapInArrow(lambda batches: shared_keys(batches, few, held, many), "key long, id long, large boolean"), "line-runs")
     wanted = stored(multi.select("id").distinct(), "line-candidates")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
@@ -418,12 +548,12 @@ def line_links(docs: DataFrame, edits: int | Alike, least: int) -> DataFrame:
     texts = stored(lines.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line")), "line-texts")
     facts = stored(texts.mapInArrow(known, "id long, " + ", ".join(f"{f} long" for f in FACTS)), "line-facts")
 
-    large = stored(multi.where("tile > 0").select("key").distinct(), "line-crowds")
-    few = multi.join(large, "key", "left_anti").select("key", "id").join(facts, "id").select("key", "id", *FACTS)
-    pairs = stored(few.repartition("key").sortWithinPartitions("key", "id").mapInArrow(paired, "a long, b long, how long").distinct(), "line-pairs")
+    small = multi.where("NOT large").select("key", "id").join(facts, "id").select("key", "id", *FACTS)
+    pairs = stored(small.repartition("key").sortWithinPartitions("key", "id").mapInArrow(paired, "a long, b long, how long").distinct(), "line-pairs")
     both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b").select("a", "b", "how", "x", "y")
     links = both.mapInArrow(verified, "a long, b long")
-    tiles = tile_pairs(stored(_fewest_crowds(multi.join(large, "key", "left_semi")), "line-crowds"))
+    crowds = stored(multi.where("large").select("key", "id").distinct(), "line-crowds")
+    tiles = tile_pairs(stored(_fewest_crowds(crowds), "line-crowds"))
     order = ["key", "i", "j", "tile", "id"]
     dealt = tiles.join(facts, "id").join(texts, "id").select(*order, *FACTS, "line").repartition("key", "i", "j").sortWithinPartitions(*order)
 
@@ -475,7 +605,7 @@ def _cleaned(docs: DataFrame, edits: int | Alike, least: int, text: str, spread:
     classed = places.join(classes, "id", "left").select("place", F.coalesce("class", "id").alias("class"), "short")
     firsts = classed.groupBy("class").agg(F.min("place").alias("first"), F.count("*").alias("n"), F.max("short").alias("short")).where("n > 1").drop("n")
     common = places.where("short").select(F.col("id").alias("class"), "place.doc_").distinct().groupBy("class").count().where(F.col("count") >= spread)
-    firsts = firsts.where("NOT short").union(firsts.where("short").join(common, "class", "left_semi")).drop("short")
+    firsts = firsts.join(common, "class", "left").where("NOT short OR count IS NOT NULL").drop("short", "count")
     firsts = stored(firsts, "line-firsts")  # read by itself, so that Spark can split the partition of a common class in the join
     removed = classed.join(firsts, "class").where(F.col("place") != F.col("first"))
     removed = removed.select("place.*").distinct().groupBy("owner", "doc_").agg(F.collect_list("at").alias("removed_"))

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from meshfold.llm import lines
@@ -276,3 +277,58 @@ def test_crowds_that_overlap_are_compared_as_one(spark, monkeypatch, wider, tile
     if wider:
         family = [n for (x, y), n in met.items() if y < 2000]
         assert set(family) == {1} and len({r[0] for r in tiles}) == 10
+
+
+@pytest.mark.parametrize("held, many", [(1 << 21, 4096), (40, 20), (1, 1)])
+def test_keys_that_lines_share_are_found_in_buckets(monkeypatch, held, many):
+    monkeypatch.setattr(lines, "PACK", 7)
+    monkeypatch.setattr(lines, "SENT", 60)
+    rng, few = np.random.default_rng(4), 3
+    key, ids = rng.integers(0, 1 << 64, 200, np.uint64)[rng.geometric(0.03, 900) % 200], rng.integers(-50, 50, 900)
+    key[:150], ids[:150] = key[0], np.arange(150)  # of very many lines
+    sent = pa.Table.from_batches(lines.dealt_keys([(key[:500], ids[:500]), (key[500:], ids[500:])], 5))
+    assert sent.column("bucket").to_pylist() != sorted(sent.column("bucket").to_pylist()) and set(sent.column("bucket").to_pylist()) == set(range(5))
+    got = [r for batch in lines.shared_keys(sent.sort_by("bucket").to_batches(max_chunksize=4), few, held, many) for r in batch.to_pylist()]
+    lines_of = {}
+    for k, i in zip(key.view(np.int64).tolist(), ids.tolist()):
+        lines_of.setdefault(k, set()).add(i)
+    expected = {(k, i) for k, of in lines_of.items() if len(of) > 1 for i in of}
+    assert {(r["key"], r["id"]) for r in got} == expected
+    assert (len(got) == len(expected)) or held < 1 << 21  # of keys passed on early, a row can come twice
+    for r in got:
+        assert r["large"] == (len(lines_of[r["key"]]) > few) or (r["large"] and len(lines_of[r["key"]]) > many)
+    assert sent.num_rows < len(key) / 3 and max(len(x) for x in sent.column("pairs").to_pylist()) <= 16 * 7
+
+
+def crowd(texts):
+    """A run of lines, as they are compared."""
+    facts = lines.line_facts(*layout(texts), lines.Powers()).view(np.int64)
+    n = np.zeros(len(texts), np.int64)
+    return pa.table({"i": n, "j": n, "tile": n, "id": np.arange(len(texts)), **dict(zip(lines.FACTS, facts.T)), "line": texts})
+
+
+def test_lines_that_repeat_the_same_words_are_told_apart_by_their_counts(monkeypatch):
+    alike, tested, confirmed = lines.Alike(2, 20), [], lines.confirmed
+    texts = [" ".join(["one two three"] * (100 - 8 * k) + ["four five"] * 12 * k) + " " * k for k in range(8)]  # of 300 words, even counts of each apart
+    run = crowd([*texts, texts[3] + " six"])
+    facts = lines.line_facts(*layout(texts), lines.Powers())
+    assert all(lines.screened(facts[i], facts[j], alike) & 2 for i in range(8) for j in range(i))
+    monkeypatch.setattr(lines, "confirmed", lambda *given: tested.append(given) or confirmed(*given))
+    assert list(lines._crowd_links(run, alike)) == [(3, 8)] and len(tested) == 1
+
+
+def test_counts_of_words_let_all_lines_within_the_share_through():
+    rng, alike = random.Random(8), lines.Alike(2, 20)
+    texts = []
+    for n in (20, 39, 40, 120, 300):
+        base = [rng.choice(["a", "bé", "the", "𝒳y", "of"]) for _ in range(n)]
+        texts += [" ".join(reworded(rng, base, rng.randint(0, n // 12), ["a", "new", "of"])) for _ in range(60)]
+    bags, others, passed = lines.Bags(texts), np.arange(len(texts)), 0
+    for x in range(0, len(texts), 7):
+        may = bags.may(x, others, alike)
+        for y in others[~may].tolist():
+            a, b = texts[x].split(), texts[y].split()
+            assert not lines.within(a, b, alike.words(max(len(a), len(b))))
+        passed += may.sum() - 1
+    assert 0 < passed < len(texts) * len(texts) // 7 // 2
+    assert not len(bags.may(0, others[:0], alike))

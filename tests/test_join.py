@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shapes import boxes, points, polygons, square, star
 
 from meshfold.operators import join
-from meshfold.plans import cells
+from meshfold.plans import cells, ranks
 from meshfold.plans.cells import Limits
 from meshfold.plans.queries import QUERIES
 
@@ -147,6 +147,24 @@ def test_equal_points_are_counted_once_joined(spark, plan):
     assert {tuple(r) for r in join.count_points_in_rectangles(pts, wins, limits=PLANS[plan]).collect()} == expected
 
 
+@pytest.mark.parametrize("fan", [64, 3])
+def test_counts_without_pairs(spark, monkeypatch, fan):
+    """Equal coordinates, endless windows, keys that repeat or are missing; no join of points with windows."""
+    monkeypatch.setattr(ranks, "FAN", fan)
+    rng, inf = random.Random(9), float("inf")
+    pts = points(spark, [*_points(rng, 300), (inf, 0), (float("nan"), 1), (-0.0, 0.0)]).withColumn("t", F.expr("IF(id % 7 = 0, NULL, id % 3)"))
+    pts = pts.union(pts.where("id < 20")).union(spark.createDataFrame([(900, None, 1.0, 1)], pts.schema))
+    wins = boxes(spark, [*_boxes(rng, 80), (-1e300, inf, -5, 5), (3, 2, 0, 9), (-5, 5, 0, 0)]).withColumn("t", F.expr("IF(id % 11 = 0, NULL, id % 2)"))
+    wins = wins.union(wins.where("id < 9")).union(spark.createDataFrame([(901, None, 1.0, 0.0, 1.0, 1), (None, -9.0, 9.0, -9.0, 9.0, 1)], wins.schema))
+    for on in ([], ["t"]):
+        plain = join.count_per_window(join.points_in_rectangles(pts, wins, on=on), wins, on=on)
+        hits = join.points_in_rectangles(pts, wins, on=on, counted=True, limits=Limits(counted_pairs=0))
+        assert hits.columns == [*on, "window_id", "hit"] and "object_id" not in _physical(hits)
+        swept = join.count_per_window(hits, wins, on=on)
+        assert swept.dtypes == plain.dtypes
+        assert sorted(map(str, swept.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_large_groups_come_in_parts(spark):
     pts, wins = points(spark, [(i / 1000, 0) for i in range(1000)]), boxes(spark, [(0, 1, 0, 1), (0, 0.0095, 0, 1)])
     rows = join.group_per_window(join.points_in_rectangles(pts, wins), wins, chunk=100).collect()

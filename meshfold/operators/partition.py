@@ -75,7 +75,8 @@ class Partitioning:
         """``df`` with an INT column ``pid`` in 0 .. n-1 (a quadtree's: one for each of its leaves); null for rows with a missing coordinate."""
         x, y = g.box_center(geometry_box(df))
         known = df.withColumn("known_", x.isNotNull() & y.isNotNull())
-        return self._assigned(known).withColumn("pid", F.when(F.col("known_"), F.col("pid"))).drop("known_")
+        # A generator, so that no null check on the id is moved below the searches, where it would write out each step three times the one before.
+        return self._assigned(known).withColumn("pid", F.explode(F.array(F.when(F.col("known_"), F.col("pid"))))).drop("known_")
 
     def _assigned(self, df: DataFrame) -> DataFrame:
         if self.n == 1:

@@ -503,7 +503,7 @@ def partition_windows_check(spark, sf):
     rects = tables.rectangles(spark, sf)
     placed = partition.assign_partitions(tables.spread_points(spark, sf), "rtree", N_PARTITIONS)
     windows = partition.windows_on_partitions(rects, partition.partition_bounds(placed)).join(rects, "id")
-    return join.count_per_window(join.points_in_rectangles(placed, windows, on=["pid"]).drop("pid"), rects)
+    return join.count_per_window(join.points_in_rectangles(placed, windows, on=["pid"], counted=True).drop("pid"), rects)
 
 
 # ---------------------------------------------------------------- hot spots

@@ -216,3 +216,12 @@ def test_a_hundred_thousand_partitions(spark, method):
     counts = partition.assign_partitions(table, method, 100_000).groupBy("pid").count()
     n, most, rows = counts.agg(F.count("*"), F.max("count"), F.sum("count")).first()
     assert rows == 400_000 and n > 90_000 and most < 40
+
+
+def test_null_checks_do_not_repeat_the_search(spark):
+    """A filter or join on the id leaves the search for it as it is, a step for each halving."""
+    points = spark.range(2000).selectExpr("id", "CAST(id * 7919 % 1000 AS DOUBLE) AS x", "CAST(id * 10473 % 997 AS DOUBLE) AS y")
+    placed = partition.assign_partitions(points, "rtree", 64)
+    plans = [len(df._jdf.queryExecution().optimizedPlan().toString()) for df in (placed, placed.where("pid IS NOT NULL"))]
+    assert plans[1] < 1.5 * plans[0]
+    assert placed.where("pid IS NOT NULL").count() == 2000

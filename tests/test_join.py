@@ -251,6 +251,23 @@ def test_shuffled_joins_keep_their_tasks(spark):
     assert found.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
 
 
+def test_shuffled_joins_meet_packs_of_objects(spark):
+    """Not row by row: a cell's objects come as arrays, and windows that cover the cell take these as they are."""
+    pts, wins = points(spark, [(i % 50, i % 70) for i in range(500)]), boxes(spark, [(i, i + 1, 0, 30) for i in range(40)])
+    found = [join.points_in_rectangles(pts, wins, limits=PLANS["shuffle"]), join.rectangles_in_rectangles(wins, wins, mode="mbr", limits=PLANS["shuffle"])]
+    for plan in map(_physical, found):
+        assert plan.index("Generate inline(packed_") < plan.index("SortMergeJoin [cell") < plan.index("collect_list")
+
+
+def test_cells_inside_a_polygon_settle_objects(spark):
+    """All but the objects near its boundary: their windows have no edges left to test."""
+    inner, outer = polygons(spark, {i: square(i % 40, i // 40, 0.5) for i in range(1600)}), polygons(spark, {0: square(0.25, 0.25, 39)})
+    found = join.polygons_in_polygons(inner, outer, limits=PLANS["shuffle"])
+    assert "w_whole" in _physical(found)
+    assert _pairs(found) == {(0, 40 * y + x) for x in range(1, 39) for y in range(1, 39)}
+    assert join._reach(spark.sql("SELECT 0D AS xmin, double('inf') AS xmax, 0D AS ymin, 1D AS ymax"), join.g.box()) is None
+
+
 def test_endless_and_far_windows(spark):
     inf = float("inf")
     wins = [(-inf, inf, -inf, inf), (5, inf, 0, 9), (4.5e6, 4.5e6, 4.5e6, 4.5e6), (-inf, 3, 1, 1), (1e15, 1e15 + 2, 0, 9)]

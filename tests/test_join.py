@@ -259,6 +259,19 @@ def test_shuffled_joins_meet_packs_of_objects(spark):
         assert plan.index("Generate inline(packed_") < plan.index("SortMergeJoin [cell") < plan.index("collect_list")
 
 
+def test_points_among_polygons_of_few_and_of_many_edges(spark):
+    """Few edges of a cell are columns of its windows, more stay an array; points on edges count the same."""
+    rng = random.Random(12)
+    pts = points(spark, [(x / 2, y / 2) for x in range(40) for y in range(40)])
+    for corners in (4, 20):
+        wins = polygons(spark, {i: star(rng, rng.uniform(0, 20), rng.uniform(0, 20), rng.uniform(2, 9), corners) for i in range(20)})
+        found = join.points_in_polygons(pts, wins, limits=PLANS["shuffle"])
+        assert "w_edge3_x1" in _physical(found)
+        test = F.expr(join.g.over_edges("rings", join.g.polygon_contains_point("edges_", "x", "y")))
+        brute = pts.withColumnRenamed("id", "object_id").crossJoin(wins.withColumnRenamed("id", "window_id")).where(test)
+        assert _pairs(found) == _pairs(brute)
+
+
 def test_cells_inside_a_polygon_settle_objects(spark):
     """All but the objects near its boundary: their windows have no edges left to test."""
     inner, outer = polygons(spark, {i: square(i % 40, i // 40, 0.5) for i in range(1600)}), polygons(spark, {0: square(0.25, 0.25, 39)})
